@@ -11,6 +11,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazardflow import schemas
+from hazardflow.functions.sql import literal
 from hazardflow.operators.cluster import ClusterModel
 from hazardflow.plans import silver
 from hazardflow.sources import geojson
@@ -47,33 +48,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
-def _offset(factor: int) -> Column:
-    return ((F.col("event_id") * factor) % 401 - 200).cast("double") / 100.0
-
-
-def _anchor(part: int) -> Column:
-    number = F.col("user_id") % 12
-    expr = F
-    for position, point in enumerate(ANCHORS[:-1]):
-        expr = expr.when(number == position, F.lit(point[part]))
-    return expr.otherwise(F.lit(ANCHORS[-1][part]))
+def _anchor(part: int) -> str:
+    whens = " ".join(f"WHEN {i} THEN {literal(point[part])}" for i, point in enumerate(ANCHORS[:-1]))
+    return f"CASE user_id % 12 {whens} ELSE {literal(ANCHORS[-1][part])} END"
 
 
 def quake_columns(events: DataFrame) -> DataFrame:
     """Works on a batch table and on a stream alike; keeps ``raw_id``."""
-    at = F.col("ts").cast("timestamp")
-    pair = F.col("event_id") - F.col("event_id") % 2
-    return events.select(
-        F.col("event_id").alias("raw_id"),
-        F.concat(F.lit("ev"), F.lpad(pair.cast("string"), 12, "0")).alias("event_id"),
-        (F.sqrt("value") * 0.44).alias("magnitude"),
-        ((F.col("user_id") * 37 + F.col("event_id") * 11) % 800 - 20).cast("double").alias("depth_km"),
-        (_offset(7919) + _anchor(0)).alias("latitude"),
-        (_offset(6257) + _anchor(1)).alias("longitude"),
-        (F.get_json_object("props", "$.k").cast("bigint") * 10).alias("significance"),
-        F.col("event_type").alias("place"),
-        at.alias("event_time"),
-        (at + F.expr("INTERVAL 2 MINUTES")).alias("ingestion_time"),
+    return events.selectExpr(
+        "event_id AS raw_id",
+        "concat('ev', lpad(CAST(event_id - event_id % 2 AS STRING), 12, '0')) AS event_id",
+        "sqrt(value) * 0.44D AS magnitude",
+        "CAST((user_id * 37 + event_id * 11) % 800 - 20 AS DOUBLE) AS depth_km",
+        f"CAST((event_id * 7919) % 401 - 200 AS DOUBLE) / 100D + {_anchor(0)} AS latitude",
+        f"CAST((event_id * 6257) % 401 - 200 AS DOUBLE) / 100D + {_anchor(1)} AS longitude",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) * 10 AS significance",
+        "event_type AS place",
+        "CAST(ts AS TIMESTAMP) AS event_time",
+        "CAST(ts AS TIMESTAMP) + INTERVAL 2 MINUTES AS ingestion_time",
     )
 
 

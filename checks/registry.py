@@ -497,8 +497,8 @@ def weather_anomaly(spark, sf):
 
 @query
 def weather_anomaly_job(spark, sf):
-    """The whole job: six years of look-back, a gate on the number of alerts."""
-    return gold.weather_anomalies(P.silver_weather(spark, sf), W, BATCH, days=6 * 365).select(
+    """The whole job: seven years of look-back, a gate on the number of alerts."""
+    return gold.weather_anomalies(P.silver_weather(spark, sf), W, BATCH, days=7 * 365).select(
         "event_type", "severity", "area_desc", "alert_frequency", "weather_anomaly",
         "detection_timestamp", "detection_batch_id",
     )

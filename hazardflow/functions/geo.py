@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, functions as F
 
 from hazardflow import config
+from hazardflow.functions.sql import case, literal
 
 EARTH_RADIUS_KM = 6371.0
 
@@ -17,20 +18,25 @@ def coordinates_valid(lat: Column, lon: Column) -> Column:
     return F.coalesce(inside, F.lit(False))
 
 
-def region_of(lat: Column, lon: Column, boxes=None, default: str = config.REGION_DEFAULT) -> Column:
+def region_of(lat: str, lon: str, boxes=None, default: str = config.REGION_DEFAULT) -> Column:
     """Name of the last box in the list that holds the point.
 
     The boxes are a short fixed list, so a flat CASE inside the same codegen
     stage replaces a range join; the last box is tested first.
     """
     boxes = config.REGION_BOXES if boxes is None else boxes
-    expr = F
-    for name, min_lon, max_lon, min_lat, max_lat in reversed(boxes):
-        expr = expr.when(lon.between(min_lon, max_lon) & lat.between(min_lat, max_lat), F.lit(name))
-    return expr.otherwise(F.lit(default))
-
-
-def nearest_city_km(lat: Column, lon: Column, cities=None, mode: str = "planar") -> Column:
+    branches = [
+        (
+            f"{lon} BETWEEN {literal(min_lon)} AND {literal(max_lon)}"
+            f" AND {lat} BETWEEN {literal(min_lat)} AND {literal(max_lat)}",
+            name,
+        )
+        for name, min_lon, max_lon, min_lat, max_lat in reversed(boxes)
+    ]
+    return F.expr(case(branches, default))
+
+
+def nearest_city_km(lat: str, lon: str, cities=None, mode: str = "planar") -> Column:
     """Distance to the nearest listed city; 999999 where a coordinate is NULL.
 
     ``planar`` is degrees times a constant, ``haversine`` the great circle.
@@ -38,35 +44,31 @@ def nearest_city_km(lat: Column, lon: Column, cities=None, mode: str = "planar")
     arcsine is taken once per row and not once per city.
     """
     cities = config.CITIES if cities is None else cities
+    terms = []
+    for _, city_lat, city_lon in cities:
+        dlat, dlon = f"({lat} - {literal(city_lat)})", f"({lon} - {literal(city_lon)})"
+        if mode == "planar":
+            terms.append(f"{dlat} * {dlat} + {dlon} * {dlon}")
+        else:
+            shrink = literal(math.cos(math.radians(city_lat)))
+            terms.append(
+                f"power(sin(radians({dlat}) / 2), 2)"
+                f" + cos(radians({lat})) * {shrink} * power(sin(radians({dlon}) / 2), 2)"
+            )
+    nearest = f"least({', '.join(terms)})" if len(terms) > 1 else terms[0]
     if mode == "planar":
-        squares = []
-        for _, city_lat, city_lon in cities:
-            dlat, dlon = lat - F.lit(city_lat), lon - F.lit(city_lon)
-            squares.append(dlat * dlat + dlon * dlon)
-        km = F.sqrt(_least(squares)) * F.lit(config.KM_PER_DEGREE)
+        km = f"sqrt({nearest}) * {literal(config.KM_PER_DEGREE)}"
     elif mode == "haversine":
-        chords = []
-        for _, city_lat, city_lon in cities:
-            half_lat = F.sin(F.radians(lat - F.lit(city_lat)) / 2)
-            half_lon = F.sin(F.radians(lon - F.lit(city_lon)) / 2)
-            shrink = F.cos(F.radians(lat)) * F.lit(math.cos(math.radians(city_lat)))
-            chords.append(half_lat * half_lat + shrink * half_lon * half_lon)
-        nearest = F.least(_least(chords), F.lit(1.0))
-        km = F.asin(F.sqrt(nearest)) * F.lit(2 * EARTH_RADIUS_KM)
+        km = f"asin(sqrt(least({nearest}, 1D))) * {literal(2 * EARTH_RADIUS_KM)}"
+        km = f"CASE WHEN {lat} IS NOT NULL AND {lon} IS NOT NULL THEN {km} END"
     else:
         raise ValueError(f"unknown distance mode: {mode}")
-    return F.least(F.lit(config.NO_CITY_KM), km)
-
-
-def _least(columns: list[Column]) -> Column:
-    return columns[0] if len(columns) == 1 else F.least(*columns)
+    return F.expr(f"least({literal(config.NO_CITY_KM)}, {km})")
 
 
-def population_risk(distance_km: Column) -> Column:
-    expr = F
-    for bound, risk in config.RISK_BANDS:
-        expr = expr.when(distance_km <= F.lit(bound), F.lit(risk))
-    return expr.otherwise(F.lit(config.RISK_DEFAULT))
+def population_risk(distance_km: str) -> Column:
+    bands = [(f"{distance_km} <= {literal(bound)}", risk) for bound, risk in config.RISK_BANDS]
+    return F.expr(case(bands, config.RISK_DEFAULT))
 
 
 def grid_floor(coordinate: Column, degrees: float = config.GRID_DEGREES) -> Column:

@@ -5,6 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``withColumns`` whose results are not copied into the steps above.
+
+    The optimizer substitutes a projected expression into every later filter
+    and projection that uses it; for long expressions the copies multiply. A
+    one-element inline generator yields plain attributes instead.
+    """
+    fields = F.struct(*[expr.alias(name) for name, expr in columns.items()])
+    return df.select("*", F.inline(F.array(fields)))
+
+
 def with_statistics(df: DataFrame, stats: dict[str, Column], source: DataFrame, name: str) -> DataFrame:
     """Add one struct column ``name`` holding aggregates of ``source``.
 
@@ -13,7 +24,7 @@ def with_statistics(df: DataFrame, stats: dict[str, Column], source: DataFrame,
     and no round trip through Python.
     """
     row = source.agg(F.struct(*[expr.alias(key) for key, expr in stats.items()]).alias(name))
-    return df.withColumn(name, row.scalar())
+    return computed_once(df, {name: row.scalar()})
 
 
 def abs_zscore(value: Column, mean: Column, std: Column) -> Column:

@@ -22,7 +22,7 @@ def quake_alerts(df: DataFrame) -> DataFrame:
             F.lit("A magnitude "), magnitude, F.lit(" earthquake has been detected near "),
             F.col("place"), F.lit("."),
         ).alias("message"),
-        severity.alert_level_for_quake(F.col("magnitude")).alias("severity"),
+        severity.alert_level_for_quake("magnitude").alias("severity"),
         F.lit("earthquake").alias("event_type"),
         F.col("place").alias("location"),
         F.col("magnitude"),
@@ -36,7 +36,7 @@ def weather_alerts(df: DataFrame, as_of) -> DataFrame:
     return df.select(
         F.concat(F.lit("Weather Alert - "), F.col("event_type")).alias("title"),
         F.concat(F.col("headline"), F.lit(" affecting "), F.col("area_desc")).alias("message"),
-        severity.alert_level_for_weather(F.col("severity")).alias("severity"),
+        severity.alert_level_for_weather("severity").alias("severity"),
         F.lit("weather").alias("event_type"),
         F.col("area_desc").alias("location"),
         F.lit(None).cast("double").alias("magnitude"),
@@ -76,7 +76,7 @@ def _texts(values) -> Column:
 
 
 def _icon() -> Column:
-    return severity.lookup(F.col("event_type"), config.EVENT_ICONS, config.DEFAULT_ICON)
+    return severity.lookup("event_type", config.EVENT_ICONS, config.DEFAULT_ICON)
 
 
 def sms_text() -> Column:

@@ -6,23 +6,24 @@ import dataclasses
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hazardflow import config
-from hazardflow.functions.stats import over, with_statistics
+from hazardflow.functions.sql import literal
+from hazardflow.functions.stats import computed_once, over, with_statistics
 from hazardflow.workspace import cut_lineage
 
-# Feature name -> expression over a silver event.
+# Feature name -> SQL text over a silver event.
 FEATURES = {
-    "magnitude": F.col,
-    "depth_km": F.col,
-    "latitude": F.col,
-    "longitude": F.col,
-    "significance": F.col,
-    "severity": lambda _: F.col("severity_score"),
-    "hour_of_day": lambda _: F.hour("event_time"),
-    "day_of_week": lambda _: F.dayofweek("event_time"),
-    "city_distance": lambda _: F.col("distance_to_major_city_km"),
+    "magnitude": "magnitude",
+    "depth_km": "depth_km",
+    "latitude": "latitude",
+    "longitude": "longitude",
+    "significance": "significance",
+    "severity": "severity_score",
+    "hour_of_day": "hour(event_time)",
+    "day_of_week": "dayofweek(event_time)",
+    "city_distance": "distance_to_major_city_km",
 }
 
 
@@ -35,18 +36,15 @@ class ClusterModel:
     centers: list[list[float]]
 
 
-def feature_columns() -> list[Column]:
-    return [make(name).cast("double").alias(name) for name, make in FEATURES.items()]
-
-
 def complete_features(df: DataFrame) -> DataFrame:
     """Id and features of the rows that have every feature."""
-    return df.select("event_id", *feature_columns()).dropna(subset=list(FEATURES))
+    columns = [f"CAST({text} AS DOUBLE) AS {name}" for name, text in FEATURES.items()]
+    return df.selectExpr("event_id", *columns).dropna(subset=list(FEATURES))
 
 
-def scale(value: Column, mean: Column, std: Column) -> Column:
-    """(x - mean) / std; a feature without spread becomes 0."""
-    return F.when(std > 0, (value - mean) / std).otherwise(F.lit(0.0))
+def scale(value: str, mean, std) -> str:
+    """(x - mean) / std as SQL text; a feature without spread becomes 0."""
+    return f"CASE WHEN {std} > 0 THEN ({value} - {mean}) / {std} ELSE 0D END"
 
 
 def scaled_features(df: DataFrame) -> DataFrame:
@@ -56,12 +54,10 @@ def scaled_features(df: DataFrame) -> DataFrame:
     for name in FEATURES:
         stats[f"{name}_mean"], stats[f"{name}_std"] = F.avg(name), F.stddev(name)
     wide = with_statistics(features, stats, features, "_moments")
-    return wide.select(
+    return wide.selectExpr(
         "event_id",
         *[
-            scale(F.col(name), F.col(f"_moments.{name}_mean"), F.col(f"_moments.{name}_std")).alias(
-                f"{name}_scaled"
-            )
+            f"{scale(name, f'_moments.{name}_mean', f'_moments.{name}_std')} AS {name}_scaled"
             for name in FEATURES
         ],
     )
@@ -86,10 +82,12 @@ def fit_clusters(
     means = [row[f"{name}_mean"] for name in FEATURES]
     stds = [row[f"{name}_std"] or 0.0 for name in FEATURES]
     scaled = [
-        scale(F.col(name), F.lit(mean), F.lit(std))
+        scale(name, literal(mean), literal(std))
         for name, mean, std in zip(FEATURES, means, stds, strict=True)
     ]
-    vectors = features.select(array_to_vector(F.array(*scaled)).alias("scaled_features"))
+    vectors = features.select(
+        array_to_vector(F.expr(f"array({', '.join(scaled)})")).alias("scaled_features")
+    )
     fitted = KMeans(
         featuresCol="scaled_features",
         predictionCol="cluster",
@@ -113,33 +111,29 @@ def assign_clusters(df: DataFrame, model: ClusterModel | None) -> DataFrame:
             "cluster": F.lit(None).cast("int"),
             "cluster_distance": F.lit(None).cast("double"),
         })
-    scaled = [
-        scale(make(name).cast("double"), F.lit(mean), F.lit(std))
-        for (name, make), mean, std in zip(FEATURES.items(), model.means, model.stds, strict=True)
-    ]
-    missing = F.lit(False)
-    for name, make in FEATURES.items():
-        value = make(name).cast("double")
-        missing = missing | value.isNull() | F.isnan(value)
-    squares = df.withColumn("_point", F.when(~missing, F.array(*scaled))).withColumn(
-        "_squares",
-        F.array(*[_squared_distance(F.col("_point"), center) for center in model.centers]),
-    )
-    nearest = F.array_min("_squares")
-    return squares.withColumns({
-        "cluster": F.when(
-            F.col("_point").isNotNull(), (F.array_position("_squares", nearest) - 1).cast("int")
-        ),
-        "cluster_distance": F.when(F.col("_point").isNotNull(), F.sqrt(nearest)),
-    }).drop("_point", "_squares")
-
-
-def _squared_distance(point: Column, center: list[float]) -> Column:
-    total = F.lit(0.0)
-    for position, coordinate in enumerate(center):
-        step = F.get(point, F.lit(position)) - F.lit(coordinate)
-        total = total + step * step
-    return total
+    values = {name: f"CAST({text} AS DOUBLE)" for name, text in FEATURES.items()}
+    present = " AND ".join(f"{v} IS NOT NULL AND NOT isnan({v})" for v in values.values())
+    point = {
+        f"_point_{name}": F.expr(
+            f"CASE WHEN {present} THEN {scale(value, literal(mean), literal(std))} END"
+        )
+        for (name, value), mean, std in zip(values.items(), model.means, model.stds, strict=True)
+    }
+    squares = {
+        f"_square_{i}": F.expr(_squared_distance(list(point), center))
+        for i, center in enumerate(model.centers)
+    }
+    measured = computed_once(computed_once(df, point), squares)
+    every = f"array({', '.join(squares)})"
+    return measured.withColumns({
+        "cluster": F.expr(f"CAST(array_position({every}, array_min({every})) - 1 AS INT)"),
+        "cluster_distance": F.expr(f"sqrt(array_min({every}))"),
+    }).drop(*point, *squares)
+
+
+def _squared_distance(point: list[str], center: list[float]) -> str:
+    steps = [f"({name} - {literal(x)})" for name, x in zip(point, center, strict=True)]
+    return " + ".join(f"{step} * {step}" for step in steps)
 
 
 def flag_far_points(clustered: DataFrame) -> DataFrame:

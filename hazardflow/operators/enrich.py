@@ -10,23 +10,20 @@ from hazardflow.functions.time import date_parts, moment, span_hours
 
 
 def add_quake_severity(df: DataFrame) -> DataFrame:
-    magnitude = F.col("magnitude")
     return df.withColumns({
-        "severity_score": severity.magnitude_score(magnitude),
-        "severity_category": severity.magnitude_category(magnitude),
+        "severity_score": severity.magnitude_score("magnitude"),
+        "severity_category": severity.magnitude_category("magnitude"),
     })
 
 
 def add_region(df: DataFrame, boxes=None) -> DataFrame:
-    return df.withColumn(
-        "geographic_region", geo.region_of(F.col("latitude"), F.col("longitude"), boxes)
-    )
+    return df.withColumn("geographic_region", geo.region_of("latitude", "longitude", boxes))
 
 
 def add_city_distance(df: DataFrame, cities=None, mode: str = "planar") -> DataFrame:
-    km = geo.nearest_city_km(F.col("latitude"), F.col("longitude"), cities, mode)
+    km = geo.nearest_city_km("latitude", "longitude", cities, mode)
     return df.withColumn("distance_to_major_city_km", km).withColumn(
-        "population_impact_risk", geo.population_risk(F.col("distance_to_major_city_km"))
+        "population_impact_risk", geo.population_risk("distance_to_major_city_km")
     )
 
 
@@ -49,11 +46,11 @@ def add_quake_flags(df: DataFrame) -> DataFrame:
 
 def add_weather_scores(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "severity_score": severity.weather_score(F.col("severity")),
-        "urgency_score": severity.urgency_score(F.col("urgency")),
+        "severity_score": severity.weather_score("severity"),
+        "urgency_score": severity.urgency_score("urgency"),
     }).withColumn(
         "combined_severity_score",
-        severity.combined_score(F.col("severity_score"), F.col("urgency_score")),
+        severity.combined_score("severity_score", "urgency_score"),
     )
 
 
@@ -80,9 +77,7 @@ def add_weather_flags(df: DataFrame, as_of) -> DataFrame:
 
 
 def add_weather_category(df: DataFrame, whole_words: bool = False) -> DataFrame:
-    return df.withColumn(
-        "event_category", severity.weather_category(F.col("event_type"), whole_words)
-    )
+    return df.withColumn("event_category", severity.weather_category("event_type", whole_words))
 
 
 def add_location_text(df: DataFrame) -> DataFrame:

@@ -84,14 +84,14 @@ def recent_alerts(
         ).alias("headline"),
         F.col("place").alias("location"),
         F.col("event_time").alias("alert_time"),
-        alert_level_for_quake(F.col("magnitude")).alias("severity_level"),
+        alert_level_for_quake("magnitude").alias("severity_level"),
         "event_id",
     )
     from_weather = weather.filter("requires_alert").select(
         F.concat(F.lit("Weather Alert - "), F.col("event_type")).alias("headline"),
         F.col("area_desc").alias("location"),
         F.col("sent_time").alias("alert_time"),
-        alert_level_for_weather(F.col("severity")).alias("severity_level"),
+        alert_level_for_weather("severity").alias("severity_level"),
         F.col("alert_id").alias("event_id"),
     )
     newest = (
@@ -168,7 +168,7 @@ def bookmark(df: DataFrame, name: str, as_of) -> DataFrame:
         raise ValueError(f"unknown bookmark: {name}")
     saved = config.BOOKMARKS[name]
     if "severity" in saved:
-        df = df.filter(alert_level_for_quake(F.col("magnitude")).isin(*saved["severity"]))
+        df = df.filter(alert_level_for_quake("magnitude").isin(*saved["severity"]))
     since = hours_before(as_of, saved["hours"]) if "hours" in saved else None
     return global_filter(df, since, None, saved.get("regions"), saved.get("magnitude"))
 
