@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazardflow import schemas
 from hazardflow.functions.sql import literal
+from hazardflow.functions.stats import computed_once
 from hazardflow.operators.cluster import ClusterModel
 from hazardflow.plans import silver
 from hazardflow.sources import geojson
@@ -55,13 +56,17 @@ def _anchor(part: int) -> str:
 
 def quake_columns(events: DataFrame) -> DataFrame:
     """Works on a batch table and on a stream alike; keeps ``raw_id``."""
-    return events.selectExpr(
+    placed = computed_once(events, {
+        "latitude": F.expr(f"CAST((event_id * 7919) % 401 - 200 AS DOUBLE) / 100D + {_anchor(0)}"),
+        "longitude": F.expr(f"CAST((event_id * 6257) % 401 - 200 AS DOUBLE) / 100D + {_anchor(1)}"),
+    })
+    return placed.selectExpr(
         "event_id AS raw_id",
         "concat('ev', lpad(CAST(event_id - event_id % 2 AS STRING), 12, '0')) AS event_id",
         "sqrt(value) * 0.44D AS magnitude",
         "CAST((user_id * 37 + event_id * 11) % 800 - 20 AS DOUBLE) AS depth_km",
-        f"CAST((event_id * 7919) % 401 - 200 AS DOUBLE) / 100D + {_anchor(0)} AS latitude",
-        f"CAST((event_id * 6257) % 401 - 200 AS DOUBLE) / 100D + {_anchor(1)} AS longitude",
+        "latitude",
+        "longitude",
         "CAST(get_json_object(props, '$.k') AS BIGINT) * 10 AS significance",
         "event_type AS place",
         "CAST(ts AS TIMESTAMP) AS event_time",
@@ -85,42 +90,30 @@ def silver_quakes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weather_columns(spark: SparkSession, sf: str) -> DataFrame:
-    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    events = ", ".join(literal(name) for name in WEATHER_EVENTS)
+    event = f"get(array({events}), CAST(o_orderkey % {len(WEATHER_EVENTS)} AS INT))"
+    sent = "CAST(o_orderdate AS TIMESTAMP)"
+    later = sent + " + make_interval(0, 0, 0, 0, CAST({} AS INT))"
     nation = F.broadcast(table(spark, sf, "nation"))  # 25 rows at every scale
-    key, ordered = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
-
-    def later(hours) -> Column:
-        return ordered + F.make_interval(hours=hours.cast("int"))
-
-    event = F.get(F.array(*[F.lit(name) for name in WEATHER_EVENTS]), (key % 9).cast("int"))
-    severity = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Extreme")
-        .when(F.col("o_orderpriority") == "2-HIGH", "Severe")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "Moderate")
-        .when(F.col("o_orderpriority") == "5-LOW", "Minor")
-        .otherwise("Unknown")
-    )
-    urgency = (
-        F.when(F.col("o_orderstatus") == "F", "Immediate")
-        .when(F.col("o_orderstatus") == "O", "Expected")
-        .otherwise("Future")
-    )
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            key.alias("raw_id"),
-            F.concat(F.lit("wx"), F.lpad((key - key % 3).cast("string"), 12, "0")).alias("alert_id"),
-            event.alias("event_type"),
-            F.concat(event, F.lit(" for "), F.col("n_name")).alias("headline"),
-            severity.alias("severity"),
-            urgency.alias("urgency"),
-            F.col("n_name").alias("area_desc"),
-            ordered.alias("sent_time"),
-            ordered.alias("effective_time"),
-            later(key % 24).alias("onset_time"),
-            F.when(F.col("o_custkey") % 10 != 0, later(1 + F.col("o_custkey") % 72)).alias("expires_time"),
-            later(key % 3).alias("ingestion_time"),
+        table(spark, sf, "orders")
+        .join(table(spark, sf, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            "o_orderkey AS raw_id",
+            "concat('wx', lpad(CAST(o_orderkey - o_orderkey % 3 AS STRING), 12, '0')) AS alert_id",
+            f"{event} AS event_type",
+            f"concat({event}, ' for ', n_name) AS headline",
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'Extreme' WHEN '2-HIGH' THEN 'Severe'"
+            " WHEN '3-MEDIUM' THEN 'Moderate' WHEN '5-LOW' THEN 'Minor' ELSE 'Unknown' END AS severity",
+            "CASE o_orderstatus WHEN 'F' THEN 'Immediate' WHEN 'O' THEN 'Expected' ELSE 'Future' END"
+            " AS urgency",
+            "n_name AS area_desc",
+            f"{sent} AS sent_time",
+            f"{sent} AS effective_time",
+            f"{later.format('o_orderkey % 24')} AS onset_time",
+            f"CASE WHEN o_custkey % 10 != 0 THEN {later.format('1 + o_custkey % 72')} END AS expires_time",
+            f"{later.format('o_orderkey % 3')} AS ingestion_time",
         )
     )
 
@@ -133,12 +126,6 @@ def silver_weather(spark: SparkSession, sf: str) -> DataFrame:
     return silver.weather(weather(spark, sf), AS_OF_WEATHER)
 
 
-def _json(value: Column) -> Column:
-    """JSON text of one scalar, ``null`` where it is NULL."""
-    body = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
-    return body.substr(F.lit(6), F.length(body) - 6)  # between {"v": and }
-
-
 def _documents(features: DataFrame) -> DataFrame:
     """Feature texts to FeatureCollection texts of at most 200 features."""
     batch = F.floor(F.col("raw_id") / FEATURES_PER_DOCUMENT)
@@ -153,57 +140,32 @@ def _documents(features: DataFrame) -> DataFrame:
 
 def quake_documents(spark: SparkSession, sf: str) -> DataFrame:
     """GeoJSON texts of all events, some features malformed on purpose."""
-    raw = F.col("raw_id")
+    feature = """concat('{"type":"Feature","id":"', event_id, '","geometry":',
+      CASE WHEN raw_id % 89 = 0 THEN 'null' ELSE concat('{"type":"Point","coordinates":[',
+        longitude, ',', latitude, CASE WHEN raw_id % 97 = 0 THEN '' WHEN raw_id % 67 = 0 THEN ',null'
+          ELSE concat(',', depth_km) END, ']}') END,
+      ',"properties":{"mag":', CASE WHEN raw_id % 83 = 0 THEN '"n/a"' ELSE CAST(magnitude AS STRING) END,
+      ',"time":', CASE WHEN raw_id % 73 = 0 THEN 0 ELSE unix_millis(event_time) END,
+      ',"tsunami":', raw_id % 2,
+      CASE WHEN raw_id % 79 = 0 THEN ',"sig":null' WHEN raw_id % 71 = 0 THEN ''
+        ELSE concat(',"sig":', significance) END,
+      CASE WHEN raw_id % 61 = 0 THEN '' ELSE concat(',"place":"', place, '"') END, '}}')"""
     rows = quake_columns(table(spark, sf, "events"))
-    point = [_json(F.col("longitude")), _json(F.col("latitude"))]
-    depth = _json(F.when(raw % 67 != 0, F.col("depth_km")))
-    coordinates = F.when(raw % 97 == 0, F.concat_ws(",", *point)).otherwise(
-        F.concat_ws(",", *point, depth)
-    )
-    geometry = F.when(raw % 89 == 0, F.lit("null")).otherwise(
-        F.concat(F.lit('{"type":"Point","coordinates":['), coordinates, F.lit("]}"))
-    )
-    millis = F.when(raw % 73 == 0, F.lit(0)).otherwise(F.unix_millis("event_time"))
-    magnitude = F.when(raw % 83 == 0, F.lit('"n/a"')).otherwise(_json(F.col("magnitude")))
-    significance = F.when(raw % 79 == 0, F.lit(',"sig":null')).when(
-        raw % 71 != 0, F.concat(F.lit(',"sig":'), F.col("significance").cast("string"))
-    )
-    place = F.when(raw % 61 != 0, F.concat(F.lit(',"place":'), _json(F.col("place"))))
-    none = F.lit("")
-    feature = F.concat(
-        F.lit('{"type":"Feature","id":'), _json(F.col("event_id")),
-        F.lit(',"geometry":'), geometry,
-        F.lit(',"properties":{"mag":'), magnitude,
-        F.lit(',"time":'), millis.cast("string"),
-        F.lit(',"tsunami":'), (raw % 2).cast("string"),
-        F.coalesce(significance, none), F.coalesce(place, none), F.lit("}}"),
-    )
-    return _documents(rows.select("raw_id", feature.alias("feature")))
+    return _documents(rows.selectExpr("raw_id", f"{feature} AS feature"))
 
 
 def weather_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Weather alert texts of all orders, some times unreadable on purpose."""
-    raw = F.col("raw_id")
-
-    def iso(name: str, suffix: str) -> Column:
-        return F.concat(F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(suffix))
-
-    expires = F.when(raw % 13 == 0, F.lit("soon")).otherwise(iso("expires_time", "Z"))
-    geometry = F.when(raw % 2 == 0, F.lit("null")).otherwise(F.lit('{"type":"Point"}'))
-    feature = F.concat(
-        F.lit('{"type":"Feature","geometry":'), geometry,
-        F.lit(',"properties":{"id":'), _json(F.col("alert_id")),
-        F.lit(',"event":'), _json(F.col("event_type")),
-        F.lit(',"headline":'), _json(F.col("headline")),
-        F.lit(',"severity":'), _json(F.col("severity")),
-        F.lit(',"urgency":'), _json(F.col("urgency")),
-        F.lit(',"areaDesc":'), _json(F.col("area_desc")),
-        F.lit(',"sent":'), _json(iso("sent_time", "Z")),
-        F.lit(',"onset":'), _json(iso("onset_time", "-05:00")),
-        F.lit(',"expires":'), _json(expires),
-        F.lit(',"geocode":{"SAME":["'), raw.cast("string"), F.lit('"]}}}'),
-    )
-    return _documents(weather_columns(spark, sf).select("raw_id", feature.alias("feature")))
+    iso = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+    expires = f"concat('\"', {iso.format('expires_time')}, 'Z\"')"
+    feature = f"""concat('{{"type":"Feature","geometry":',
+      CASE WHEN raw_id % 2 = 0 THEN 'null' ELSE '{{"type":"Point"}}' END,
+      ',"properties":{{"id":"', alert_id, '","event":"', event_type, '","headline":"', headline,
+      '","severity":"', severity, '","urgency":"', urgency, '","areaDesc":"', area_desc,
+      '","sent":"', {iso.format('sent_time')}, 'Z","onset":"', {iso.format('onset_time')},
+      '-05:00","expires":', CASE WHEN raw_id % 13 = 0 THEN '"soon"' ELSE coalesce({expires}, 'null') END,
+      ',"geocode":{{"SAME":["', raw_id, '"]}}}}}}')"""
+    return _documents(weather_columns(spark, sf).selectExpr("raw_id", f"{feature} AS feature"))
 
 
 def parsed(spark: SparkSession, sf: str, parse, documents, schema) -> DataFrame:

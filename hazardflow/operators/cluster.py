@@ -13,6 +13,10 @@ from hazardflow.functions.sql import literal
 from hazardflow.functions.stats import computed_once, over, with_statistics
 from hazardflow.workspace import cut_lineage
 
+# Distances to this many centres share one generated method; a longer one is
+# past the size the JVM compiles.
+CENTERS_PER_STEP = 4
+
 # Feature name -> SQL text over a silver event.
 FEATURES = {
     "magnitude": "magnitude",
@@ -81,10 +85,7 @@ def fit_clusters(
         return None
     means = [row[f"{name}_mean"] for name in FEATURES]
     stds = [row[f"{name}_std"] or 0.0 for name in FEATURES]
-    scaled = [
-        scale(name, literal(mean), literal(std))
-        for name, mean, std in zip(FEATURES, means, stds, strict=True)
-    ]
+    scaled = [_scaled(name, mean, std) for name, mean, std in zip(FEATURES, means, stds, strict=True)]
     vectors = features.select(
         array_to_vector(F.expr(f"array({', '.join(scaled)})")).alias("scaled_features")
     )
@@ -103,27 +104,27 @@ def assign_clusters(df: DataFrame, model: ClusterModel | None) -> DataFrame:
     """Adds ``cluster`` and ``cluster_distance`` to the same rows.
 
     Both are NULL where a feature is missing or there is no model. Working on
-    the rows themselves saves the join on the id, and array expressions keep
-    the distance in the JVM.
+    the rows themselves saves the join on the id, and plain arithmetic keeps
+    the distance in generated code.
     """
     if model is None:
         return df.withColumns({
             "cluster": F.lit(None).cast("int"),
             "cluster_distance": F.lit(None).cast("double"),
         })
-    values = {name: f"CAST({text} AS DOUBLE)" for name, text in FEATURES.items()}
-    present = " AND ".join(f"{v} IS NOT NULL AND NOT isnan({v})" for v in values.values())
     point = {
-        f"_point_{name}": F.expr(
-            f"CASE WHEN {present} THEN {scale(value, literal(mean), literal(std))} END"
-        )
-        for (name, value), mean, std in zip(values.items(), model.means, model.stds, strict=True)
+        f"_point_{name}": F.expr(_scaled(text, mean, std))
+        for (name, text), mean, std in zip(FEATURES.items(), model.means, model.stds, strict=True)
     }
     squares = {
         f"_square_{i}": F.expr(_squared_distance(list(point), center))
         for i, center in enumerate(model.centers)
     }
-    measured = computed_once(computed_once(df, point), squares)
+    measured = computed_once(df, point)
+    names = list(squares)
+    for start in range(0, len(names), CENTERS_PER_STEP):
+        step = names[start : start + CENTERS_PER_STEP]
+        measured = computed_once(measured, {name: squares[name] for name in step})
     every = f"array({', '.join(squares)})"
     return measured.withColumns({
         "cluster": F.expr(f"CAST(array_position({every}, array_min({every})) - 1 AS INT)"),
@@ -131,6 +132,12 @@ def assign_clusters(df: DataFrame, model: ClusterModel | None) -> DataFrame:
     }).drop(*point, *squares)
 
 
+def _scaled(text: str, mean: float, std: float) -> str:
+    """Standardised value with known moments; NULL and NaN both give NULL."""
+    value = f"nanvl(CAST({text} AS DOUBLE), NULL)"
+    return f"({value} - {literal(mean)}) / {literal(std)}" if std > 0 else f"{value} * 0D"
+
+
 def _squared_distance(point: list[str], center: list[float]) -> str:
     steps = [f"({name} - {literal(x)})" for name, x in zip(point, center, strict=True)]
     return " + ".join(f"{step} * {step}" for step in steps)

@@ -7,10 +7,12 @@ document is one poll of a feed and is small, the number of documents is not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hazardflow import config, schemas
 from hazardflow.functions import geo, text
+from hazardflow.functions.sql import literal
+from hazardflow.functions.stats import computed_once
 from hazardflow.functions.time import moment
 
 QUAKE_SOURCE, WEATHER_SOURCE, API_VERSION = "usgs_api", "noaa_api", "1.0"
@@ -32,35 +34,21 @@ def _features(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode("features").alias("feature")).select("feature.*")
 
 
-def _property(name: str, default: str = "") -> Column:
+def _property(name: str, default: str = "") -> str:
     """Text of a property: the default if the key is absent, NULL if it is null."""
-    properties = F.col("properties")
-    return F.when(F.map_contains_key(properties, name), properties[name]).otherwise(F.lit(default))
-
-
-def _number(value: Column, kind: str) -> Column:
-    """Number from text; whole-number columns drop a fraction."""
-    number = value.try_cast("double")
-    return F.floor(F.abs(number)).cast("bigint") * F.signum(number).cast("bigint") if kind == "bigint" else number
+    key = literal(name)
+    return (
+        f"CASE WHEN map_contains_key(properties, {key}) THEN properties[{key}]"
+        f" ELSE {literal(default)} END"
+    )
 
 
-def _bad_number(value: Column) -> Column:
-    return value.isNotNull() & value.try_cast("double").isNull()
+def _whole(value: str) -> str:
+    """Whole number from numeric text, the fraction cut off."""
+    number = f"try_cast({value} AS DOUBLE)"
+    return f"CAST(signum({number}) AS BIGINT) * CAST(floor(abs({number})) AS BIGINT)"
 
 
-# bronze column -> (property, type); a value that is not a number rejects the feature
-_QUAKE_NUMBERS = {
-    "magnitude": ("mag", "double"),
-    "cdi": ("cdi", "double"),
-    "mmi": ("mmi", "double"),
-    "nst": ("nst", "bigint"),
-    "gap": ("gap", "double"),
-    "dmin": ("dmin", "double"),
-    "rms": ("rms", "double"),
-    "felt_reports": ("felt", "bigint"),
-    "event_time": ("time", "time"),
-    "updated_time": ("updated", "time"),
-}
 _QUAKE_TEXTS = {
     "net": ("net", ""),
     "code": ("code", ""),
@@ -72,63 +60,85 @@ _QUAKE_TEXTS = {
     "detail_url": ("detail", ""),
     "url": ("url", ""),
 }
+# bronze column -> (raw text, kind); a value that is not a number rejects the feature
+_QUAKE_NUMBERS = {
+    "longitude": ("get(geometry.coordinates, 0)", "double"),
+    "latitude": ("get(geometry.coordinates, 1)", "double"),
+    "depth_km": ("get(geometry.coordinates, 2)", "double"),
+    "magnitude": ("properties['mag']", "double"),
+    "cdi": ("properties['cdi']", "double"),
+    "mmi": ("properties['mmi']", "double"),
+    "nst": ("properties['nst']", "whole"),
+    "gap": ("properties['gap']", "double"),
+    "dmin": ("properties['dmin']", "double"),
+    "rms": ("properties['rms']", "double"),
+    "felt_reports": ("properties['felt']", "whole"),
+    "event_time": ("properties['time']", "time"),
+    "updated_time": ("properties['updated']", "time"),
+}
 
 
-def _truthy(value: Column) -> Column:
-    number = value.try_cast("double")
-    return F.when(value.isNull() | (value == "") | (F.lower(value) == "false"), F.lit(False)).when(
-        number.isNotNull(), number != 0
-    ).otherwise(F.lit(True))
+def _truthy(value: str) -> str:
+    number = f"try_cast({value} AS DOUBLE)"
+    return (
+        f"CASE WHEN {value} IS NULL OR {value} = '' OR lower({value}) = 'false' THEN false"
+        f" WHEN {number} IS NOT NULL THEN {number} != 0 ELSE true END"
+    )
 
 
 def _quake_columns(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
-    """Every bronze column plus ``reasons``, which is empty on good features."""
-    coordinates = F.col("geometry.coordinates")
-    props = F.col("properties")
-    significance = _property("sig", "0")
-    position = {"longitude": 0, "latitude": 1, "depth_km": 2}
-    raw = {name: F.get(coordinates, F.lit(i)) for name, i in position.items()}
-    numbers = {name: props[key] for name, (key, _) in _QUAKE_NUMBERS.items()}
-    problems = {
-        "properties": props.isNull(),
-        "coordinates": F.coalesce(F.size(coordinates) < 3, F.lit(True)),
-        "significance": props.isNotNull()
-        & (significance.isNull() | significance.try_cast("double").isNull()),
-        **{name: F.coalesce(_bad_number(value), F.lit(False)) for name, value in raw.items()},
-        **{name: F.coalesce(_bad_number(value), F.lit(False)) for name, value in numbers.items()},
+    """Every bronze column plus ``reasons``, which is NULL on good features.
+
+    The raw texts are looked up once per feature, numbers and texts in a step
+    of their own so that each stays a method the JVM compiles.
+    """
+    numbers = {
+        f"_{name}": F.expr(raw) for name, (raw, _) in _QUAKE_NUMBERS.items()
     }
-    columns = {"event_id": F.col("id")}
-    columns.update({name: _property(key, default) for name, (key, default) in _QUAKE_TEXTS.items()})
-    columns.update({name: value.try_cast("double") for name, value in raw.items()})
-    for name, (key, kind) in _QUAKE_NUMBERS.items():
+    texts = {name: F.expr(_property(key, default)) for name, (key, default) in _QUAKE_TEXTS.items()}
+    texts["_significance"] = F.expr(_property("sig", "0"))
+    texts["_tsunami"] = F.expr("properties['tsunami']")
+    looked_up = computed_once(computed_once(_features(documents), numbers), texts)
+
+    columns = {"event_id": "id", **{name: name for name in _QUAKE_TEXTS}}
+    for name, (_, kind) in _QUAKE_NUMBERS.items():
+        columns[name] = f"try_cast(_{name} AS DOUBLE)" if kind == "double" else _whole(f"_{name}")
         if kind == "time":
-            columns[name] = text.parse_epoch_millis(_number(props[key], "bigint"))
-        else:
-            columns[name] = _number(props[key], kind)
-    columns.update({
-        "significance": _number(significance, "bigint"),
-        "tsunami_warning": _truthy(props["tsunami"]),
-        "ingestion_time": moment(as_of),
-        "data_source": F.lit(QUAKE_SOURCE),
-        "api_version": F.lit(API_VERSION),
-        "batch_id": F.lit(batch_id),
-    })
-    reasons = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in problems.items()]))
-    names = schemas.BRONZE_QUAKES.names
-    return _features(documents).select(
-        *[columns[name].alias(name) for name in names], reasons.alias("reasons")
+            columns[name] = f"timestamp_millis(nullif({columns[name]}, 0))"
+    columns["significance"] = _whole("_significance")
+    columns["tsunami_warning"] = _truthy("_tsunami")
+    columns["data_source"] = literal(QUAKE_SOURCE)
+    columns["api_version"] = literal(API_VERSION)
+    columns["batch_id"] = literal(batch_id)
+
+    problems = {
+        "properties": "properties IS NULL",
+        "coordinates": "coalesce(size(geometry.coordinates), 0) < 3",
+        "significance": "properties IS NOT NULL AND try_cast(_significance AS DOUBLE) IS NULL",
+    }
+    for name in _QUAKE_NUMBERS:
+        problems[name] = f"_{name} IS NOT NULL AND try_cast(_{name} AS DOUBLE) IS NULL"
+    named = ", ".join(f"CASE WHEN {bad} THEN {literal(name)} END" for name, bad in problems.items())
+    reasons = F.expr(f"split(nullif(concat_ws(',', {named}), ''), ',')")
+    judged = computed_once(looked_up, {"reasons": reasons})
+    return judged.withColumn("ingestion_time", moment(as_of)).selectExpr(
+        *[
+            "ingestion_time" if name == "ingestion_time" else f"{columns[name]} AS {name}"
+            for name in schemas.BRONZE_QUAKES.names
+        ],
+        "reasons",
     )
 
 
 def parse_quakes(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     """Bronze rows; a malformed feature is left out, see ``rejected_quakes``."""
     parsed = _quake_columns(documents, as_of, batch_id)
-    return parsed.filter(F.size("reasons") == 0).drop("reasons")
+    return parsed.filter(F.col("reasons").isNull()).drop("reasons")
 
 
 def rejected_quakes(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     """The features ``parse_quakes`` leaves out, with the fields that made it so."""
-    return _quake_columns(documents, as_of, batch_id).filter(F.size("reasons") > 0)
+    return _quake_columns(documents, as_of, batch_id).filter(F.col("reasons").isNotNull())
 
 
 def parse_quakes_strict(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
@@ -177,10 +187,10 @@ def parse_weather(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     """Bronze rows; a bad time becomes NULL, a feature without properties is left out."""
     props = F.col("properties")
     geometry = F.col("geometry")
-    columns = {name: _property(key) for name, key in _WEATHER_TEXTS.items()}
+    columns = {name: F.expr(_property(key)) for name, key in _WEATHER_TEXTS.items()}
     columns.update({name: text.parse_iso(props[key]) for name, key in _WEATHER_TIMES.items()})
     columns.update({
-        "geocode": _property("geocode", "{}"),
+        "geocode": F.expr(_property("geocode", "{}")),
         "geometry": F.when(~geometry.isin("", "{}", "[]"), geometry),
         "ingestion_time": moment(as_of),
         "data_source": F.lit(WEATHER_SOURCE),
