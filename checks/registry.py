@@ -16,7 +16,7 @@ from hazardflow.operators import (
 from hazardflow.plans import dashboard, gold, reports, silver
 from hazardflow.sources import feeds, geojson, tables
 from hazardflow.streaming import ingest, live
-from hazardflow.workspace import fresh_path, prepare
+from hazardflow.workspace import fresh_path, prepare, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,9 +168,9 @@ def sink_upsert(spark, sf):
     root = fresh_path(spark, "silver")
     rows = P.quake_columns(P.table(spark, sf, "events"))
     version = F.col("raw_id") % 2  # every event comes as a first and a second version
-    for token, number in (("round-1", 0), ("round-2", 1)):
-        part = silver.quakes(rows.filter(version == number).drop("raw_id"), Q, token)
-        tables.upsert_days(part, root, dedup.latest_quakes, token=token)
+    for number in (0, 1):
+        part = silver.quakes(rows.filter(version == number).drop("raw_id"), Q, f"round-{number}")
+        tables.upsert_days(part, root, dedup.latest_quakes)
     return spark.read.parquet(root).select("event_id", "event_time", "magnitude", "requires_alert")
 
 
@@ -537,9 +537,14 @@ def cluster_features(spark, sf):
     return cluster.scaled_features(P.silver_quakes(spark, sf))
 
 
+def _silver_table(spark, sf) -> DataFrame:
+    """Silver written once, for queries that read it several times."""
+    return stored(P.silver_quakes(spark, sf), "silver")
+
+
 def _fitted(spark, sf) -> DataFrame:
-    events = P.silver_quakes(spark, sf)
-    model = cluster.fit_clusters(events, min_rows=config.MIN_ROWS_QUAKES)
+    events = _silver_table(spark, sf)
+    model = cluster.fit_clusters(events, min_rows=config.MIN_ROWS_QUAKES, checkpoint=False)
     return cluster.cluster_anomalies(events, model)
 
 
@@ -597,7 +602,7 @@ def fuse_cluster(spark, sf):
     events = P.silver_quakes(spark, sf).withColumn(
         "depth_km", F.when(F.col("place") != "error", F.col("depth_km"))
     )
-    model = cluster.fit_clusters(events, min_rows=config.MIN_ROWS_QUAKES)
+    model = cluster.fit_clusters(events, min_rows=config.MIN_ROWS_QUAKES)  # with its checkpoint
     return cluster.cluster_anomalies(events, model).select("event_id", "cluster", "clustering_anomaly")
 
 
@@ -629,7 +634,7 @@ def fuse_grid_fine(spark, sf):
 
 def _fused(spark, sf) -> DataFrame:
     """Fused verdicts with the fixed cluster model, so that SQL can follow."""
-    return gold.quake_anomalies(P.silver_quakes(spark, sf), Q, BATCH, model=P.FIXED_MODEL)
+    return gold.quake_anomalies(_silver_table(spark, sf), Q, BATCH, model=P.FIXED_MODEL)
 
 
 @query
@@ -643,7 +648,7 @@ def anomaly_fusion(spark, sf):
 @query
 def anomaly_job(spark, sf):
     """The whole job with its own k-means fit."""
-    return gold.quake_anomalies(P.silver_quakes(spark, sf), Q, BATCH).select(
+    return gold.quake_anomalies(_silver_table(spark, sf), Q, BATCH).select(
         "event_id", "is_anomaly", "anomaly_types", "anomaly_score"
     )
 
@@ -852,8 +857,8 @@ def drill_event(spark, sf):
 
 
 # --- streams, drained once ---------------------------------------------------
-def _drain(spark, writer) -> None:
-    ingest.start(writer, fresh_path(spark, "stream"), available_now=True).awaitTermination()
+def _drain(writer) -> None:
+    ingest.start(writer, available_now=True).awaitTermination()
 
 
 @query
@@ -863,7 +868,7 @@ def stream_ingest(spark, sf):
     P.quake_documents(spark, sf).write.text(landing)
     documents = ingest.landed_documents(spark, landing)
     rows = geojson.parse_quakes(documents, Q, BATCH).transform(enrich.add_quake_partitions, hour=True)
-    _drain(spark, ingest.append_table(rows, root))
+    _drain(ingest.append_table(rows, root, fresh_path(spark, "stream")))
     return spark.read.schema(rows.schema).parquet(root).select(*QUAKE_COLUMNS)
 
 
@@ -871,8 +876,8 @@ def stream_ingest(spark, sf):
 def stream_dedup(spark, sf):
     root = fresh_path(spark, "silver")
     rows = P.quake_stream(spark, sf).drop("raw_id")
-    _drain(spark, ingest.upsert_table(
-        rows, root, prepare=lambda batch, number: silver.quakes(batch, Q, f"batch-{number}")
+    _drain(ingest.upsert_table(
+        rows, root, fresh_path(spark, "stream"), prepare=lambda batch, number: silver.quakes(batch, Q, f"batch-{number}")
     ))
     return spark.read.parquet(root).select("event_id", "event_time", "ingestion_time", "magnitude")
 
@@ -884,7 +889,7 @@ def _live_hours(spark, sf) -> DataFrame:
     hourly = live.hourly_by_region(rows.transform(enrich.add_region))
     day = F.col("hour_window")
     parted = hourly.withColumns({"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)})
-    _drain(spark, ingest.upsert_table(parted, root, merge=live.latest_hour, mode="update"))
+    _drain(ingest.upsert_table(parted, root, fresh_path(spark, "stream"), merge=live.latest_hour, mode="update"))
     return spark.read.parquet(root).drop(*schemas.PARTITION_COLUMNS)
 
 
@@ -910,9 +915,9 @@ def stream_rapid_succession(spark, sf):
     writer = found.writeStream.outputMode("update").foreachBatch(
         lambda batch, number: batch.write.mode("overwrite").parquet(f"{root}/batch={number}")
     )
-    _drain(spark, writer)
-    stored = spark.read.schema(found.schema).parquet(f"{root}/batch=*")
-    return stored.groupBy("grid_cell", "window_start", "window_end").agg(
+    _drain(writer.option("checkpointLocation", fresh_path(spark, "stream")))
+    hours = spark.read.schema(found.schema).parquet(f"{root}/batch=*")
+    return hours.groupBy("grid_cell", "window_start", "window_end").agg(
         F.max("event_count").alias("event_count")
     )
 
@@ -929,7 +934,8 @@ def stream_late(spark, sf):
         on_time.write.mode("overwrite").parquet(f"{good}/batch={number}")
         late.write.mode("overwrite").parquet(f"{bad}/batch={number}")
 
-    _drain(spark, rows.writeStream.foreachBatch(split))
+    writer = rows.writeStream.foreachBatch(split)
+    _drain(writer.option("checkpointLocation", fresh_path(spark, "stream")))
     parts = [
         spark.read.schema(rows.schema).parquet(f"{root}/batch=*").withColumn("late", F.lit(flag))
         for root, flag in ((good, False), (bad, True))
@@ -942,8 +948,8 @@ def stream_outbox(spark, sf):
     """Alerts queued once per event, channel and recipient."""
     root = fresh_path(spark, "outbox")
     rows = P.quake_stream(spark, sf).drop("raw_id")
-    _drain(spark, ingest.upsert_table(
-        rows, root, merge=live.first_per_delivery,
+    _drain(ingest.upsert_table(
+        rows, root, fresh_path(spark, "stream"), merge=live.first_per_delivery,
         prepare=lambda batch, number: live.outbox_rows(silver.quakes(batch, Q), number),
     ))
     return spark.read.parquet(root).select("event_id", "severity", "channel", "recipient", "title")

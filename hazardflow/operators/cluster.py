@@ -68,15 +68,21 @@ def scaled_features(df: DataFrame) -> DataFrame:
 
 
 def fit_clusters(
-    df: DataFrame, k: int = config.CLUSTERS, min_rows: int = config.MIN_ROWS_CLUSTER
+    df: DataFrame,
+    k: int = config.CLUSTERS,
+    min_rows: int = config.MIN_ROWS_CLUSTER,
+    checkpoint: bool = True,
 ) -> ClusterModel | None:
     """Fit k-means on the standardised features; None with too few rows.
 
     Training reads its input up to a hundred times, so the nine features go to
     a reliable checkpoint first: a lost executor re-reads files and does not
-    run the jobs behind ``df`` again.
+    run the jobs behind ``df`` again. A ``df`` that is a stored table already
+    needs no checkpoint.
     """
-    features = cut_lineage(complete_features(df))
+    features = complete_features(df)
+    if checkpoint:
+        features = cut_lineage(features)
     aggregates = [F.count("*").alias("rows")]
     for name in FEATURES:
         aggregates += [F.avg(name).alias(f"{name}_mean"), F.stddev(name).alias(f"{name}_std")]

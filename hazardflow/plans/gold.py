@@ -18,12 +18,14 @@ def quake_anomalies(
 ) -> DataFrame:
     """Fused verdict per event of the look-back; fits the clusters unless given.
 
+    ``silver`` is read once per detector, so pass a table (``workspace.stored``
+    makes one of any rows).
     With ``min_rows`` events or fewer there is nothing to judge and the result
     has no rows; below ``min_cluster_rows`` the cluster flag stays false.
     """
     events = quality.anomaly_window(silver, as_of)
     if model is None:
-        model = cluster.fit_clusters(events, min_rows=min_cluster_rows)
+        model = cluster.fit_clusters(events, min_rows=min_cluster_rows, checkpoint=False)
     result = fusion.fuse(fusion.detect(events, model))
     stamped = fusion.stamp_detection(result, as_of, batch_id)
     return fusion.only_if_more_than(stamped, events, min_rows)

@@ -63,9 +63,11 @@ def weather(bronze: DataFrame, as_of, batch_id: str = "batch", whole_words: bool
 def refresh_quakes(spark: SparkSession, bronze_root: str, root: str, as_of, batch_id: str) -> None:
     """Merge what was ingested in the look-back into the kept silver rows."""
     recent = quality.ingested_since(tables.scan(spark, bronze_root), as_of)
-    tables.upsert_days(quakes(recent, as_of, batch_id), root, dedup.latest_quakes, token=batch_id)
+    stage = f"{root}__stage_{batch_id}"
+    tables.upsert_days(quakes(recent, as_of, batch_id), root, dedup.latest_quakes, stage)
 
 
 def refresh_weather(spark: SparkSession, bronze_root: str, root: str, as_of, batch_id: str) -> None:
     recent = quality.ingested_since(tables.scan(spark, bronze_root), as_of)
-    tables.upsert_days(weather(recent, as_of, batch_id), root, dedup.latest_alerts, token=batch_id)
+    stage = f"{root}__stage_{batch_id}"
+    tables.upsert_days(weather(recent, as_of, batch_id), root, dedup.latest_alerts, stage)

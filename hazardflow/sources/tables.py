@@ -73,7 +73,7 @@ def upsert_days(
     updates: DataFrame,
     root: str,
     merge: Callable[[DataFrame], DataFrame],
-    token: str | None = None,
+    stage: str | None = None,
     neighbours: int = 1,
 ) -> None:
     """Merge rows into a day-partitioned table, rewriting the touched days only.
@@ -81,12 +81,16 @@ def upsert_days(
     ``merge`` reduces old and new rows together, for example to the latest per
     key. The days of the updates and their neighbours are read, so a revised
     event that moves past midnight finds its old version. The result is staged
-    in the shared folder and then swapped in; with the same ``token`` a retry
-    finds the finished stage and repeats only the swap.
+    and then swapped in. ``stage`` is a path that belongs to this batch alone: a
+    retry that finds it finished repeats only the swap. Merging the same rows
+    twice changes nothing, so a retry of any other step is safe as well.
     """
     spark = updates.sparkSession
     columns = updates.columns
-    staged = f"{root.rstrip('/')}__stage_{token}" if token else fresh_path(spark, "stage")
+    if not path_exists(spark, root):
+        overwrite_partitions(merge(updates).select(*columns), root)
+        return
+    stage = stage or fresh_path(spark, "stage")
     # The days of one batch: bounded by the calendar, not by the rows.
     days = (
         updates.select(F.expr(DAY).alias("day_"))
@@ -95,25 +99,18 @@ def upsert_days(
         .distinct()
         .select(*[part.alias(name) for name, part in _parts_of("day_").items()])
     )
-    exists = path_exists(spark, root)
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        rows = updates
-        if exists:
-            old = spark.read.schema(updates.schema).parquet(root)
-            touched = old.join(F.broadcast(days), PARTS, "left_semi")
-            rows = touched.select(*columns).unionByName(updates)
-        merged = merge(rows).select(*columns)
-        _balanced(merged, PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(staged)
-    result = spark.read.schema(updates.schema).parquet(staged)
-    emptied = []
-    if exists:
-        before = spark.read.schema(updates.schema).parquet(root).select(*PARTS)
-        before = before.join(F.broadcast(days), PARTS, "left_semi").distinct()
-        emptied = before.join(result.select(*PARTS).distinct(), PARTS, "left_anti").collect()
+    old = spark.read.schema(updates.schema).parquet(root)
+    if not path_exists(spark, f"{stage}/_SUCCESS"):
+        touched = old.join(F.broadcast(days), PARTS, "left_semi").select(*columns)
+        merged = merge(touched.unionByName(updates)).select(*columns)
+        _balanced(merged, PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(stage)
+    result = spark.read.schema(updates.schema).parquet(stage)
+    before = old.select(*PARTS).join(F.broadcast(days), PARTS, "left_semi").distinct()
+    emptied = before.join(result.select(*PARTS).distinct(), PARTS, "left_anti").collect()
     overwrite_partitions(result, root)
-    for row in emptied:
+    for row in emptied:  # a few days at most, each without any row left
         delete_path(spark, f"{root}/year={row.year}/month={row.month}/day={row.day}")
-    delete_path(spark, staged)
+    delete_path(spark, stage)
 
 
 def _around(column: str, days: int) -> Column:

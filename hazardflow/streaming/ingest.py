@@ -22,22 +22,23 @@ def landed_documents(
     return reader.json(landing)
 
 
-def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+def start(writer: DataStreamWriter, available_now: bool = False) -> StreamingQuery:
     """Poll on the configured interval, or drain what is there and stop."""
-    writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=config.POLL_INTERVAL).start()
 
 
-def append_table(stream: DataFrame, root: str) -> DataStreamWriter:
+def append_table(stream: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
     """Day-partitioned append; the file sink's log makes it exactly once."""
-    return stream.writeStream.format("parquet").option("path", root).partitionBy(*tables.PARTS)
+    writer = stream.writeStream.format("parquet").option("path", root)
+    return writer.option("checkpointLocation", checkpoint).partitionBy(*tables.PARTS)
 
 
 def upsert_table(
     stream: DataFrame,
     root: str,
+    checkpoint: str,
     merge: Callable[[DataFrame], DataFrame] = dedup.latest_quakes,
     prepare: Callable[[DataFrame, int], DataFrame] | None = None,
     mode: str = "append",
@@ -45,7 +46,8 @@ def upsert_table(
     """Merge every micro-batch into a day-partitioned table.
 
     Streaming dedup keeps the first row it sees. Here the newest wins, so the
-    batch is merged with the stored days; the batch id is the retry token.
+    batch is merged with the stored days. The stage of a batch lives under the
+    checkpoint, so a retried batch finds its own and no other query's.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
@@ -53,8 +55,9 @@ def upsert_table(
         rows = rows.persist()
         try:
             if not rows.isEmpty():
-                tables.upsert_days(rows, root, merge, token=f"batch{batch_id}")
+                tables.upsert_days(rows, root, merge, f"{checkpoint}/stage/{batch_id}")
         finally:
             rows.unpersist()
 
-    return stream.writeStream.outputMode(mode).foreachBatch(merge_batch)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(merge_batch)
+    return writer.option("checkpointLocation", checkpoint)

@@ -36,6 +36,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows to the shared folder and read them back as a table.
+
+    For jobs that read their input several times: each pass then scans only the
+    columns it needs, and a lost executor re-reads files.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: iterative readers restart from files, not the lineage."""
     shared_dir(df.sparkSession)

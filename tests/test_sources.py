@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,24 +135,28 @@ def test_upsert_moves_events_and_ignores_old_versions(spark, tmp_path):
     first = [("a", "2024-01-01 23:59:00", "2024-01-02 00:00:00", 1.0),
              ("b", "2024-01-05 00:00:00", "2024-01-05 01:00:00", 2.0),
              ("c", "2024-01-09 00:00:00", "2024-01-09 01:00:00", 3.0)]
-    tables.upsert_days(versions(spark, first), root, dedup.latest_quakes, token="1")
+    tables.upsert_days(versions(spark, first), root, dedup.latest_quakes)
     second = [("a", "2024-01-02 00:01:00", "2024-01-02 03:00:00", 1.5),
               ("b", "2024-01-05 00:00:00", "2024-01-05 00:30:00", 9.0),
               ("d", "2024-01-05 02:00:00", "2024-01-05 03:00:00", 4.0)]
-    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes, token="2")
+    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes)
     want = {"a": (1.5, 2), "b": (2.0, 5), "c": (3.0, 9), "d": (4.0, 5)}
     assert stored(spark, root) == want
-    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes, token="2")
+    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes)
     assert stored(spark, root) == want
-    assert [p.name for p in tmp_path.iterdir()] == ["silver"]
 
 
 def test_a_finished_stage_is_used_by_the_retry(spark, tmp_path):
-    root = str(tmp_path / "silver")
-    done = versions(spark, [("a", "2024-01-01 00:00:00", "2024-01-01 01:00:00", 1.0)])
-    done.write.partitionBy("year", "month", "day").parquet(f"{root}__stage_7")
-    tables.upsert_days(done.limit(0), root, dedup.latest_quakes, token="7")
-    assert stored(spark, root) == {"a": (1.0, 1)}
+    root, stage = str(tmp_path / "silver"), str(tmp_path / "stage")
+    day = "2024-01-01 00:00:00"
+    tables.upsert_days(versions(spark, [("a", day, "2024-01-01 01:00:00", 1.0)]), root, dedup.latest_quakes)
+    both = [("a", day, "2024-01-01 01:00:00", 1.0), ("b", day, "2024-01-01 02:00:00", 2.0)]
+    versions(spark, both).write.partitionBy("year", "month", "day").parquet(stage)
+    # The swap of the first try stopped half-way and lost the day.
+    shutil.rmtree(f"{root}/year=2024/month=1/day=1")
+    tables.upsert_days(versions(spark, both[1:]), root, dedup.latest_quakes, stage)
+    assert stored(spark, root) == {"a": (1.0, 1), "b": (2.0, 1)}
+    assert not (tmp_path / "stage").exists()
 
 
 def test_silver_refresh_keeps_older_days(spark, tmp_path):

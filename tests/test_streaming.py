@@ -13,8 +13,8 @@ AS_OF = "2024-01-10 00:00:00"
 BASE = 1704067200  # 2024-01-01
 
 
-def drain(writer, checkpoint):
-    ingest.start(writer, str(checkpoint), available_now=True).awaitTermination()
+def drain(writer):
+    ingest.start(writer, available_now=True).awaitTermination()
 
 
 class Landing:
@@ -46,7 +46,7 @@ def test_ingest_appends_every_file_once(spark, tmp_path):
     landing.add(feature("ev0001", 0, 4.0))
     landing.add(feature("ev0002", 90_000, 4.0), {"id": "bad", "geometry": None, "properties": {}})
     for _ in range(2):
-        drain(ingest.append_table(bronze_stream(spark, landing), str(tmp_path / "bronze")), tmp_path / "check")
+        drain(ingest.append_table(bronze_stream(spark, landing), str(tmp_path / "bronze"), str(tmp_path / "check")))
     rows = spark.read.parquet(str(tmp_path / "bronze"))
     assert sorted((r["event_id"], r["day"]) for r in rows.collect()) == [("ev0001", 1), ("ev0002", 2)]
     assert set(schemas.BRONZE_QUAKES.names) <= set(rows.columns)
@@ -58,8 +58,8 @@ def test_latest_version_wins_across_batches(spark, tmp_path):
     landing.add(feature("ev0001", 86_401, 4.5, updated=20), feature("ev0002", 0, 9.0, updated=40))
     landing.add(feature("ev0003", 0, 0.5), feature("ev0001", 86_401, 4.1, updated=15))
     stream = bronze_stream(spark, landing).drop("year", "month", "day", "hour")
-    writer = ingest.upsert_table(stream, root, prepare=lambda batch, n: silver.quakes(batch, AS_OF, f"b{n}"))
-    drain(writer, tmp_path / "check")
+    writer = ingest.upsert_table(stream, root, str(tmp_path / "check"), prepare=lambda batch, n: silver.quakes(batch, AS_OF, f"b{n}"))
+    drain(writer)
     got = {r["event_id"]: (r["magnitude"], r["day"]) for r in spark.read.parquet(root).collect()}
     assert got == {"ev0001": (4.5, 2), "ev0002": (3.0, 1)}
 
@@ -72,7 +72,7 @@ def test_hourly_counts_grow_over_batches_and_match_the_batch_job(spark, tmp_path
     hourly = live.hourly_by_region(regions)
     at_hour = F.col("hour_window")
     parted = hourly.withColumns({"year": F.year(at_hour), "month": F.month(at_hour), "day": F.dayofmonth(at_hour)})
-    drain(ingest.upsert_table(parted, root, merge=live.latest_hour, mode="update"), tmp_path / "check")
+    drain(ingest.upsert_table(parted, root, str(tmp_path / "check"), merge=live.latest_hour, mode="update"))
     documents = spark.read.schema(schemas.QUAKE_DOCUMENT).json(str(landing.path))
     batch = frequency.hourly_activity(bronze.quakes(documents, AS_OF, "b1").transform(enrich.add_region))
     key = ["geographic_region", "hour_window", "earthquake_count", "avg_magnitude", "max_magnitude"]
@@ -97,9 +97,9 @@ def test_outbox_queues_an_alert_once(spark, tmp_path):
     landing.add(feature("ev0001", 0, 6.7, updated=2, lat=35.67, lon=139.65), feature("ev0002", 60, 5.1, lat=35.67, lon=139.65))
     landing.add(feature("ev0003", 60, 5.9, lat=0.0, lon=0.0))
     stream = bronze_stream(spark, landing).drop("year", "month", "day", "hour")
-    writer = ingest.upsert_table(stream, root, merge=live.first_per_delivery,
+    writer = ingest.upsert_table(stream, root, str(tmp_path / "check"), merge=live.first_per_delivery,
                                  prepare=lambda batch, n: live.outbox_rows(silver.quakes(batch, AS_OF), n))
-    drain(writer, tmp_path / "check")
+    drain(writer)
     rows = sorted((r["event_id"], r["channel"], r["recipient"], r["title"][-3:], r["queued_batch"]) for r in spark.read.parquet(root).na.fill("-").collect())
     assert rows == [
         ("ev0001", "sms", "+10000000001", "6.5", 0), ("ev0001", "sms", "+10000000002", "6.5", 0),
