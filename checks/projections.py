@@ -20,7 +20,6 @@ from hazardflow.workspace import prepare
 
 AS_OF_QUAKES = "2024-01-31 00:00:00"
 AS_OF_WEATHER = "2001-08-02 00:00:00"
-FEATURES_PER_DOCUMENT = 200
 
 # anchor number -> (latitude, longitude); the last one is the rest
 ANCHORS = [
@@ -127,15 +126,10 @@ def silver_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _documents(features: DataFrame) -> DataFrame:
-    """Feature texts to FeatureCollection texts of at most 200 features."""
-    batch = F.floor(F.col("raw_id") / FEATURES_PER_DOCUMENT)
-    return features.groupBy(batch.alias("document")).agg(
-        F.concat(
-            F.lit('{"type":"FeatureCollection","features":['),
-            F.array_join(F.collect_list("feature"), ","),
-            F.lit("]}"),
-        ).alias("value")
-    ).select("value")
+    """One FeatureCollection text per feature text, so that no document grows with the data."""
+    return features.selectExpr(
+        """concat('{"type":"FeatureCollection","features":[', feature, ']}') AS value"""
+    )
 
 
 def quake_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,7 +145,7 @@ def quake_documents(spark: SparkSession, sf: str) -> DataFrame:
         ELSE concat(',"sig":', significance) END,
       CASE WHEN raw_id % 61 = 0 THEN '' ELSE concat(',"place":"', place, '"') END, '}}')"""
     rows = quake_columns(table(spark, sf, "events"))
-    return _documents(rows.selectExpr("raw_id", f"{feature} AS feature"))
+    return _documents(rows.selectExpr(f"{feature} AS feature"))
 
 
 def weather_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,7 +159,7 @@ def weather_documents(spark: SparkSession, sf: str) -> DataFrame:
       '","sent":"', {iso.format('sent_time')}, 'Z","onset":"', {iso.format('onset_time')},
       '-05:00","expires":', CASE WHEN raw_id % 13 = 0 THEN '"soon"' ELSE coalesce({expires}, 'null') END,
       ',"geocode":{{"SAME":["', raw_id, '"]}}}}}}')"""
-    return _documents(weather_columns(spark, sf).selectExpr("raw_id", f"{feature} AS feature"))
+    return _documents(weather_columns(spark, sf).selectExpr(f"{feature} AS feature"))
 
 
 def parsed(spark: SparkSession, sf: str, parse, documents, schema) -> DataFrame:

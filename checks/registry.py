@@ -41,6 +41,11 @@ def named(name: str) -> Callable[[Query], Query]:
     return lambda function: query(function, name)
 
 
+def _silver_table(spark, sf) -> DataFrame:
+    """Silver written once, for queries that read it several times."""
+    return stored(P.silver_quakes(spark, sf), "silver")
+
+
 # --- sources and sinks -------------------------------------------------------
 QUAKE_COLUMNS = [
     "event_id", "latitude", "longitude", "depth_km", "magnitude", "place", "significance",
@@ -152,7 +157,7 @@ def sink_overwrite_partitioned(spark, sf):
 def sink_batch(spark, sf):
     """Two detection batches, the first one written twice."""
     root = fresh_path(spark, "gold")
-    cells = grid.geographic_anomalies(P.silver_quakes(spark, sf))
+    cells = stored(grid.geographic_anomalies(P.silver_quakes(spark, sf)), "cells")
     for batch in ("batch-1", "batch-2", "batch-1"):
         tables.write_batch(fusion.stamp_detection(cells, Q, batch), root)
     return (
@@ -472,7 +477,7 @@ def grid_stats(spark, sf):
 
 @query
 def grid_anomaly(spark, sf):
-    return grid.geographic_anomalies(P.silver_quakes(spark, sf)).select(
+    return grid.geographic_anomalies(_silver_table(spark, sf)).select(
         "grid_cell", "event_count", "count_zscore", "high_activity_anomaly",
         "high_magnitude_anomaly", "rapid_succession_anomaly", "geographic_anomaly",
     )
@@ -537,11 +542,6 @@ def cluster_features(spark, sf):
     return cluster.scaled_features(P.silver_quakes(spark, sf))
 
 
-def _silver_table(spark, sf) -> DataFrame:
-    """Silver written once, for queries that read it several times."""
-    return stored(P.silver_quakes(spark, sf), "silver")
-
-
 def _fitted(spark, sf) -> DataFrame:
     events = _silver_table(spark, sf)
     model = cluster.fit_clusters(events, min_rows=config.MIN_ROWS_QUAKES, checkpoint=False)
@@ -575,7 +575,7 @@ def cluster_invariants(spark, sf):
 
 
 def _fixed(spark, sf) -> DataFrame:
-    return cluster.cluster_anomalies(P.silver_quakes(spark, sf), P.FIXED_MODEL)
+    return cluster.cluster_anomalies(_silver_table(spark, sf), P.FIXED_MODEL)
 
 
 @query
@@ -618,7 +618,7 @@ def fuse_cluster_fixed(spark, sf):
 
 @query
 def fuse_grid(spark, sf):
-    events = P.silver_quakes(spark, sf)
+    events = _silver_table(spark, sf)
     return grid.attach_cell_flags(events, grid.geographic_anomalies(events)).select(
         "event_id", "grid_cell", *grid.CELL_FLAGS
     )
@@ -627,7 +627,7 @@ def fuse_grid(spark, sf):
 @query
 def fuse_grid_fine(spark, sf):
     """Cells of a quarter degree: too many to broadcast, so the join is salted."""
-    events, degrees = P.silver_quakes(spark, sf), 0.25
+    events, degrees = _silver_table(spark, sf), 0.25
     cells = grid.geographic_anomalies(events, degrees)
     return grid.attach_cell_flags(events, cells, degrees).select("event_id", "grid_cell", *grid.CELL_FLAGS)
 
@@ -678,7 +678,7 @@ def anomaly_by_type(spark, sf):
 
 @query
 def top_hotspots(spark, sf):
-    return reports.top_hotspots(grid.geographic_anomalies(P.silver_quakes(spark, sf)))
+    return reports.top_hotspots(grid.geographic_anomalies(_silver_table(spark, sf)))
 
 
 @query

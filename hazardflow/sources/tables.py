@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hazardflow import schemas
 from hazardflow.functions.time import days_before, moment
@@ -80,43 +81,38 @@ def upsert_days(
 
     ``merge`` reduces old and new rows together, for example to the latest per
     key. The days of the updates and their neighbours are read, so a revised
-    event that moves past midnight finds its old version. The result is staged
-    and then swapped in. ``stage`` is a path that belongs to this batch alone: a
-    retry that finds it finished repeats only the swap. Merging the same rows
-    twice changes nothing, so a retry of any other step is safe as well.
+    event that moves past midnight finds its old version.
+
+    ``stage`` is a path that belongs to this batch alone. The updates are written
+    there once, then the merged days, which are swapped in last: a retry goes on
+    from the last finished step and never reads a half-swapped table.
     """
-    spark = updates.sparkSession
-    columns = updates.columns
-    if not path_exists(spark, root):
-        overwrite_partitions(merge(updates).select(*columns), root)
-        return
+    spark, columns = updates.sparkSession, updates.columns
     stage = stage or fresh_path(spark, "stage")
-    # The days of one batch: bounded by the calendar, not by the rows.
-    days = (
-        updates.select(F.expr(DAY).alias("day_"))
-        .distinct()
-        .select(F.explode(_around("day_", neighbours)).alias("day_"))
-        .distinct()
-        .select(*[part.alias(name) for name, part in _parts_of("day_").items()])
-    )
-    old = spark.read.schema(updates.schema).parquet(root)
-    if not path_exists(spark, f"{stage}/_SUCCESS"):
-        touched = old.join(F.broadcast(days), PARTS, "left_semi").select(*columns)
-        merged = merge(touched.unionByName(updates)).select(*columns)
-        _balanced(merged, PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(stage)
-    result = spark.read.schema(updates.schema).parquet(stage)
-    before = old.select(*PARTS).join(F.broadcast(days), PARTS, "left_semi").distinct()
-    emptied = before.join(result.select(*PARTS).distinct(), PARTS, "left_anti").collect()
-    overwrite_partitions(result, root)
-    for row in emptied:  # a few days at most, each without any row left
-        delete_path(spark, f"{root}/year={row.year}/month={row.month}/day={row.day}")
-    delete_path(spark, stage)
 
-
-def _around(column: str, days: int) -> Column:
-    day = F.col(column)
-    return F.sequence(F.date_sub(day, days), F.date_add(day, days))
+    def staged(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{stage}/{name}"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            _balanced(make(), PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(path)
+        return spark.read.schema(updates.schema).parquet(path).select(*columns)
+
+    fresh = staged("updates", lambda: updates)
+    touched = _days(fresh)
+    if touched:
+        if path_exists(spark, root):
+            around = {day + dt.timedelta(n) for day in touched for n in range(-neighbours, neighbours + 1)}
+            old = spark.read.schema(updates.schema).parquet(root).select(*columns)
+            old = old.filter(F.expr(DAY).isin(sorted(around)))
+            merged = staged("merged", lambda: merge(old.unionByName(fresh)))
+            emptied = _days(old) - _days(merged)
+        else:
+            merged, emptied = merge(fresh), set()
+        overwrite_partitions(merged.select(*columns), root)
+        for day in emptied:
+            delete_path(spark, f"{root}/year={day.year}/month={day.month}/day={day.day}")
+    delete_path(spark, stage)
 
 
-def _parts_of(column: str) -> dict[str, Column]:
-    return {"year": F.year(column), "month": F.month(column), "day": F.dayofmonth(column)}
+def _days(df: DataFrame) -> set[dt.date]:
+    """Days present in a stored table; as many as the calendar has, however many rows."""
+    return {row[0] for row in df.select(F.expr(DAY)).distinct().collect()}
