@@ -12,7 +12,7 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracles import ORACLES
 from checks.registry import QUERIES
@@ -60,9 +60,8 @@ def canonical(names: list[str], rows) -> list[tuple]:
     return sorted(lines, key=repr)
 
 
-def difference(spark, connection, sf_dir: str, name: str) -> str | None:
+def difference(result: DataFrame, connection, name: str) -> str | None:
     """None if rows, columns and values agree, else what differs."""
-    result = QUERIES[name](spark, sf_dir)
     ours = canonical(result.columns, result.collect())
     if name not in ORACLES:
         return None if ours else "no rows"
@@ -86,12 +85,13 @@ def main() -> None:
     for name in names:
         begin = time.time()
         try:
-            problem = difference(spark, connection, sf_dir, name)
+            problem = difference(QUERIES[name](spark, sf_dir), connection, name)
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
         kind = "sql" if name in ORACLES else "rows"
-        print(f"{'ok  ' if problem is None else 'FAIL'} {name} {kind} {time.time() - begin:.1f}s", problem or "", flush=True)
+        status, seconds = "ok  " if problem is None else "FAIL", time.time() - begin
+        print(f"{status} {name} {kind} {seconds:.1f}s", problem or "", flush=True)
     print(f"{len(names) - bad} of {len(names)} agree")
 
 

@@ -26,8 +26,13 @@ def read_documents(
 
 
 def from_text(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Same shape from a text column."""
-    return df.select(F.from_json(F.col(column), schema).alias("_document")).select("_document.*")
+    """Same shape from a text column.
+
+    Parsed in a step of its own: exploding a parsed column directly would make
+    the optimizer add an is-not-empty filter that parses every text again.
+    """
+    parsed = computed_once(df, {"_document": F.from_json(F.col(column), schema)})
+    return parsed.select("_document.*")
 
 
 def _features(documents: DataFrame) -> DataFrame:

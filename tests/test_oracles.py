@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin on the smoke tables."""
+"""Every registered query against its SQL twin on the smoke tables, and its plan."""
 
 import pytest
 
@@ -14,7 +14,11 @@ def connection(sf):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees(spark, connection, sf, name):
-    assert difference(spark, connection, sf, name) is None
+    result = QUERIES[name](spark, sf)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for bad in ("NestedLoopJoin", "CartesianProduct", "EvalPython", "InPandas", "MapInArrow"):
+        assert bad not in plan
+    assert difference(result, connection, name) is None
 
 
 def test_only_fitted_models_lack_sql():

@@ -5,13 +5,9 @@ import re
 import pytest
 
 from checks import projections as P
-from checks.registry import QUERIES
-from hazardflow.operators import quality
-from hazardflow.plans import dashboard, silver
 from hazardflow import workspace
-
-RUNS_JOBS = ("sink_", "stream_")
-
+from hazardflow.operators import fusion, quality, statistical
+from hazardflow.plans import dashboard, reports, silver
 
 @pytest.fixture(scope="module", autouse=True)
 def whole_metadata(spark):
@@ -25,13 +21,6 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(RUNS_JOBS)])
-def test_no_cross_join_and_no_python(spark, sf, name):
-    plan = plan_of(QUERIES[name](spark, sf))
-    for bad in ("NestedLoopJoin", "CartesianProduct", "EvalPython", "InPandas", "MapInArrow"):
-        assert bad not in plan
-
-
 @pytest.fixture(scope="module")
 def bronze(spark, sf):
     return workspace.stored(P.quakes(spark, sf), "bronze")
@@ -50,8 +39,6 @@ def test_validity_reaches_the_scan(spark, bronze):
 
 
 def test_reports_read_only_their_columns(spark, silver_table):
-    from hazardflow.plans import reports
-
     plan = plan_of(reports.severity_distribution(silver_table))
     assert "ReadSchema: struct<magnitude:double,severity_category:string>" in plan
     plan = plan_of(dashboard.quake_kpi(silver_table, P.AS_OF_QUAKES))
@@ -60,8 +47,6 @@ def test_reports_read_only_their_columns(spark, silver_table):
 
 def test_fusion_does_not_shuffle_the_events(spark, silver_table):
     """Only aggregates cross an exchange: cells, one-row statistics, and the bounded broadcast."""
-    from hazardflow.operators import fusion
-
     df = fusion.fuse(fusion.detect(silver_table, P.FIXED_MODEL)).select("event_id", "anomaly_score")
     plan = plan_of(df)
     exchanges = re.findall(r"(?<!Broadcast)Exchange (\w+)\((.*?)[,)]", plan)
@@ -78,7 +63,5 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def test_statistics_are_one_subquery(spark, silver_table):
-    from hazardflow.operators import statistical
-
     plan = plan_of(statistical.flag_outliers(silver_table).filter("statistical_anomaly"))
     assert len(set(re.findall(r"Subquery subquery#(\d+)", plan))) == 1
