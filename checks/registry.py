@@ -632,9 +632,10 @@ def fuse_grid_fine(spark, sf):
     return grid.attach_cell_flags(events, cells, degrees).select("event_id", "grid_cell", *grid.CELL_FLAGS)
 
 
-def _fused(spark, sf) -> DataFrame:
+def _fused(spark, sf, events: DataFrame | None = None) -> DataFrame:
     """Fused verdicts with the fixed cluster model, so that SQL can follow."""
-    return gold.quake_anomalies(_silver_table(spark, sf), Q, BATCH, model=P.FIXED_MODEL)
+    events = _silver_table(spark, sf) if events is None else events
+    return gold.quake_anomalies(events, Q, BATCH, model=P.FIXED_MODEL)
 
 
 @query
@@ -745,9 +746,10 @@ def alert_delivery_rollup(spark, sf):
 
 @query
 def alert_rules(spark, sf):
-    quakes = alerts.apply_rules(P.silver_quakes(spark, sf), "quakes", "event_id")
+    events = _silver_table(spark, sf)
+    quakes = alerts.apply_rules(events, "quakes", "event_id")
     weather = alerts.apply_rules(P.silver_weather(spark, sf), "weather", "alert_id")
-    fused = alerts.apply_rules(_fused(spark, sf), "anomalies", "event_id")
+    fused = alerts.apply_rules(_fused(spark, sf, events), "anomalies", "event_id")
     return quakes.unionByName(weather).unionByName(fused)
 
 
@@ -798,8 +800,9 @@ def anomaly_heatmap(spark, sf):
 
 
 def _timeline(spark, sf, hours):
+    events = _silver_table(spark, sf)
     return dashboard.events_timeline(
-        P.silver_quakes(spark, sf), P.silver_weather(spark, sf), _fused(spark, sf), Q, hours
+        events, P.silver_weather(spark, sf), _fused(spark, sf, events), Q, hours
     )
 
 

@@ -85,29 +85,30 @@ def upsert_days(
 
     ``stage`` is a path that belongs to this batch alone. The updates are written
     there once, then the merged days, which are swapped in last: a retry goes on
-    from the last finished step and never reads a half-swapped table.
+    from the last finished step and never reads a half-swapped table. The first
+    batch of a new table needs no stage; merging it again changes nothing.
     """
     spark, columns = updates.sparkSession, updates.columns
+    if not path_exists(spark, root):
+        overwrite_partitions(merge(updates).select(*columns), root)
+        return
     stage = stage or fresh_path(spark, "stage")
 
     def staged(name: str, make: Callable[[], DataFrame]) -> DataFrame:
         path = f"{stage}/{name}"
         if not path_exists(spark, f"{path}/_SUCCESS"):
-            _balanced(make(), PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(path)
-        return spark.read.schema(updates.schema).parquet(path).select(*columns)
+            make().select(*columns).write.mode("overwrite").parquet(path)
+        return spark.read.schema(updates.schema).parquet(path)
 
     fresh = staged("updates", lambda: updates)
     touched = _days(fresh)
     if touched:
-        if path_exists(spark, root):
-            around = {day + dt.timedelta(n) for day in touched for n in range(-neighbours, neighbours + 1)}
-            old = spark.read.schema(updates.schema).parquet(root).select(*columns)
-            old = old.filter(F.expr(DAY).isin(sorted(around)))
-            merged = staged("merged", lambda: merge(old.unionByName(fresh)))
-            emptied = _days(old) - _days(merged)
-        else:
-            merged, emptied = merge(fresh), set()
-        overwrite_partitions(merged.select(*columns), root)
+        around = {day + dt.timedelta(n) for day in touched for n in range(-neighbours, neighbours + 1)}
+        old = spark.read.schema(updates.schema).parquet(root).select(*columns)
+        old = old.filter(F.expr(DAY).isin(sorted(around)))
+        merged = staged("merged", lambda: merge(old.unionByName(fresh)))
+        emptied = _days(old) - _days(merged)
+        overwrite_partitions(merged, root)
         for day in emptied:
             delete_path(spark, f"{root}/year={day.year}/month={day.month}/day={day.day}")
     delete_path(spark, stage)
