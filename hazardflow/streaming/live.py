@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hazardflow import config
 from hazardflow.functions import geo
 from hazardflow.functions.stats import zscore
-from hazardflow.functions.time import hours_before
+from hazardflow.functions.time import hours_before, moment
 from hazardflow.operators import alerts, dedup, frequency
 
 HORIZON = f"{config.DEDUP_HORIZON_HOURS} hours"
@@ -44,8 +44,8 @@ def latest_hour(df: DataFrame) -> DataFrame:
 
 def region_baseline(silver: DataFrame, as_of, hours: int = config.BASELINE_HOURS) -> DataFrame:
     """Stored baseline per region over the hours before ``as_of``."""
-    window = F.col("event_time")
-    recent = silver.filter((window >= hours_before(as_of, hours)) & (window < F.lit(as_of).cast("timestamp")))
+    at = F.col("event_time")
+    recent = silver.filter((at >= hours_before(as_of, hours)) & (at < moment(as_of)))
     return (
         frequency.hourly_activity(recent)
         .groupBy("geographic_region")
