@@ -9,18 +9,25 @@ Sets of word shingles are joined exactly at a Jaccard similarity of ``percent``
   set for an equal piece, two units for a piece at a distance of at most one shingle, which the
   pieces with one shingle deleted find. If no piece is found, the sets differ in H + 1 shingles
   or more. Empty pieces get no unit.
-* Cost decides: per band, the segment count and whether one-deletion neighbourhoods are indexed
-  come from the expected index rows and false hits (``band_plan``); per set, the units go to the
-  cheapest pieces, which are those with many shingles, since few other sets have equal ones.
+* Cost decides. Per band, the segment count and whether one-deletion neighbourhoods are indexed come
+  from the expected index rows and false hits (``band_plan``). Per set, the units go to the pieces
+  with the shortest lists in the index: first to those no other set has, which cost nothing. A set
+  with H + 1 such pieces is done; others ask only for as many shared pieces as they lack.
 * A set whose pieces hold fewer than H + 1 units is cut anew with the next seed. The seeds that
   occur in a band are counted first, and the greater sets are indexed for each of them.
 
-Equal pieces meet by one shuffle of (piece hash, set id). Each list of a piece is walked in sort
-order and links its members to its first set, so a list of g sets makes g candidates. Candidates
-are verified on the whole shingle sets and joined into components; then the members of a list that
-are still in different components are verified against each other. After that no link between two
-components is possible, whatever the order of the rows. Equal sets share one id from the start and
-never meet as pairs.
+Equal pieces meet by one shuffle of (piece hash, set id), each list walked in sort order. A list of g
+sets pairs those with a unit on it with one hub, at most g candidates: first with the set of the list
+that shares most pieces with others, which tends to be what the others are copies of; then, where
+components still differ, with a set chosen by hash, another one for each list and round. Candidates
+are verified on the whole shingle sets and joined into components after each round. At last the sets
+with a unit on a list are verified against all members that are still in other components. After
+that no link between two components is possible, whatever hubs were taken. Equal sets share one id
+from the start and never meet as pairs.
+
+Before any verification, pairs are tested on 512-bit parity sketches, in which every shingle flips one
+bit: two sketches differ in no more bits than the sets differ in shingles, so the test loses nothing.
+In the last step it is part of the join's condition.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from hazardflow.llm import graph
 from hazardflow.llm.store import chunks, map_arrow, stored, text_bytes
@@ -39,7 +46,13 @@ from hazardflow.llm.words import U, mix, shingles, words
 COMMON = 0.15
 #: Index rows that one expected false hit outweighs.
 HIT_COST = 40.0
+#: Rounds with hubs chosen by hash.
+HASHED_ROUNDS = 1
+#: Expected units of a set's pieces, in units it needs: the rest may lie on shared pieces for nothing.
+SPARE = 1.3
 SET_ID = U((1 << 63) - 1)
+#: Words of the parity sketch of a set.
+SKETCH = [f"k{i}" for i in range(8)]
 
 
 def budget(size, percent: int):
@@ -61,7 +74,7 @@ def band_plan(band: int, percent: int) -> tuple[int, bool]:
             for n in (lo, hi):
                 filled = m * (1 - (1 - 1 / m) ** n)
                 single = n * (1 - 1 / m) ** (n - 1)
-                fits &= filled + (filled - single) * near >= (1.1 if m > 1 else 1) * (budget(n, percent) + 1)
+                fits &= filled + (filled - single) * near >= (SPARE if m > 1 else 1) * (budget(n, percent) + 1)
             if not fits:
                 continue
             size = lo / m
@@ -118,9 +131,9 @@ def _select(owner, shingle, chosen: np.ndarray):
     return number[owner[keep]], shingle[keep]
 
 
-def _seeds(owner, shingle, sizes, percent: int) -> np.ndarray:
-    """The first seed with which a set's pieces hold its units."""
-    seeds = np.zeros(len(sizes), np.int64)
+def _seeds(owner, shingle, sizes, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first seed with which a set's pieces hold its units, and the pieces that need no unit then."""
+    seeds, spare = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     bands = band_of(sizes)
     for band in np.unique(bands[budget(sizes, percent) > 0]).tolist():
         m, near = band_plan(band, percent)
@@ -128,17 +141,20 @@ def _seeds(owner, shingle, sizes, percent: int) -> np.ndarray:
         while len(left):
             own, values = _select(owner, shingle, left)
             piece_owner, _, piece_size, _, _, _ = _pieces(own, values, len(left), m, band, seed)
-            _, lack = _allocate(piece_owner, piece_size, budget(sizes[left], percent) + 1, near)
+            need = budget(sizes[left], percent) + 1
+            _, lack = _allocate(piece_owner, piece_size, need, near)
+            if not near:
+                spare[left] = np.maximum(np.bincount(piece_owner, minlength=len(left)) - need, 0)
             left = left[lack > 0]
             seed += 1
             seeds[left] = seed
-    return seeds
+    return seeds, spare
 
 
 def _rows(owner, shingle, sizes, ids, percent: int, seeds: dict[int, int]):
-    """(piece hash, set id) rows of the sets. The sign bit of the id marks a piece that has a unit."""
+    """(piece hash, set id) rows of the sets. The sign bit of the id marks a piece that may have a unit."""
     found = []
-    bands, own_seed = band_of(sizes), _seeds(owner, shingle, sizes, percent)
+    bands, own_seed = band_of(sizes), _seeds(owner, shingle, sizes, percent)[0]
     for band in sorted({*bands.tolist()} | {b - 1 for b in bands.tolist()}):
         if band < 0 or budget(hi := (2 << band) - 1, percent) < 1:
             continue
@@ -150,16 +166,17 @@ def _rows(owner, shingle, sizes, ids, percent: int, seeds: dict[int, int]):
         own, values = _select(owner, shingle, chosen)
         for seed in range(seeds.get(band, 0) + 1):
             piece_owner, segment, size, total, piece, value = _pieces(own, values, len(chosen), m, band, seed)
-            need = budget(sizes[chosen], percent) + 1
-            need[(bands[chosen] != band) | (own_seed[chosen] != seed)] = 0
-            units, _ = _allocate(piece_owner, size, need, near)
+            asks = (bands[chosen] == band) & (own_seed[chosen] == seed)
             tag = mix(segment.astype(U) + (U(band) << U(48)) + (U(seed) << U(40)))
             who = ids[chosen][piece_owner]
-            found.append((mix(total ^ tag), who | (units > 0).astype(U) << U(63)))
+            units = asks[piece_owner].astype(np.int64)
             if near:
+                need = np.where(asks, budget(sizes[chosen], percent) + 1, 0)
+                units, _ = _allocate(piece_owner, size, need, near)
                 kept = (size[piece] >= 3) | (units[piece] == 2)
                 at = piece[kept]
                 found.append((mix(total[at] - value[kept] ^ tag[at]), who[at] | (units[at] == 2).astype(U) << U(63)))
+            found.append((mix(total ^ tag), who | (units > 0).astype(U) << U(63)))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x).view(np.int64) for x in zip(*found))
@@ -177,16 +194,25 @@ def _sets(batch: pa.RecordBatch, size: int):
     return owner, shingle, sizes, ids.astype(np.int64)
 
 
+def _sketches(owner, shingle, owners: int) -> np.ndarray:
+    """Parity sketches of the sets: bit mix(shingle) modulo 512 flipped for every shingle."""
+    bits = 64 * len(SKETCH)
+    place = (mix(shingle + U(77)) % U(bits)).astype(np.int64)
+    odd = np.bincount(owner * bits + place, minlength=owners * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(owners, bits), axis=1).view(np.int64)
+
+
 def set_ids(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, band, seed) of every row; equal sets have equal ids."""
+    """(doc_id, n_shingles, set_id, band, seed, spare, sketch) of every row; equal sets have equal ids."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
-                        ("band", pa.int32()), ("seed", pa.int32())])
+                        ("band", pa.int32()), ("seed", pa.int32()), ("spare", pa.int32()), *((k, pa.int64()) for k in SKETCH)])
 
     def run(batches):
         for batch in chunks(batches):
             owner, shingle, sizes, ids = _sets(batch, size)
-            yield [batch.column("doc_id"), sizes, ids, band_of(sizes).astype(np.int32),
-                   _seeds(owner, shingle, sizes, percent).astype(np.int32)]
+            seeds, spare = _seeds(owner, shingle, sizes, percent)
+            yield [batch.column("doc_id"), sizes, ids, *(x.astype(np.int32) for x in (band_of(sizes), seeds, spare)),
+                   *_sketches(owner, shingle, batch.num_rows).T]
 
     return map_arrow(docs, run, schema)
 
@@ -211,47 +237,61 @@ def piece_rows(docs: DataFrame, size: int, percent: int, seeds: dict[int, int])
 
 
 def shared_pieces(rows: DataFrame) -> DataFrame:
-    """(piece, member, hub) of the lists with two sets or more and a unit among them.
+    """(piece, member, length) of the lists with two sets or more.
 
-    The rows of a piece come sorted, members with a unit first, so the first one is the hub and
-    a list of any length is walked with one row kept.
+    The rows of a piece come sorted, so a list of any length is walked with one row kept. ``length``
+    is the list's, or its part in a batch of rows if it goes beyond; it only serves as a cost.
     """
-    schema = pa.schema([("piece", pa.int64()), ("member", pa.int64()), ("hub", pa.int64())])
+    schema = pa.schema([("piece", pa.int64()), ("member", pa.int64()), ("length", pa.int32())])
     dealt = rows.repartition("piece").sortWithinPartitions("piece", "member")
 
     def run(batches):
-        last = None  # (piece, hub row, last row, hub written) of the list that may go on
+        last = None  # (piece, last row, whether that is written) of the list that may go on
         for batch in batches:
             piece, member = (batch.column(i).to_numpy() for i in (0, 1))
             if not len(piece):
                 continue
-            written = False
             if last is not None:
-                piece = np.concatenate([[last[0], last[0]], piece])
-                member = np.concatenate([[last[1], last[2]], member])
-                written = last[3]
+                piece, member = np.append(last[0], piece), np.append(last[1], member)
             new = np.ones(len(piece), bool)
             new[1:] = piece[1:] != piece[:-1]
-            start = np.maximum.accumulate(np.where(new, np.arange(len(piece)), 0))
-            ids = member & np.int64(SET_ID)
-            fresh = np.ones(len(piece), bool)
-            fresh[1:] = new[1:] | (member[1:] != member[:-1])
-            hub = ids[start]
-            others = (ids != hub) & fresh
-            listed = np.zeros(len(piece), np.int64)
-            np.add.at(listed, start[others], 1)
-            keep = (member[start] < 0) & (others | new & (listed > 0))
-            if last is not None:
-                keep[0] &= not written
-                keep[1] = False
-            yield [piece[keep], member[keep], hub[keep]]
-            at = start[-1]
-            done = bool(listed[at] and member[at] < 0) or bool(at == 0 and written)
-            last = piece[-1], member[at], member[-1], done
+            fresh = new.copy()
+            fresh[1:] |= member[1:] != member[:-1]
+            number = np.cumsum(new) - 1
+            length = np.bincount(number, fresh).astype(np.int64)
+            carried = last is not None and last[2]
+            length[0] += carried
+            keep = fresh & (length[number] > 1)
+            keep[0] &= not carried
+            yield [piece[keep], member[keep], length[number[keep]].astype(np.int32)]
+            last = piece[-1], member[-1], bool(length[-1] > 1)
 
     return map_arrow(dealt, run, schema)
 
 
+def unit_lists(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    """(piece, set_id, unit, weight) of the lists on which a set spends a unit.
+
+    A set may leave out as many pieces as it has to spare, so of its shared pieces it leaves out that
+    many with the longest lists. ``weight`` is the sum of the lengths of all its lists.
+    """
+    rows = shared.select("piece", "length", F.expr(f"member & {int(SET_ID)}").alias("set_id"), (F.col("member") < 0).alias("asks"))
+    costly = Window.partitionBy("set_id").orderBy(F.desc("asks"), F.desc("length"), "piece")
+    rows = rows.join(sets.select("set_id", "spare"), "set_id").withColumn("place", F.row_number().over(costly))
+    rows = rows.withColumn("weight", F.sum("length").over(Window.partitionBy("set_id")))
+    unit = F.col("asks") & (F.col("place") > F.col("spare"))
+    rows = stored(rows.select("piece", "set_id", unit.alias("unit"), "weight"), "shared")
+    used = rows.filter("unit").select("piece").distinct()
+    return rows.join(used, "piece", "left_semi")
+
+
+def hub_pairs(lists: DataFrame, order) -> DataFrame:
+    """(u, v): the sets with a unit on a list, v, and the list's first set by ``order``, u."""
+    first = lists.groupBy("piece").agg(F.min(F.struct(order.alias("order"), "set_id")).alias("first"))
+    met = lists.filter("unit").join(first.select("piece", F.col("first.set_id").alias("u")), "piece")
+    return met.filter("set_id != u").select("u", F.col("set_id").alias("v")).distinct()
+
+
 def _shingle_arrays(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(set_id, shingles) of the wanted sets, from the text of one document each."""
     schema = pa.schema([("set_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -278,8 +318,11 @@ def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     return met.filter(F.expr(f"100 * n >= {percent} * (x + y - n)")).select("u", "v")
 
 
-def _similar_size(percent: int):
-    return F.expr(f"100 * least(nu, nv) >= {percent} * greatest(nu, nv)")
+def _may_be_similar(u: str, v: str, percent: int):
+    """Condition on sizes and sketches that holds for all similar sets; ``u`` and ``v`` name their structs or aliases."""
+    flipped = " + ".join(f"bit_count({u}.{k} ^ {v}.{k})" for k in SKETCH)
+    return F.expr(f"100 * least({u}.n, {v}.n) >= {percent} * greatest({u}.n, {v}.n) AND "
+                  f"{100 + percent} * ({flipped}) <= {100 - percent} * ({u}.n + {v}.n)")
 
 
 def near_duplicates(
@@ -299,33 +342,33 @@ def near_duplicates(
     member = stored(set_ids(docs, size, percent), "sets")
     linkable = member.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     seeds = {r[0]: r[1] for r in linkable.groupBy("band").agg(F.max("seed")).collect()}
-    sets = stored(linkable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")), "unique")
+    sets = stored(linkable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("spare").alias("spare"),
+        *(F.first(k).alias(k) for k in SKETCH)), "unique")
     known = docs.filter("doc_id IS NOT NULL")
-    lists = stored(shared_pieces(piece_rows(known, size, percent, seeds)), "lists")
-    lists = lists.select("piece", "hub", F.expr(f"member & {int(SET_ID)}").alias("set_id"), (F.col("member") < 0).alias("unit"))
+    lists = stored(unit_lists(shared_pieces(piece_rows(known, size, percent, seeds)), sets), "lists")
 
     wanted = lists.select("set_id").distinct().join(sets, "set_id").select("set_id", "doc_id")
     arrays = stored(_shingle_arrays(known, wanted, size), "shingles")
 
-    sizes = sets.select(F.col("set_id").alias("v"), F.col("n").alias("nv"))
-    to_hub = lists.filter("set_id != hub").select(F.col("hub").alias("u"), F.col("set_id").alias("v")).distinct()
-    to_hub = to_hub.join(sizes, "v").join(sizes.toDF("u", "nu"), "u").filter(_similar_size(percent))
-    links = stored(_verified(to_hub.select("u", "v"), arrays, percent), "links")
-    roots = graph.components(links)
+    def verified(pairs: DataFrame) -> DataFrame:
+        known = F.struct("n", *SKETCH)
+        met = pairs.join(sets.select(F.col("set_id").alias("u"), known.alias("x")), "u").join(sets.select(F.col("set_id").alias("v"), known.alias("y")), "v")
+        return stored(_verified(met.filter(_may_be_similar("x", "y", percent)).select("u", "v"), arrays, percent), "links")
 
-    labelled = sets.select("set_id", "n").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-    labelled = labelled.withColumn("root", F.coalesce("root", "set_id"))
-    open_rows = lists.join(labelled, "set_id")
-    mixed = open_rows.groupBy("piece").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("piece")
-    open_rows = stored(open_rows.join(mixed, "piece"), "open")
-    pair = (
-        open_rows.filter("unit").alias("s").join(open_rows.alias("t"), "piece")
-        .filter("s.root != t.root AND s.set_id != s.hub AND t.set_id != t.hub")
-        .select(F.col("s.set_id").alias("u"), F.col("t.set_id").alias("v"), F.col("s.n").alias("nu"), F.col("t.n").alias("nv"))
-        .filter(_similar_size(percent))
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    )
-    more = stored(_verified(pair, arrays, percent), "links")
+    def still_open(roots: DataFrame) -> DataFrame:
+        """Lists whose members are in several components, with these."""
+        named = lists.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        mixed = named.groupBy("piece").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("piece")
+        return stored(named.join(mixed, "piece", "left_semi"), "open")
+
+    links = verified(hub_pairs(lists, -F.col("weight")))
+    roots = graph.components(links)
+    for salt in range(HASHED_ROUNDS):
+        links = links.unionByName(verified(hub_pairs(still_open(roots), F.xxhash64("piece", "set_id", F.lit(salt)))))
+        roots = graph.components(links)
+    rest = still_open(roots).join(sets.select("set_id", "n", *SKETCH), "set_id")
+    pairs = rest.filter("unit").alias("s").join(rest.alias("t"), "piece").filter("s.root != t.root").filter(_may_be_similar("s", "t", percent))
+    more = verified(pairs.select(F.least("s.set_id", "t.set_id").alias("u"), F.greatest("s.set_id", "t.set_id").alias("v")).distinct())
     if more.limit(1).count():
         roots = graph.components(links.unionByName(more))
 
