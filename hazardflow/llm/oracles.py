@@ -30,5 +30,36 @@ WITH RECURSIVE worded AS (
 SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r.b) AS component_id
 FROM documents d LEFT JOIN sized USING (doc_id) JOIN reach r ON r.a = d.doc_id
 GROUP BY d.doc_id
+""",
+    "op4_line_dedup": rf"""
+WITH part AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS at
+    FROM documents WHERE text IS NOT NULL
+), worded AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS i
+    FROM (SELECT *, len(regexp_extract_all(line, '{_WORDS}')) AS w FROM part) WHERE w > 0
+), summed AS (
+    SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS total FROM worded
+), enough AS (
+    SELECT a.doc_id, a.i AS first, b.i AS last FROM summed a
+    JOIN summed b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.total - a.total + a.w >= 50
+), cut AS (
+    SELECT doc_id, first, min(last) AS last FROM enough GROUP BY ALL
+    UNION SELECT doc_id, max(first), last FROM enough GROUP BY ALL
+), content AS (
+    SELECT c.doc_id, c.first, c.last, string_agg(s.line, chr(10) ORDER BY s.i) AS run
+    FROM cut c JOIN summed s ON s.doc_id = c.doc_id AND s.i BETWEEN c.first AND c.last GROUP BY ALL
+), later AS (
+    SELECT doc_id, first, last FROM content
+    QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, first) > 1
+), gone AS (
+    SELECT DISTINCT s.doc_id, s.at FROM later l JOIN summed s ON s.doc_id = l.doc_id AND s.i BETWEEN l.first AND l.last
+), kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY at) AS text FROM part ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(c.n, 0) AS n_removed_lines
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counted c USING (doc_id)
 """,
 }

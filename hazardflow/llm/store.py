@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -31,6 +35,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package if their path does not have it: Spark sends a zip of its code."""
+    package = pathlib.Path(__file__).resolve().parent.parent
+    root, context = str(package.parent), spark.sparkContext
+    on_path = root in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] or "site-packages" in root
+    if on_path or getattr(context, "_hazardflow_shipped", False):
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", root, package.name)
+    context.addPyFile(archive)
+    context._hazardflow_shipped = True
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: pa.Schema) -> DataFrame:
     """``function`` takes the iterator of record batches of a partition and yields lists of columns."""
 
@@ -42,6 +58,7 @@ def map_arrow(df: DataFrame, function: Callable, schema: pa.Schema) -> DataFrame
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, from_arrow_schema(schema))
 
 
