@@ -61,7 +61,7 @@ def test_replay_equals_word_by_word(library):
     ids, counts = merges.replay(words)
     at = 0
     for word, n in zip(words, counts):
-        assert ids[at : at + n].tolist() == merges.encode_word(word) == library.encode_single_piece(word)
+        assert ids[at : at + n].tolist() == merges.encode_word(word) == library._encode_single_piece(word)
         at += n
 
 
