@@ -308,17 +308,22 @@ SELECT alert_id, event_type, headline, severity, urgency, '' AS certainty, area_
 _oracle("scan_parquet", "", "SELECT event_id, ts, round(value, 6) AS value FROM events")
 _oracle("feed_recent", "quakes", """
 SELECT event_id, event_time, magnitude FROM quakes
+WHERE event_time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20' AND magnitude >= 2.5""", "magnitude")
+_oracle("feed_recent_page", "quakes", """
+SELECT event_id, event_time, magnitude FROM quakes
 WHERE event_time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20' AND magnitude >= 2.5
-ORDER BY event_time LIMIT 1000""", "magnitude")
+ORDER BY event_time, event_id LIMIT 1000""", "magnitude")
 _oracle("feed_recent_bbox", "quakes", """
 SELECT event_id, event_time, magnitude, latitude, longitude FROM quakes
 WHERE event_time BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-02-01' AND magnitude >= 2.5
-  AND latitude BETWEEN 30 AND 46 AND longitude BETWEEN 129 AND 146
-ORDER BY event_time LIMIT 1000""", "magnitude latitude longitude")
+  AND latitude BETWEEN 30 AND 46 AND longitude BETWEEN 129 AND 146""", "magnitude latitude longitude")
 _oracle("feed_significant", "quakes", f"""
 SELECT event_id, event_time, significance FROM quakes
+WHERE event_time >= {Q} - INTERVAL 7 DAYS AND significance >= 600""")
+_oracle("feed_significant_top", "quakes", f"""
+SELECT event_id, event_time, significance FROM quakes
 WHERE event_time >= {Q} - INTERVAL 7 DAYS AND significance >= 600
-ORDER BY event_time DESC LIMIT 100""")
+ORDER BY event_time DESC, event_id LIMIT 100""")
 _oracle("feed_live", "quakes", f"""
 SELECT f.feed, event_id, event_time FROM quakes, (VALUES ('significant_month', 720),
   ('4.5_month', 720), ('2.5_month', 720), ('all_hour', 1), ('all_day', 24)) AS f(feed, hours)
@@ -351,6 +356,8 @@ _oracle("sink_upsert", "silver_q",
 _oracle("add_lineage", "quakes", """
 SELECT event_id, event_time, 'usgs_api' AS data_source, 'batch-1' AS ingestion_batch_id,
   '1.0' AS schema_version FROM quakes""")
+_oracle("retention_removes", "quakes", f"""
+SELECT event_id, event_time FROM quakes WHERE CAST(event_time AS DATE) >= CAST({Q} AS DATE) - 10""")
 _oracle("retention_filter", "weather", f"""
 SELECT alert_id, sent_time, CAST(sent_time AS DATE) AS event_date FROM weather
 WHERE CAST(sent_time AS DATE) >= CAST({W} AS DATE) - 90""")
@@ -508,6 +515,9 @@ SELECT event_type, severity, area_desc, alert_frequency, weather_anomaly,
 _oracle("weather_anomaly_summary", "pattern_flags", """
 SELECT count(*) AS total_patterns, count(*) FILTER (weather_anomaly) AS anomalous_patterns
 FROM pattern_flags""")
+_oracle("top_weather_patterns_brief", "pattern_flags", """
+SELECT event_type, severity, alert_frequency FROM pattern_flags WHERE weather_anomaly
+ORDER BY alert_frequency DESC, event_type, severity, area_desc LIMIT 5""")
 _oracle("top_weather_patterns", "pattern_flags", """
 SELECT event_type, severity, area_desc, alert_frequency, avg_severity_score, alerts_per_hour
 FROM pattern_flags WHERE weather_anomaly
@@ -555,8 +565,8 @@ _oracle("anomaly_fusion", "fused", """
 SELECT event_id, statistical_anomaly, clustering_anomaly, geographic_anomaly, is_anomaly,
   anomaly_types, anomaly_score, detection_timestamp, detection_batch_id FROM fused""", "anomaly_score")
 _oracle("anomaly_gate", "silver_q", """
-SELECT CAST(g AS BIGINT) AS gate, CASE WHEN n > g THEN n ELSE 0 END AS rows
-FROM (SELECT count(*) AS n FROM silver_q), (VALUES (100), (1000000000000)) AS t(g)""")
+SELECT least AS least_magnitude, (SELECT count(*) FROM silver_q WHERE magnitude >= least) AS rows
+FROM (VALUES (0e0), (7.5e0)) AS t(least)""")
 _oracle("anomaly_summary", "fused", f"""
 SELECT count(*) AS total_events, count(*) FILTER (is_anomaly) AS total_anomalies,
   round(100e0 * count(*) FILTER (is_anomaly) / count(*), 2) AS anomaly_rate,
@@ -643,6 +653,12 @@ FROM silver_w WHERE severity = 'Extreme'
 UNION ALL SELECT 'anomalies', event_id, 'Anomaly Detection Alert', 'teams', 'data_team'
 FROM fused WHERE anomaly_score > 0.8""")
 
+_oracle("alert_rules_outbox", "silver_q alerts_q", """
+SELECT e.event_id, 'Major Earthquake Alert' AS rule, c.channel, c.recipient, a.title
+FROM silver_q e JOIN alerts_q a USING (event_id), (VALUES ('teams', NULL),
+  ('sms', '+10000000001'), ('sms', '+10000000002')) AS c(channel, recipient)
+WHERE e.magnitude >= 6""")
+
 
 # --- dashboard products ------------------------------------------------------
 def _trend(at: str, as_of: str, name: str, trend: str, where: str = "true") -> str:
@@ -660,7 +676,9 @@ _oracle("kpi_anomalies", "fused", "SELECT " + _trend(
     "event_time", Q, "anomalies_detected_24h", "anomaly_trend", "is_anomaly") + " FROM fused")
 _oracle("kpi_health", "quakes", f"""
 SELECT max(ingestion_time) AS latest_ingestion, round(100 * greatest(0e0,
-  1 - ({_seconds(Q)} - {_seconds('max(ingestion_time)')}) / 3600), 2) AS system_health_score
+  1 - ({_seconds(Q)} - {_seconds('max(ingestion_time)')}) / 3600), 2) AS system_health_score,
+  round(round(100 * greatest(0e0, 1 - ({_seconds(Q)} - {_seconds('max(ingestion_time)')}) / 3600), 2)
+    - round(100 * greatest(0e0, 1 - ({_seconds(Q)} - 86400 - {_seconds(f"max(ingestion_time) FILTER (ingestion_time <= {Q} - INTERVAL 24 HOURS)")}) / 3600), 2), 2) AS health_trend
 FROM quakes""")
 _oracle("map_feed", "silver_q", f"""
 SELECT event_id, latitude, longitude, magnitude, severity_category, place, event_time, depth_km,
@@ -708,16 +726,18 @@ SELECT event_id, geographic_region, magnitude FROM silver_q WHERE magnitude BETW
 _oracle("bookmark_critical", "silver_q", f"""
 SELECT event_id, event_time, magnitude FROM silver_q
 WHERE magnitude >= 6 AND event_time >= {Q} - INTERVAL 24 HOURS""", "magnitude")
-for _key, _limit in (("cap_points", 10000), ("cap_points_hourly", 800)):
+for _key, _level, _time, _id in (
+    ("cap_points", "event", "event_time", "event_id"),
+    ("cap_points_hourly", "hour", "date_trunc('hour', event_time)", "CAST(NULL AS VARCHAR)"),
+    ("cap_points_daily", "day", "CAST(date_trunc('day', event_time) AS TIMESTAMP)", "CAST(NULL AS VARCHAR)"),
+):
     _oracle(_key, "silver_q", f"""
-SELECT level, CASE level WHEN 'event' THEN event_time WHEN 'hour' THEN date_trunc('hour', event_time)
-    ELSE date_trunc('day', event_time) END AS point_time,
-  CASE level WHEN 'event' THEN event_id END AS event_id, count(*) AS event_count,
+SELECT '{_level}' AS level, {_time} AS point_time, {_id} AS event_id, count(*) AS event_count,
   avg(magnitude) AS avg_magnitude, max(magnitude) AS max_magnitude
-FROM silver_q, (SELECT CASE WHEN count(*) <= {_limit} THEN 'event'
-    WHEN ({_seconds('max(event_time)')} - {_seconds('min(event_time)')}) // 3600 + 2 <= {_limit}
-    THEN 'hour' ELSE 'day' END AS level FROM silver_q)
-GROUP BY ALL""", "avg_magnitude max_magnitude")
+FROM silver_q GROUP BY ALL""", "avg_magnitude max_magnitude")
+_oracle("drill_alert", "silver_w", """
+SELECT alert_id, event_type, severity, area_desc, sent_time FROM silver_w
+ORDER BY sent_time DESC, alert_id DESC LIMIT 1""")
 _oracle("drill_event", "silver_q", """
 SELECT event_id, event_time, magnitude, geographic_region, population_impact_risk FROM silver_q
 ORDER BY magnitude DESC, event_id DESC LIMIT 1""", "magnitude")
@@ -725,24 +745,20 @@ ORDER BY magnitude DESC, event_id DESC LIMIT 1""", "magnitude")
 # --- streams -----------------------------------------------------------------
 ORACLES["stream_ingest"] = ORACLES["src_geojson_quakes"]
 ORACLES["stream_dedup"] = ORACLES["dedup_quakes"]
-_cte("live", "valid_q points", """
-SELECT geographic_region, date_trunc('hour', event_time) AS hour_window,
-  count(*) AS earthquake_count, avg(magnitude) AS avg_magnitude, max(magnitude) AS max_magnitude
-FROM valid_q JOIN points USING (latitude, longitude) GROUP BY ALL""")
-_oracle("stream_hourly", "live", "SELECT * FROM live", "avg_magnitude max_magnitude")
-_oracle("stream_frequency_alert", "live hourly", f"""
+_oracle("stream_hourly", "hourly", "SELECT * FROM hourly", "avg_magnitude max_magnitude")
+_oracle("stream_frequency_alert", "hourly", f"""
 SELECT geographic_region, hour_window, earthquake_count, frequency_zscore, frequency_anomaly,
   magnitude_anomaly, combined_anomaly
-FROM ({_frequency(f'''(SELECT * FROM live LEFT JOIN (SELECT geographic_region,
+FROM ({_frequency(f'''(SELECT * FROM hourly LEFT JOIN (SELECT geographic_region,
     avg(earthquake_count) AS baseline_count_mean, stddev_samp(earthquake_count) AS baseline_count_std,
     avg(avg_magnitude) AS baseline_mag_mean FROM hourly
   WHERE hour_window >= {Q} - INTERVAL 168 HOURS GROUP BY geographic_region)
   USING (geographic_region))''')})""", "frequency_zscore")
-_oracle("stream_rapid_succession", "valid_q", """
-SELECT concat(floor(latitude), '_', floor(longitude)) AS grid_cell,
-  date_trunc('hour', event_time) - to_hours(CAST(h AS INTEGER)) AS window_start,
-  date_trunc('hour', event_time) - to_hours(CAST(h AS INTEGER)) + INTERVAL 24 HOURS AS window_end, count(*) AS event_count
-FROM valid_q, range(24) AS r(h) GROUP BY 1, 2, 3 HAVING count(*) >= 5""")
+_oracle("stream_rapid_succession", "silver_q", """
+SELECT * FROM (SELECT concat(floor(latitude), '_', floor(longitude)) AS grid_cell, event_id,
+    min(event_time) OVER w AS window_start, event_time AS window_end, count(*) OVER w AS event_count
+  FROM silver_q WINDOW w AS (PARTITION BY floor(latitude), floor(longitude) ORDER BY event_time
+    RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW)) WHERE event_count >= 5""")
 _oracle("stream_late", "raw_quakes", """
 SELECT event_id, event_time, ingestion_time, ingestion_time - event_time > INTERVAL 24 HOURS AS late
 FROM (SELECT * REPLACE (ingestion_time + to_hours(CAST(raw_id % 48 AS INTEGER)) AS ingestion_time)

@@ -16,7 +16,7 @@ from hazardflow.functions.stats import computed_once
 from hazardflow.operators.cluster import ClusterModel
 from hazardflow.plans import silver
 from hazardflow.sources import geojson
-from hazardflow.workspace import prepare
+from hazardflow.workspace import fresh_path, prepare
 
 AS_OF_QUAKES = "2024-01-31 00:00:00"
 AS_OF_WEATHER = "2001-08-02 00:00:00"
@@ -77,9 +77,16 @@ def quakes(spark: SparkSession, sf: str) -> DataFrame:
     return quake_columns(table(spark, sf, "events")).drop("raw_id")
 
 
-def quake_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same projection over ``events`` read as a stream of files."""
-    schema = table(spark, sf, "events").schema
+def quake_stream(spark: SparkSession, sf: str, files: int | None = None) -> DataFrame:
+    """The same projection over ``events`` as a stream of files: as they are, or landed anew in
+    ``files`` files, one for a batch, with the versions of an event spread over them."""
+    rows = table(spark, sf, "events")
+    schema = rows.schema
+    if files:
+        landing = fresh_path(spark, "landing")
+        rows.repartition(files, "event_id").write.parquet(landing)
+        reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+        return quake_columns(reader.parquet(landing))
     # The file source needs a folder or a pattern, a plain file name is neither.
     return quake_columns(spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet"))
 

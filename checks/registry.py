@@ -41,9 +41,15 @@ def named(name: str) -> Callable[[Query], Query]:
     return lambda function: query(function, name)
 
 
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
 def _silver_table(spark, sf) -> DataFrame:
-    """Silver written once, for queries that read it several times."""
-    return stored(P.silver_quakes(spark, sf), "silver")
+    """Silver written once for a folder and application, for queries that read it several times."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _STORED:
+        _STORED[key] = stored(P.silver_quakes(spark, sf), "silver")
+    return _STORED[key]
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -93,6 +99,13 @@ def feed_recent(spark, sf):
     )
 
 
+@query
+def feed_recent_page(spark, sf):
+    """The first page of the feed, as asked for."""
+    rows = feeds.recent_quakes(P.quakes(spark, sf), "2024-01-10", "2024-01-20", limit=config.FEED_PAGE)
+    return rows.select("event_id", "event_time", "magnitude")
+
+
 @query
 def feed_recent_bbox(spark, sf):
     box = {"min_lat": 30.0, "max_lat": 46.0, "min_lon": 129.0, "max_lon": 146.0}
@@ -107,6 +120,13 @@ def feed_significant(spark, sf):
     )
 
 
+@query
+def feed_significant_top(spark, sf):
+    limit = config.SIGNIFICANT_FEED["limit"]
+    rows = feeds.significant_quakes(P.quakes(spark, sf), Q, limit=limit)
+    return rows.select("event_id", "event_time", "significance")
+
+
 @query
 def feed_live(spark, sf):
     """All named feeds; each row says which feed it came from."""
@@ -175,7 +195,7 @@ def sink_upsert(spark, sf):
     version = F.col("raw_id") % 2  # every event comes as a first and a second version
     for number in (0, 1):
         part = silver.quakes(rows.filter(version == number).drop("raw_id"), Q, f"round-{number}")
-        tables.upsert_days(part, root, dedup.latest_quakes)
+        tables.upsert_days(part, root, dedup.latest_quakes, ["event_id"])
     return spark.read.parquet(root).select("event_id", "event_time", "magnitude", "requires_alert")
 
 
@@ -188,6 +208,15 @@ def add_lineage(spark, sf):
     )
 
 
+@query
+def retention_removes(spark, sf):
+    """A layer kept for ten days, after its expired days are deleted."""
+    root = fresh_path(spark, "bronze")
+    tables.append(P.quakes(spark, sf).transform(enrich.add_quake_partitions), root)
+    tables.drop_expired(spark, root, Q, 10)
+    return spark.read.parquet(root).select("event_id", "event_time")
+
+
 @query
 def retention_filter(spark, sf):
     """Raw alerts of the last 90 days."""
@@ -502,7 +531,7 @@ def weather_anomaly(spark, sf):
 
 @query
 def weather_anomaly_job(spark, sf):
-    """The whole job: seven years of look-back, a gate on the number of alerts."""
+    """The whole job with seven years of look-back."""
     return gold.weather_anomalies(P.silver_weather(spark, sf), W, BATCH, days=7 * 365).select(
         "event_type", "severity", "area_desc", "alert_frequency", "weather_anomaly",
         "detection_timestamp", "detection_batch_id",
@@ -514,6 +543,11 @@ def weather_anomaly_summary(spark, sf):
     return reports.weather_anomaly_summary(_weather_flags(spark, sf))
 
 
+@query
+def top_weather_patterns_brief(spark, sf):
+    return reports.top_weather_patterns_brief(_weather_flags(spark, sf))
+
+
 @query
 def top_weather_patterns(spark, sf):
     return reports.top_weather_patterns(_weather_flags(spark, sf))
@@ -544,7 +578,7 @@ def cluster_features(spark, sf):
 
 def _fitted(spark, sf) -> DataFrame:
     events = _silver_table(spark, sf)
-    model = cluster.fit_clusters(events, min_rows=config.MIN_ROWS_QUAKES, checkpoint=False)
+    model = cluster.fit_clusters(events, checkpoint=False)
     return cluster.cluster_anomalies(events, model)
 
 
@@ -602,7 +636,7 @@ def fuse_cluster(spark, sf):
     events = P.silver_quakes(spark, sf).withColumn(
         "depth_km", F.when(F.col("place") != "error", F.col("depth_km"))
     )
-    model = cluster.fit_clusters(events, min_rows=config.MIN_ROWS_QUAKES)  # with its checkpoint
+    model = cluster.fit_clusters(events)  # with its checkpoint
     return cluster.cluster_anomalies(events, model).select("event_id", "cluster", "clustering_anomaly")
 
 
@@ -656,13 +690,13 @@ def anomaly_job(spark, sf):
 
 @query
 def anomaly_gate(spark, sf):
-    """A gate above the table's size gives no rows, one below gives all."""
-    events = P.silver_quakes(spark, sf)
+    """No gate: every event of the look-back gets a verdict, of a large table and a small one."""
+    events = _silver_table(spark, sf)
     kept = [
-        fusion.only_if_more_than(events, events, rows).agg(
-            F.lit(rows).cast("bigint").alias("gate"), F.count("*").alias("rows")
+        _fused(spark, sf, events.filter(F.col("magnitude") >= least)).agg(
+            F.lit(least).alias("least_magnitude"), F.count("is_anomaly").alias("rows")
         )
-        for rows in (100, 10**12)
+        for least in (0.0, 7.5)
     ]
     return kept[0].unionByName(kept[1])
 
@@ -753,6 +787,15 @@ def alert_rules(spark, sf):
     return quakes.unionByName(weather).unionByName(fused)
 
 
+@query
+def alert_rules_outbox(spark, sf):
+    """Fired earthquake rules as deliveries to the contacts of their groups."""
+    events = _silver_table(spark, sf)
+    fired = alerts.apply_rules(events, "quakes", "event_id")
+    sent = alerts.rule_outbox(fired, alerts.quake_alerts(events))
+    return sent.select("event_id", "rule", "channel", "recipient", "title")
+
+
 # --- dashboard products ------------------------------------------------------
 @query
 def kpi_quakes(spark, sf):
@@ -841,12 +884,27 @@ def bookmark_critical(spark, sf):
 
 @query
 def cap_points(spark, sf):
-    return dashboard.cap_points(P.silver_quakes(spark, sf))
+    return dashboard.chart_points(P.silver_quakes(spark, sf), "event")
 
 
 @query
 def cap_points_hourly(spark, sf):
-    return dashboard.cap_points(P.silver_quakes(spark, sf), limit=800)
+    return dashboard.chart_points(P.silver_quakes(spark, sf), "hour")
+
+
+@query
+def cap_points_daily(spark, sf):
+    return dashboard.chart_points(P.silver_quakes(spark, sf), "day")
+
+
+@query
+def drill_alert(spark, sf):
+    """Detail row of the newest alert of the feed."""
+    rows = P.silver_weather(spark, sf)
+    newest = rows.agg(F.max_by("alert_id", F.struct("sent_time", "alert_id"))).scalar()
+    return dashboard.drill_through(rows, "alert_id", newest).select(
+        "alert_id", "event_type", "severity", "area_desc", "sent_time"
+    )
 
 
 @query
@@ -860,6 +918,9 @@ def drill_event(spark, sf):
 
 
 # --- streams, drained once ---------------------------------------------------
+LIVE_BATCHES = 3
+
+
 def _drain(writer) -> None:
     ingest.start(writer, available_now=True).awaitTermination()
 
@@ -878,33 +939,43 @@ def stream_ingest(spark, sf):
 @query
 def stream_dedup(spark, sf):
     root = fresh_path(spark, "silver")
-    rows = P.quake_stream(spark, sf).drop("raw_id")
+    rows = P.quake_stream(spark, sf, files=LIVE_BATCHES).drop("raw_id")
     _drain(ingest.upsert_table(
         rows, root, fresh_path(spark, "stream"), prepare=lambda batch, number: silver.quakes(batch, Q, f"batch-{number}")
     ))
     return spark.read.parquet(root).select("event_id", "event_time", "ingestion_time", "magnitude")
 
 
-def _live_hours(spark, sf) -> DataFrame:
-    """Hourly counts kept by a stream of valid rows."""
-    root = fresh_path(spark, "hourly")
-    rows = P.quake_stream(spark, sf).transform(quality.valid_coordinates).transform(quality.valid_quakes)
-    hourly = live.hourly_by_region(rows.transform(enrich.add_region))
-    day = F.col("hour_window")
-    parted = hourly.withColumns({"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)})
-    _drain(ingest.upsert_table(parted, root, fresh_path(spark, "stream"), merge=live.latest_hour, mode="update"))
-    return spark.read.parquet(root).drop(*schemas.PARTITION_COLUMNS)
+def _live_silver(spark, sf, then) -> None:
+    """Silver kept by a stream of several batches; ``then`` gets its path and the touched days."""
+    root = fresh_path(spark, "silver")
+    rows = P.quake_stream(spark, sf, files=LIVE_BATCHES).drop("raw_id")
+    _drain(ingest.upsert_table(
+        rows, root, fresh_path(spark, "stream"), prepare=lambda batch, number: silver.quakes(batch, Q, f"batch-{number}"),
+        then=lambda days, number: then(root, days),
+    ))
 
 
 @query
 def stream_hourly(spark, sf):
-    return _live_hours(spark, sf)
+    """Hourly counts kept up to date by the silver stream."""
+    hours = fresh_path(spark, "hourly")
+    _live_silver(spark, sf, lambda root, days: live.refresh_hours(spark, root, hours, days))
+    return spark.read.parquet(hours).drop(*schemas.PARTITION_COLUMNS)
 
 
 @query
 def stream_frequency_alert(spark, sf):
-    baseline = live.region_baseline(P.silver_quakes(spark, sf), Q)
-    return live.frequency_alerts(_live_hours(spark, sf), baseline).select(
+    """Each batch flags the hours it touched against the stored baseline."""
+    baseline = live.region_baseline(_silver_table(spark, sf), Q)
+    hours, found = fresh_path(spark, "hourly"), fresh_path(spark, "alerts")
+
+    def flag(root, days) -> None:
+        live.refresh_hours(spark, root, hours, days)
+        live.refresh_alerts(spark, hours, baseline, found, days)
+
+    _live_silver(spark, sf, flag)
+    return spark.read.parquet(found).select(
         *frequency.REGION_HOUR, "earthquake_count", "frequency_zscore", "frequency_anomaly",
         "magnitude_anomaly", "combined_anomaly",
     )
@@ -912,17 +983,10 @@ def stream_frequency_alert(spark, sf):
 
 @query
 def stream_rapid_succession(spark, sf):
-    root = fresh_path(spark, "succession")
-    rows = P.quake_stream(spark, sf).transform(quality.valid_coordinates).transform(quality.valid_quakes)
-    found = live.rapid_succession(rows)
-    writer = found.writeStream.outputMode("update").foreachBatch(
-        lambda batch, number: batch.write.mode("overwrite").parquet(f"{root}/batch={number}")
-    )
-    _drain(writer.option("checkpointLocation", fresh_path(spark, "stream")))
-    hours = spark.read.schema(found.schema).parquet(f"{root}/batch=*")
-    return hours.groupBy("grid_cell", "window_start", "window_end").agg(
-        F.max("event_count").alias("event_count")
-    )
+    found = fresh_path(spark, "succession")
+    _live_silver(spark, sf, lambda root, days: live.refresh_succession(spark, root, found, days))
+    schema = live.rapid_succession(P.silver_quakes(spark, sf)).schema  # there may be no burst at all
+    return spark.read.schema(schema).parquet(found).drop(*schemas.PARTITION_COLUMNS)
 
 
 @query
@@ -952,7 +1016,7 @@ def stream_outbox(spark, sf):
     root = fresh_path(spark, "outbox")
     rows = P.quake_stream(spark, sf).drop("raw_id")
     _drain(ingest.upsert_table(
-        rows, root, fresh_path(spark, "stream"), merge=live.first_per_delivery,
+        rows, root, fresh_path(spark, "stream"), merge=live.first_per_delivery, key="outbox_key",
         prepare=lambda batch, number: live.outbox_rows(silver.quakes(batch, Q), number),
     ))
     return spark.read.parquet(root).select("event_id", "severity", "channel", "recipient", "title")

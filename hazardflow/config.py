@@ -103,14 +103,11 @@ GRID_MAGNITUDE_EXCESS = 1.0
 SUCCESSION_COUNT, SUCCESSION_HOURS = 5, 24
 PATTERN_ZSCORE_LIMIT = 2.0
 PATTERN_EXTREME_COUNT = 5
-MIN_ROWS_QUAKES = 100  # run when there are more rows than this
-MIN_ROWS_CLUSTER = 1000  # cluster when there are at least this many
-MIN_ROWS_WEATHER = 50  # run when there are more rows than this
 HIGH_RISK_SCORE = 0.8
 
 # --- fixed values: feeds -----------------------------------------------------
 FEED_MIN_MAGNITUDE = 2.5
-FEED_LIMIT = 1000
+FEED_PAGE = 1000  # rows of a page, where a caller asks for pages
 SIGNIFICANT_FEED = {"days": 7, "min_significance": 600, "limit": 100}
 # name -> (column, lowest value, hours back); None keeps every event
 LIVE_FEEDS = {
@@ -155,7 +152,7 @@ ALERT_RULES = [
 # --- fixed values: dashboard products ---------------------------------------
 MAP_DAYS, MAP_MIN_MAGNITUDE = 7, 2.5
 RECENT_ALERT_ITEMS = 8
-MAX_POINTS = 10000
+POINT_LEVELS = ("event", "hour", "day")
 ANOMALY_TYPES = ["statistical", "clustering", "geographic"]
 BOOKMARKS = {
     "Critical Events": {"severity": ["Critical", "High"], "hours": 24},

@@ -20,7 +20,7 @@ def quake_alerts(df: DataFrame) -> DataFrame:
         F.concat(F.lit("Earthquake Alert - Magnitude "), magnitude).alias("title"),
         F.concat(
             F.lit("A magnitude "), magnitude, F.lit(" earthquake has been detected near "),
-            F.col("place"), F.lit("."),
+            F.coalesce("place", F.lit("an unknown place")), F.lit("."),
         ).alias("message"),
         severity.alert_level_for_quake("magnitude").alias("severity"),
         F.lit("earthquake").alias("event_type"),
@@ -34,8 +34,11 @@ def quake_alerts(df: DataFrame) -> DataFrame:
 def weather_alerts(df: DataFrame, as_of) -> DataFrame:
     """One alert per weather row, its level mapped to the routing levels."""
     return df.select(
-        F.concat(F.lit("Weather Alert - "), F.col("event_type")).alias("title"),
-        F.concat(F.col("headline"), F.lit(" affecting "), F.col("area_desc")).alias("message"),
+        F.concat(F.lit("Weather Alert - "), F.coalesce("event_type", F.lit(""))).alias("title"),
+        F.concat(
+            F.coalesce("headline", F.lit("")), F.lit(" affecting "),
+            F.coalesce("area_desc", F.lit("an unknown area")),
+        ).alias("message"),
         severity.alert_level_for_weather("severity").alias("severity"),
         F.lit("weather").alias("event_type"),
         F.col("area_desc").alias("location"),
@@ -189,6 +192,24 @@ def with_recipients(routed: DataFrame, recipients=None) -> DataFrame:
     return routed.withColumn("recipient", F.explode_outer(fan_out))
 
 
+def rule_outbox(fired: DataFrame, alerts: DataFrame, contacts=None) -> DataFrame:
+    """Deliveries of fired rules: the alert of the row, on the rule's channels, to its group.
+
+    ``fired`` comes from ``apply_rules``, ``alerts`` has one row per event. A text message goes to
+    every contact of the group, once for a contact; a group without contacts keeps one row with
+    a NULL recipient.
+    """
+    groups = config.CONTACTS if contacts is None else contacts
+    listed = F.lit(None).cast("array<string>")
+    for name, members in groups.items():
+        numbers = _texts([m for m in members if m]) if any(members) else F.array().cast("array<string>")
+        listed = F.when(F.col("recipient_group") == name, numbers).otherwise(listed)
+    rows = fired.select("event_id", "rule", "recipient_group", F.explode(F.split("channels", ",")).alias("channel"))
+    payload = F.when(F.col("channel") == "sms", sms_text()).otherwise(card_json())
+    known = rows.join(alerts, "event_id").withColumn("payload", payload)
+    return known.withColumn("recipient", F.explode_outer(F.when(F.col("channel") == "sms", listed)))
+
+
 def outbox(alerts: DataFrame, recipients=None) -> DataFrame:
     """Rows ready for delivery: alert, channel, recipient and payload."""
     payload = F.when(F.col("channel") == "sms", sms_text()).otherwise(card_json())

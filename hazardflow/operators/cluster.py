@@ -70,10 +70,9 @@ def scaled_features(df: DataFrame) -> DataFrame:
 def fit_clusters(
     df: DataFrame,
     k: int = config.CLUSTERS,
-    min_rows: int = config.MIN_ROWS_CLUSTER,
     checkpoint: bool = True,
 ) -> ClusterModel | None:
-    """Fit k-means on the standardised features; None with too few rows.
+    """Fit k-means on the standardised features; None with fewer rows than clusters.
 
     Training reads its input up to a hundred times, so the nine features go to
     a reliable checkpoint first: a lost executor re-reads files and does not
@@ -87,7 +86,7 @@ def fit_clusters(
     for name in FEATURES:
         aggregates += [F.avg(name).alias(f"{name}_mean"), F.stddev(name).alias(f"{name}_std")]
     row = features.agg(*aggregates).first()
-    if row["rows"] < max(min_rows, k):
+    if row["rows"] < k:
         return None
     means = [row[f"{name}_mean"] for name in FEATURES]
     stds = [row[f"{name}_std"] or 0.0 for name in FEATURES]
@@ -172,25 +171,24 @@ def flag_far_points(clustered: DataFrame) -> DataFrame:
 def cluster_anomalies(df: DataFrame, model: ClusterModel | None) -> DataFrame:
     """Cluster, distance, flag and score on every event.
 
-    Without a model the flag is false and the score 0, as for a small table.
+    Without a model nothing is judged: all four are NULL.
     """
     if model is None:
         return assign_clusters(df, None).withColumns({
-            "clustering_anomaly": F.lit(False),
-            "clustering_anomaly_score": F.lit(0.0),
+            "clustering_anomaly": F.lit(None).cast("boolean"),
+            "clustering_anomaly_score": F.lit(None).cast("double"),
         })
     return flag_far_points(assign_clusters(df, model))
 
 
 def cluster_profile(clustered: DataFrame) -> DataFrame:
+    """Size, mean magnitude and flagged events of each cluster; silver has one row per event."""
     return (
         clustered.filter(F.col("cluster").isNotNull())
         .groupBy("cluster")
         .agg(
             F.count("*").alias("count"),
             F.avg("magnitude").alias("avg_magnitude"),
-            F.countDistinct(F.when(F.col("clustering_anomaly"), F.col("event_id"))).alias(
-                "anomalies"
-            ),
+            F.count_if("clustering_anomaly").alias("anomalies"),
         )
     )

@@ -30,11 +30,15 @@ def detect(events: DataFrame, model: ClusterModel | None) -> DataFrame:
 
 
 def fuse(detected: DataFrame) -> DataFrame:
-    """``is_anomaly``, the comma list of types, and the largest score."""
-    filled = detected.fillna(False, subset=list(DETECTORS.values()))
+    """``is_anomaly``, the comma list of types, and the largest score.
+
+    A detector that judged nothing (its flag is NULL) adds nothing; its own
+    columns stay NULL.
+    """
+    filled = detected.withColumns({flag: F.coalesce(flag, F.lit(False)) for flag in DETECTORS.values() if flag != "clustering_anomaly"})
     names = [F.when(F.col(flag), F.lit(name)) for name, flag in DETECTORS.items()]
     return filled.withColumns({
-        "is_anomaly": any_of([F.col(flag) for flag in DETECTORS.values()]),
+        "is_anomaly": any_of([F.coalesce(flag, F.lit(False)) for flag in DETECTORS.values()]),
         "anomaly_types": F.concat_ws(",", *names),
         "anomaly_score": F.greatest(
             F.coalesce("magnitude_zscore", F.lit(0.0)) / config.ZSCORE_LIMIT,
@@ -49,9 +53,3 @@ def stamp_detection(df: DataFrame, as_of, batch_id: str) -> DataFrame:
         "detection_timestamp": moment(as_of),
         "detection_batch_id": F.lit(batch_id),
     })
-
-
-def only_if_more_than(df: DataFrame, source: DataFrame, rows: int) -> DataFrame:
-    """``df``, or no rows of the same schema if ``source`` is too small to judge."""
-    enough = source.agg((F.count("*") > F.lit(rows)).alias("enough"))
-    return df.filter(enough.scalar())

@@ -100,18 +100,19 @@ def attach_cell_flags(
 ) -> DataFrame:
     """Left join of cell flags onto events.
 
-    The number of cells follows from the cell size and not from the data, so a
+    Events outside the coordinate range get no flags. The number of cells follows from the cell size and not from the data, so a
     coarse grid is broadcast and the events are not shuffled. On a finer grid
     both sides are spread over ``salts`` sub-keys: a cell that holds a third of
     all events is then split over that many tasks.
     """
     keys = ["lat_grid", "lon_grid"]
-    flags = cells.select(*keys, *CELL_FLAGS)
+    # No-op on validated events. It makes the bound of the broadcast hold for any input,
+    # and both ways below see the same cells.
+    inside = geo.coordinates_valid(F.col("lat_grid"), F.col("lon_grid"))
+    flags = cells.filter(inside).select(*keys, *CELL_FLAGS)
     located = add_cell(events, degrees)
     if geo.max_grid_cells(degrees) <= MAX_BROADCAST_CELLS:
-        # No-op on validated events; it makes the bound hold for any input.
-        inside = flags.filter(geo.coordinates_valid(F.col("lat_grid"), F.col("lon_grid")))
-        return located.join(F.broadcast(inside), keys, "left")
+        return located.join(F.broadcast(flags), keys, "left")
     spread = located.withColumn(_SALT, F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int"))
     copies = flags.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*keys, _SALT], "left").drop(_SALT)

@@ -89,12 +89,20 @@ def ingested_since(df: DataFrame, as_of, hours: int = config.DEDUP_HORIZON_HOURS
     return df.filter(F.col("ingestion_time") >= hours_before(as_of, hours))
 
 
+def _days_since(df: DataFrame, since) -> DataFrame:
+    """Day partitions that can hold rows since a moment, where the table has them."""
+    if not {"year", "month", "day"} <= set(df.columns):
+        return df
+    return df.filter(F.expr("make_date(year, month, day)") >= F.to_date(since))
+
+
 def anomaly_window(df: DataFrame, as_of, days: int = config.ANOMALY_LOOKBACK_DAYS) -> DataFrame:
-    """Events of the last days that have a magnitude."""
-    return df.filter(
+    """Events of the last days that have a magnitude; prunes a silver table to those days."""
+    return _days_since(df, days_before(as_of, days)).filter(
         (F.col("event_time") >= days_before(as_of, days)) & F.col("magnitude").isNotNull()
     )
 
 
 def weather_window(df: DataFrame, as_of, days: int = config.ANOMALY_LOOKBACK_DAYS) -> DataFrame:
-    return df.filter(F.col("sent_time") >= days_before(as_of, days))
+    since = days_before(as_of, days)
+    return _days_since(df, since).filter(F.col("sent_time") >= since)

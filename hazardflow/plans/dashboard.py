@@ -47,13 +47,21 @@ def anomaly_kpi(fused: DataFrame, as_of) -> DataFrame:
     )
 
 
+def _freshness(latest: Column, at: Column) -> Column:
+    minutes = (F.unix_timestamp(at) - F.unix_timestamp(latest)) / 60
+    return F.round(F.greatest(F.lit(0.0), 1 - minutes / 60) * 100, 2)
+
+
 def health_kpi(df: DataFrame, as_of) -> DataFrame:
-    """100 at zero minutes of age, 0 at an hour or more."""
+    """100 at zero minutes of age, 0 at an hour or more; the trend is the change since a day before."""
+    day_ago = hours_before(as_of, 24)
     latest = F.max("ingestion_time")
-    minutes = (F.unix_timestamp(moment(as_of)) - F.unix_timestamp(latest)) / 60
+    before = F.max(F.when(F.col("ingestion_time") <= day_ago, F.col("ingestion_time")))
+    now, then = _freshness(latest, moment(as_of)), _freshness(before, day_ago)
     return df.agg(
         latest.alias("latest_ingestion"),
-        F.round(F.greatest(F.lit(0.0), 1 - minutes / 60) * 100, 2).alias("system_health_score"),
+        now.alias("system_health_score"),
+        F.round(now - F.when(before.isNotNull(), then), 2).alias("health_trend"),
     )
 
 
@@ -173,34 +181,20 @@ def bookmark(df: DataFrame, name: str, as_of) -> DataFrame:
     return global_filter(df, since, None, saved.get("regions"), saved.get("magnitude"))
 
 
-def cap_points(df: DataFrame, limit: int = config.MAX_POINTS) -> DataFrame:
-    """Chart points: single events while they fit, else hourly, else daily ones.
-
-    Nothing is dropped; more rows than the limit are aggregated. The level is
-    decided by a scalar subquery and used as part of one grouping key.
-    """
+def chart_points(df: DataFrame, level: str = "event") -> DataFrame:
+    """Chart points: every event, or hourly or daily ones. The caller chooses the level."""
+    if level not in config.POINT_LEVELS:
+        raise ValueError(f"unknown level: {level}")
     at = F.col("event_time")
-    hours = F.floor((F.unix_timestamp(F.max(at)) - F.unix_timestamp(F.min(at))) / 3600) + 2
-    chosen = (
-        F.when(F.count("*") <= limit, F.lit("event"))
-        .when(hours <= limit, F.lit("hour"))
-        .otherwise(F.lit("day"))
-    )
-    level = df.agg(chosen.alias("level")).scalar()
-    points = df.withColumn("level", level)
-    single = F.col("level") == "event"
-    bucket = (
-        F.when(single, at)
-        .when(F.col("level") == "hour", F.date_trunc("hour", at))
-        .otherwise(F.date_trunc("day", at))
-    )
-    return (
-        points.groupBy("level", bucket.alias("point_time"), F.when(single, F.col("event_id")).alias("event_id"))
-        .agg(
-            F.count("*").alias("event_count"),
-            F.avg("magnitude").alias("avg_magnitude"),
-            F.max("magnitude").alias("max_magnitude"),
-        )
+    single = level == "event"
+    return df.groupBy(
+        F.lit(level).alias("level"),
+        (at if single else F.date_trunc(level, at)).alias("point_time"),
+        (F.col("event_id") if single else F.lit(None).cast("string")).alias("event_id"),
+    ).agg(
+        F.count("*").alias("event_count"),
+        F.avg("magnitude").alias("avg_magnitude"),
+        F.max("magnitude").alias("max_magnitude"),
     )
 
 

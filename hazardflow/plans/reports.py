@@ -90,6 +90,11 @@ def top_weather_patterns(patterns: DataFrame, n: int = TOP) -> DataFrame:
     )
 
 
+def top_weather_patterns_brief(patterns: DataFrame, n: int = 5) -> DataFrame:
+    """The short form of the run's summary: five patterns, three columns."""
+    return top_weather_patterns(patterns, n).select("event_type", "severity", "alert_frequency")
+
+
 def anomaly_summary(fused: DataFrame, as_of) -> DataFrame:
     """Totals, rate, high-risk and last-day counts, in one pass."""
     hit = F.col("is_anomaly")

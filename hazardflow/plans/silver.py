@@ -64,10 +64,10 @@ def refresh_quakes(spark: SparkSession, bronze_root: str, root: str, as_of, batc
     """Merge what was ingested in the look-back into the kept silver rows."""
     recent = quality.ingested_since(tables.scan(spark, bronze_root), as_of)
     stage = f"{root}__stage_{batch_id}"
-    tables.upsert_days(quakes(recent, as_of, batch_id), root, dedup.latest_quakes, stage)
+    tables.upsert_days(quakes(recent, as_of, batch_id), root, dedup.latest_quakes, ["event_id"], stage)
 
 
 def refresh_weather(spark: SparkSession, bronze_root: str, root: str, as_of, batch_id: str) -> None:
     recent = quality.ingested_since(tables.scan(spark, bronze_root), as_of)
     stage = f"{root}__stage_{batch_id}"
-    tables.upsert_days(weather(recent, as_of, batch_id), root, dedup.latest_alerts, stage)
+    tables.upsert_days(weather(recent, as_of, batch_id), root, dedup.latest_alerts, ["alert_id"], stage)

@@ -13,10 +13,13 @@ def recent_quakes(
     start,
     end,
     min_magnitude: float = config.FEED_MIN_MAGNITUDE,
-    limit: int = config.FEED_LIMIT,
+    limit: int | None = None,
     bbox: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Oldest first within a time range, at least a magnitude, optionally in a box."""
+    """Oldest first within a time range, at least a magnitude, optionally in a box.
+
+    All of them, or the first ``limit`` where a caller asks for a page.
+    """
     chosen = df.filter(
         F.col("event_time").between(moment(start), moment(end))
         & (F.col("magnitude") >= min_magnitude)
@@ -26,20 +29,20 @@ def recent_quakes(
             F.col("latitude").between(bbox["min_lat"], bbox["max_lat"])
             & F.col("longitude").between(bbox["min_lon"], bbox["max_lon"])
         )
-    return chosen.orderBy("event_time", "event_id").limit(limit)
+    ordered = chosen.orderBy("event_time", "event_id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def significant_quakes(df: DataFrame, as_of, days: int | None = None) -> DataFrame:
-    """Newest significant events of the last days."""
+def significant_quakes(
+    df: DataFrame, as_of, days: int | None = None, limit: int | None = None
+) -> DataFrame:
+    """Significant events of the last days, newest first; all, or the first ``limit``."""
     feed = config.SIGNIFICANT_FEED
     since = days_before(as_of, feed["days"] if days is None else days)
-    return (
-        df.filter(
-            (F.col("event_time") >= since) & (F.col("significance") >= feed["min_significance"])
-        )
-        .orderBy(F.col("event_time").desc(), "event_id")
-        .limit(feed["limit"])
-    )
+    chosen = df.filter(
+        (F.col("event_time") >= since) & (F.col("significance") >= feed["min_significance"])
+    ).orderBy(F.col("event_time").desc(), "event_id")
+    return chosen if limit is None else chosen.limit(limit)
 
 
 def live_feed(df: DataFrame, as_of, name: str = "significant_month") -> DataFrame:

@@ -105,7 +105,7 @@ def _quake_columns(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     texts["_tsunami"] = F.expr("properties['tsunami']")
     looked_up = computed_once(computed_once(_features(documents), numbers), texts)
 
-    columns = {"event_id": "id", **{name: name for name in _QUAKE_TEXTS}}
+    columns = {"event_id": "coalesce(id, '')", **{name: name for name in _QUAKE_TEXTS}}
     for name, (_, kind) in _QUAKE_NUMBERS.items():
         columns[name] = f"try_cast(_{name} AS DOUBLE)" if kind == "double" else _whole(f"_{name}")
         if kind == "time":

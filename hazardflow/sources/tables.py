@@ -13,6 +13,8 @@ from hazardflow.workspace import delete_path, fresh_path, path_exists
 
 PARTS = schemas.PARTITION_COLUMNS
 DAY = "make_date(year, month, day)"
+#: Partitions of the index from key to day that an upserted table has.
+INDEX_BUCKETS = 64
 
 
 def scan(
@@ -70,48 +72,89 @@ def retain(df: DataFrame, as_of, days: int, column: str = "event_date") -> DataF
     return df.filter(F.col(column) >= F.to_date(days_before(as_of, days)))
 
 
+def replace_days(df: DataFrame, root: str, days: set[dt.date]) -> None:
+    """Make ``df`` the content of the given days; a day without rows disappears."""
+    overwrite_partitions(df, root)
+    for day in days - _days(df):
+        delete_path(df.sparkSession, _day_path(root, day))
+
+
+def drop_expired(spark: SparkSession, root: str, as_of, days: int) -> set[dt.date]:
+    """Delete the day partitions older than ``days``; returns what was deleted. No row is read."""
+    limit = spark.range(1).select(F.to_date(days_before(as_of, days))).first()[0]
+    expired = {day for day in _days(spark.read.parquet(root)) if day < limit}
+    for day in expired:
+        delete_path(spark, _day_path(root, day))
+    return expired
+
+
 def upsert_days(
     updates: DataFrame,
     root: str,
     merge: Callable[[DataFrame], DataFrame],
+    key: list[str],
     stage: str | None = None,
-    neighbours: int = 1,
-) -> None:
-    """Merge rows into a day-partitioned table, rewriting the touched days only.
+) -> set[dt.date]:
+    """Merge rows into a day-partitioned table; reads and rewrites the touched days only.
 
     ``merge`` reduces old and new rows together, for example to the latest per
-    key. The days of the updates and their neighbours are read, so a revised
-    event that moves past midnight finds its old version.
+    ``key``. Touched are the days of the updates and the days where their keys
+    stand now, which an index beside the table knows: a row may move any number
+    of days. Returns the touched days.
+
+    The index is append-only, (bucket of the key, key, day), with a row for
+    each new or moved key, so a lookup reads the buckets of its keys.
 
     ``stage`` is a path that belongs to this batch alone. The updates are written
     there once, then the merged days, which are swapped in last: a retry goes on
-    from the last finished step and never reads a half-swapped table. The first
-    batch of a new table needs no stage; merging it again changes nothing.
+    from the last finished step and never reads a half-swapped table. Indexing a
+    key again changes nothing.
     """
     spark, columns = updates.sparkSession, updates.columns
-    if not path_exists(spark, root):
-        overwrite_partitions(merge(updates).select(*columns), root)
-        return
     stage = stage or fresh_path(spark, "stage")
 
-    def staged(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    def staged(name: str, make: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
         path = f"{stage}/{name}"
         if not path_exists(spark, f"{path}/_SUCCESS"):
-            make().select(*columns).write.mode("overwrite").parquet(path)
-        return spark.read.schema(updates.schema).parquet(path)
-
-    fresh = staged("updates", lambda: updates)
-    touched = _days(fresh)
-    if touched:
-        around = {day + dt.timedelta(n) for day in touched for n in range(-neighbours, neighbours + 1)}
+            make().write.mode("overwrite").parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    fresh = staged("updates", lambda: updates, updates.schema)
+    bucket = F.pmod(F.xxhash64(*key), F.lit(INDEX_BUCKETS)).cast("int")
+    keys = fresh.select(*key, bucket.alias("bucket")).distinct()
+    known = _indexed(keys, f"{root}__index", key)
+    touched = _days(fresh) | ({row[0] for row in known.select("day").distinct().collect()} if known is not None else set())
+    if not touched:
+        delete_path(spark, stage)
+        return set()
+
+    def merged_days() -> DataFrame:
+        if not path_exists(spark, root):
+            return merge(fresh).select(*columns)
         old = spark.read.schema(updates.schema).parquet(root).select(*columns)
-        old = old.filter(F.expr(DAY).isin(sorted(around)))
-        merged = staged("merged", lambda: merge(old.unionByName(fresh)))
-        emptied = _days(old) - _days(merged)
-        overwrite_partitions(merged, root)
-        for day in emptied:
-            delete_path(spark, f"{root}/year={day.year}/month={day.month}/day={day.day}")
+        return merge(old.filter(F.expr(DAY).isin(sorted(touched))).unionByName(fresh)).select(*columns)
+
+    merged = staged("merged", merged_days, updates.schema)
+    places = merged.select(*key, F.expr(DAY).alias("day")).join(keys, key, "left_semi")
+    if known is not None:
+        places = places.join(known, [*key, "day"], "left_anti")
+    _balanced(places.withColumn("bucket", bucket), ["bucket"]).write.mode("append").partitionBy("bucket").parquet(f"{root}__index")
+    replace_days(merged, root, touched)
     delete_path(spark, stage)
+    return touched
+
+
+def _indexed(keys: DataFrame, index: str, key: list[str]) -> DataFrame | None:
+    """(key, day) rows of the index for the keys; earlier places of a moved key are among them."""
+    if not path_exists(keys.sparkSession, index):
+        return None
+    buckets = [row[0] for row in keys.select("bucket").distinct().collect()]  # at most INDEX_BUCKETS
+    found = keys.sparkSession.read.parquet(index).filter(F.col("bucket").isin(buckets))
+    return found.join(keys.select(*key), key, "left_semi").select(*key, "day").distinct()
+
+
+def _day_path(root: str, day: dt.date) -> str:
+    return f"{root}/year={day.year}/month={day.month}/day={day.day}"
 
 
 def _days(df: DataFrame) -> set[dt.date]:

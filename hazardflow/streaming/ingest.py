@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,18 +42,24 @@ def upsert_table(
     checkpoint: str,
     merge: Callable[[DataFrame], DataFrame] = dedup.latest_quakes,
     prepare: Callable[[DataFrame, int], DataFrame] | None = None,
-    mode: str = "append",
+    key: str = "event_id",
+    then: Callable[[set[dt.date], int], None] | None = None,
 ) -> DataStreamWriter:
     """Merge every micro-batch into a day-partitioned table.
 
     Streaming dedup keeps the first row it sees. Here the newest wins, so the
     batch is merged with the stored days. The stage of a batch lives under the
     checkpoint, so a retried batch finds its own and no other query's.
+
+    ``then`` gets the touched days after each batch, to bring tables that derive
+    from this one up to date.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = batch if prepare is None else prepare(batch, batch_id)
-        tables.upsert_days(rows, root, merge, f"{checkpoint}/stage/{batch_id}")
+        touched = tables.upsert_days(rows, root, merge, [key], f"{checkpoint}/stage/{batch_id}")
+        if then is not None and touched:
+            then(touched, batch_id)
 
-    writer = stream.writeStream.outputMode(mode).foreachBatch(merge_batch)
+    writer = stream.writeStream.foreachBatch(merge_batch)
     return writer.option("checkpointLocation", checkpoint)

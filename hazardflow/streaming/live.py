@@ -2,44 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hazardflow import config
 from hazardflow.functions import geo
-from hazardflow.functions.stats import zscore
 from hazardflow.functions.time import hours_before, moment
 from hazardflow.operators import alerts, dedup, frequency
+from hazardflow.sources import tables
+
+def _touched(spark: SparkSession, root: str, days: set[dt.date], around: int = 0) -> DataFrame:
+    """Rows of the touched days of a table, and of ``around`` days before them."""
+    wanted = {day - dt.timedelta(n) for day in days for n in range(around + 1)}
+    return spark.read.parquet(root).filter(F.expr(tables.DAY).isin(sorted(wanted)))
 
-HORIZON = f"{config.DEDUP_HORIZON_HOURS} hours"
 
+def _parted(df: DataFrame, at: str) -> DataFrame:
+    return df.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
 
-def hourly_by_region(stream: DataFrame, delay: str = HORIZON) -> DataFrame:
-    """Tumbling hourly count, mean and largest magnitude by region.
 
-    State is one row per region and open hour, whatever the event rate.
+def refresh_hours(spark: SparkSession, silver: str, root: str, days: set[dt.date]) -> None:
+    """Recount the hours of the touched silver days.
+
+    Silver has one row per event, its newest version, so revisions are not
+    counted twice, an event that moves leaves its old hour, and a late row is
+    counted whenever it comes. The result does not depend on the batches.
     """
-    return (
-        stream.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 hour"), "geographic_region")
-        .agg(
-            F.count("*").alias("earthquake_count"),
-            F.avg("magnitude").alias("avg_magnitude"),
-            F.max("magnitude").alias("max_magnitude"),
-        )
-        .select(
-            "geographic_region",
-            F.col("window.start").alias("hour_window"),
-            "earthquake_count",
-            "avg_magnitude",
-            "max_magnitude",
-        )
-    )
+    tables.replace_days(_parted(frequency.hourly_activity(_touched(spark, silver, days)), "hour_window"), root, days)
 
 
-def latest_hour(df: DataFrame) -> DataFrame:
-    """Merge rule for updated hourly counts: counts only grow, keep the largest."""
-    window = Window.partitionBy(*frequency.REGION_HOUR).orderBy(F.col("earthquake_count").desc())
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+def refresh_alerts(
+    spark: SparkSession, hours: str, baseline: DataFrame, root: str, days: set[dt.date]
+) -> None:
+    """Flags of the touched hours against the stored baseline."""
+    flagged = frequency_alerts(_touched(spark, hours, days), baseline)
+    tables.replace_days(flagged, root, days)
 
 
 def region_baseline(silver: DataFrame, as_of, hours: int = config.BASELINE_HOURS) -> DataFrame:
@@ -58,35 +56,49 @@ def region_baseline(silver: DataFrame, as_of, hours: int = config.BASELINE_HOURS
 
 
 def frequency_alerts(hourly: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Live hourly counts against the stored baseline (stream-static join).
+    """Live hourly counts against the stored baseline.
 
-    The baseline has one row per region of the fixed region list.
+    The baseline has a row per region; Spark broadcasts it if it is small.
     """
-    return frequency.flag_frequency(hourly.join(F.broadcast(baseline), "geographic_region", "left"))
+    return frequency.flag_frequency(hourly.join(baseline, "geographic_region", "left"))
 
 
-def rapid_succession(
-    stream: DataFrame, degrees: float = config.GRID_DEGREES, delay: str = HORIZON
-) -> DataFrame:
-    """Five events in a cell within a sliding day."""
-    located = stream.withWatermark("event_time", delay).withColumns({
-        "lat_grid": geo.grid_floor(F.col("latitude"), degrees),
-        "lon_grid": geo.grid_floor(F.col("longitude"), degrees),
+def rapid_succession(events: DataFrame, degrees: float = config.GRID_DEGREES) -> DataFrame:
+    """Events that end a burst: at least five in their cell in the 24 hours up to them.
+
+    Each event is compared within its cell and day, with a second copy for the
+    day after, so one task holds two days of a cell and not its history.
+    """
+    located = events.select(
+        "event_id", "event_time", F.to_date("event_time").alias("_day"),
+        geo.grid_floor(F.col("latitude"), degrees).alias("lat_grid"),
+        geo.grid_floor(F.col("longitude"), degrees).alias("lon_grid"),
+    )
+    copies = located.withColumn("_offset", F.explode(F.array(F.lit(0), F.lit(1))))
+    copies = copies.withColumn("_day", F.date_add("_day", F.col("_offset")))
+    last = (
+        Window.partitionBy("lat_grid", "lon_grid", "_day")
+        .orderBy(F.unix_micros("event_time"))
+        .rangeBetween(-config.SUCCESSION_HOURS * 3_600_000_000, 0)
+    )
+    counted = copies.withColumns({
+        "event_count": F.count("*").over(last), "window_start": F.min("event_time").over(last),
     })
-    window = F.window("event_time", f"{config.SUCCESSION_HOURS} hours", "1 hour")
-    return (
-        located.groupBy(window, "lat_grid", "lon_grid")
-        .agg(F.count("*").alias("event_count"))
-        .filter(F.col("event_count") >= config.SUCCESSION_COUNT)
-        .select(
-            geo.grid_label(F.col("lat_grid"), F.col("lon_grid")).alias("grid_cell"),
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "event_count",
-        )
+    return counted.filter(
+        (F.col("_offset") == 0) & (F.col("event_count") >= config.SUCCESSION_COUNT)
+    ).select(
+        geo.grid_label(F.col("lat_grid"), F.col("lon_grid")).alias("grid_cell"),
+        "event_id", "window_start", F.col("event_time").alias("window_end"), "event_count",
     )
 
 
+def refresh_succession(spark: SparkSession, silver: str, root: str, days: set[dt.date]) -> None:
+    """Bursts that end on the touched days or the days after them."""
+    ends = days | {day + dt.timedelta(1) for day in days}
+    found = _parted(rapid_succession(_touched(spark, silver, ends, around=1)), "window_end")
+    tables.replace_days(found.filter(F.expr(tables.DAY).isin(sorted(ends))), root, ends)
+
+
 def is_late(hours: int = config.DEDUP_HORIZON_HOURS) -> Column:
     """Ingested longer after the event than the dedup horizon covers."""
     return F.col("event_time") < F.col("ingestion_time") - F.expr(f"INTERVAL {int(hours)} HOURS")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +14,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor sees: ``spark.checkpoint.dir`` where it is set.
-
-    Only a local session may fall back to a temporary folder; on a cluster a
-    folder of one machine would not be visible to the others, so that raises.
-    """
+    """Folder every executor sees: ``spark.checkpoint.dir``, or a folder in the warehouse where
+    that is unset. Never a temporary folder of one machine."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not configured:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="hazardflow-")
+    configured = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured

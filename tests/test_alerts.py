@@ -37,28 +37,40 @@ def test_routing(spark):
     assert got == {"Critical": {"teams", "sms"}, "High": {"teams", "sms"}, "Medium": {"teams"}, "Low": {"teams"}, "Odd": {"teams"}}
 
 
-def reference_sms(icon, severity, title, location, magnitude):
-    parts = [f"{icon} {severity.upper()}", title]
-    parts += [f"Location: {location}"] if location else []
-    parts += [f"Mag: {magnitude:.1f}"] if magnitude else []
-    text = " | ".join(parts)
-    return text if len(text) <= 160 else text[:157] + "..."
-
-
 def test_sms_text(spark):
-    frame = len(reference_sms("🌍", "High", "", "L", 5.25))
+    head, tail = "🌍 HIGH | ", " | Location: L | Mag: 5.2"
+    fits = "x" * (160 - len(head) - len(tail))
     cases = [
-        {"severity": "High", "title": "x" * (160 - frame)}, {"severity": "High", "title": "x" * (161 - frame)},
-        {"location": ""}, {"location": None}, {"magnitude": 0.0}, {"magnitude": None},
-        {"event_type": "weather"}, {"event_type": "anomaly"}, {"event_type": "flood"}, {"magnitude": 6.35},
+        ({"severity": "High", "title": fits}, head + fits + tail),
+        ({"severity": "High", "title": fits + "x"}, head + fits + "x | Location: L | Mag:..."),
+        ({"location": ""}, "🌍 LOW | T | Mag: 5.2"),
+        ({"location": None}, "🌍 LOW | T | Mag: 5.2"),
+        ({"magnitude": 0.0}, "🌍 LOW | T | Location: L"),
+        ({"magnitude": None}, "🌍 LOW | T | Location: L"),
+        ({"event_type": "flood"}, "📢 LOW | T | Location: L | Mag: 5.2"),
+        ({"magnitude": 6.35}, "🌍 LOW | T | Location: L | Mag: 6.3"),
     ]
-    got = column(alert(spark, *cases).withColumn("sms", alerts.sms_text()), "sms")
-    for case, text in zip(cases, got, strict=True):
-        icon = config.EVENT_ICONS.get(case.get("event_type", "earthquake"), "📢")
-        want = reference_sms(icon, case.get("severity", "Low"), case.get("title", "T"),
-                             case.get("location", "L"), case.get("magnitude", 5.25))
-        assert text == want
-    assert [len(t) for t in got[:2]] == [160, 160] and got[1].endswith("...")
+    got = column(alert(spark, *[c for c, _ in cases]).withColumn("sms", alerts.sms_text()), "sms")
+    assert got == [want for _, want in cases]
+
+
+def test_missing_text_does_not_empty_a_message(spark):
+    quake = spark.createDataFrame([("ev0001", 5.0, None, at("2024-01-01 00:00:00"))], "event_id string, magnitude double, place string, event_time timestamp")
+    assert alerts.quake_alerts(quake).first()["message"] == "A magnitude 5.0 earthquake has been detected near an unknown place."
+    weather = spark.createDataFrame([("wx0001", None, None, None, "Severe")], "alert_id string, event_type string, headline string, area_desc string, severity string")
+    row = alerts.weather_alerts(weather, "2024-01-01").first()
+    assert (row["title"], row["message"]) == ("Weather Alert - ", " affecting an unknown area")
+
+
+def test_rules_reach_the_contacts_of_their_group(spark):
+    df = alert(spark, {"severity": "High"}, {"severity": "Low", "event_id": "ev0002"}).withColumn("place", F.lit("A"))
+    rules = [("q", "big", "severity = 'High'", ["teams", "sms"], "x"), ("q", "all", "true", ["sms"], "none")]
+    fired = alerts.apply_rules(df, "q", "event_id", rules)
+    sent = alerts.rule_outbox(fired, df, {"x": ["+1", "", "+2"], "none": []})
+    rows = {(r["event_id"], r["rule"], r["channel"], r["recipient"]) for r in sent.collect()}
+    assert rows == {("ev0001", "big", "teams", None), ("ev0001", "big", "sms", "+1"), ("ev0001", "big", "sms", "+2"),
+                    ("ev0001", "all", "sms", None), ("ev0002", "all", "sms", None)}
+
 
 
 @pytest.mark.parametrize("severity", ["Critical", "High", "Low"])
@@ -110,8 +122,8 @@ def test_rules_fire_once_each(spark):
 def test_points_are_aggregated_and_never_dropped(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("event_id"), F.lit(2.0).alias("magnitude"),
                                  F.timestamp_seconds(F.col("id") * 1800).alias("event_time"))
-    for limit, level, rows in ((500, "event", 500), (300, "hour", 250), (100, "day", 11)):
-        points = dashboard.cap_points(df, limit).collect()
+    for level, rows in (("event", 500), ("hour", 250), ("day", 11)):
+        points = dashboard.chart_points(df, level).collect()
         assert {p["level"] for p in points} == {level} and len(points) == rows
         assert sum(p["event_count"] for p in points) == 500
 

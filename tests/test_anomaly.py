@@ -128,7 +128,7 @@ def silver(spark, n, same=False):
 
 def test_cluster_distance_equals_a_plain_loop(spark):
     df = silver(spark, 400)
-    model = cluster.fit_clusters(df, k=4, min_rows=100)
+    model = cluster.fit_clusters(df, k=4)
     rows = cluster.cluster_anomalies(df, model).collect()
     features = cluster.complete_features(df).toPandas().set_index("event_id")
     assert len(rows) == 400
@@ -165,12 +165,24 @@ def test_missing_features_keep_the_row(spark):
 
 def test_too_few_rows_to_cluster(spark):
     df = silver(spark, 20)
-    assert cluster.fit_clusters(df) is None
-    fused = gold.quake_anomalies(df, "2024-01-20 00:00:00", min_rows=10)
-    rows = fused.collect()
-    assert len(rows) == 20
-    assert {r["clustering_anomaly"] for r in rows} == {False} and {r["cluster"] for r in rows} == {None}
-    assert gold.quake_anomalies(df, "2024-01-20 00:00:00", min_rows=20).collect() == []
+    assert cluster.fit_clusters(df, k=21) is None
+    assert cluster.fit_clusters(df, k=4) is not None
+    rows = gold.quake_anomalies(df.limit(3), "2024-01-20 00:00:00").collect()
+    assert len(rows) == 3  # no gate: a few events are judged like many
+    assert {r["clustering_anomaly"] for r in rows} == {None} and {r["cluster"] for r in rows} == {None}
+    assert all(r["is_anomaly"] is not None for r in rows)
+
+
+def test_both_ways_of_attaching_cells_agree(spark, monkeypatch):
+    rows = [(f"ev{i}", at("2024-01-01 00:00:00"), 3.0, 95.0 if i < 6 else 10.0, 20.0) for i in range(12)]
+    df = spark.createDataFrame(rows, "event_id string, event_time timestamp, magnitude double, latitude double, longitude double")
+    cells = grid.geographic_anomalies(df)
+    got = []
+    for bound in (grid.MAX_BROADCAST_CELLS, 0):
+        monkeypatch.setattr(grid, "MAX_BROADCAST_CELLS", bound)
+        flags = grid.attach_cell_flags(df, cells).select("event_id", *grid.CELL_FLAGS).collect()
+        got.append(sorted(map(str, flags)))
+    assert got[0] == got[1]
 
 
 def test_fusion_of_each_flag(spark):

@@ -135,27 +135,48 @@ def test_upsert_moves_events_and_ignores_old_versions(spark, tmp_path):
     first = [("a", "2024-01-01 23:59:00", "2024-01-02 00:00:00", 1.0),
              ("b", "2024-01-05 00:00:00", "2024-01-05 01:00:00", 2.0),
              ("c", "2024-01-09 00:00:00", "2024-01-09 01:00:00", 3.0)]
-    tables.upsert_days(versions(spark, first), root, dedup.latest_quakes)
+    tables.upsert_days(versions(spark, first), root, dedup.latest_quakes, ["event_id"])
     second = [("a", "2024-01-02 00:01:00", "2024-01-02 03:00:00", 1.5),
               ("b", "2024-01-05 00:00:00", "2024-01-05 00:30:00", 9.0),
               ("d", "2024-01-05 02:00:00", "2024-01-05 03:00:00", 4.0)]
-    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes)
+    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes, ["event_id"])
     want = {"a": (1.5, 2), "b": (2.0, 5), "c": (3.0, 9), "d": (4.0, 5)}
     assert stored(spark, root) == want
-    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes)
+    tables.upsert_days(versions(spark, second), root, dedup.latest_quakes, ["event_id"])
     assert stored(spark, root) == want
 
 
+@pytest.mark.parametrize("days", [1, 3, 400])
+def test_upsert_finds_a_row_however_far_it_moves(spark, tmp_path, days):
+    root = str(tmp_path / "silver")
+    start = dt.datetime(2024, 1, 1, 12)
+    moved = start + dt.timedelta(days)
+    first = [("a", str(start), str(start), 1.0), ("b", str(start), str(start), 2.0),
+             ("c", str(start + dt.timedelta(2)), str(start), 3.0)]
+    tables.upsert_days(versions(spark, first), root, dedup.latest_quakes, ["event_id"])
+    files = {str(p) for p in (tmp_path / "silver").rglob("*.parquet")}
+    touched = tables.upsert_days(versions(spark, [("a", str(moved), str(moved), 1.5)]), root, dedup.latest_quakes, ["event_id"])
+    assert touched == {start.date(), moved.date()}
+    rows = spark.read.parquet(root).collect()
+    assert sorted((r["event_id"], r["magnitude"]) for r in rows) == [("a", 1.5), ("b", 2.0), ("c", 3.0)]
+    kept = {f for f in files if "day=3" in f}
+    assert kept and kept <= {str(p) for p in (tmp_path / "silver").rglob("*.parquet")}
+    # back again: the index knows the newest place although the oldest is in it too
+    back = [("a", str(start), str(moved + dt.timedelta(1)), 1.7)]
+    tables.upsert_days(versions(spark, back), root, dedup.latest_quakes, ["event_id"])
+    assert sorted((r["event_id"], r["magnitude"]) for r in spark.read.parquet(root).collect()) == [("a", 1.7), ("b", 2.0), ("c", 3.0)]
+
+
 def test_a_finished_stage_is_used_by_the_retry(spark, tmp_path):
     root, stage = str(tmp_path / "silver"), str(tmp_path / "stage")
     day = "2024-01-01 00:00:00"
-    tables.upsert_days(versions(spark, [("a", day, "2024-01-01 01:00:00", 1.0)]), root, dedup.latest_quakes)
+    tables.upsert_days(versions(spark, [("a", day, "2024-01-01 01:00:00", 1.0)]), root, dedup.latest_quakes, ["event_id"])
     both = [("a", day, "2024-01-01 01:00:00", 1.0), ("b", day, "2024-01-01 02:00:00", 2.0)]
     for step, rows in (("updates", both[1:]), ("merged", both)):
         versions(spark, rows).write.parquet(f"{stage}/{step}")
     # The swap of the first try stopped half-way and lost the day.
     shutil.rmtree(f"{root}/year=2024/month=1/day=1")
-    tables.upsert_days(versions(spark, both[1:]), root, dedup.latest_quakes, stage)
+    tables.upsert_days(versions(spark, both[1:]), root, dedup.latest_quakes, ["event_id"], stage)
     assert stored(spark, root) == {"a": (1.0, 1), "b": (2.0, 1)}
     assert not (tmp_path / "stage").exists()
 
@@ -184,6 +205,10 @@ def test_batches_and_retention(spark, tmp_path):
     assert spark.read.parquet(root).count() == 2
     days = spark.createDataFrame([("2023-10-12",), ("2023-10-11",)], "d string").select(F.to_date("d").alias("event_date"))
     assert [str(r[0]) for r in tables.retain(days, AS_OF, 90).collect()] == ["2023-10-12"]
+    root = str(tmp_path / "raw")
+    tables.append(versions(spark, [("a", "2023-10-11 23:00:00", AS_OF, 1.0), ("b", "2023-10-12 01:00:00", AS_OF, 2.0)]), root)
+    assert [str(d) for d in tables.drop_expired(spark, root, AS_OF, 90)] == ["2023-10-11"]
+    assert [r["event_id"] for r in spark.read.parquet(root).collect()] == ["b"]
 
 
 def test_feeds(spark):
@@ -197,3 +222,6 @@ def test_feeds(spark):
         feeds.live_feed(df, AS_OF, "all_year")
     first = feeds.recent_quakes(df, "2023-12-01", AS_OF, min_magnitude=1.0, limit=2)
     assert [r["event_id"] for r in first.collect()] == ["c", "b"]
+    many = spark.range(1500).selectExpr("cast(id AS string) AS event_id", f"TIMESTAMP '{AS_OF}' AS event_time", "5.0 AS magnitude", "700L AS significance")
+    assert feeds.recent_quakes(many, "2023-12-01", AS_OF).count() == feeds.significant_quakes(many, AS_OF).count() == 1500
+    assert feeds.significant_quakes(many, AS_OF, limit=100).count() == 100

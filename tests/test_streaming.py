@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import at
-from hazardflow.operators import enrich, frequency
+from hazardflow.operators import frequency
 from hazardflow.plans import bronze, silver
 from hazardflow.streaming import ingest, live
 from hazardflow import schemas
@@ -64,20 +64,28 @@ def test_latest_version_wins_across_batches(spark, tmp_path):
     assert got == {"ev0001": (4.5, 2), "ev0002": (3.0, 1)}
 
 
-def test_hourly_counts_grow_over_batches_and_match_the_batch_job(spark, tmp_path):
-    landing, root = Landing(tmp_path / "landing"), str(tmp_path / "hourly")
-    for poll in range(3):
-        landing.add(*[feature(f"ev{poll}{i:03}", 3600 * (i % 4) + poll, 3.0 + i % 2, lat=35.0 if i % 3 else 0.0) for i in range(12)])
-    regions = bronze_stream(spark, landing).transform(enrich.add_region)
-    hourly = live.hourly_by_region(regions)
-    at_hour = F.col("hour_window")
-    parted = hourly.withColumns({"year": F.year(at_hour), "month": F.month(at_hour), "day": F.dayofmonth(at_hour)})
-    drain(ingest.upsert_table(parted, root, str(tmp_path / "check"), merge=live.latest_hour, mode="update"))
+def test_live_tables_equal_the_batch_job_in_falling_time_order(spark, tmp_path):
+    """Three files, newest first, one a batch: a late row two days old, a revision that moves an
+    event to another hour, and a burst of 23.75 hours over midnight."""
+    landing, root = Landing(tmp_path / "landing"), str(tmp_path / "silver")
+    hours, bursts = str(tmp_path / "hours"), str(tmp_path / "bursts")
+    landing.add(*[feature(f"ev1{i:03}", 3 * 86_400 + 3600 * (i % 4), 3.0 + i % 2, lat=35.0 if i % 3 else 0.0) for i in range(12)])
+    landing.add(*[feature(f"ev2{i:03}", 2 * 86_400 - 900 - i * 21_300, 4.0, lat=10.2, lon=10.2) for i in range(5)])
+    landing.add(feature("ev3000", 60, 5.0), feature("ev1001", 3 * 86_400 + 10, 3.3, updated=99))
+
+    def then(days, number):
+        live.refresh_hours(spark, root, hours, days)
+        live.refresh_succession(spark, root, bursts, days)
+
+    stream = bronze_stream(spark, landing).drop("year", "month", "day", "hour")
+    drain(ingest.upsert_table(stream, root, str(tmp_path / "check"), prepare=lambda batch, n: silver.quakes(batch, AS_OF, f"b{n}"), then=then))
     documents = spark.read.schema(schemas.QUAKE_DOCUMENT).json(str(landing.path))
-    batch = frequency.hourly_activity(bronze.quakes(documents, AS_OF, "b1").transform(enrich.add_region))
-    key = ["geographic_region", "hour_window", "earthquake_count", "avg_magnitude", "max_magnitude"]
-    streamed = sorted(tuple(r) for r in spark.read.parquet(root).select(*key).collect())
-    assert streamed == sorted(tuple(r) for r in batch.select(*key).collect()) and len(streamed) == 8
+    whole = silver.quakes(bronze.quakes(documents, AS_OF, "b1").drop("year", "month", "day", "hour"), AS_OF)
+    for found, batch in ((hours, frequency.hourly_activity(whole)), (bursts, live.rapid_succession(whole))):
+        streamed = sorted(map(str, spark.read.parquet(found).select(*batch.columns).collect()))
+        assert streamed == sorted(map(str, batch.collect()))
+    assert {r["event_id"] for r in spark.read.parquet(bursts).collect()} >= {"ev2000"}
+    assert spark.read.parquet(hours).agg(F.sum("earthquake_count")).first()[0] == whole.count() == 18
 
 
 def test_live_frequency_alert_against_the_stored_baseline(spark):
@@ -97,7 +105,7 @@ def test_outbox_queues_an_alert_once(spark, tmp_path):
     landing.add(feature("ev0001", 0, 6.7, updated=2, lat=35.67, lon=139.65), feature("ev0002", 60, 5.1, lat=35.67, lon=139.65))
     landing.add(feature("ev0003", 60, 5.9, lat=0.0, lon=0.0))
     stream = bronze_stream(spark, landing).drop("year", "month", "day", "hour")
-    writer = ingest.upsert_table(stream, root, str(tmp_path / "check"), merge=live.first_per_delivery,
+    writer = ingest.upsert_table(stream, root, str(tmp_path / "check"), merge=live.first_per_delivery, key="outbox_key",
                                  prepare=lambda batch, n: live.outbox_rows(silver.quakes(batch, AS_OF), n))
     drain(writer)
     rows = sorted((r["event_id"], r["channel"], r["recipient"], r["title"][-3:], r["queued_batch"]) for r in spark.read.parquet(root).na.fill("-").collect())
