@@ -298,6 +298,15 @@ SELECT * EXCLUDE (raw_id) REPLACE (coalesce(depth_km, 0e0) AS depth_km,
   printf('%.4f,%.4f', latitude, longitude) AS location
 FROM good_features WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
   AND magnitude BETWEEN 1 AND 10""", "latitude longitude depth_km magnitude")
+_oracle("src_geojson_documents_rejected", "raw_quakes", """
+SELECT CASE raw_id % 6 WHEN 0 THEN length(event_id) + 45 WHEN 1 THEN length(event_id) + 22 END AS document_length,
+  CASE WHEN raw_id % 6 < 2 THEN 'unreadable' ELSE 'no features' END AS reason
+FROM raw_quakes WHERE raw_id % 6 < 3""")
+_oracle("src_geojson_weather_rejected", "raw_quakes", """
+SELECT event_id AS alert_id, '' AS reasons FROM raw_quakes WHERE raw_id % 6 >= 3
+UNION ALL SELECT '', '' FROM raw_quakes WHERE raw_id % 6 = 3
+UNION ALL SELECT NULL, 'properties' FROM raw_quakes WHERE raw_id % 6 = 3
+UNION ALL SELECT NULL, 'properties' FROM raw_quakes, range(2) WHERE raw_id % 6 = 4""")
 _oracle("src_geojson_weather", "raw_weather", """
 SELECT alert_id, event_type, headline, severity, urgency, '' AS certainty, area_desc,
   concat('{"SAME":["', raw_id, '"]}') AS geocode,

@@ -10,7 +10,6 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazardflow import schemas
 from hazardflow.functions.sql import literal
 from hazardflow.functions.stats import computed_once
 from hazardflow.operators.cluster import ClusterModel
@@ -169,13 +168,23 @@ def weather_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _documents(weather_columns(spark, sf).selectExpr(f"{feature} AS feature"))
 
 
-def parsed(spark: SparkSession, sf: str, parse, documents, schema) -> DataFrame:
-    return parse(geojson.from_text(documents(spark, sf), "value", schema))
+def broken_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """A document for every event: a good one, a broken one, or one with odd features."""
+    return quake_columns(table(spark, sf, "events")).selectExpr("""CASE raw_id % 6
+      WHEN 0 THEN concat('{"features":[{"id":"', event_id, '","properties":{"mag":1}}')
+      WHEN 1 THEN concat('{"features":{"id":"', event_id, '"}}')
+      WHEN 2 THEN concat('{"id":"', event_id, '"}')
+      WHEN 3 THEN concat('{"features":[{"properties":{"id":"', event_id, '"}},"text",{"properties":{}}]}')
+      WHEN 4 THEN concat('{"features":[null,{"id":7,"properties":{"id":"', event_id, '"}},{"properties":[1]}]}')
+      ELSE concat('{"features":[{"properties":{"id":"', event_id, '"}}]}') END AS value""")
 
 
-parsed_quakes = functools.partial(
-    parsed, documents=quake_documents, schema=schemas.QUAKE_DOCUMENT
-)
+def parsed(spark: SparkSession, sf: str, parse, documents) -> DataFrame:
+    return parse(geojson.from_text(documents(spark, sf), "value"))
+
+
+parsed_quakes = functools.partial(parsed, documents=quake_documents)
+parsed_broken = functools.partial(parsed, documents=broken_documents)
 parsed_weather = functools.partial(
-    parsed, documents=weather_documents, schema=schemas.WEATHER_DOCUMENT
+    parsed, documents=weather_documents
 )

@@ -77,6 +77,23 @@ def src_geojson_strict(spark, sf):
     return rows.select(*QUAKE_COLUMNS, "location")
 
 
+@query
+def src_geojson_documents_rejected(spark, sf):
+    """Documents without a list of features, by reason."""
+    rows = P.parsed_broken(spark, sf, geojson.rejected_documents)
+    return rows.select(F.length("document").alias("document_length"), "reason")
+
+
+@query
+def src_geojson_weather_rejected(spark, sf):
+    """Features without properties next to good ones of the same document; none is lost."""
+    bad = P.parsed_broken(spark, sf, geojson.rejected_weather)
+    good = P.parsed_broken(spark, sf, lambda docs: geojson.parse_weather(docs, W, BATCH))
+    return bad.select(
+        F.lit(None).cast("string").alias("alert_id"), F.array_join("reasons", ",").alias("reasons")
+    ).unionByName(good.select("alert_id", F.lit("").alias("reasons")))
+
+
 @query
 def src_geojson_weather(spark, sf):
     rows = P.parsed_weather(spark, sf, lambda docs: geojson.parse_weather(docs, W, BATCH))

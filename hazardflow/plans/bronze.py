@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardflow import schemas
 from hazardflow.operators import enrich
 from hazardflow.sources import geojson, tables
 
@@ -24,12 +23,12 @@ def weather(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
 def ingest_quakes(
     spark: SparkSession, landing: str, root: str, as_of, batch_id: str, multi_line: bool = False
 ) -> None:
-    documents = geojson.read_documents(spark, landing, schemas.QUAKE_DOCUMENT, multi_line)
+    documents = geojson.read_documents(spark, landing, multi_line)
     tables.append(quakes(documents, as_of, batch_id), root)
 
 
 def ingest_weather(
     spark: SparkSession, landing: str, root: str, as_of, batch_id: str, multi_line: bool = False
 ) -> None:
-    documents = geojson.read_documents(spark, landing, schemas.WEATHER_DOCUMENT, multi_line)
+    documents = geojson.read_documents(spark, landing, multi_line)
     tables.append(weather(documents, as_of, batch_id), root)

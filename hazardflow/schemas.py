@@ -9,21 +9,23 @@ from pyspark.sql import types as T
 # so that the parser can reject the one bad feature instead of losing it.
 _PROPERTIES = T.MapType(T.StringType(), T.StringType())
 
-QUAKE_DOCUMENT = T.StructType([
-    T.StructField("features", T.ArrayType(T.StructType([
-        T.StructField("id", T.StringType()),
-        T.StructField("geometry", T.StructType([
-            T.StructField("coordinates", T.ArrayType(T.StringType())),
-        ])),
-        T.StructField("properties", _PROPERTIES),
-    ]))),
+# Features are read as raw texts first, so that one bad element does not lose its document.
+DOCUMENT = T.StructType([
+    T.StructField("features", T.ArrayType(T.StringType())),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
-WEATHER_DOCUMENT = T.StructType([
-    T.StructField("features", T.ArrayType(T.StructType([
-        T.StructField("geometry", T.StringType()),
-        T.StructField("properties", _PROPERTIES),
-    ]))),
+QUAKE_FEATURE = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("geometry", T.StructType([
+        T.StructField("coordinates", T.ArrayType(T.StringType())),
+    ])),
+    T.StructField("properties", _PROPERTIES),
+])
+
+WEATHER_FEATURE = T.StructType([
+    T.StructField("geometry", T.StringType()),
+    T.StructField("properties", _PROPERTIES),
 ])
 
 

@@ -18,25 +18,34 @@ from hazardflow.functions.time import moment
 QUAKE_SOURCE, WEATHER_SOURCE, API_VERSION = "usgs_api", "noaa_api", "1.0"
 
 
-def read_documents(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
-) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Landed files. One document per line splits; ``multi_line`` is one per file."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return spark.read.schema(schemas.DOCUMENT).option("multiLine", multi_line).json(path)
 
 
-def from_text(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+def from_text(df: DataFrame, column: str) -> DataFrame:
     """Same shape from a text column.
 
     Parsed in a step of its own: exploding a parsed column directly would make
     the optimizer add an is-not-empty filter that parses every text again.
     """
-    parsed = computed_once(df, {"_document": F.from_json(F.col(column), schema)})
+    parsed = computed_once(df, {"_document": F.from_json(F.col(column), schemas.DOCUMENT)})
     return parsed.select("_document.*")
 
 
-def _features(documents: DataFrame) -> DataFrame:
-    return documents.select(F.explode("features").alias("feature")).select("feature.*")
+def _features(documents: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per element of ``features``; one that is no object has NULL fields."""
+    raw = documents.select(F.explode("features").alias("raw_feature"))
+    parsed = computed_once(raw, {"feature": F.from_json("raw_feature", schema)})
+    return parsed.select("raw_feature", "feature.*")
+
+
+def rejected_documents(documents: DataFrame) -> DataFrame:
+    """Documents without a list of features, with the text where it could not be read."""
+    return documents.filter("features IS NULL").select(
+        F.col("_corrupt_record").alias("document"),
+        F.when(F.col("_corrupt_record").isNotNull(), "unreadable").otherwise("no features").alias("reason"),
+    )
 
 
 def _property(name: str, default: str = "") -> str:
@@ -103,7 +112,9 @@ def _quake_columns(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     texts = {name: F.expr(_property(key, default)) for name, (key, default) in _QUAKE_TEXTS.items()}
     texts["_significance"] = F.expr(_property("sig", "0"))
     texts["_tsunami"] = F.expr("properties['tsunami']")
-    looked_up = computed_once(computed_once(_features(documents), numbers), texts)
+    looked_up = computed_once(
+        computed_once(_features(documents, schemas.QUAKE_FEATURE), numbers), texts
+    )
 
     columns = {"event_id": "coalesce(id, '')", **{name: name for name in _QUAKE_TEXTS}}
     for name, (_, kind) in _QUAKE_NUMBERS.items():
@@ -203,7 +214,13 @@ def parse_weather(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
         "batch_id": F.lit(batch_id),
     })
     return (
-        _features(documents)
+        _features(documents, schemas.WEATHER_FEATURE)
         .filter(props.isNotNull())
         .select(*[columns[name].alias(name) for name in schemas.BRONZE_WEATHER.names])
     )
+
+
+def rejected_weather(documents: DataFrame) -> DataFrame:
+    """The features ``parse_weather`` leaves out: those without properties."""
+    rows = _features(documents, schemas.WEATHER_FEATURE).filter("properties IS NULL")
+    return rows.select("raw_feature", F.array(F.lit("properties")).alias("reasons"))

@@ -14,10 +14,10 @@ from hazardflow.sources import tables
 
 
 def landed_documents(
-    spark: SparkSession, landing: str, schema=schemas.QUAKE_DOCUMENT, files_per_batch: int | None = None
+    spark: SparkSession, landing: str, files_per_batch: int | None = None
 ) -> DataFrame:
     """Stream of documents, one per line, from a landing folder."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schemas.DOCUMENT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(landing)

@@ -27,7 +27,7 @@ def land(tmp_path, features, multi_line=False):
 
 
 def parse(spark, tmp_path, features, parser=geojson.parse_quakes, multi_line=False):
-    docs = geojson.read_documents(spark, land(tmp_path, features, multi_line), schemas.QUAKE_DOCUMENT, multi_line)
+    docs = geojson.read_documents(spark, land(tmp_path, features, multi_line), multi_line)
     return {r["event_id"]: r for r in parser(docs, AS_OF, "b1").collect()}
 
 
@@ -91,7 +91,7 @@ def test_weather_documents(spark, tmp_path):
     features = [{"geometry": {"type": "Point", "coordinates": [1, 2]}, "properties": props},
                 {"geometry": None, "properties": {"id": "wx0002"}}, {"geometry": {}, "properties": {"id": "wx0003"}},
                 {"geometry": {}, "properties": None}]
-    docs = geojson.read_documents(spark, land(tmp_path, features), schemas.WEATHER_DOCUMENT)
+    docs = geojson.read_documents(spark, land(tmp_path, features))
     rows = {r["alert_id"]: r for r in geojson.parse_weather(docs, AS_OF, "b1").collect()}
     assert set(rows) == {"wx0001", "wx0002", "wx0003"}
     first = rows["wx0001"]
@@ -197,6 +197,20 @@ def test_silver_refresh_keeps_older_days(spark, tmp_path):
     assert stored(spark, root) == {"ev0001": (4.0, 1), "ev0002": (5.5, 4)}
 
 
+def test_bad_documents_and_elements_lose_nothing_else(spark, tmp_path):
+    good = {"id": "ev0001", "geometry": {"coordinates": [1, 2, 3]}, "properties": {"mag": 4, "sig": 1}}
+    lines = [json.dumps({"features": [good, "text", good]}), '{"features": [', json.dumps({"features": {"a": 1}}), json.dumps({"other": 1}),
+             json.dumps({"features": [None, good, 5, {"id": "x"}, {"properties": [1]}]}), json.dumps({"features": []})]
+    (tmp_path / "docs.json").write_text("\n".join(lines) + "\n")
+    docs = geojson.read_documents(spark, str(tmp_path / "docs.json"))
+    kept, bad = geojson.parse_quakes(docs, AS_OF, "b1"), geojson.rejected_quakes(docs, AS_OF, "b1")
+    assert (kept.count(), bad.count()) == (3, 5)
+    assert all("properties" in r["reasons"] for r in bad.collect())
+    reasons = sorted((r["reason"], r["document"]) for r in geojson.rejected_documents(docs).na.fill("").collect())
+    assert reasons == [("no features", ""), ("unreadable", lines[1]), ("unreadable", lines[2])]
+    assert geojson.parse_weather(docs, AS_OF, "b1").count() + geojson.rejected_weather(docs).count() == 8
+
+
 def test_batches_and_retention(spark, tmp_path):
     root = str(tmp_path / "gold")
     df = spark.createDataFrame([(1, at(AS_OF))], "n int, t timestamp")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import at
 from hazardflow.operators import frequency
 from hazardflow.plans import bronze, silver
+from hazardflow.sources import geojson
 from hazardflow.streaming import ingest, live
 from hazardflow import schemas
 
@@ -79,7 +80,7 @@ def test_live_tables_equal_the_batch_job_in_falling_time_order(spark, tmp_path):
 
     stream = bronze_stream(spark, landing).drop("year", "month", "day", "hour")
     drain(ingest.upsert_table(stream, root, str(tmp_path / "check"), prepare=lambda batch, n: silver.quakes(batch, AS_OF, f"b{n}"), then=then))
-    documents = spark.read.schema(schemas.QUAKE_DOCUMENT).json(str(landing.path))
+    documents = geojson.read_documents(spark, str(landing.path))
     whole = silver.quakes(bronze.quakes(documents, AS_OF, "b1").drop("year", "month", "day", "hour"), AS_OF)
     for found, batch in ((hours, frequency.hourly_activity(whole)), (bursts, live.rapid_succession(whole))):
         streamed = sorted(map(str, spark.read.parquet(found).select(*batch.columns).collect()))
