@@ -15,7 +15,7 @@ def worded(text):
 
 def expected(rows, least):
     """Longest run from each line that also starts earlier; all its lines go if it has enough words."""
-    texts = sorted({(i, t) for i, t in rows if t is not None})
+    texts = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     lines = [worded(t) for _, t in texts]
     out = {}
     for d, own in enumerate(lines):
