@@ -18,7 +18,9 @@ def shared_dir(spark: SparkSession) -> str:
     that is unset. Never a temporary folder of one machine."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    configured = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
+    if not configured:
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages")
+        return context.getCheckpointDir()
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured
