@@ -33,10 +33,10 @@ GROUP BY d.doc_id
 """,
     "op4_line_dedup": rf"""
 WITH part AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS at
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
     FROM documents WHERE text IS NOT NULL
 ), worded AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS i
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i
     FROM (SELECT *, len(regexp_extract_all(line, '{_WORDS}')) AS w FROM part) WHERE w > 0
 ), summed AS (
     SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS total FROM worded
@@ -53,9 +53,9 @@ WITH part AS (
     SELECT doc_id, first, last FROM content
     QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, first) > 1
 ), gone AS (
-    SELECT DISTINCT s.doc_id, s.at FROM later l JOIN summed s ON s.doc_id = l.doc_id AND s.i BETWEEN l.first AND l.last
+    SELECT DISTINCT s.doc_id, s.pos FROM later l JOIN summed s ON s.doc_id = l.doc_id AND s.i BETWEEN l.first AND l.last
 ), kept AS (
-    SELECT doc_id, string_agg(line, chr(10) ORDER BY at) AS text FROM part ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM part ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
 ), counted AS (
     SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
 )
