@@ -20,8 +20,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of runs of lines of 50 words or more; n_chars follows the text."""
-    out = line_dedup.remove_repeats(docs)
+    """Documents without later copies of runs of lines of 50 words or more; n_chars follows the text.
+
+    A document whose words are all in such copies goes; its first copy stays. One that had no word
+    before stays.
+    """
+    out = line_dedup.remove_repeats(docs, removed="__removed")
+    out = out.filter(~((F.col("__removed") > 0) & ~F.col("text").rlike(line_dedup.WORD))).drop("__removed")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -25,6 +25,8 @@ from hazardflow.llm.store import chunks, map_arrow, ship_package, stored, text_b
 from hazardflow.llm.words import _BYTE, hash_spans, spans
 
 _KEY = "__doc_key"
+#: Matches a text that has a word.
+WORD = r"[^ \t\n\x0B\f\r]"
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The pipeline against brute force, stage after stage, on the awkward corpus."""
 
+import random
+
 import public_tokenizers
 import tiktoken
 import base64
@@ -7,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from hazardflow.llm import decontaminate
+from llm.conftest import words
 from llm.test_decontaminate import distance
 from llm.test_line_dedup import expected as without_repeats
 from llm.test_ngram_join import expected as components
@@ -61,3 +64,21 @@ def test_empty_table(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_exact_copies_leave_one_row(spark, tmp_path):
+    """Copies long enough for line dedup, and short ones that only the join sees; empty texts are no copies."""
+    rnd = random.Random(11)
+    groups = [words(rnd, 240), words(rnd, 60), words(rnd, 20)]
+    texts = [" ".join(group) for group in groups]
+    texts[0] = "\n".join(" ".join(groups[0][k : k + 12]) for k in range(0, 240, 12))
+    rows = [(10 * copy + g, text) for g, text in enumerate(texts) for copy in range(1, 6)]
+    rows += [(90, "a \n\n " + texts[0]), (91, "-- 12"), (92, ""), (93, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    deduped = corpus_pipeline.remove_repeated_lines(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in deduped) == [10, 11, 12, 22, 32, 42, 52, 90, 91, 92, 93]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "in no document of these")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == [10, 11, 12, 90]
+    assert all(len(r.ids) for r in got)
