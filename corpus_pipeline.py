@@ -31,8 +31,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
-    return ngram_join.keep_one(docs)
+    """One document of each group of near duplicates, the one with the least id; rows equal to it stay with it."""
+    return ngram_join.keep_one(docs, equal_rows=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,8 @@ HASHED_ROUNDS = 1
 #: Expected units of a set's pieces, in units it needs: the rest may lie on shared pieces for nothing.
 SPARE = 1.3
 SET_ID = U((1 << 63) - 1)
+_LINKABLE = "n_shingles > 0 AND doc_id IS NOT NULL"
+_ROW = "__row"
 #: Words of the parity sketch of a set.
 SKETCH = [f"k{i}" for i in range(8)]
 
@@ -203,15 +205,15 @@ def _sketches(owner, shingle, owners: int) -> np.ndarray:
 
 
 def set_ids(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, band, seed, spare, sketch) of every row; equal sets have equal ids."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
+    """(doc_id, row, n_shingles, set_id, band, seed, spare, sketch) of every row; equal sets have equal ids."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
                         ("band", pa.int32()), ("seed", pa.int32()), ("spare", pa.int32()), *((k, pa.int64()) for k in SKETCH)])
 
     def run(batches):
         for batch in chunks(batches):
             owner, shingle, sizes, ids = _sets(batch, size)
             seeds, spare = _seeds(owner, shingle, sizes, percent)
-            yield [batch.column("doc_id"), sizes, ids, *(x.astype(np.int32) for x in (band_of(sizes), seeds, spare)),
+            yield [batch.column("doc_id"), batch.column("row"), sizes, ids, *(x.astype(np.int32) for x in (band_of(sizes), seeds, spare)),
                    *_sketches(owner, shingle, batch.num_rows).T]
 
     return map_arrow(docs, run, schema)
@@ -295,7 +297,7 @@ def hub_pairs(lists: DataFrame, order) -> DataFrame:
 def _shingle_arrays(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(set_id, shingles) of the wanted sets, from the text of one document each."""
     schema = pa.schema([("set_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-    picked = docs.join(wanted.select("doc_id", F.col("set_id").alias("__set_id")), "doc_id")
+    picked = docs.join(wanted.select("row", F.col("set_id").alias("__set_id")), "row")
 
     def run(batches):
         for batch in chunks(batches):
@@ -325,29 +327,22 @@ def _may_be_similar(u: str, v: str, percent: int):
                   f"{100 + percent} * ({flipped}) <= {100 - percent} * ({u}.n + {v}.n)")
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+def _text_components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` (doc_id, text, row) with their set ids, and the component of each set by links of texts.
 
-    ``n_shingles`` is the number of distinct ``size``-word shingles of the whole text; a text with
-    fewer words is one shingle. Rows link when 100 * intersection >= ``percent`` * union, and
-    ``component_id`` is the least id reachable by links, the own one included. A null or empty
-    text, or one without words, has 0 shingles and stays alone. A null id gets a null component
-    and links with nothing. A repeated id gives one row for each occurrence, and the component
-    joins what any of them links. Ties cannot occur: components do not depend on the order of rows.
+    The first is (doc_id, row, n_shingles, set_id); the second, (set_id, root, first), has the sets of
+    rows with an id and a shingle, ``first`` being the least (doc_id, row) of the set.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    spark = docs.sparkSession
     member = stored(set_ids(docs, size, percent), "sets")
-    linkable = member.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    linkable = member.filter(_LINKABLE)
     seeds = {r[0]: r[1] for r in linkable.groupBy("band").agg(F.max("seed")).collect()}
-    sets = stored(linkable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("spare").alias("spare"),
+    first = F.min(F.struct("doc_id", "row")).alias("first")
+    sets = stored(linkable.groupBy("set_id").agg(first, F.first("n_shingles").alias("n"), F.first("spare").alias("spare"),
         *(F.first(k).alias(k) for k in SKETCH)), "unique")
     known = docs.filter("doc_id IS NOT NULL")
     lists = stored(unit_lists(shared_pieces(piece_rows(known, size, percent, seeds)), sets), "lists")
 
-    wanted = lists.select("set_id").distinct().join(sets, "set_id").select("set_id", "doc_id")
+    wanted = lists.select("set_id").distinct().join(sets, "set_id").select("set_id", "first.row")
     arrays = stored(_shingle_arrays(known, wanted, size), "shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -373,9 +368,45 @@ def near_duplicates(
         roots = graph.components(links.unionByName(more))
 
     rooted = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return member, rooted.select("set_id", "root", "first")
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text, row): ``row`` is equal for rows with equal id and text."""
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return docs.withColumn("row", F.xxhash64("doc_id", "text"))
+
+
+def _joined_by_ids(member: DataFrame, rooted: DataFrame) -> DataFrame:
+    """``rooted`` with the components of all texts of an id made one."""
+    named = member.filter(_LINKABLE).select("doc_id", "set_id").distinct()
+    several = named.groupBy("doc_id").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("top")).filter("hub != top")
+    met = named.join(several.select("doc_id", "hub"), "doc_id").select("hub", "set_id").filter("hub != set_id")
+    met = met.join(rooted.select("set_id", F.col("root").alias("v")), "set_id")
+    met = met.join(rooted.select(F.col("set_id").alias("hub"), F.col("root").alias("u")), "hub")
+    edges = stored(met.filter("u != v").select("u", "v").distinct(), "ids")
+    if not edges.limit(1).count():
+        return rooted
+    joined = graph.components(edges).select(F.col("node").alias("root"), F.col("root").alias("__root"))
+    return rooted.join(joined, "root", "left").withColumn("root", F.coalesce("__root", "root")).drop("__root")
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+
+    ``n_shingles`` is the number of distinct ``size``-word shingles of the whole text; a text with
+    fewer words is one shingle. Rows link when 100 * intersection >= ``percent`` * union, and
+    ``component_id`` is the least id reachable by links, the own one included. A null or empty
+    text, or one without words, has 0 shingles and stays alone. A null id gets a null component
+    and links with nothing. A repeated id gives one row for each occurrence, and the component
+    joins what any of them links. Ties cannot occur: components do not depend on the order of rows.
+    """
+    member, rooted = _text_components(_keyed(docs, doc_id, text), size, percent)
+    rooted = stored(_joined_by_ids(member, rooted), "components")
+    least = rooted.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
     group = rooted.join(least, "root").select("set_id", "component_id")
-    # an id that occurs with several texts joins the components of all of them
     out = member.join(group, "set_id", "left")
     alone = F.col("n_shingles") == 0
     result = out.select(
@@ -385,12 +416,29 @@ def near_duplicates(
     return result
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs``, one of each component: the least id, and of several rows with it the least text.
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, equal_rows: bool = False,
+) -> DataFrame:
+    """Rows of ``docs``, one of each group that links of texts join: the least id, and of several rows
+    with it the one whose text has the least hash.
 
-    Columns and their names stay. Rows without shingles or without id all stay.
+    Columns and their names stay. Rows without shingles or without id all stay. Unlike in
+    ``near_duplicates``, rows of one id are not joined by it: a row goes for its own text. Of rows
+    with equal id and text one stays, the one with the least hash over all columns, or with
+    ``equal_rows`` all of them.
     """
     names = docs.columns
-    found = near_duplicates(docs, doc_id, text, size, percent)
-    dropped = found.filter("doc_id != component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(dropped, F.col(doc_id).cast("long") == F.col("__id"), "left_anti").select(*names)
+    member, rooted = _text_components(_keyed(docs, doc_id, text), size, percent)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row", F.lit(True).alias("stays"))
+    seen = member.filter(_LINKABLE).groupBy("row").agg(F.count("*").alias("n"))
+    # rows that go, and those of which one of several equal ones stays
+    several = F.lit(not equal_rows) & (F.col("n") > 1)
+    marked = stored(seen.join(kept, "row", "left").filter(F.col("stays").isNull() | several).select(
+        F.col("row").alias(_ROW), F.col("stays").isNotNull().alias("__again")), "marked")
+    keyed = docs.withColumn(_ROW, F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string")))
+    out = keyed.join(marked, _ROW, "left_anti").select(*names)
+    again = marked.filter("__again").select(_ROW)
+    if not again.limit(1).count():
+        return out
+    one = keyed.join(again, _ROW).groupBy(_ROW).agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("__one"))
+    return out.unionByName(one.select("__one.*"))

@@ -93,3 +93,30 @@ def test_similar_sets_share_a_piece(near, monkeypatch):
         lists = [set(map(int, pieces[(ids == k)])) for k in (1, 2)]
         units = [set(map(int, pieces[(ids == k) & unit])) for k in (1, 2)]
         assert units[0] & lists[1] or units[1] & lists[0]
+
+
+def _text(seed, n=60):
+    rnd = random.Random(seed)
+    return " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+
+
+def test_texts_of_one_id_join_their_components(spark):
+    a, b, c, d = map(_text, range(4))
+    rows = [(3, a), (7, a), (7, b), (9, b + " more"), (9, c), (11, c), (12, d), (12, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert answer(ngram_join.near_duplicates(frame)) == expected(rows)
+    assert {i: c for i, _, c in expected(rows)} == {3: 3, 7: 3, 9: 3, 11: 3, 12: 12}
+
+
+def test_keep_one_drops_rows_not_ids(spark):
+    """A clean text stays beside a copy with its id; of equal or similar rows of one id one stays."""
+    a, b, c, d = map(_text, range(4))
+    rows = [(3, a, "x"), (7, a, "x"), (7, b, "x"), (8, c, "x"), (8, c, "y"), (8, c + " more", "x"), (9, d, "z"), (9, d, "z"),
+            (None, a, "x"), (None, a, "x"), (10, "", "x"), (10, "", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, root string").repartition(4)
+    got = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(frame).collect()), key=str)
+    eight = [x for x in got if x[0] == 8]
+    assert len(eight) == 1 and eight[0][1] in (c, c + " more")
+    assert [x for x in got if x[0] != 8] == sorted([(3, a), (7, b), (9, d), (None, a), (None, a), (10, ""), (10, "")], key=str)
+    every = [r.doc_id for r in ngram_join.keep_one(frame, equal_rows=True).collect()]
+    assert every.count(9) == 2 and every.count(8) in (1, 2) and every.count(7) == 1 and every.count(3) == 1
