@@ -10,9 +10,14 @@ from hazardflow.llm.store import crc_fold, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language. One without a letter has none and goes; languages are learned as in op10."""
+    """Documents with a language. One without a letter has none and goes; languages are learned as in op10.
+
+    Where no row has a language to learn, all documents with a letter stay.
+    """
     tokens = merge_replay.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     model = language_id.fit(docs.filter(crc_fold(F.col("doc_id"), 4) != 2), tokens)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     names = docs.columns
     inner = docs.select(*[F.col(name).alias(f"__{name}") for name in names])
     found = language_id.predict(inner, model, "__doc_id", "__text", keep=tuple(inner.columns))

@@ -82,3 +82,10 @@ def test_exact_copies_leave_one_row(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in got) == [10, 11, 12, 90]
     assert all(len(r.ids) for r in got)
+
+
+def test_no_language_to_learn_keeps_lettered_documents(spark, tmp_path):
+    rows = [(1, "some words", None, "s", 0), (2, "12 --", None, "s", 0), (3, None, None, "s", 0), (4, "你好", None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.identify_language(spark, docs, str(tmp_path))
+    assert got.columns == COLUMNS and sorted(r.doc_id for r in got.collect()) == [1, 4]
