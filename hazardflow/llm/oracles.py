@@ -61,5 +61,35 @@ WITH part AS (
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(c.n, 0) AS n_removed_lines
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counted c USING (doc_id)
+""",
+    "op13_conversation_trie": r"""
+WITH own AS (
+    SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS s
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), headed AS (
+    -- crc32 of the decimal id, bit by bit
+    SELECT conv_id, s, CAST(xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+        lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, y: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1))), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS BIGINT) % 6 AS h
+    FROM own
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.s[1:c.h], []), c.s[c.h + 1:]) AS s
+    FROM headed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefix AS (
+    SELECT conv_id, s[1:d] AS p, d, d = len(s) AS ends FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM rebuilt)
+), node AS (
+    SELECT p, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+    FROM prefix GROUP BY p
+), grown AS (
+    SELECT n.*, q.conv_id AS parent_conv_id, (SELECT count(*) FROM node c WHERE c.depth = n.depth + 1 AND c.p[1:n.depth] = n.p) AS n_children
+    FROM node n LEFT JOIN node q ON n.depth > 0 AND q.depth = n.depth - 1 AND q.p = n.p[1:n.depth - 1]
+)
+SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children,
+    count(*) FILTER (u.n_children = 0) AS n_leaves,
+    CAST(sum((u.n_convs - 1) * CASE WHEN u.depth = 0 THEN 0 ELSE length(u.p[u.depth].t) END) AS BIGINT) AS saved_tokens,
+    sha256(any_value(a.ids)) AS ends_sha256
+FROM grown a JOIN grown u ON u.depth >= a.depth AND u.p[1:a.depth] = a.p
+GROUP BY a.p, a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children
 """,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazardflow.llm import (
-    brown_lm, chat_format, decontaminate, gam_quality, language_id, line_dedup, merge_replay, ngram_join,
-    quality_rules, token_counts,
+    brown_lm, chat_format, decontaminate, gam_quality, html_text, language_id, line_dedup, merge_replay, ngram_join,
+    prefix_trie, quality_rules, token_counts, whitening,
 )
 from hazardflow.llm.store import crc_fold
 
@@ -81,4 +81,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = whitening.coded(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    rows = whitening.whiten(codes, whitening.fit(codes, components=16))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.trie(prefix_trie.with_shared_heads(prefix_trie.turns(conversations), every=100, folds=6))
+
+
 QUERIES = {name: function for name, function in list(globals().items()) if name.startswith("op")}
