@@ -15,7 +15,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hazardflow.llm.store import chunks, map_arrow, ship_package
+from hazardflow.llm.store import chunks, map_arrow, released, ship_package
 
 #: Characters of test items broadcast at once. More items take more passes.
 BLOCK_CHARS = 8 << 20
@@ -161,5 +161,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text: str =
                 yield batch.filter(pa.array([not matcher.matches(t.as_py()) for t in batch.column(text)], pa.bool_()))
 
         ship_package(docs.sparkSession)
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(released(run), docs.schema)
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import pathlib
 import shutil
@@ -47,6 +48,20 @@ def ship_package(spark: SparkSession) -> None:
     context._hazardflow_shipped = True
 
 
+def released(function: Callable) -> Callable:
+    """``function`` on a partition's batches; at its end the worker, which Spark keeps for later tasks and other
+    stages, gives the memory it no longer needs back to the system."""
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: pa.Schema) -> DataFrame:
     """``function`` takes the iterator of record batches of a partition and yields lists of columns."""
 
@@ -59,7 +74,7 @@ def map_arrow(df: DataFrame, function: Callable, schema: pa.Schema) -> DataFrame
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, from_arrow_schema(schema))
+    return df.mapInArrow(released(run), from_arrow_schema(schema))
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -85,6 +100,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or that after underscores, so that no column has it."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc_fold(column, folds: int):
     """crc32 of the id as text, modulo ``folds``; 0 for a null id."""
     return F.coalesce(F.crc32(column.cast("string")) % folds, F.lit(0))
