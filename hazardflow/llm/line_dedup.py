@@ -21,19 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hazardflow.llm.store import chunks, map_arrow, ship_package, stored, text_bytes
-from hazardflow.llm.words import _BYTE, hash_spans, spans
+from hazardflow.llm.store import chunks, map_arrow, released, ship_package, stored, text_bytes, unused
+from hazardflow.llm.words import EXACT, hash_spans, spans
 
-_KEY = "__doc_key"
 #: Matches a text that has a word.
 WORD = r"[^ \t\n\x0B\f\r]"
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows with a key for (id, text): repeated rows share it and are treated alike."""
-    return docs.withColumn(_KEY, F.xxhash64(F.col(doc_id).cast("long"), F.col(text)))
-
-
 def lines(docs: DataFrame, min_words: int) -> DataFrame:
     """(id, doc, line, rank, on, back) of every line with a word.
 
@@ -69,7 +63,7 @@ def lines(docs: DataFrame, min_words: int) -> DataFrame:
             line = place - np.searchsorted(rows, rows)
             given = pa.array(rows)
             yield [batch.column("id").take(given), batch.column("doc").take(given), line.astype(np.int32),
-                   hash_spans(data, starts, ends, _BYTE).view(np.int64), on.astype(np.int32), back.astype(np.int32)]
+                   hash_spans(data, starts, ends, EXACT).view(np.int64), on.astype(np.int32), back.astype(np.int32)]
 
     return map_arrow(docs, run, schema)
 
@@ -131,13 +125,15 @@ def remove_repeats(
     text stays null. Rows with equal id and text count as one row and change alike. ``removed``
     names a column to add for the number of lines removed. Rows come back in any order.
     """
-    keyed = _keyed(docs, doc_id, text)
+    # a key for (id, text): repeated rows share it and are treated alike
+    key = unused("doc_key", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id).cast("long"), F.col(text)))
     runs = repeated_runs(
-        keyed.filter(F.col(text).isNotNull()).select(F.col(doc_id).cast("long").alias("id"), F.col(_KEY).alias("doc"), F.col(text).cast("string").alias("text")),
+        keyed.filter(F.col(text).isNotNull()).select(F.col(doc_id).cast("long").alias("id"), F.col(key).alias("doc"), F.col(text).cast("string").alias("text")),
         min_words,
     )
-    cuts = runs.groupBy(F.col("doc").alias(_KEY)).agg(F.collect_set(F.struct("line", "length")).alias("__cuts"))
-    joined = keyed.join(cuts, _KEY, "left").drop(_KEY)
+    cuts = runs.groupBy(F.col("doc").alias(key)).agg(F.collect_set(F.struct("line", "length")).alias(unused("cuts", docs.columns)))
+    joined = keyed.join(cuts, key, "left").drop(key)
     out = docs.withColumn(removed, F.lit(0).cast("long")) if removed else docs
     position, names = docs.columns.index(text), out.columns
 
@@ -159,4 +155,4 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays([*columns, *([pa.array(counts)] if removed else [])], names=names)
 
     ship_package(joined.sparkSession)
-    return joined.mapInArrow(run, out.schema)
+    return joined.mapInArrow(released(run), out.schema)

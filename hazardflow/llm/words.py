@@ -1,7 +1,8 @@
 """Words of whole texts as 64-bit hashes, computed for many rows at once with numpy.
 
 A word is a run of bytes other than space and 0x09-0x0D, with A-Z in lower case.
-Different words of one table get different hashes but for a chance of about n^2 / 2^65.
+Different words of one table get different hashes but for a chance of about n^2 / 2^65, whatever their
+structure: every eight bytes pass a mixing bijection, one after another.
 """
 
 from __future__ import annotations
@@ -9,8 +10,6 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-_ODD = U(0x9E3779B97F4A7C15)
-_ODD_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 SOLID = np.ones(256, bool)
 SOLID[[0x20, *range(0x09, 0x0E)]] = False
@@ -26,24 +25,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U))
-_LOWER_BYTE = _BYTE[LOWER]
-_powers = [np.ones(1, U), np.ones(1, U)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64; kept while they are small."""
-    if n <= len(_powers[0]):
-        return _powers[0][:n], _powers[1][:n]
-    size = max(n, 1 << 16)
-    made = []
-    for base in (_ODD, _ODD_INVERSE):
-        x = np.full(size, base, U)
-        x[0] = 1
-        made.append(np.multiply.accumulate(x))
-    if size <= 1 << 22:
-        _powers[:] = made
-    return made[0][:n], made[1][:n]
+#: Byte table of an exact comparison, where ``LOWER`` is that of words.
+EXACT = np.arange(256, dtype=np.uint8)
+#: Mask of the first k bytes of eight, and the bytes that one chain of eights takes.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+_PART = 4096
 
 
 def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,12 +50,30 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.searchsorted(offsets, starts, "right") - 1, starts, ends
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _LOWER_BYTE) -> np.ndarray:
-    """Hashes of byte ranges by prefix sums; equal bytes give equal hashes wherever they stand."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum(table[data] * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] ^ (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = LOWER) -> np.ndarray:
+    """Hashes of byte ranges; equal bytes give equal hashes wherever they stand.
+
+    All ranges go eight bytes further at each step. A long one is cut into parts, and the hashes of its
+    parts are hashed in the same way.
+    """
+    sizes = ends - starts
+    state = mix(sizes.astype(U))
+    eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([table[data], np.zeros(8, np.uint8)]), strides=(1,))
+    live = np.flatnonzero((sizes > 0) & (sizes <= _PART))
+    at, left = starts[live], sizes[live]
+    while len(live):
+        state[live] = mix(state[live] ^ eights[at] & _FIRST[np.minimum(left, 8)])
+        on = left > 8
+        live, at, left = live[on], at[on] + 8, left[on] - 8
+    long = np.flatnonzero(sizes > _PART)
+    if len(long):
+        parts = -(-sizes[long] // _PART)
+        after = np.cumsum(parts)
+        owner = np.repeat(long, parts)
+        first = starts[owner] + (np.arange(len(owner)) - np.repeat(after - parts, parts)) * _PART
+        inner = hash_spans(data, first, np.minimum(first + _PART, ends[owner]), table).astype("<u8")
+        state[long] = mix(state[long] ^ hash_spans(inner.view(np.uint8), 8 * (after - parts), 8 * after, EXACT))
+    return state
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -65,3 +65,13 @@ def test_awkward_rows_keep_columns_and_clean_texts(corpus):
 
 def test_empty_table(spark):
     assert line_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_lines_of_two_alternating_words_are_no_copies(spark):
+    """Thue-Morse order and its complement are different lines; a true copy goes."""
+    order = [bin(i).count("1") % 2 for i in range(2048)]
+    texts = [" ".join(("to", "be")[b ^ flip] for b in order) for flip in (0, 1)]
+    rows = [(1, texts[0]), (2, texts[1]), (3, texts[0] + "\nand more")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeats(frame).collect()}
+    assert got == {1: texts[0], 2: texts[1], 3: "and more"}
