@@ -14,7 +14,10 @@ Sets of word shingles are joined exactly at a Jaccard similarity of ``percent``
   with the shortest lists in the index: first to those no other set has, which cost nothing. A set
   with H + 1 such pieces is done; others ask only for as many shared pieces as they lack.
 * A set whose pieces hold fewer than H + 1 units is cut anew with the next seed. The seeds that
-  occur in a band are counted first, and the greater sets are indexed for each of them.
+  occur in a band are counted first, and the greater sets are indexed for each of them. The last
+  seed makes every shingle a piece of its own, and a set that comes to it asks for all of them: two
+  similar sets have a shingle in common at any threshold. At 50 percent and less no other cut can
+  hold H + 1 units, so all sets start there.
 
 Equal pieces meet by one shuffle of (piece hash, set id), each list walked in sort order. A list of g
 sets pairs those with a unit on it with one hub, at most g candidates: first with the set of the list
@@ -39,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hazardflow.llm import graph
-from hazardflow.llm.store import chunks, map_arrow, stored, text_bytes
+from hazardflow.llm.store import chunks, map_arrow, stored, text_bytes, unused
 from hazardflow.llm.words import U, mix, shingles, words
 
 #: Share of shingles assumed to be common to many texts; only the cost model uses it.
@@ -50,9 +53,10 @@ HIT_COST = 40.0
 HASHED_ROUNDS = 1
 #: Expected units of a set's pieces, in units it needs: the rest may lie on shared pieces for nothing.
 SPARE = 1.3
+#: Cuts into segments that are tried; after them every shingle is a piece.
+MOST_SEEDS = 8
 SET_ID = U((1 << 63) - 1)
 _LINKABLE = "n_shingles > 0 AND doc_id IS NOT NULL"
-_ROW = "__row"
 #: Words of the parity sketch of a set.
 SKETCH = [f"k{i}" for i in range(8)]
 
@@ -95,6 +99,9 @@ def _pieces(owner, shingle, owners: int, m: int, band: int, seed: int):
     """(set, segment, size, sum of the mixed shingles) of the non-empty pieces, and the piece of each shingle."""
     salt = mix(np.array([band * 1024 + seed], U))[0]
     place = mix(shingle ^ salt)
+    if seed == MOST_SEEDS:
+        value = mix(place)
+        return owner, np.zeros(len(owner), np.int64), np.ones(len(owner), np.int64), value, np.arange(len(owner)), value
     key = owner * m + (place % U(m)).astype(np.int64)
     sizes = np.bincount(key, minlength=owners * m)
     value = mix(place)
@@ -139,8 +146,9 @@ def _seeds(owner, shingle, sizes, percent: int) -> tuple[np.ndarray, np.ndarray]
     bands = band_of(sizes)
     for band in np.unique(bands[budget(sizes, percent) > 0]).tolist():
         m, near = band_plan(band, percent)
-        left, seed = np.flatnonzero(bands == band), 0
-        while len(left):
+        left, seed = np.flatnonzero(bands == band), 0 if percent > 50 else MOST_SEEDS
+        seeds[left] = seed
+        while len(left) and seed < MOST_SEEDS:
             own, values = _select(owner, shingle, left)
             piece_owner, _, piece_size, _, _, _ = _pieces(own, values, len(left), m, band, seed)
             need = budget(sizes[left], percent) + 1
@@ -157,22 +165,23 @@ def _rows(owner, shingle, sizes, ids, percent: int, seeds: dict[int, int]):
     """(piece hash, set id) rows of the sets. The sign bit of the id marks a piece that may have a unit."""
     found = []
     bands, own_seed = band_of(sizes), _seeds(owner, shingle, sizes, percent)[0]
-    for band in sorted({*bands.tolist()} | {b - 1 for b in bands.tolist()}):
+    reach = (100 // percent).bit_length()  # bands above its own in which a similar set can be
+    for band in sorted({b - r for b in set(bands.tolist()) for r in range(reach + 1)}):
         if band < 0 or budget(hi := (2 << band) - 1, percent) < 1:
             continue
         most = hi * 100 // percent
-        chosen = np.flatnonzero((bands == band) | (bands == band + 1) & (sizes <= most))
+        chosen = np.flatnonzero((bands == band) | (bands > band) & (sizes <= most))
         if not len(chosen):
             continue
         m, near = band_plan(band, percent)
         own, values = _select(owner, shingle, chosen)
-        for seed in range(seeds.get(band, 0) + 1):
+        for seed in range(0 if percent > 50 else MOST_SEEDS, seeds.get(band, 0) + 1):
             piece_owner, segment, size, total, piece, value = _pieces(own, values, len(chosen), m, band, seed)
             asks = (bands[chosen] == band) & (own_seed[chosen] == seed)
             tag = mix(segment.astype(U) + (U(band) << U(48)) + (U(seed) << U(40)))
             who = ids[chosen][piece_owner]
             units = asks[piece_owner].astype(np.int64)
-            if near:
+            if near and seed < MOST_SEEDS:
                 need = np.where(asks, budget(sizes[chosen], percent) + 1, 0)
                 units, _ = _allocate(piece_owner, size, need, near)
                 kept = (size[piece] >= 3) | (units[piece] == 2)
@@ -328,6 +337,12 @@ def _may_be_similar(u: str, v: str, percent: int):
 
 
 def _text_components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
+    return _linked_texts(docs, size, percent)
+
+
+def _linked_texts(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` (doc_id, text, row) with their set ids, and the component of each set by links of texts.
 
     The first is (doc_id, row, n_shingles, set_id); the second, (set_id, root, first), has the sets of
@@ -428,17 +443,18 @@ def keep_one(
     ``equal_rows`` all of them.
     """
     names = docs.columns
+    key = unused("row", names)
     member, rooted = _text_components(_keyed(docs, doc_id, text), size, percent)
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row", F.lit(True).alias("stays"))
     seen = member.filter(_LINKABLE).groupBy("row").agg(F.count("*").alias("n"))
     # rows that go, and those of which one of several equal ones stays
     several = F.lit(not equal_rows) & (F.col("n") > 1)
     marked = stored(seen.join(kept, "row", "left").filter(F.col("stays").isNull() | several).select(
-        F.col("row").alias(_ROW), F.col("stays").isNotNull().alias("__again")), "marked")
-    keyed = docs.withColumn(_ROW, F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string")))
-    out = keyed.join(marked, _ROW, "left_anti").select(*names)
-    again = marked.filter("__again").select(_ROW)
+        F.col("row").alias(key), F.col("stays").isNotNull().alias("__again")), "marked")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string")))
+    out = keyed.join(marked, key, "left_anti").select(*names)
+    again = marked.filter("__again").select(key)
     if not again.limit(1).count():
         return out
-    one = keyed.join(again, _ROW).groupBy(_ROW).agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("__one"))
+    one = keyed.join(again, key).groupBy(key).agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("__one"))
     return out.unionByName(one.select("__one.*"))

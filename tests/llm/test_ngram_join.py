@@ -17,7 +17,7 @@ def shingle_set(text):
     return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))}
 
 
-def expected(rows):
+def expected(rows, percent=80):
     sets = [(i, shingle_set(t)) for i, t in rows]
     root = {i: i for i, _ in rows if i is not None}
 
@@ -27,7 +27,7 @@ def expected(rows):
         return x
 
     for (a, x), (b, y) in itertools.combinations(sets, 2):
-        if None not in (a, b) and x and y and 100 * len(x & y) >= 80 * len(x | y):
+        if None not in (a, b) and x and y and 100 * len(x & y) >= percent * len(x | y):
             a, b = sorted((find(a), find(b)))
             root[b] = a
     return sorted((-1 if i is None else i, len(s), -1 if i is None else (find(i) if s else i)) for i, s in sets)
@@ -87,7 +87,7 @@ def test_similar_sets_share_a_piece(near, monkeypatch):
             continue
         owner, values = np.repeat([0, 1], [len(x), len(y)]), np.concatenate([x, y])
         sizes = np.array([len(x), len(y)])
-        seeds = {b: 6 for b in range(20)}
+        seeds = {b: ngram_join.MOST_SEEDS for b in range(20)}  # a set whose pieces hold too few units comes to the last
         pieces, members = ngram_join._rows(owner, values, sizes, np.array([1, 2], U), 80, seeds)
         ids, unit = members & np.int64(ngram_join.SET_ID), members < 0
         lists = [set(map(int, pieces[(ids == k)])) for k in (1, 2)]
@@ -120,3 +120,35 @@ def test_keep_one_drops_rows_not_ids(spark):
     assert [x for x in got if x[0] != 8] == sorted([(3, a), (7, b), (9, d), (None, a), (None, a), (10, ""), (10, "")], key=str)
     every = [r.doc_id for r in ngram_join.keep_one(frame, equal_rows=True).collect()]
     assert every.count(9) == 2 and every.count(8) in (1, 2) and every.count(7) == 1 and every.count(3) == 1
+
+
+@pytest.mark.parametrize("percent", [30, 50, 51, 80, 100])
+def test_thresholds(spark, percent):
+    """Against all pairs, also where no cut into segments can hold the units."""
+    rnd = random.Random(percent)
+    rows = []
+    for group in range(12):
+        base = [f"g{group}w{k}" for k in range(rnd.choice((5, 6, 9, 20, 45)))]
+        for _ in range(5):
+            copy = base[: rnd.randrange(2, len(base) + 1)] + [f"x{rnd.randrange(10**6)}" for _ in range(rnd.randrange(3))]
+            rows.append((len(rows), " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert answer(ngram_join.near_duplicates(frame, percent=percent)) == expected(rows, percent)
+
+
+@pytest.mark.parametrize("percent", [-1, 0, 101])
+def test_impossible_thresholds(corpus, percent):
+    with pytest.raises(ValueError):
+        ngram_join.near_duplicates(corpus, percent=percent)
+    with pytest.raises(ValueError):
+        ngram_join.keep_one(corpus, percent=percent)
+
+
+def test_texts_of_two_alternating_words(spark):
+    """Thue-Morse order and its complement, on which sums of powers of an odd number modulo 2^64 agree."""
+    order = [bin(i).count("1") % 2 for i in range(4096)]
+    one, two = (" ".join(f"{'ab'[b ^ flip]}{'cd'[b ^ flip]}" + ("" if i % 5 else f"q{flip}") for i, b in enumerate(order)) for flip in (0, 1))
+    glued = ["".join("ab"[b ^ flip] for b in order) for flip in (0, 1)]
+    rows = [(1, one), (2, two), (3, glued[0]), (4, glued[1]), (5, glued[0])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert answer(ngram_join.near_duplicates(frame)) == expected(rows)
