@@ -15,18 +15,20 @@ from __future__ import annotations
 
 import base64
 import heapq
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from hazardflow.llm.store import chunks, map_arrow, ship_package
+from hazardflow.llm.store import chunks, map_arrow, released, ship_package
 
-#: Words whose ids a task keeps between batches.
-KEPT_WORDS = 400_000
+#: Memory of the words whose ids a task keeps between batches, and of one word beside its characters.
+KEPT_BYTES, WORD_BYTES = 48 << 20, 200
 #: Text of one replay. Larger batches repeat fewer words, smaller ones need less memory.
-REPLAY_BYTES = 8 << 20
+REPLAY_BYTES = 1 << 20
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -173,26 +175,30 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.codes, self.ids = _Codes(), np.zeros(0, np.int32)
+        self.codes, self.ids, self.bytes = _Codes(), np.zeros(0, np.int32), 0
         self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the offsets of the texts."""
-        if len(self.codes) > KEPT_WORDS:
+        if self.bytes > KEPT_BYTES:
             self.forget()
-        find, code = self.merges.pattern.findall, self.codes.__getitem__
-        known = len(self.codes)
+        code, known = self.codes.__getitem__, len(self.codes)
         used, pieces = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            found = find(text or "")
+            if text and len(text) > REPLAY_BYTES:  # its words are not listed first
+                found = np.fromiter((code(m[0]) for m in self.merges.pattern.finditer(text)), np.int64)
+            else:
+                words = self.merges.pattern.findall(text or "")
+                found = np.fromiter(map(code, words), np.int64, len(words))
             pieces[i] = len(found)
-            used.append(np.fromiter(map(code, found), np.int64, len(found)))
+            used.append(found)
         if len(self.codes) > known:
-            fresh = [word.encode() for word in list(self.codes)[known:]]
+            fresh = [word.encode() for word in islice(self.codes, known, None)]
             ids, counts = self.merges.replay(fresh)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
             self.ids = np.concatenate([self.ids, ids])
+            self.bytes += sum(map(len, fresh)) + WORD_BYTES * len(fresh)
         used = np.concatenate(used) if used else np.zeros(0, np.int64)
         counts = self.counts[used]
         ends = np.cumsum(counts)
@@ -203,41 +209,71 @@ class Encoder:
         return ids, np.concatenate([[0], ends])[bounds]
 
 
-def encode(docs: DataFrame, tokens: list[bytes], pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+class Decoder:
+    """Bytes of ids, for many rows at once."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The bytes of each row; an id outside the vocabulary raises."""
+        if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < len(self.sizes):
+            raise IndexError("an id is not in the vocabulary")
+        sizes = self.sizes[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.data[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = pa.py_buffer(ends[offsets].astype(np.int64).tobytes())
+        return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, bounds, pa.py_buffer(data.tobytes())]).cast(pa.binary())
+
+
+def _listed(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids))
+
+
+def encode(
+    docs: DataFrame, tokens: list[bytes], pattern: str, doc_id: str = "doc_id", text: str = "text", decoded: bool = False,
+) -> DataFrame:
     """(doc_id, ids) of every row: the token ids of the whole text, no special tokens.
 
-    Each match of ``pattern`` is encoded by itself. A null or empty text has no ids; a null or
-    repeated id is passed on. One pass without a shuffle.
+    Each match of ``pattern`` is encoded by itself. With ``decoded`` a third column of that name holds the
+    bytes that the ids decode to, as ``decode`` gives them, made in the same pass. A null or empty text
+    has no ids; a null or repeated id is passed on; other columns are not looked at; an empty table
+    gives none. One pass without a shuffle. A task holds about ``REPLAY_BYTES`` of text, or one
+    longer text, and words of at most ``KEPT_BYTES`` and one such batch.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), *([("decoded", pa.binary())] if decoded else [])])
     given = docs.sparkSession.sparkContext.broadcast((tokens, pattern))
 
     def run(batches):
-        encoder = Encoder(Merges(*given.value))
+        encoder, decoder = Encoder(Merges(*given.value)), Decoder(given.value[0]) if decoded else None
         for batch in chunks(batches, limit=REPLAY_BYTES):
             ids, offsets = encoder.encode(batch.column("text").to_pylist())
-            yield [batch.column("doc_id"), pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids))]
+            yield [batch.column("doc_id"), _listed(ids, offsets), *([decoder.decode(ids, offsets)] if decoded else [])]
 
     return map_arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, schema)
 
 
 def decode(encoded: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes of its ids in column ``out``; null ids give no bytes.
+    """``encoded`` with the bytes of its ids in column ``out``, which replaces one of that name.
 
-    An id outside the vocabulary raises. The bytes are UTF-8 where the ids came from a text.
+    Null ids give no bytes, an id outside the vocabulary raises. The bytes are UTF-8 where the ids came
+    from a text. Memory follows the batch, or the longest row.
     """
     kept = encoded.drop(out)
     given = encoded.sparkSession.sparkContext.broadcast(tokens)
 
     def run(batches):
-        vocabulary = given.value
+        decoder = Decoder(given.value)
         for batch in batches:
             found = batch.column(batch.schema.get_field_index(ids))
-            values = [b"".join([vocabulary[i] for i in row.values.to_numpy().tolist()]) if row.is_valid else b"" for row in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.binary())], names=[*batch.schema.names, out])
+            offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            values = decoder.decode(found.flatten().to_numpy(zero_copy_only=False), offsets)
+            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, out])
 
     ship_package(kept.sparkSession)
-    return kept.mapInArrow(run, kept.withColumn(out, F.lit(None).cast("binary")).schema)
+    return kept.mapInArrow(released(run), kept.withColumn(out, F.lit(None).cast("binary")).schema)
 
 
 def digests(encoded: DataFrame, *more: str) -> DataFrame:

@@ -70,8 +70,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = merge_replay.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = merge_replay.encode(_documents(spark, sf_dir), tokens, public_tokenizers.PATTERN)
-    return merge_replay.digests(merge_replay.decode(encoded, tokens))
+    return merge_replay.digests(merge_replay.encode(_documents(spark, sf_dir), tokens, public_tokenizers.PATTERN, decoded=True))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
