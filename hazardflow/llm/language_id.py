@@ -3,8 +3,9 @@
 Every language has probabilities over the pieces of a fixed public byte-level vocabulary. A text is
 its words, each with a space before it; a word can be cut into pieces in many ways, and its
 probability in a language is the sum over all of them, which a forward algorithm gives. Words are
-scored together as columns of bytes, each distinct word of a task once. Since the vocabulary holds
-every byte, every text has a probability in every language.
+scored together as columns of bytes, each distinct word of a task once. Long words, as in scripts
+without spaces, go through the same sums in windows, however long they are. Since the vocabulary
+holds every byte, every text has a probability in every language.
 
 Learning is one expectation step: each word's pieces are counted by their posterior over all
 segmentations (forward and backward) under equal piece weights, per language, then smoothed.
@@ -21,14 +22,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from hazardflow.llm.store import chunks, map_arrow, stored, text_bytes
 from hazardflow.llm.words import LOWER, U, hash_spans, mix, spans
 
-#: Longest piece in bytes; longer entries of the vocabulary are not used.
-LONGEST = 16
-#: A run of more bytes is cut into stretches of so many, each scored as a word without a space.
-STRETCH = 48
+#: Words of more bytes are worked out in windows, together with others of their length.
+SHORT = 48
+#: Bytes of the long words that are worked out together, and of one window of them.
+LOCKSTEP, WINDOW = 1 << 18, 1 << 15
 #: Distinct words a task holds before it passes their counts on, or scores kept between batches.
-HELD_WORDS = 400_000
+HELD_WORDS = 200_000
+#: Bytes of these words: many long ones count like many words.
+HELD_BYTES = 32 << 20
 #: Words whose segmentations are worked out together.
-TOGETHER = 20_000
+TOGETHER = 8_000
 #: Added to every expected count.
 SMOOTHING = 0.05
 #: Most languages a model may have; it is broadcast.
@@ -40,8 +43,8 @@ class Pieces:
     """The vocabulary as an open-addressing table from rolling hash to piece number."""
 
     def __init__(self, tokens: list[bytes]):
-        kept = sorted({t for t in tokens if 0 < len(t) <= LONGEST} | {bytes([b]) for b in range(256)})
-        self.n = len(kept)
+        kept = sorted({t for t in tokens if t} | {bytes([b]) for b in range(256)})
+        self.n, self.longest = len(kept), max(map(len, kept))
         self.byte = mix(np.arange(1, 257, dtype=U))
         hashes = np.zeros(self.n, U)
         with np.errstate(over="ignore"):
@@ -85,7 +88,7 @@ class Pieces:
         cells = {}
         for start in range(letters.shape[1]):
             rolled = None
-            for size in range(1, min(LONGEST, letters.shape[1] - start) + 1):
+            for size in range(1, min(self.longest, letters.shape[1] - start) + 1):
                 live = int(np.searchsorted(-lengths, -(start + size), "right"))
                 if not live:
                     break
@@ -94,6 +97,90 @@ class Pieces:
                 cells[start, size] = self.find(rolled)
         return cells
 
+    def window(self, data, starts, lengths, spaced, at: int, wide: int) -> np.ndarray:
+        """Piece numbers by (length - 1, word, start - at) for the starts from ``at`` on."""
+        place = at + np.arange(wide + self.longest)
+        letters = data[np.clip(starts[:, None] + place - spaced[:, None], 0, len(data) - 1)]
+        if at == 0:
+            letters[spaced.astype(bool), 0] = 0x20
+        value = self.byte[letters]
+        out = np.empty((self.longest, len(starts), wide), np.int32)
+        rolled = np.zeros((len(starts), wide), U)
+        for size in range(1, self.longest + 1):
+            rolled = rolled * _STEP + value[:, size - 1 : size - 1 + wide]
+            number = self.find(rolled.ravel()).reshape(rolled.shape)
+            out[size - 1] = np.where(place[:wide] + size > lengths[:, None], self.n, number)
+        return out
+
+
+def _groups(lengths: np.ndarray) -> list[np.ndarray]:
+    """Long words, the longest first, in groups of about ``LOCKSTEP`` bytes or one word."""
+    long = np.flatnonzero(lengths > SHORT)
+    long = long[np.argsort(-lengths[long], kind="stable")]
+    groups, begin = [], 0
+    while begin < len(long):
+        many = max(1, LOCKSTEP // int(lengths[long[begin]]))
+        groups.append(long[begin : begin + many])
+        begin += many
+    return groups
+
+
+def _live(lengths: np.ndarray, beyond: int) -> int:
+    """Number of words, sorted by falling length, that go beyond a position."""
+    return int(np.searchsorted(-lengths, -beyond, "left"))
+
+
+def _forward(pieces: Pieces, p: np.ndarray, data, starts, lengths, spaced, path: np.ndarray | None = None) -> np.ndarray:
+    """Log sums over all segmentations of long words, by column of ``p``; ``path`` gets those of all beginnings.
+
+    Of the sums up to positions ahead only those are kept that a piece can reach.
+    """
+    n, columns = len(starts), p.shape[1]
+    reach, wide = pieces.longest, max(1, WINDOW // len(starts))
+    ahead = np.zeros((reach + 1, n, columns))
+    ahead[0] = 1.0
+    scale = np.zeros((n, columns))
+    for at in range(0, int(lengths[0]), wide):
+        numbers = pieces.window(data, starts, lengths, spaced, at, wide)
+        for t in range(at, min(at + wide, int(lengths[0]))):
+            live = _live(lengths, t)
+            here = np.maximum(ahead[0, :live], 1e-290)
+            scale[:live] += np.log(here)
+            if path is not None:
+                path[:live, t] = scale[:live, 0]
+            ahead[:-1, :live] = ahead[1:, :live] / here + p[numbers[:, :live, t - at]]
+            ahead[-1, :live] = 0.0
+            ended = _live(lengths, t + 1)
+            if ended < live:
+                scale[ended:live] += np.log(np.maximum(ahead[0, ended:live], 1e-290))
+    return scale
+
+
+def _long_counts(pieces: Pieces, total: np.ndarray, data, starts, lengths, spaced, weights: np.ndarray) -> None:
+    """Adds the expected piece counts of long words to ``total``, as ``expected_counts`` does for short ones."""
+    n, longest, reach = len(starts), int(lengths[0]), pieces.longest
+    chance = np.log(256.0 / pieces.n)
+    equal = np.append(np.full(pieces.n, 256.0 / pieces.n), 0.0)[:, None]
+    forward = np.full((n, longest), -np.inf)
+    whole = _forward(pieces, equal, data, starts, lengths, spaced, forward)[:, 0]
+    backward = np.full((n, longest + reach + 1), -np.inf)
+    backward[np.arange(n), lengths] = 0.0
+    wide = max(1, WINDOW // n)
+    for at in range((longest - 1) // wide * wide, -1, -wide):
+        numbers = pieces.window(data, starts, lengths, spaced, at, wide)
+        for t in range(min(at + wide, longest) - 1, at - 1, -1):
+            live = _live(lengths, t)
+            after = np.where(numbers[:, :live, t - at].T < pieces.n, backward[:live, t + 1 : t + 1 + reach], -np.inf)
+            top = after.max(axis=1)
+            backward[:live, t] = chance + top + np.log(np.exp(after - top[:, None]).sum(axis=1))
+        width = min(wide, longest - at)
+        for size in range(1, reach + 1):
+            number = numbers[size - 1, :, :width]
+            word, start = np.nonzero(number < pieces.n)
+            gamma = np.exp(forward[word, at + start] + chance + backward[word, at + start + size] - whole[word])
+            for language in range(weights.shape[1]):
+                total[:, language] += np.bincount(number[word, start], gamma * weights[word, language], pieces.n)
+
 
 def _letter_rows(data, starts, ends, spaced):
     """Padded bytes of words, the longest first, and the order that sorts them so."""
@@ -107,6 +194,12 @@ def _letter_rows(data, starts, ends, spaced):
     return letters, lengths, order
 
 
+def _short(lengths: np.ndarray) -> np.ndarray:
+    """Short words, the longest first."""
+    short = np.flatnonzero(lengths <= SHORT)
+    return short[np.argsort(-lengths[short], kind="stable")]
+
+
 def word_scores(pieces: Pieces, log_p: np.ndarray, data, starts, ends, spaced) -> np.ndarray:
     """Natural log probability of each word in each language: the forward algorithm.
 
@@ -115,13 +208,17 @@ def word_scores(pieces: Pieces, log_p: np.ndarray, data, starts, ends, spaced) -
     """
     p = np.vstack([np.exp(log_p), np.zeros((1, log_p.shape[1]))])
     out = np.zeros((len(starts), log_p.shape[1]))
-    by_length = np.argsort(starts - ends, kind="stable")
-    for begin in range(0, len(starts), TOGETHER):
+    whole = ends - starts + spaced
+    for group in _groups(whole):
+        out[group] = _forward(pieces, p, data, starts[group], whole[group], spaced[group])
+    by_length = _short(whole)
+    for begin in range(0, len(by_length), TOGETHER):
         part = by_length[begin : begin + TOGETHER]
         letters, lengths, order = _letter_rows(data, starts[part], ends[part], spaced[part])
         n, width = letters.shape
         cells = pieces.grid(letters, lengths)
-        ahead = [np.zeros((n, p.shape[1])) for _ in range(LONGEST + 1)]
+        reach = min(pieces.longest, width)
+        ahead = [np.zeros((n, p.shape[1])) for _ in range(reach + 1)]
         ahead[0][:] = 1.0
         scale = np.zeros((n, p.shape[1]))
         for start in range(width):
@@ -131,7 +228,7 @@ def word_scores(pieces: Pieces, log_p: np.ndarray, data, starts, ends, spaced) -
             scale[:live] += np.log(top)
             for later in ahead[1:]:
                 later[:live] /= top
-            for size in range(1, LONGEST + 1):
+            for size in range(1, reach + 1):
                 found = cells.get((start, size))
                 if found is None:
                     break
@@ -150,8 +247,11 @@ def expected_counts(pieces: Pieces, data, starts, ends, spaced, weights: np.ndar
     backward sums with the same weight, 256 / n, for all pieces."""
     prior = np.append(np.full(pieces.n, 256.0 / pieces.n), 0.0)
     total = np.zeros((pieces.n, weights.shape[1]))
-    by_length = np.argsort(starts - ends, kind="stable")
-    for begin in range(0, len(starts), TOGETHER):
+    whole = ends - starts + spaced
+    for group in _groups(whole):
+        _long_counts(pieces, total, data, starts[group], whole[group], spaced[group], weights[group])
+    by_length = _short(whole)
+    for begin in range(0, len(by_length), TOGETHER):
         part = by_length[begin : begin + TOGETHER]
         letters, lengths, order = _letter_rows(data, starts[part], ends[part], spaced[part])
         n, width = letters.shape
@@ -180,19 +280,10 @@ def expected_counts(pieces: Pieces, data, starts, ends, spaced, weights: np.ndar
     return total
 
 
-def _stretches(data, offsets):
-    """Words as (row, start, end, 1 if a space stands before), long runs cut up."""
+def _words(data, offsets):
+    """Words as (row, start, end, 1 for the space before)."""
     row, starts, ends = spans(data, offsets)
-    spaced = np.ones(len(starts), np.int64)
-    long = ends - starts > STRETCH
-    if long.any():
-        parts = -(-(ends - starts) // STRETCH)
-        first = np.repeat(np.cumsum(parts) - parts, parts)
-        step = (np.arange(parts.sum()) - first) * STRETCH
-        row, spaced = np.repeat(row, parts), (step == 0).astype(np.int64)
-        starts, ends = np.repeat(starts, parts) + step, np.repeat(ends, parts)
-        ends = np.minimum(ends, starts + STRETCH)
-    return row, starts, ends, spaced
+    return row, starts, ends, np.ones(len(starts), np.int64)
 
 
 def _distinct(data, starts, ends, spaced):
@@ -212,6 +303,7 @@ class _Held:
         self.number: dict[int, int] = {}
         self.words: list[bytes] = []
         self.spaced: list[int] = []
+        self.bytes = 0
         self.weights = np.zeros((1 << 12, languages))
 
     def add(self, data, starts, ends, spaced, hashes, weights) -> None:
@@ -223,6 +315,7 @@ class _Held:
                 n = known[h] = len(self.words)
                 self.words.append(text[s:e])
                 self.spaced.append(sp)
+                self.bytes += e - s
             at[i] = n
         if len(self.words) > len(self.weights):
             grown = np.zeros((2 * len(self.words), self.languages))
@@ -236,11 +329,20 @@ class _Held:
         starts = np.concatenate([[0], ends[:-1]])
         return expected_counts(pieces, data, starts, ends, np.array(self.spaced), self.weights[: len(self.words)])
 
+    def bytes_seen(self) -> np.ndarray:
+        """How often each byte stands in the words and before them."""
+        times = self.weights[: len(self.words)].sum(axis=1)
+        data = np.frombuffer(b"".join(self.words), np.uint8)
+        seen = np.bincount(data, np.repeat(times, [len(w) for w in self.words]), 256)
+        seen[0x20] += (times * np.array(self.spaced)).sum()
+        return seen
+
 
 def fit(docs: DataFrame, tokens: list[bytes], text: str = "text", lang: str = "lang") -> dict | None:
     """Model of the rows with text and language; None if there are none.
 
-    ``languages`` (sorted), ``prior`` (log share of rows), ``log_p`` (pieces x languages) and ``tokens``.
+    ``languages`` (sorted), ``prior`` (log share of rows), ``log_p`` (pieces x languages), ``log_byte`` (of
+    the bytes of all languages, half of the weight shared out evenly) and ``tokens``.
     """
     docs = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     found = sorted((r["lang"], r["n"]) for r in docs.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect())
@@ -254,57 +356,77 @@ def fit(docs: DataFrame, tokens: list[bytes], text: str = "text", lang: str = "l
 
     def run(batches):
         pieces, number = Pieces(given.value), {name: i for i, name in enumerate(languages)}
-        total, held = np.zeros((pieces.n, len(languages))), _Held(len(languages))
+        total, held, seen = np.zeros((pieces.n, len(languages))), _Held(len(languages)), np.zeros(256)
         for batch in chunks(batches):
             data, offsets = text_bytes(batch.column("text"))
             data = LOWER[data]
-            row, starts, ends, spaced = _stretches(data, offsets)
+            row, starts, ends, spaced = _words(data, offsets)
             first, hashes, inverse = _distinct(data, starts, ends, spaced)
             language = np.array([number[x] for x in batch.column("lang").to_pylist()])[row]
             weights = np.bincount(inverse * len(languages) + language, minlength=len(first) * len(languages))
             held.add(data, starts[first], ends[first], spaced[first], hashes, weights.reshape(len(first), -1))
-            if len(held.words) > HELD_WORDS:
-                total += held.counts(pieces)
+            if len(held.words) > HELD_WORDS or held.bytes > HELD_BYTES:
+                total, seen = total + held.counts(pieces), seen + held.bytes_seen()
                 held = _Held(len(languages))
         if held.words:
-            total += held.counts(pieces)
+            total, seen = total + held.counts(pieces), seen + held.bytes_seen()
         piece, language = np.nonzero(total > 1e-6)
         yield [language, piece, total[piece, language]]
+        yield [np.full(256, -1), np.arange(256), seen]
 
     summed = map_arrow(docs, run, schema).groupBy("language", "piece").agg(F.sum("n").alias("n"))
     pieces = Pieces(tokens)
-    counts = np.full((pieces.n, len(languages)), SMOOTHING)
+    counts, seen = np.full((pieces.n, len(languages)), SMOOTHING), np.zeros(256)
     for part in stored(summed, "pieces").toArrow().to_batches():  # at most pieces x languages
         language, piece, n = (part.column(i).to_numpy() for i in range(3))
-        counts[piece, language] += n
+        known = language >= 0
+        counts[piece[known], language[known]] += n[known]
+        seen[piece[~known]] = n[~known]
+    log_byte = np.log(0.5 * seen / max(seen.sum(), 1) + 0.5 / 256)
     shares = np.array([n for _, n in found], float)
-    return {"languages": languages, "prior": np.log(shares / shares.sum()), "log_p": np.log(counts / counts.sum(0)), "tokens": tokens}
+    return {"languages": languages, "prior": np.log(shares / shares.sum()), "log_p": np.log(counts / counts.sum(0)), "log_byte": log_byte, "tokens": tokens}
 
 
-def predict(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def predict(
+    docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), margin: bool = False,
+) -> DataFrame:
     """(doc_id, lang_pred, score, *keep) of every row.
 
     ``score`` is the posterior probability of the predicted language. A null text, a text without
     a letter, and any text if the model is None get language ``und`` and score 0. Of equally
     likely languages the first in alphabetical order is taken. Null and repeated ids are passed on.
+    A text of any length is scored whole; memory follows the longest text and its longest word.
+
+    With ``margin`` a column of that name follows: the natural logarithm of how many times likelier the
+    text is in its language than in none. Text in no learned language is the likelier of pieces with
+    equal weights and of bytes drawn one by one as often as they are in all languages. The margin
+    is 0 for ``und``. A kept column cannot have the name of one of these.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *keep)
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    fields = [("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), *([("margin", pa.float64())] if margin else [])]
+    names = [*(name for name, _ in fields), *keep]
+    if len(set(names)) < len(names):
+        raise ValueError(f"column names occur twice: {names}")
+    letters = F.coalesce(F.col(text).cast("string").rlike(r"\p{L}"), F.lit(False))
+    kept = [F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(keep)]
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), letters.alias("lettered"), *kept)
     if model is None:
-        return docs.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), *keep)
-    docs = docs.withColumn("__lettered", lettered)
-    fields = [("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())]
-    schema = pa.schema([*fields, *to_arrow_schema(docs.select(*keep).schema)]) if keep else pa.schema(fields)
+        zero = F.lit(0.0)
+        out = docs.select("doc_id", F.lit("und"), zero, *([zero.alias("m")] if margin else []), *[f"k{i}" for i in range(len(keep))])
+        return out.toDF(*names)
+    schema = pa.schema([*fields, *to_arrow_schema(docs.drop("doc_id", "text", "lettered").schema)])
     given = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         model = given.value
-        pieces, names = Pieces(model["tokens"]), np.array([*model["languages"], "und"], object)
-        known, scores = np.zeros(0, U), np.zeros((0, len(model["languages"])))
-        for batch in chunks(batches, limit=2 << 20):
+        pieces, called = Pieces(model["tokens"]), np.array([*model["languages"], "und"], object)
+        log_p = model["log_p"]
+        if margin:
+            log_p = np.column_stack([log_p, np.full(pieces.n, -np.log(pieces.n))])
+        known, scores = np.zeros(0, U), np.zeros((0, log_p.shape[1]))
+        for batch in chunks(batches):
             data, offsets = text_bytes(batch.column("text"))
             data = LOWER[data]
-            row, starts, ends, spaced = _stretches(data, offsets)
+            row, starts, ends, spaced = _words(data, offsets)
             first, hashes, inverse = _distinct(data, starts, ends, spaced)
             at = np.searchsorted(known, hashes)
             has = np.zeros(len(hashes), bool)
@@ -314,20 +436,24 @@ def predict(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: s
             new = np.flatnonzero(~has)
             if len(new):
                 w = first[new]
-                value[new] = word_scores(pieces, model["log_p"], data, starts[w], ends[w], spaced[w])
+                value[new] = word_scores(pieces, log_p, data, starts[w], ends[w], spaced[w])
             if len(known) + len(new) > HELD_WORDS:
                 known, scores = hashes, value
             elif len(new):
                 known, scores = np.concatenate([known, hashes[new]]), np.concatenate([scores, value[new]])
                 order = np.argsort(known)
                 known, scores = known[order], scores[order]
-            total = np.tile(model["prior"], (batch.num_rows, 1))
-            for language in range(total.shape[1]):
-                total[:, language] += np.bincount(row, value[inverse, language], batch.num_rows)
-            best = total.argmax(1)
-            score = 1.0 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-            lettered = batch.column("__lettered").to_numpy(zero_copy_only=False).astype(bool)
-            yield [batch.column("doc_id"), names[np.where(lettered, best, len(names) - 1)].tolist(),
-                   np.where(lettered, score, 0.0), *(batch.column(name) for name in keep)]
-
-    return map_arrow(docs, run, schema)
+            total = np.column_stack([np.bincount(row, value[inverse, k], batch.num_rows) for k in range(log_p.shape[1])])
+            likely = total[:, : len(called) - 1]
+            odds = likely + model["prior"]
+            best = odds.argmax(1)
+            score = 1.0 / np.exp(odds - odds.max(1, keepdims=True)).sum(1)
+            lettered = batch.column("lettered").to_numpy(zero_copy_only=False).astype(bool)
+            if margin:
+                sums = np.append(0.0, np.cumsum(model["log_byte"][data]))
+                alone = np.bincount(row, sums[ends] - sums[starts] + model["log_byte"][0x20], batch.num_rows)
+                over = likely[np.arange(len(best)), best] - np.maximum(total[:, -1], alone)
+            yield [batch.column("doc_id"), called[np.where(lettered, best, len(called) - 1)].tolist(), np.where(lettered, score, 0.0),
+                   *([np.where(lettered, over, 0.0)] if margin else []), *batch.columns[3:]]
+
+    return map_arrow(docs, run, schema).toDF(*names)

@@ -53,6 +53,84 @@ def test_forward_sums_all_segmentations():
     assert counts == pytest.approx(want)
 
 
+def plain_log_sum(word, p, longest):
+    """Log of the sum over all segmentations of ``word``: one byte after another, rescaled as it goes."""
+    ahead, scale = [1.0] + [0.0] * longest, 0.0
+    for at in range(len(word)):
+        here = ahead.pop(0)
+        scale += math.log(here)
+        ahead = [x / here for x in ahead] + [0.0]
+        for size in range(1, min(longest, len(word) - at) + 1):
+            ahead[size - 1] += p.get(word[at : at + size], 0.0)
+    return scale + math.log(ahead[0])
+
+
+def small_model(seed, columns=2):
+    rnd = np.random.default_rng(seed)
+    vocabulary = [b"ab", b"abc", b"ca", b"bca", b" a", b"abcabcabcabcabcabcabcabcabcabcabcabcabc", b"\xc3\xa9", b"\xa9\xc3"]
+    kept = sorted({*vocabulary} | {bytes([b]) for b in range(256)})
+    return language_id.Pieces(vocabulary), kept, rnd.dirichlet(np.ones(len(kept)), columns).T
+
+
+@pytest.mark.parametrize("lockstep,window", [(1 << 18, 1 << 15), (200, 64), (1, 7)])
+def test_long_runs_are_summed_whole(monkeypatch, lockstep, window):
+    """A run of 5,000 characters without a space and others, of several lengths, in one group or many."""
+    monkeypatch.setattr(language_id, "LOCKSTEP", lockstep)
+    monkeypatch.setattr(language_id, "WINDOW", window)
+    pieces, kept, p = small_model(2)
+    rnd = np.random.default_rng(3)
+    words = ["".join(rnd.choice(list("abcé"), n)).encode() for n in (5000, 49, 50, 77, 300, 20, 1)] + [b"abc" * 40, b"x" * 48, b"x" * 47]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts, spaced = ends - [len(w) for w in words], np.arange(len(words)) % 2
+    got = language_id.word_scores(pieces, np.log(p), data, starts, ends, spaced)
+    for i, word in enumerate(words):
+        for language in range(2):
+            table = dict(zip(kept, p[:, language]))
+            assert got[i, language] == pytest.approx(plain_log_sum(b" " * int(spaced[i]) + word, table, pieces.longest), rel=1e-9)
+
+
+def test_long_runs_are_counted_like_short_ones(monkeypatch):
+    pieces, kept, _ = small_model(4)
+    rnd = np.random.default_rng(5)
+    words = ["".join(rnd.choice(list("abcé"), n)).encode() for n in (44, 47, 33, 21, 40, 3)]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts, spaced = ends - [len(w) for w in words], np.ones(len(words), int)
+    weights = rnd.integers(0, 4, (len(words), 2)).astype(float)
+    short = language_id.expected_counts(pieces, data, starts, ends, spaced, weights)
+    monkeypatch.setattr(language_id, "SHORT", 10)
+    monkeypatch.setattr(language_id, "WINDOW", 40)
+    assert language_id.expected_counts(pieces, data, starts, ends, spaced, weights) == pytest.approx(short, abs=1e-9)
+    # a run whose probability no double holds: every byte is in one piece
+    far = language_id.expected_counts(pieces, np.full(20_000, 0x61, np.uint8), np.array([0]), np.array([20_000]), np.array([0]), np.ones((1, 1)))
+    assert sum(n * len(piece) for n, piece in zip(far[:, 0], kept)) == pytest.approx(20_000, rel=1e-6)
+
+
+def test_margin_tells_a_language_that_was_not_learned(spark, sf, tokens):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(crc_fold(F.col("doc_id"), 4) != 2), tokens)
+    strange = spark.createDataFrame([
+        (1, "Это русский текст о погоде и природе, которого модель никогда не видела. " * 3),
+        (2, "这是一段中文文本，模型从未见过这种语言，因此不应被识别为任何已学语言。" * 3), (3, "qzx vkj wqp zzxkq jjqv kxzw " * 9), (4, "12 34")], "doc_id long, text string")
+    found = {r.doc_id: r for r in language_id.predict(strange, model, margin=True).collect()}
+    assert all(found[i].margin < -math.log(1000) for i in (1, 2, 3)), found
+    assert found[4].margin == 0 and found[4].lang_pred == "und"
+    assert all(r.margin >= 0 for r in language_id.predict(docs, model, margin=True).collect())
+
+
+def test_kept_columns(corpus, tokens):
+    model = language_id.fit(corpus, tokens)
+    renamed = corpus.withColumnRenamed("n", "lettered").withColumnRenamed("root", "k0").withColumnRenamed("piece", "a b`".strip("`"))
+    got = language_id.predict(renamed, model, keep=("lettered", "k0", "text", "a b"))
+    assert got.columns == ["doc_id", "lang_pred", "score", "lettered", "k0", "text", "a b"]
+    assert {(r.lettered, r.k0, r["a b"]) for r in got.collect()} == {(1, 2, 3)}
+    with pytest.raises(ValueError):
+        language_id.predict(corpus, model, keep=("score",))
+    with pytest.raises(ValueError):
+        language_id.predict(corpus, None, keep=("lang", "lang"))
+
+
 def test_held_out_accuracy(spark, sf, tokens):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
     held = crc_fold(F.col("doc_id"), 4) == 2
