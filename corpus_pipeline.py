@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import math
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazardflow.llm import decontaminate, language_id, line_dedup, merge_replay, ngram_join
-from hazardflow.llm.store import crc_fold, stored
+from hazardflow.llm.store import crc_fold, stored, unused
+
+#: Odds at which a document counts as being in no language: short texts that say little either way stay.
+NO_LANGUAGE = 1000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language. One without a letter has none and goes; languages are learned as in op10.
+    """Documents in one of the languages that the table teaches; languages are learned as in op10.
 
-    Where no row has a language to learn, all documents with a letter stay.
+    One without a letter goes, and one that is ``NO_LANGUAGE`` times likelier in no language than in its
+    best one. Where there is no language to learn, all documents with a letter stay.
     """
+    names = docs.columns
     tokens = merge_replay.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    model = language_id.fit(docs.filter(crc_fold(F.col("doc_id"), 4) != 2), tokens)
+    model = language_id.fit(docs.filter(crc_fold(F.col("doc_id"), 4) != 2), tokens) if "lang" in names else None
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    names = docs.columns
-    inner = docs.select(*[F.col(name).alias(f"__{name}") for name in names])
-    found = language_id.predict(inner, model, "__doc_id", "__text", keep=tuple(inner.columns))
-    return found.filter("lang_pred != 'und'").select(*[F.col(f"__{name}").alias(name) for name in names])
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at = {name: f"c{i}" for i, name in enumerate(names)}
+    found = language_id.predict(inner, model, at["doc_id"], at["text"], keep=tuple(inner.columns), margin=True)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("margin") > -math.log(NO_LANGUAGE))).select(*inner.columns).toDF(*names)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +37,15 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A document whose words are all in such copies goes; its first copy stays. One that had no word
     before stays.
     """
-    out = line_dedup.remove_repeats(docs, removed="__removed")
-    out = out.filter(~((F.col("__removed") > 0) & ~F.col("text").rlike(line_dedup.WORD))).drop("__removed")
+    removed = unused("removed", docs.columns)
+    out = line_dedup.remove_repeats(docs, removed=removed)
+    out = out.filter(~((F.col(removed) > 0) & ~F.col("text").rlike(line_dedup.WORD))).drop(removed)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id; rows equal to it stay with it."""
-    return ngram_join.keep_one(docs, equal_rows=True)
+    """One document of each group of near duplicates, the one with the least id; of equal rows one stays."""
+    return ngram_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +56,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of what they decode to."""
     tokens = merge_replay.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    decoded = merge_replay.decode(merge_replay.encode(docs, tokens, public_tokenizers.PATTERN), tokens)
-    return merge_replay.digests(decoded, "ids")
+    return merge_replay.digests(merge_replay.encode(docs, tokens, public_tokenizers.PATTERN, decoded=True), "ids")
 
 
 STAGES = [
