@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from hazardflow import config
 from hazardflow.functions import geo
@@ -85,6 +85,11 @@ def validation_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     )
 
 
+def observed(df: DataFrame, rules: dict[str, Column], figures: Observation) -> DataFrame:
+    """The same rows; ``figures`` gets rows_in and rows_kept when a job has read them, without a pass of its own."""
+    return df.observe(figures, F.count("*").alias("rows_in"), F.count_if(passes(rules)).alias("rows_kept"))
+
+
 def ingested_since(df: DataFrame, as_of, hours: int = config.DEDUP_HORIZON_HOURS) -> DataFrame:
     return df.filter(F.col("ingestion_time") >= hours_before(as_of, hours))
 

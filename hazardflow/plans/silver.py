@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from hazardflow import config
+from hazardflow.functions.time import hours_before
 from hazardflow.operators import dedup, enrich, quality
 from hazardflow.sources import tables
+from hazardflow.workspace import path_exists
 
 
 def clean_quakes(bronze: DataFrame) -> DataFrame:
@@ -60,14 +63,32 @@ def weather(bronze: DataFrame, as_of, batch_id: str = "batch", whole_words: bool
     )
 
 
-def refresh_quakes(spark: SparkSession, bronze_root: str, root: str, as_of, batch_id: str) -> None:
-    """Merge what was ingested in the look-back into the kept silver rows."""
-    recent = quality.ingested_since(tables.scan(spark, bronze_root), as_of)
-    stage = f"{root}__stage_{batch_id}"
-    tables.upsert_days(quakes(recent, as_of, batch_id), root, dedup.latest_quakes, ["event_id"], stage)
+def recent_bronze(spark: SparkSession, bronze_root: str, as_of) -> DataFrame:
+    """Bronze rows ingested in the look-back; older days of ingestion are not opened."""
+    since = hours_before(as_of, config.DEDUP_HORIZON_HOURS)
+    return quality.ingested_since(tables.scan(spark, bronze_root, ingested_since=since), as_of)
 
 
-def refresh_weather(spark: SparkSession, bronze_root: str, root: str, as_of, batch_id: str) -> None:
-    recent = quality.ingested_since(tables.scan(spark, bronze_root), as_of)
-    stage = f"{root}__stage_{batch_id}"
-    tables.upsert_days(weather(recent, as_of, batch_id), root, dedup.latest_alerts, ["alert_id"], stage)
+def _refresh(spark, bronze_root, root, as_of, batch_id, rules, make, merge, key) -> dict[str, int] | None:
+    figures, stage = Observation(), f"{root}__stage_{batch_id}"
+    done = path_exists(spark, f"{stage}/updates/_SUCCESS")
+    recent = quality.observed(recent_bronze(spark, bronze_root, as_of), rules, figures)
+    tables.upsert_days(make(recent, as_of, batch_id), root, merge, [key], stage)
+    if done:
+        return None
+    found = figures.get
+    return {**found, "rows_rejected": found["rows_in"] - found["rows_kept"]}
+
+
+def refresh_quakes(spark: SparkSession, bronze_root: str, root: str, as_of, batch_id: str) -> dict[str, int] | None:
+    """Merge what was ingested in the look-back into the kept silver rows.
+
+    Returns rows_in, rows_kept and rows_rejected, counted in the pass that writes; None on a retry
+    that found them written.
+    """
+    return _refresh(spark, bronze_root, root, as_of, batch_id, quality.all_quake_rules(), quakes, dedup.latest_quakes, "event_id")
+
+
+def refresh_weather(spark: SparkSession, bronze_root: str, root: str, as_of, batch_id: str) -> dict[str, int] | None:
+    """As ``refresh_quakes``, for alerts."""
+    return _refresh(spark, bronze_root, root, as_of, batch_id, quality.weather_rules(), weather, dedup.latest_alerts, "alert_id")

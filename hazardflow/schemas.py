@@ -1,34 +1,9 @@
-"""Explicit schemas: raw documents as landed, and the bronze tables."""
+"""Explicit schemas of the bronze tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# ``properties`` is a map, not a struct: a map keeps "key absent" apart from
-# "key present with null", and a value that is not a number survives as text
-# so that the parser can reject the one bad feature instead of losing it.
-_PROPERTIES = T.MapType(T.StringType(), T.StringType())
-
-# Features are read as raw texts first, so that one bad element does not lose its document.
-DOCUMENT = T.StructType([
-    T.StructField("features", T.ArrayType(T.StringType())),
-    T.StructField("_corrupt_record", T.StringType()),
-])
-
-QUAKE_FEATURE = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("geometry", T.StructType([
-        T.StructField("coordinates", T.ArrayType(T.StringType())),
-    ])),
-    T.StructField("properties", _PROPERTIES),
-])
-
-WEATHER_FEATURE = T.StructType([
-    T.StructField("geometry", T.StringType()),
-    T.StructField("properties", _PROPERTIES),
-])
-
-
 def _fields(kind: T.DataType, names: str) -> list[T.StructField]:
     return [T.StructField(name, kind) for name in names.split()]
 

@@ -7,7 +7,7 @@ document is one poll of a feed and is small, the number of documents is not.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from hazardflow import config, schemas
 from hazardflow.functions import geo, text
@@ -20,24 +20,30 @@ QUAKE_SOURCE, WEATHER_SOURCE, API_VERSION = "usgs_api", "noaa_api", "1.0"
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Landed files. One document per line splits; ``multi_line`` is one per file."""
-    return spark.read.schema(schemas.DOCUMENT).option("multiLine", multi_line).json(path)
+    lines = spark.read.text(path, wholetext=multi_line)
+    return from_text(lines.filter("trim(value) != ''"), "value")
 
 
 def from_text(df: DataFrame, column: str) -> DataFrame:
-    """Same shape from a text column.
+    """Documents of a text column: ``features``, an array of variants, and the text of one that is unreadable.
 
-    Parsed in a step of its own: exploding a parsed column directly would make
-    the optimizer add an is-not-empty filter that parses every text again.
+    A document is parsed once, to a variant; its features are parts of it and are not parsed again. This is
+    a step of its own: exploding a parsed column directly would make the optimizer add an is-not-empty
+    filter that parses every text again.
     """
-    parsed = computed_once(df, {"_document": F.from_json(F.col(column), schemas.DOCUMENT)})
-    return parsed.select("_document.*")
+    parsed = computed_once(df.select(F.col(column).alias("_text")), {"_document": F.expr("try_parse_json(_text)")})
+    listed = computed_once(parsed, {"features": F.expr("try_variant_get(_document, '$.features', 'array<variant>')")})
+    other = "try_variant_get(_document, '$.features', 'variant')"
+    bad = (
+        f"_document IS NULL OR {other} IS NOT NULL AND NOT is_variant_null({other})"
+        " OR schema_of_variant(_document) NOT LIKE 'OBJECT%'"
+    )
+    return listed.select("features", F.expr(f"CASE WHEN features IS NULL AND ({bad}) THEN _text END").alias("_corrupt_record"))
 
 
-def _features(documents: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per element of ``features``; one that is no object has NULL fields."""
-    raw = documents.select(F.explode("features").alias("raw_feature"))
-    parsed = computed_once(raw, {"feature": F.from_json("raw_feature", schema)})
-    return parsed.select("raw_feature", "feature.*")
+def _features(documents: DataFrame) -> DataFrame:
+    """One row per element of ``features``, a variant; one that is no object has no fields."""
+    return documents.select(F.explode("features").alias("feature"))
 
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
@@ -48,13 +54,27 @@ def rejected_documents(documents: DataFrame) -> DataFrame:
     )
 
 
+def _text(path: str) -> str:
+    """Text of a field; NULL if it is absent, null or below something that is no object."""
+    return f"try_variant_get(feature, {literal('$.' + path)}, 'string')"
+
+
+def _present(path: str) -> str:
+    """Whether a field is there, be it null."""
+    return f"try_variant_get(feature, {literal('$.' + path)}, 'variant') IS NOT NULL"
+
+
 def _property(name: str, default: str = "") -> str:
     """Text of a property: the default if the key is absent, NULL if it is null."""
-    key = literal(name)
-    return (
-        f"CASE WHEN map_contains_key(properties, {key}) THEN properties[{key}]"
-        f" ELSE {literal(default)} END"
-    )
+    path = f"properties.{name}"
+    return f"CASE WHEN {_present(path)} THEN {_text(path)} ELSE {literal(default)} END"
+
+
+def _has_properties(*usual: str) -> str:
+    """Whether ``properties`` is an object: sure if it has one of the usual keys, else its type tells."""
+    known = " OR ".join(_present(f"properties.{name}") for name in usual)
+    kind = "schema_of_variant(try_variant_get(feature, '$.properties', 'variant'))"
+    return f"({known} OR coalesce({kind} LIKE 'OBJECT%', false))"
 
 
 def _whole(value: str) -> str:
@@ -74,21 +94,21 @@ _QUAKE_TEXTS = {
     "detail_url": ("detail", ""),
     "url": ("url", ""),
 }
-# bronze column -> (raw text, kind); a value that is not a number rejects the feature
+# bronze column -> (path, kind); a value that is not a number rejects the feature
 _QUAKE_NUMBERS = {
-    "longitude": ("get(geometry.coordinates, 0)", "double"),
-    "latitude": ("get(geometry.coordinates, 1)", "double"),
-    "depth_km": ("get(geometry.coordinates, 2)", "double"),
-    "magnitude": ("properties['mag']", "double"),
-    "cdi": ("properties['cdi']", "double"),
-    "mmi": ("properties['mmi']", "double"),
-    "nst": ("properties['nst']", "whole"),
-    "gap": ("properties['gap']", "double"),
-    "dmin": ("properties['dmin']", "double"),
-    "rms": ("properties['rms']", "double"),
-    "felt_reports": ("properties['felt']", "whole"),
-    "event_time": ("properties['time']", "time"),
-    "updated_time": ("properties['updated']", "time"),
+    "longitude": ("geometry.coordinates[0]", "double"),
+    "latitude": ("geometry.coordinates[1]", "double"),
+    "depth_km": ("geometry.coordinates[2]", "double"),
+    "magnitude": ("properties.mag", "double"),
+    "cdi": ("properties.cdi", "double"),
+    "mmi": ("properties.mmi", "double"),
+    "nst": ("properties.nst", "whole"),
+    "gap": ("properties.gap", "double"),
+    "dmin": ("properties.dmin", "double"),
+    "rms": ("properties.rms", "double"),
+    "felt_reports": ("properties.felt", "whole"),
+    "event_time": ("properties.time", "time"),
+    "updated_time": ("properties.updated", "time"),
 }
 
 
@@ -103,20 +123,13 @@ def _truthy(value: str) -> str:
 def _quake_columns(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     """Every bronze column plus ``reasons``, which is NULL on good features.
 
-    The raw texts are looked up once per feature, numbers and texts in a step
-    of their own so that each stays a method the JVM compiles.
+    What decides on a rejection is looked up once per feature, the texts only where they are used.
     """
-    numbers = {
-        f"_{name}": F.expr(raw) for name, (raw, _) in _QUAKE_NUMBERS.items()
-    }
-    texts = {name: F.expr(_property(key, default)) for name, (key, default) in _QUAKE_TEXTS.items()}
-    texts["_significance"] = F.expr(_property("sig", "0"))
-    texts["_tsunami"] = F.expr("properties['tsunami']")
-    looked_up = computed_once(
-        computed_once(_features(documents, schemas.QUAKE_FEATURE), numbers), texts
-    )
+    numbers = {f"_{name}": F.expr(_text(path)) for name, (path, _) in _QUAKE_NUMBERS.items()}
+    looked_up = computed_once(_features(documents), numbers)
+    texts = {name: _property(key, default) for name, (key, default) in _QUAKE_TEXTS.items()}
 
-    columns = {"event_id": "coalesce(id, '')", **{name: name for name in _QUAKE_TEXTS}}
+    columns = {"event_id": f"coalesce({_text('id')}, '')", **texts}
     for name, (_, kind) in _QUAKE_NUMBERS.items():
         columns[name] = f"try_cast(_{name} AS DOUBLE)" if kind == "double" else _whole(f"_{name}")
         if kind == "time":
@@ -128,15 +141,16 @@ def _quake_columns(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     columns["batch_id"] = literal(batch_id)
 
     problems = {
-        "properties": "properties IS NULL",
-        "coordinates": "coalesce(size(geometry.coordinates), 0) < 3",
-        "significance": "properties IS NOT NULL AND try_cast(_significance AS DOUBLE) IS NULL",
+        "properties": f"NOT {_has_properties('time', 'mag', 'sig')}",
+        "coordinates": f"NOT {_present('geometry.coordinates[2]')}",
+        "significance": "try_cast(_significance AS DOUBLE) IS NULL",
     }
     for name in _QUAKE_NUMBERS:
         problems[name] = f"_{name} IS NOT NULL AND try_cast(_{name} AS DOUBLE) IS NULL"
     named = ", ".join(f"CASE WHEN {bad} THEN {literal(name)} END" for name, bad in problems.items())
     reasons = F.expr(f"split(nullif(concat_ws(',', {named}), ''), ',')")
-    judged = computed_once(looked_up, {"reasons": reasons})
+    words = {"_significance": F.expr(_property("sig", "0")), "_tsunami": F.expr(_text("properties.tsunami"))}
+    judged = computed_once(computed_once(looked_up, words), {"reasons": reasons})
     return judged.withColumn("ingestion_time", moment(as_of)).selectExpr(
         *[
             "ingestion_time" if name == "ingestion_time" else f"{columns[name]} AS {name}"
@@ -146,9 +160,14 @@ def _quake_columns(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
     )
 
 
-def parse_quakes(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
-    """Bronze rows; a malformed feature is left out, see ``rejected_quakes``."""
+def parse_quakes(documents: DataFrame, as_of, batch_id: str, figures: Observation | None = None) -> DataFrame:
+    """Bronze rows; a malformed feature is left out, see ``rejected_quakes``.
+
+    ``figures`` gets the features read (rows_in) and kept (rows_kept) once the rows are written.
+    """
     parsed = _quake_columns(documents, as_of, batch_id)
+    if figures is not None:
+        parsed = parsed.observe(figures, F.count("*").alias("rows_in"), F.count_if(F.col("reasons").isNull()).alias("rows_kept"))
     return parsed.filter(F.col("reasons").isNull()).drop("reasons")
 
 
@@ -199,12 +218,17 @@ _WEATHER_TIMES = {
 }
 
 
-def parse_weather(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
-    """Bronze rows; a bad time becomes NULL, a feature without properties is left out."""
-    props = F.col("properties")
-    geometry = F.col("geometry")
+_WEATHER_KEYS = ("id", "event", "severity")
+
+
+def parse_weather(documents: DataFrame, as_of, batch_id: str, figures: Observation | None = None) -> DataFrame:
+    """Bronze rows; a bad time becomes NULL, a feature without properties is left out.
+
+    ``figures`` gets the features read (rows_in) and kept (rows_kept) once the rows are written.
+    """
+    geometry = F.expr(_text("geometry"))
     columns = {name: F.expr(_property(key)) for name, key in _WEATHER_TEXTS.items()}
-    columns.update({name: text.parse_iso(props[key]) for name, key in _WEATHER_TIMES.items()})
+    columns.update({name: text.parse_iso(F.expr(_text(f"properties.{key}"))) for name, key in _WEATHER_TIMES.items()})
     columns.update({
         "geocode": F.expr(_property("geocode", "{}")),
         "geometry": F.when(~geometry.isin("", "{}", "[]"), geometry),
@@ -213,14 +237,13 @@ def parse_weather(documents: DataFrame, as_of, batch_id: str) -> DataFrame:
         "api_version": F.lit(API_VERSION),
         "batch_id": F.lit(batch_id),
     })
-    return (
-        _features(documents, schemas.WEATHER_FEATURE)
-        .filter(props.isNotNull())
-        .select(*[columns[name].alias(name) for name in schemas.BRONZE_WEATHER.names])
-    )
+    features, good = _features(documents), F.expr(_has_properties(*_WEATHER_KEYS))
+    if figures is not None:
+        features = features.observe(figures, F.count("*").alias("rows_in"), F.count_if(good).alias("rows_kept"))
+    return features.filter(good).select(*[columns[name].alias(name) for name in schemas.BRONZE_WEATHER.names])
 
 
 def rejected_weather(documents: DataFrame) -> DataFrame:
     """The features ``parse_weather`` leaves out: those without properties."""
-    rows = _features(documents, schemas.WEATHER_FEATURE).filter("properties IS NULL")
-    return rows.select("raw_feature", F.array(F.lit("properties")).alias("reasons"))
+    rows = _features(documents).filter(f"NOT {_has_properties(*_WEATHER_KEYS)}")
+    return rows.select(F.to_json("feature").alias("raw_feature"), F.array(F.lit("properties")).alias("reasons"))

@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hazardflow import schemas
 from hazardflow.functions.time import days_before, moment
+from hazardflow.sources.layers import Layers, newest
 from hazardflow.workspace import delete_path, fresh_path, path_exists
 
 PARTS = schemas.PARTITION_COLUMNS
+INGESTION_DAY = "ingestion_day"
 DAY = "make_date(year, month, day)"
-#: Partitions of the index from key to day that an upserted table has.
-INDEX_BUCKETS = 64
+
+
+class Touched(set):
+    """Days that an upsert touched. ``changes`` has the rows that went, with ``change`` -1, and those that came,
+    with +1: the old and the new version of each key of the batch, alike or not."""
+
+    changes: DataFrame
 
 
 def scan(
@@ -23,14 +30,20 @@ def scan(
     schema: T.StructType | None = None,
     since=None,
     until=None,
+    ingested_since=None,
 ) -> DataFrame:
-    """Parquet scan; ``since``/``until`` prune whole days before any file is opened.
+    """Parquet scan; ``since``/``until`` prune whole days before any file is opened, and so does
+    ``ingested_since`` in a table that ``append_bronze`` wrote.
 
-    The predicate uses the partition columns only. Add the exact time filter on
-    top; this one keeps the days that can hold matching rows.
+    The predicates use the partition columns only. Add the exact time filter on
+    top; these keep the days that can hold matching rows.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(root)
+    if INGESTION_DAY in df.columns:
+        if ingested_since is not None:
+            df = df.filter(F.col(INGESTION_DAY) >= F.to_date(moment(ingested_since)))
+        df = df.drop(INGESTION_DAY)
     if since is not None:
         df = df.filter(F.expr(DAY) >= F.to_date(moment(since)))
     if until is not None:
@@ -49,6 +62,11 @@ def append(df: DataFrame, root: str, columns: list[str] | None = None) -> None:
     _balanced(df, columns).write.mode("append").partitionBy(*columns).parquet(root)
 
 
+def append_bronze(df: DataFrame, root: str) -> None:
+    """Append with the day of ingestion as a partition below the event's day, for refreshes to prune by."""
+    append(df.withColumn(INGESTION_DAY, F.to_date("ingestion_time")), root, [*PARTS, INGESTION_DAY])
+
+
 def overwrite_partitions(df: DataFrame, root: str, columns: list[str] | None = None) -> None:
     """Replace only the partitions present in ``df``."""
     columns = columns or PARTS
@@ -73,7 +91,7 @@ def retain(df: DataFrame, as_of, days: int, column: str = "event_date") -> DataF
 
 
 def replace_days(df: DataFrame, root: str, days: set[dt.date]) -> None:
-    """Make ``df`` the content of the given days; a day without rows disappears."""
+    """Make ``df``, a stored table, the content of the given days; a day without rows disappears."""
     overwrite_partitions(df, root)
     for day in days - _days(df):
         delete_path(df.sparkSession, _day_path(root, day))
@@ -94,6 +112,7 @@ def upsert_days(
     merge: Callable[[DataFrame], DataFrame],
     key: list[str],
     stage: str | None = None,
+    then: Callable[[Touched], None] | None = None,
 ) -> set[dt.date]:
     """Merge rows into a day-partitioned table; reads and rewrites the touched days only.
 
@@ -102,16 +121,22 @@ def upsert_days(
     stand now, which an index beside the table knows: a row may move any number
     of days. Returns the touched days.
 
-    The index is append-only, (bucket of the key, key, day), with a row for
-    each new or moved key, so a lookup reads the buckets of its keys.
+    The index has (key, day) rows in layers, one for each batch, that are compacted
+    to one row per key; a lookup reads the buckets of its keys (``layers``).
 
     ``stage`` is a path that belongs to this batch alone. The updates are written
-    there once, then the merged days, which are swapped in last: a retry goes on
+    there once, then the merged days and, for ``then``, the rows that go; the days are
+    swapped in, and ``then`` is called last, with the touched days. A retry goes on
     from the last finished step and never reads a half-swapped table. Indexing a
-    key again changes nothing.
+    key again changes nothing; what ``then`` does must bear a repetition.
     """
     spark, columns = updates.sparkSession, updates.columns
     stage = stage or fresh_path(spark, "stage")
+    index = key_index(root, updates.schema, key)
+    anew = not path_exists(spark, f"{stage}/merged/_SUCCESS")
+    if anew:
+        # not on a retry: the first try has indexed the new places of keys whose old ones are still needed
+        index.compact(spark)
 
     def staged(name: str, make: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
         path = f"{stage}/{name}"
@@ -120,37 +145,41 @@ def upsert_days(
         return spark.read.schema(schema).parquet(path)
 
     fresh = staged("updates", lambda: updates, updates.schema)
-    bucket = F.pmod(F.xxhash64(*key), F.lit(INDEX_BUCKETS)).cast("int")
-    keys = fresh.select(*key, bucket.alias("bucket")).distinct()
-    known = _indexed(keys, f"{root}__index", key)
-    touched = _days(fresh) | ({row[0] for row in known.select("day").distinct().collect()} if known is not None else set())
+    keys = fresh.select(*key).distinct()
+    indexed, stands = path_exists(spark, index.root), path_exists(spark, root)
+    known = index.lookup(keys) if indexed else None
+    places = fresh.select(F.expr(DAY).alias("day"))
+    if known is not None:
+        places = places.unionByName(known.select("day"))
+    touched = Touched(row[0] for row in places.distinct().collect())
     if not touched:
         delete_path(spark, stage)
-        return set()
-
-    def merged_days() -> DataFrame:
-        if not path_exists(spark, root):
-            return merge(fresh).select(*columns)
-        old = spark.read.schema(updates.schema).parquet(root).select(*columns)
-        return merge(old.filter(F.expr(DAY).isin(sorted(touched))).unionByName(fresh)).select(*columns)
-
-    merged = staged("merged", merged_days, updates.schema)
-    places = merged.select(*key, F.expr(DAY).alias("day")).join(keys, key, "left_semi")
-    if known is not None:
-        places = places.join(known, [*key, "day"], "left_anti")
-    _balanced(places.withColumn("bucket", bucket), ["bucket"]).write.mode("append").partitionBy("bucket").parquet(f"{root}__index")
+        return touched
+
+    def old() -> DataFrame:
+        rows = spark.read.schema(updates.schema).parquet(root).select(*columns)
+        return rows.filter(F.expr(DAY).isin(sorted(touched)))
+
+    merged = staged("merged", lambda: merge(old().unionByName(fresh) if stands else fresh).select(*columns), updates.schema)
+    now = merged.join(keys, key, "left_semi")
+    if then is not None:
+        touched.changes = now.withColumn("change", F.lit(1))
+        if stands:
+            replaced = staged("replaced", lambda: old().join(keys, key, "left_semi"), updates.schema)
+            touched.changes = touched.changes.unionByName(replaced.withColumn("change", F.lit(-1)))
+    moved = now.select(*key, F.expr(DAY).alias("day"))
+    index.add(moved if known is None else moved.join(known, [*key, "day"], "left_anti"))
     replace_days(merged, root, touched)
+    if then is not None:
+        then(touched)
     delete_path(spark, stage)
     return touched
 
 
-def _indexed(keys: DataFrame, index: str, key: list[str]) -> DataFrame | None:
-    """(key, day) rows of the index for the keys; earlier places of a moved key are among them."""
-    if not path_exists(keys.sparkSession, index):
-        return None
-    buckets = [row[0] for row in keys.select("bucket").distinct().collect()]  # at most INDEX_BUCKETS
-    found = keys.sparkSession.read.parquet(index).filter(F.col("bucket").isin(buckets))
-    return found.join(keys.select(*key), key, "left_semi").select(*key, "day").distinct()
+def key_index(root: str, schema: T.StructType, key: list[str]) -> Layers:
+    """The index from key to day beside an upserted table."""
+    fields = [schema[name] for name in key]
+    return Layers(f"{root}__index", T.StructType([*fields, T.StructField("day", T.DateType())]), key, newest(key))
 
 
 def _day_path(root: str, day: dt.date) -> str:

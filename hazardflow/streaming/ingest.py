@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from hazardflow import config, schemas
+from hazardflow import config
 from hazardflow.operators import dedup
-from hazardflow.sources import tables
+from hazardflow.sources import geojson, tables
 
 
 def landed_documents(
     spark: SparkSession, landing: str, files_per_batch: int | None = None
 ) -> DataFrame:
     """Stream of documents, one per line, from a landing folder."""
-    reader = spark.readStream.schema(schemas.DOCUMENT)
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(landing)
+    return geojson.from_text(reader.text(landing).filter("trim(value) != ''"), "value")
 
 
 def start(writer: DataStreamWriter, available_now: bool = False) -> StreamingQuery:
@@ -43,7 +42,7 @@ def upsert_table(
     merge: Callable[[DataFrame], DataFrame] = dedup.latest_quakes,
     prepare: Callable[[DataFrame, int], DataFrame] | None = None,
     key: str = "event_id",
-    then: Callable[[set[dt.date], int], None] | None = None,
+    then: Callable[[tables.Touched, int], None] | None = None,
 ) -> DataStreamWriter:
     """Merge every micro-batch into a day-partitioned table.
 
@@ -51,15 +50,14 @@ def upsert_table(
     batch is merged with the stored days. The stage of a batch lives under the
     checkpoint, so a retried batch finds its own and no other query's.
 
-    ``then`` gets the touched days after each batch, to bring tables that derive
-    from this one up to date.
+    ``then`` gets the touched days after each batch, with its changes, and the batch's number, to
+    bring tables that derive from this one up to date. It is part of the batch: a retry repeats it.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = batch if prepare is None else prepare(batch, batch_id)
-        touched = tables.upsert_days(rows, root, merge, [key], f"{checkpoint}/stage/{batch_id}")
-        if then is not None and touched:
-            then(touched, batch_id)
+        after = None if then is None else lambda touched: then(touched, batch_id)
+        tables.upsert_days(rows, root, merge, [key], f"{checkpoint}/stage/{batch_id}", after)
 
     writer = stream.writeStream.foreachBatch(merge_batch)
     return writer.option("checkpointLocation", checkpoint)

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from hazardflow import config
 from hazardflow.functions import geo
 from hazardflow.functions.time import hours_before, moment
 from hazardflow.operators import alerts, dedup, frequency
 from hazardflow.sources import tables
+from hazardflow.sources.layers import LAYER, Layers, newest
+from hazardflow.workspace import stored
+
+#: Microseconds of a block in which bursts are totalled.
+SUCCESSION_BLOCK = 600_000_000
+
 
 def _touched(spark: SparkSession, root: str, days: set[dt.date], around: int = 0) -> DataFrame:
     """Rows of the touched days of a table, and of ``around`` days before them."""
@@ -22,22 +28,71 @@ def _parted(df: DataFrame, at: str) -> DataFrame:
     return df.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
 
 
-def refresh_hours(spark: SparkSession, silver: str, root: str, days: set[dt.date]) -> None:
-    """Recount the hours of the touched silver days.
+HOUR_LOG = T.StructType([
+    T.StructField("geographic_region", T.StringType()), T.StructField("hour_window", T.TimestampType()),
+    T.StructField("magnitude", T.DoubleType()), T.StructField("events", T.LongType()),
+])
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    keys = HOUR_LOG.names[:-1]
+    summed = rows.groupBy(*keys).agg(F.sum("events").alias("events"), F.max(LAYER).alias(LAYER))
+    return summed.filter("events != 0")
+
 
-    Silver has one row per event, its newest version, so revisions are not
-    counted twice, an event that moves leaves its old hour, and a late row is
-    counted whenever it comes. The result does not depend on the batches.
+def hour_log(root: str) -> Layers:
+    """Events per region, hour and magnitude, as a log of what each batch added and took away."""
+    return Layers(root, HOUR_LOG, frequency.REGION_HOUR, _summed)
+
+
+def log_hours(touched: tables.Touched, root: str, number: int) -> None:
+    """Adds a batch's changes to the hourly counts: +1 for each version that came, -1 for each that went.
+
+    Silver has one row per event, its newest version, so revisions are not counted twice, an event that
+    moves leaves its old hour, and a late row is counted whenever it comes. No day is counted again, and the
+    result does not depend on the batches. A batch that is repeated is not added again.
     """
-    tables.replace_days(_parted(frequency.hourly_activity(_touched(spark, silver, days)), "hour_window"), root, days)
+    log = hour_log(root)
+    log.compact(touched.changes.sparkSession)
+    counted = touched.changes.withColumn("hour_window", F.date_trunc("hour", "event_time"))
+    log.add(counted.groupBy(*HOUR_LOG.names[:-1]).agg(F.sum("change").cast("bigint").alias("events")).filter("events != 0"), number)
+
+
+def _hourly(log: DataFrame) -> DataFrame:
+    weighted = F.sum(F.col("magnitude") * F.col("events"))
+    return log.groupBy(*frequency.REGION_HOUR).agg(
+        F.sum("events").alias("earthquake_count"),
+        (weighted / F.sum(F.when(F.col("magnitude").isNotNull(), F.col("events")))).alias("avg_magnitude"),
+        F.max("magnitude").alias("max_magnitude"),
+    )
 
 
-def refresh_alerts(
-    spark: SparkSession, hours: str, baseline: DataFrame, root: str, days: set[dt.date]
-) -> None:
-    """Flags of the touched hours against the stored baseline."""
-    flagged = frequency_alerts(_touched(spark, hours, days), baseline)
-    tables.replace_days(flagged, root, days)
+def hourly_table(spark: SparkSession, root: str) -> DataFrame:
+    """``frequency.hourly_activity`` of the silver table whose changes ``log_hours`` got."""
+    return _hourly(hour_log(root).table(spark))
+
+
+def flag_table(root: str, schema: T.StructType) -> Layers:
+    """Flagged hours by region and hour; the newest batch that judged an hour counts."""
+    return Layers(root, schema, frequency.REGION_HOUR, newest(frequency.REGION_HOUR))
+
+
+def log_alerts(touched: tables.Touched, hours: str, baseline: DataFrame, root: str, number: int) -> None:
+    """Judges the hours that a batch changed against the stored baseline; an hour without events left gets count 0."""
+    spark = touched.changes.sparkSession
+    changed = touched.changes.select("geographic_region", F.date_trunc("hour", "event_time").alias("hour_window")).distinct()
+    left = _hourly(_summed(hour_log(hours).lookup(changed).withColumn(LAYER, F.lit(0))))
+    current = changed.join(left, frequency.REGION_HOUR, "left").fillna(0, ["earthquake_count"])
+    flagged = frequency_alerts(current, baseline)
+    table = flag_table(root, flagged.schema)
+    table.compact(spark)
+    table.add(flagged, number)
+
+
+def alert_table(spark: SparkSession, root: str, baseline: DataFrame) -> DataFrame:
+    """``frequency_alerts`` of the hourly table, each hour as it was judged last."""
+    schema = frequency_alerts(_hourly(spark.createDataFrame([], HOUR_LOG)), baseline).schema
+    return flag_table(root, schema).table(spark).filter("earthquake_count > 0")
 
 
 def region_baseline(silver: DataFrame, as_of, hours: int = config.BASELINE_HOURS) -> DataFrame:
@@ -64,29 +119,39 @@ def frequency_alerts(hourly: DataFrame, baseline: DataFrame) -> DataFrame:
 
 
 def rapid_succession(events: DataFrame, degrees: float = config.GRID_DEGREES) -> DataFrame:
-    """Events that end a burst: at least five in their cell in the 24 hours up to them.
+    """Events that end a burst: at least five in their cell in the 24 hours up to them, ends included.
 
-    Each event is compared within its cell and day, with a second copy for the
-    day after, so one task holds two days of a cell and not its history.
+    Each event is a mark when it comes and one just after the 24 hours for which it counts. An event's
+    count is then a running total over the marks of its cell up to it, and the burst's first event is
+    that of the next mark of the second kind. Both run within blocks of ten minutes and, over the blocks'
+    totals, along the cell: the work is linear, and a cell with most of the events has as many tasks as
+    its history has blocks. Rows without a time or a place end no burst.
     """
-    located = events.select(
-        "event_id", "event_time", F.to_date("event_time").alias("_day"),
+    lasting = config.SUCCESSION_HOURS * 3_600_000_000
+    at = F.unix_micros("event_time")
+    located = events.filter(F.col("event_time").isNotNull()).select(
         geo.grid_floor(F.col("latitude"), degrees).alias("lat_grid"),
-        geo.grid_floor(F.col("longitude"), degrees).alias("lon_grid"),
-    )
-    copies = located.withColumn("_offset", F.explode(F.array(F.lit(0), F.lit(1))))
-    copies = copies.withColumn("_day", F.date_add("_day", F.col("_offset")))
-    last = (
-        Window.partitionBy("lat_grid", "lon_grid", "_day")
-        .orderBy(F.unix_micros("event_time"))
-        .rangeBetween(-config.SUCCESSION_HOURS * 3_600_000_000, 0)
-    )
-    counted = copies.withColumns({
-        "event_count": F.count("*").over(last), "window_start": F.min("event_time").over(last),
+        geo.grid_floor(F.col("longitude"), degrees).alias("lon_grid"), "event_id", "event_time", at.alias("at"))
+    located = located.filter("lat_grid IS NOT NULL AND lon_grid IS NOT NULL")
+    nothing = F.lit(None)
+    marks = located.select("lat_grid", "lon_grid", F.inline(F.array(
+        F.struct((2 * F.col("at")).alias("mark"), F.lit(1).alias("step"), F.col("event_id"), F.col("event_time"), nothing.cast("timestamp").alias("leaves")),
+        F.struct((2 * (F.col("at") + lasting) + 1).alias("mark"), F.lit(-1).alias("step"), nothing.cast("string").alias("event_id"), nothing.cast("timestamp").alias("event_time"), F.col("event_time").alias("leaves")),
+    )))
+    cell = ["lat_grid", "lon_grid"]
+    block = [*cell, "block"]
+    marks = marks.withColumn("block", F.floor(F.col("mark") / F.lit(2 * SUCCESSION_BLOCK)))
+    up_to = Window.partitionBy(*block).orderBy("mark")
+    back_to = Window.partitionBy(*block).orderBy(F.desc("mark"))
+    ran = marks.withColumns({"inside": F.sum("step").over(up_to), "first_inside": F.last("leaves", ignorenulls=True).over(back_to)}).filter("step = 1")
+    totals = marks.groupBy(*block).agg(F.sum("step").alias("total"), F.min("leaves").alias("leaves"))
+    earlier = Window.partitionBy(*cell).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*cell).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = totals.select(*block, F.sum("total").over(earlier).alias("before"), F.last("leaves", ignorenulls=True).over(later).alias("first_after"))
+    counted = ran.join(beyond, block).withColumns({
+        "event_count": F.col("inside") + F.coalesce("before", F.lit(0)), "window_start": F.coalesce("first_inside", "first_after"),
     })
-    return counted.filter(
-        (F.col("_offset") == 0) & (F.col("event_count") >= config.SUCCESSION_COUNT)
-    ).select(
+    return counted.filter(F.col("event_count") >= config.SUCCESSION_COUNT).select(
         geo.grid_label(F.col("lat_grid"), F.col("lon_grid")).alias("grid_cell"),
         "event_id", "window_start", F.col("event_time").alias("window_end"), "event_count",
     )
@@ -96,7 +161,7 @@ def refresh_succession(spark: SparkSession, silver: str, root: str, days: set[dt
     """Bursts that end on the touched days or the days after them."""
     ends = days | {day + dt.timedelta(1) for day in days}
     found = _parted(rapid_succession(_touched(spark, silver, ends, around=1)), "window_end")
-    tables.replace_days(found.filter(F.expr(tables.DAY).isin(sorted(ends))), root, ends)
+    tables.replace_days(stored(found.filter(F.expr(tables.DAY).isin(sorted(ends))), "succession"), root, ends)
 
 
 def is_late(hours: int = config.DEDUP_HORIZON_HOURS) -> Column:

@@ -1,12 +1,15 @@
+import datetime as dt
 import json
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import at
-from hazardflow.operators import frequency
+from hazardflow.operators import dedup, enrich, frequency
 from hazardflow.plans import bronze, silver
-from hazardflow.sources import geojson
+from hazardflow.sources import geojson, layers, tables
 from hazardflow.streaming import ingest, live
 from hazardflow import schemas
 
@@ -74,19 +77,97 @@ def test_live_tables_equal_the_batch_job_in_falling_time_order(spark, tmp_path):
     landing.add(*[feature(f"ev2{i:03}", 2 * 86_400 - 900 - i * 21_300, 4.0, lat=10.2, lon=10.2) for i in range(5)])
     landing.add(feature("ev3000", 60, 5.0), feature("ev1001", 3 * 86_400 + 10, 3.3, updated=99))
 
-    def then(days, number):
-        live.refresh_hours(spark, root, hours, days)
-        live.refresh_succession(spark, root, bursts, days)
+    def then(touched, number):
+        live.log_hours(touched, hours, number)
+        live.refresh_succession(spark, root, bursts, touched)
 
     stream = bronze_stream(spark, landing).drop("year", "month", "day", "hour")
     drain(ingest.upsert_table(stream, root, str(tmp_path / "check"), prepare=lambda batch, n: silver.quakes(batch, AS_OF, f"b{n}"), then=then))
     documents = geojson.read_documents(spark, str(landing.path))
     whole = silver.quakes(bronze.quakes(documents, AS_OF, "b1").drop("year", "month", "day", "hour"), AS_OF)
-    for found, batch in ((hours, frequency.hourly_activity(whole)), (bursts, live.rapid_succession(whole))):
-        streamed = sorted(map(str, spark.read.parquet(found).select(*batch.columns).collect()))
-        assert streamed == sorted(map(str, batch.collect()))
+    for found, batch in ((live.hourly_table(spark, hours), frequency.hourly_activity(whole)), (spark.read.parquet(bursts), live.rapid_succession(whole))):
+        assert sorted(map(str, found.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
     assert {r["event_id"] for r in spark.read.parquet(bursts).collect()} >= {"ev2000"}
-    assert spark.read.parquet(hours).agg(F.sum("earthquake_count")).first()[0] == whole.count() == 18
+    assert live.hourly_table(spark, hours).agg(F.sum("earthquake_count")).first()[0] == whole.count() == 18
+
+
+def plain_bursts(rows, hours=24, least=5):
+    out = []
+    for cell, id_, at_ in rows:
+        inside = sorted(t for c, _, t in rows if c == cell and at_ - dt.timedelta(hours=hours) <= t <= at_)
+        if len(inside) >= least:
+            out.append((id_, inside[0], at_, len(inside)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [600_000_000, 3_600_000_000, 86_400_000_000 * 3])
+def test_rapid_succession_equals_plain_windows(spark, monkeypatch, block):
+    """Ties, exact 24 hours and a microsecond more, gaps of days, several cells, rows without time or place."""
+    monkeypatch.setattr(live, "SUCCESSION_BLOCK", block)
+    rnd = random.Random(8)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for cell in range(3):
+        for n in range(70):
+            moment = start + dt.timedelta(minutes=rnd.choice((10, 30, 97)) * rnd.randrange(200), microseconds=rnd.choice((0, 0, 1)))
+            rows.append((cell, f"c{cell}n{n}", moment))
+    rows += [(5, f"edge{n}", start + dt.timedelta(hours=6 * n)) for n in range(5)]
+    rows += [(6, f"over{n}", start + dt.timedelta(hours=6 * n, microseconds=n == 4)) for n in range(5)]
+    rows += [(7, f"same{n}", start) for n in range(5)]
+    table = [(i, t, 10.0 + c, 20.5) for c, i, t in rows]
+    table += [(f"none{n}", None, 11.0, 20.5) for n in range(6)] + [(f"lost{n}", start, None, 20.5) for n in range(6)]
+    frame = spark.createDataFrame(table, "event_id string, event_time timestamp, latitude double, longitude double").repartition(3)
+    got = sorted((r.event_id, r.window_start, r.window_end, r.event_count) for r in live.rapid_succession(frame).collect())
+    assert got == plain_bursts(rows)
+    assert {r[0] for r in got} >= {"edge4", "same0"} and "over4" not in {r[0] for r in got}
+
+
+def test_hour_log_does_not_depend_on_batches_and_bears_repetition(spark, tmp_path, monkeypatch):
+    """Revisions, moves and removals in forty batches, with compactions; a batch that comes again adds nothing."""
+    monkeypatch.setattr(layers, "MOST_LAYERS", 3)
+    monkeypatch.setattr(layers, "BUCKET_BYTES", 4_000)
+    rnd = random.Random(4)
+    root, hours, flags = (str(tmp_path / name) for name in ("silver", "hours", "flags"))
+    schema = "event_id string, event_time timestamp, ingestion_time timestamp, magnitude double, geographic_region string"
+    baseline = spark.createDataFrame([("A", 2.0, 1.0, 3.0)], "geographic_region string, baseline_count_mean double, baseline_count_std double, baseline_mag_mean double")
+    final, batches = {}, []
+    for number in range(14):
+        rows = []
+        for _ in range(6):
+            row = (f"e{rnd.randrange(25)}", dt.datetime(2024, 1, 1 + rnd.randrange(3), rnd.randrange(4)), dt.datetime(2024, 2, 1, 0, number), rnd.choice((3.0, 4.5, None)), rnd.choice("AB"))
+            rows = [r for r in rows if r[0] != row[0]] + [row]
+            final[row[0]] = row
+        batches.append(enrich.add_quake_partitions(spark.createDataFrame(rows, schema)))
+    for number, batch in enumerate(batches):
+        for _ in range(1 + (number == 5)):  # once more, as after a crash before the commit
+            def then(touched, number=number):
+                live.log_hours(touched, hours, number)
+                live.log_alerts(touched, hours, baseline, flags, number)
+
+            tables.upsert_days(batch, root, dedup.latest_quakes, ["event_id"], then=then)
+    whole = frequency.hourly_activity(spark.createDataFrame(list(final.values()), schema))
+    rounded = lambda df: sorted(str(tuple(round(x, 9) if isinstance(x, float) else x for x in r)) for r in df.collect())
+    names = whole.columns
+    assert rounded(live.hourly_table(spark, hours).select(*names)) == rounded(whole)
+    want = live.frequency_alerts(whole, baseline)
+    assert rounded(live.alert_table(spark, flags, baseline).select(*want.columns)) == rounded(want)
+
+
+def test_a_retry_after_the_swap_repeats_the_changes(spark, tmp_path):
+    """The first try fails in ``then``, after the days were swapped in; the second counts what the first should have."""
+    root, hours, stage = (str(tmp_path / name) for name in ("silver", "hours", "stage"))
+    schema = "event_id string, event_time timestamp, ingestion_time timestamp, magnitude double, geographic_region string"
+    make = lambda day, minute: enrich.add_quake_partitions(spark.createDataFrame([("a", dt.datetime(2024, 1, day), dt.datetime(2024, 2, 1, 0, minute), 3.0, "A")], schema))
+    tables.upsert_days(make(1, 0), root, dedup.latest_quakes, ["event_id"], then=lambda touched: live.log_hours(touched, hours, 0))
+
+    def fails(touched):
+        raise RuntimeError
+
+    with pytest.raises(RuntimeError):
+        tables.upsert_days(make(2, 1), root, dedup.latest_quakes, ["event_id"], stage, fails)
+    tables.upsert_days(make(2, 1), root, dedup.latest_quakes, ["event_id"], stage, lambda touched: live.log_hours(touched, hours, 1))
+    assert [(r.day, r.magnitude) for r in spark.read.parquet(root).collect()] == [(2, 3.0)]
+    assert [(r.hour_window, r.earthquake_count) for r in live.hourly_table(spark, hours).collect()] == [(dt.datetime(2024, 1, 2), 1)]
 
 
 def test_live_frequency_alert_against_the_stored_baseline(spark):
