@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import dataclasses
+import math
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hazardflow import config
 from hazardflow.functions.sql import literal
 from hazardflow.functions.stats import computed_once, over, with_statistics
-from hazardflow.workspace import cut_lineage
+from hazardflow.workspace import cut_lineage, stored
 
 # Distances to this many centres share one generated method; a longer one is
 # past the size the JVM compiles.
 CENTERS_PER_STEP = 4
+# Parts of a standard deviation that points and centres are counted in while a model is fitted.
+FIXED = 10_000
+# A centre that moves no further than this, in the same parts, stands still.
+STILL = 100
 
 # Feature name -> SQL text over a silver event.
 FEATURES = {
@@ -67,6 +72,26 @@ def scaled_features(df: DataFrame) -> DataFrame:
     )
 
 
+def _fixed_point(name: str, mean: float, std: float) -> str:
+    """Standardised value in whole ten-thousandths; 0 for a feature without spread."""
+    return f"CAST(floor(({name} - {literal(mean)}) / {literal(std)} * {FIXED}D + 0.5D) AS BIGINT)" if std > 0 else "0L"
+
+
+def _moments(features: DataFrame) -> tuple[int, list[float], list[float]]:
+    """Rows, means and deviations from exact sums of millionths, the same in any order of the rows."""
+    sums = [F.count("*").alias("rows")]
+    for name in FEATURES:
+        whole = F.floor(F.col(name) * 1_000_000 + 0.5).cast("decimal(19,0)")
+        sums += [F.sum(whole).alias(f"{name}_sum"), F.sum(whole * whole).alias(f"{name}_square")]
+    row = features.agg(*sums).first()
+    n, means, stds = row["rows"], [], []
+    for name in FEATURES if n else ():
+        total, square = int(row[f"{name}_sum"]), int(row[f"{name}_square"])
+        means.append(total / n / 1e6)
+        stds.append(math.sqrt((n * square - total * total) / (n * (n - 1))) / 1e6 if n > 1 else 0.0)
+    return n, means, stds
+
+
 def fit_clusters(
     df: DataFrame,
     k: int = config.CLUSTERS,
@@ -74,35 +99,63 @@ def fit_clusters(
 ) -> ClusterModel | None:
     """Fit k-means on the standardised features; None with fewer rows than clusters.
 
-    Training reads its input up to a hundred times, so the nine features go to
-    a reliable checkpoint first: a lost executor re-reads files and does not
-    run the jobs behind ``df`` again. A ``df`` that is a stored table already
-    needs no checkpoint.
+    Nothing depends on the order or the partitions of the rows, so that any engine comes to the same
+    centres: features are standardised to whole ten-thousandths, all sums are whole numbers, the first
+    centres are the rows whose ids have the least md5, and of equally near centres the first counts. A
+    cluster that loses all its rows keeps its centre. Rounds end when no centre has moved by more than a
+    hundredth of a deviation, or with ``CLUSTER_MAX_ITER``. Each sums within its tasks first.
+
+    Training reads its input once for each round, so the nine numbers go to a table in the shared folder; a
+    lost executor re-reads files. ``checkpoint`` also keeps the features, for a ``df`` that is
+    costly to compute twice; a stored table needs none.
     """
     features = complete_features(df)
     if checkpoint:
         features = cut_lineage(features)
-    aggregates = [F.count("*").alias("rows")]
-    for name in FEATURES:
-        aggregates += [F.avg(name).alias(f"{name}_mean"), F.stddev(name).alias(f"{name}_std")]
-    row = features.agg(*aggregates).first()
-    if row["rows"] < k:
+    rows, means, stds = _moments(features)
+    if rows < k:
         return None
-    means = [row[f"{name}_mean"] for name in FEATURES]
-    stds = [row[f"{name}_std"] or 0.0 for name in FEATURES]
-    scaled = [_scaled(name, mean, std) for name, mean, std in zip(FEATURES, means, stds, strict=True)]
-    vectors = features.select(
-        array_to_vector(F.expr(f"array({', '.join(scaled)})")).alias("scaled_features")
-    )
-    fitted = KMeans(
-        featuresCol="scaled_features",
-        predictionCol="cluster",
-        k=k,
-        seed=config.CLUSTER_SEED,
-        maxIter=config.CLUSTER_MAX_ITER,
-    ).fit(vectors)
-    centers = [[float(x) for x in center] for center in fitted.clusterCenters()]
-    return ClusterModel(means, stds, centers)
+    names = [f"p{i}" for i in range(len(FEATURES))]
+    scaled = [f"{_fixed_point(name, mean, std)} AS {p}" for p, name, mean, std in zip(names, FEATURES, means, stds, strict=True)]
+    points = stored(features.selectExpr("event_id", *scaled), "points")
+    first = points.orderBy(F.md5(F.col("event_id").cast("binary")), "event_id").limit(k).collect()
+    centers = [[row[name] for name in names] for row in first]
+    for _ in range(config.CLUSTER_MAX_ITER):
+        found = {row["cluster"]: row for row in _totals(points.select(*names), centers).collect()}
+        moved = [
+            [(2 * found[j][name] + found[j]["n"]) // (2 * found[j]["n"]) for name in names] if j in found else center
+            for j, center in enumerate(centers)
+        ]
+        still = all(sum((a - b) ** 2 for a, b in zip(x, y)) <= STILL * STILL for x, y in zip(moved, centers))
+        centers = moved
+        if still:
+            break
+    return ClusterModel(means, stds, [[x / FIXED for x in center] for center in centers])
+
+
+def _totals(points: DataFrame, centers: list[list[int]]) -> DataFrame:
+    """Rows and sums of the points nearest to each centre, summed in each task first.
+
+    A generated expression of all distances would be compiled anew for each round's centres, which takes
+    longer than the round; whole numbers in Arrow batches give the same sums.
+    """
+    names = points.columns
+    schema = ", ".join(["cluster int", "n bigint", *(f"{name} bigint" for name in names)])
+    given = np.array(centers, np.int64)
+
+    def nearest(batches):
+        sums = np.zeros((len(given), 1 + given.shape[1]), np.int64)
+        for batch in batches:
+            rows = np.column_stack([column.to_numpy() for column in batch.columns])
+            own = np.stack([((rows - center) ** 2).sum(axis=1) for center in given]).argmin(axis=0)
+            for j in range(len(given)):
+                chosen = rows[own == j]
+                sums[j, 0] += len(chosen)
+                sums[j, 1:] += chosen.sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(given)), pa.int32()), *map(pa.array, sums.T)], names=["cluster", "n", *names])
+
+    parts = points.mapInArrow(nearest, schema).filter("n > 0")
+    return parts.groupBy("cluster").agg(*[F.sum(name).alias(name) for name in ("n", *names)])
 
 
 def assign_clusters(df: DataFrame, model: ClusterModel | None) -> DataFrame:

@@ -12,7 +12,9 @@ from hazardflow.functions.time import span_hours
 # A cell row in the join is a few dozen bytes; this many stay far below 64 MB.
 MAX_BROADCAST_CELLS = 500_000
 CELL_FLAGS = ["geographic_anomaly", "high_activity_anomaly", "rapid_succession_anomaly"]
-_SALT = "_cell_salt"
+_SALT, _HOT = "_cell_salt", "_hot_cell"
+# A cell is hot with more than this part of all events.
+HOT_SHARE = 1_000
 
 
 def add_cell(df: DataFrame, degrees: float = config.GRID_DEGREES) -> DataFrame:
@@ -102,8 +104,10 @@ def attach_cell_flags(
 
     Events outside the coordinate range get no flags. The number of cells follows from the cell size and not from the data, so a
     coarse grid is broadcast and the events are not shuffled. On a finer grid
-    both sides are spread over ``salts`` sub-keys: a cell that holds a third of
-    all events is then split over that many tasks.
+    the hot cells are spread over ``salts`` sub-keys, so that a cell that holds a third of
+    all events is split over that many tasks; the others are not copied. Hot is a cell with more
+    than one in ``HOT_SHARE`` of the events, which the profile's counts tell, so there are fewer
+    than ``HOT_SHARE`` of them, and their list is broadcast.
     """
     keys = ["lat_grid", "lon_grid"]
     # No-op on validated events. It makes the bound of the broadcast hold for any input,
@@ -113,6 +117,11 @@ def attach_cell_flags(
     located = add_cell(events, degrees)
     if geo.max_grid_cells(degrees) <= MAX_BROADCAST_CELLS:
         return located.join(F.broadcast(flags), keys, "left")
-    spread = located.withColumn(_SALT, F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int"))
-    copies = flags.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*keys, _SALT], "left").drop(_SALT)
+    counted = cells.filter(inside).select(*keys, "event_count")
+    hot = with_statistics(counted, {"total": F.sum("event_count")}, counted, "_all").filter(
+        F.col("event_count") * HOT_SHARE > F.col("_all.total")).select(*keys, F.lit(True).alias(_HOT))
+    marked = located.join(F.broadcast(hot), keys, "left")
+    spread = marked.withColumn(_SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64("event_id"), F.lit(salts))).otherwise(0).cast("int"))
+    last = F.when(F.col(_HOT), F.lit(salts - 1)).otherwise(F.lit(0))
+    copies = flags.join(F.broadcast(hot), keys, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
+    return spread.drop(_HOT).join(copies.drop(_HOT), [*keys, _SALT], "left").drop(_SALT)

@@ -23,7 +23,7 @@ def pattern_profile(df: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("alert_frequency"),
             F.avg("combined_severity_score").alias("avg_severity_score"),
-            F.countDistinct("alert_id").alias("unique_alerts"),
+            F.count("alert_id").alias("unique_alerts"),  # silver has one row per alert
             F.min("sent_time").alias("first_alert"),
             F.max("sent_time").alias("last_alert"),
         )

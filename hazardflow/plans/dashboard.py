@@ -69,7 +69,7 @@ def map_feed(silver: DataFrame, as_of) -> DataFrame:
     """Marker rows of the last week with their tooltip."""
     tooltip = F.concat(
         F.lit("Magnitude "), text.fixed_decimals(F.col("magnitude"), 1),
-        F.lit(" • "), F.col("place"),
+        F.lit(" • "), F.coalesce("place", F.lit("an unknown place")),
         F.lit("<br/>Time: "), F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"),
         F.lit("<br/>Depth: "), text.fixed_decimals(F.col("depth_km"), 1), F.lit(" km"),
     )
@@ -186,11 +186,13 @@ def chart_points(df: DataFrame, level: str = "event") -> DataFrame:
     if level not in config.POINT_LEVELS:
         raise ValueError(f"unknown level: {level}")
     at = F.col("event_time")
-    single = level == "event"
+    if level == "event":  # silver has one row per event, so there is nothing to group
+        return df.select(
+            F.lit(level).alias("level"), at.alias("point_time"), "event_id", F.lit(1).cast("bigint").alias("event_count"),
+            F.col("magnitude").alias("avg_magnitude"), F.col("magnitude").alias("max_magnitude"),
+        )
     return df.groupBy(
-        F.lit(level).alias("level"),
-        (at if single else F.date_trunc(level, at)).alias("point_time"),
-        (F.col("event_id") if single else F.lit(None).cast("string")).alias("event_id"),
+        F.lit(level).alias("level"), F.date_trunc(level, at).alias("point_time"), F.lit(None).cast("string").alias("event_id"),
     ).agg(
         F.count("*").alias("event_count"),
         F.avg("magnitude").alias("avg_magnitude"),
@@ -198,6 +200,28 @@ def chart_points(df: DataFrame, level: str = "event") -> DataFrame:
     )
 
 
+def reduced_points(df: DataFrame, seconds: int) -> DataFrame:
+    """Points that draw the same line with fewer: of each time bucket the first, the last, the least and the
+    greatest event, each once. The caller names the bucket's width, for example a pixel's.
+
+    Equal times or magnitudes fall back to the id. Events without a time or magnitude have no point.
+    One aggregate with map-side partials, however many events a bucket has.
+    """
+    if seconds < 1:
+        raise ValueError("a bucket has at least a second")
+    width = F.lit(seconds)
+    bucket = F.timestamp_seconds(F.floor(F.unix_seconds("event_time") / width) * width)
+    by_time = F.struct("event_time", "event_id", "magnitude")
+    by_size = F.struct("magnitude", "event_time", "event_id")
+    ends = df.filter("event_time IS NOT NULL AND magnitude IS NOT NULL").groupBy(bucket.alias("bucket")).agg(
+        F.min(by_time).alias("first"), F.max(by_time).alias("last"), F.min(by_size).alias("least"), F.max(by_size).alias("greatest"))
+    picked = F.array_distinct(F.array(*[
+        F.struct(*[F.col(f"{name}.{field}").alias(field) for field in ("event_id", "event_time", "magnitude")])
+        for name in ("first", "last", "least", "greatest")
+    ]))
+    return ends.select("bucket", F.inline(picked))
+
+
 def drill_through(df: DataFrame, key: str, value) -> DataFrame:
     """Detail row of one id; the id may be a value or a scalar subquery column."""
     return df.filter(F.col(key) == value)

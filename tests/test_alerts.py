@@ -128,6 +128,21 @@ def test_points_are_aggregated_and_never_dropped(spark):
         assert sum(p["event_count"] for p in points) == 500
 
 
+def test_reduced_points_are_the_ends_of_each_bucket(spark):
+    """Against plain sorting; ties, empty buckets, events without a magnitude."""
+    rows = [(f"e{n:03}", None if n == 5 else float((n * 7) % 11), 1_000 * n // 3) for n in range(300)] + [("lone", 3.0, 900_000), ("x", None, 950_000)]
+    df = spark.createDataFrame(rows, "event_id string, magnitude double, at long").withColumn("event_time", F.timestamp_seconds("at"))
+    want = set()
+    for bucket in {at // 7_200 for _, m, at in rows if m is not None}:
+        inside = [(i, m, at) for i, m, at in rows if m is not None and at // 7_200 == bucket]
+        by_time, by_size = sorted(inside, key=lambda r: (r[2], r[0])), sorted(inside, key=lambda r: (r[1], r[2], r[0]))
+        want |= {(bucket * 7_200, r[0]) for r in (by_time[0], by_time[-1], by_size[0], by_size[-1])}
+    got = [(r.b, r.event_id) for r in dashboard.reduced_points(df, 7_200).select(F.unix_seconds("bucket").alias("b"), "event_id").collect()]
+    assert set(got) == want and len(got) == len(want)
+    with pytest.raises(ValueError):
+        dashboard.reduced_points(df, 0)
+
+
 def test_unknown_bookmark(spark):
     with pytest.raises(ValueError):
         dashboard.bookmark(spark.range(1), "Nothing", "2024-01-01")

@@ -1,11 +1,14 @@
+import hashlib
 import math
 import statistics
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, column
+from hazardflow import config
 from hazardflow.operators import cluster, frequency, fusion, grid, statistical, weather_patterns
 from hazardflow.plans import gold
 
@@ -146,6 +149,35 @@ def test_cluster_distance_equals_a_plain_loop(spark):
     assert [r["clustering_anomaly"] for r in rows] == [d > limit for d in distances]
 
 
+def plain_fit(points, ids, k):
+    """Rounds of k-means over whole numbers, by plain loops."""
+    order = sorted(range(len(ids)), key=lambda i: (hashlib.md5(ids[i].encode()).hexdigest(), ids[i]))
+    centers = [list(points[i]) for i in order[:k]]
+    for _ in range(config.CLUSTER_MAX_ITER):
+        members = [[] for _ in centers]
+        for p in points:
+            members[min(range(k), key=lambda j: (sum((a - b) ** 2 for a, b in zip(p, centers[j])), j))].append(p)
+        moved = [[math.floor(Fraction(2 * sum(x) + len(m), 2 * len(m))) for x in zip(*m)] if m else c for m, c in zip(members, centers)]
+        still = all(sum((a - b) ** 2 for a, b in zip(x, y)) <= cluster.STILL**2 for x, y in zip(moved, centers))
+        centers = moved
+        if still:
+            break
+    return centers
+
+
+def test_the_fit_does_not_depend_on_partitions_and_equals_plain_loops(spark):
+    df = silver(spark, 300).withColumn("depth_km", F.when(F.col("depth_km") > 3, F.col("depth_km")))
+    one, other = cluster.fit_clusters(df.repartition(7), k=5), cluster.fit_clusters(df.orderBy(F.desc("magnitude")).coalesce(1), k=5, checkpoint=False)
+    assert one == other
+    rows = cluster.complete_features(df).collect()
+    points = [[math.floor((r[name] - m) / s * cluster.FIXED + 0.5) if s > 0 else 0 for name, m, s in zip(cluster.FEATURES, one.means, one.stds)] for r in rows]
+    assert one.stds[list(cluster.FEATURES).index("severity")] == 0.0
+    assert [[round(x * cluster.FIXED) for x in c] for c in one.centers] == plain_fit(points, [r["event_id"] for r in rows], 5)
+    values = [r["depth_km"] for r in rows]
+    at_ = list(cluster.FEATURES).index("depth_km")
+    assert one.means[at_] == pytest.approx(statistics.mean(values)) and one.stds[at_] == pytest.approx(statistics.stdev(values))
+
+
 def test_identical_points_have_no_far_point(spark):
     df = silver(spark, 50, same=True)
     model = cluster.ClusterModel([0.0] * 9, [1.0] * 9, [[0.0] * 9])
