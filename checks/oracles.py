@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from checks.projections import AS_OF_QUAKES, AS_OF_WEATHER, FIXED_MODEL
+from hazardflow.config import CLUSTER_MAX_ITER, CLUSTERS
+from hazardflow.operators.cluster import STILL as CLUSTER_STILL
 
 Q = f"TIMESTAMP '{AS_OF_QUAKES}'"
 W = f"TIMESTAMP '{AS_OF_WEATHER}'"
@@ -31,7 +33,7 @@ def _oracle(key: str, needs: str, body: str, rounded: str = "") -> None:
     if rounded:
         fixes = ", ".join(f"round({c}, 6) AS {c}" for c in rounded.split())
         body = f"SELECT * REPLACE ({fixes}) FROM ({body})"
-    ORACLES[key] = f"WITH {chain}\n{body}" if chain else body
+    ORACLES[key] = f"WITH RECURSIVE {chain}\n{body}" if chain else body
 
 
 # --- the two feeds -----------------------------------------------------------
@@ -258,8 +260,51 @@ FROM (SELECT * EXCLUDE (d),
   FROM (SELECT *, [{", ".join(centers)}] AS d FROM (SELECT *, {columns} FROM {source})))"""
 
 
+def _fitted(name: str, source: str) -> None:
+    """Tables ``name``_x (features), _m (moments), _p (points), _fit (rounds) and ``name``, the scored rows."""
+    numbers, k = range(len(_CLUSTER_FEATURES)), CLUSTERS
+    complete = " AND ".join(f"x{i} IS NOT NULL" for i in numbers)
+    _cte(f"{name}_x", source, "SELECT *, " + ", ".join(
+        f"CAST({sql} AS DOUBLE) AS x{i}" for i, sql in enumerate(_CLUSTER_FEATURES.values())) + f" FROM {source}")
+    _cte(f"{name}_m", f"{name}_x", "SELECT " + ", ".join(
+        f"CAST(sum(q{i}) AS DOUBLE) / count(*) / 1e6 AS m{i}, sqrt(CAST(count(*) * sum(q{i} * q{i}) - sum(q{i}) * sum(q{i})"
+        f" AS DOUBLE) / (CAST(count(*) AS DOUBLE) * (count(*) - 1))) / 1e6 AS s{i}" for i in numbers)
+        + " FROM (SELECT " + ", ".join(f"CAST(floor(x{i} * 1e6 + 0.5e0) AS HUGEINT) AS q{i}" for i in numbers)
+        + f" FROM {name}_x WHERE {complete})")
+    _cte(f"{name}_p", f"{name}_x {name}_m", "SELECT event_id, [" + ", ".join(
+        f"CASE WHEN s{i} > 0 THEN CAST(floor((x{i} - m{i}) / s{i} * 1e4 + 0.5e0) AS BIGINT) ELSE 0 END" for i in numbers)
+        + f"] AS p FROM {name}_x, {name}_m WHERE {complete}")
+    means = ", ".join(f"CAST(floor((2e0 * sum(p[{i + 1}]) + count(*)) / (2e0 * count(*))) AS BIGINT)" for i in numbers)
+    square = "list_sum(list_transform(list_zip({}, {}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    _cte(f"{name}_fit", f"{name}_p", f"""
+SELECT 0 AS it, list(p ORDER BY md5(event_id), event_id) AS c, true AS moved
+FROM (SELECT * FROM {name}_p ORDER BY md5(event_id), event_id LIMIT {k})
+UNION ALL
+SELECT it + 1, after, list_max(list_transform(list_zip(c, after), lambda y: {square.format('y[1]', 'y[2]')})) > {CLUSTER_STILL * CLUSTER_STILL}
+FROM (SELECT it, c, list_transform(c, lambda x, i: coalesce(found[i], x)) AS after
+  FROM (SELECT it, any_value(c) AS c, map_from_entries(list({{'k': j, 'v': centre}})) AS found
+    FROM (SELECT it, any_value(c) AS c, j, [{means}] AS centre
+      FROM (SELECT it, c, p, list_position(d, list_min(d)) AS j
+        FROM (SELECT f.it, f.c, p.p, list_transform(f.c, lambda x: {square.format('x', 'p.p')}) AS d
+          FROM {name}_fit f, {name}_p p WHERE f.moved AND f.it < {CLUSTER_MAX_ITER}))
+      GROUP BY it, j) GROUP BY it))""")
+    point = "[" + ", ".join(f"CASE WHEN s{i} > 0 THEN (x{i} - m{i}) / s{i} ELSE x{i} * 0 END" for i in numbers) + "]"
+    _cte(name, f"{name}_x {name}_m {name}_fit", f"""
+SELECT *, coalesce(cluster_distance > limit_, false) AS clustering_anomaly,
+  cluster_distance / limit_ AS clustering_anomaly_score
+FROM (SELECT * EXCLUDE (d),
+    CASE WHEN list_min(d) IS NOT NULL THEN list_position(d, list_min(d)) - 1 END AS cluster,
+    list_min(d) AS cluster_distance,
+    avg(list_min(d)) OVER () + 2 * stddev_samp(list_min(d)) OVER () AS limit_
+  FROM (SELECT a.*, CASE WHEN {complete} THEN list_transform(c, lambda x: sqrt(list_sum(list_transform(list_zip({point}, x),
+      lambda z: (z[1] - z[2] / 1e4) * (z[1] - z[2] / 1e4))))) END AS d
+    FROM {name}_x a, {name}_m, (SELECT c FROM {name}_fit ORDER BY it DESC LIMIT 1)))""")
+
+
 _cte("clustered", "silver_q", _fixed("silver_q"))
-_cte("fused", "zs clustered cells", f"""
+_fitted("fitted", "silver_q")
+for _name, _clusters in (("fused", "clustered"), ("fused_fit", "fitted")):
+    _cte(_name, f"zs {_clusters} cells", f"""
 SELECT z.*, c.clustering_anomaly, g.geographic_anomaly,
   z.statistical_anomaly OR c.clustering_anomaly OR g.geographic_anomaly AS is_anomaly,
   concat_ws(',', CASE WHEN z.statistical_anomaly THEN 'statistical' END,
@@ -268,7 +313,7 @@ SELECT z.*, c.clustering_anomaly, g.geographic_anomaly,
   greatest(z.magnitude_zscore / 3, c.clustering_anomaly_score,
     CASE WHEN g.geographic_anomaly THEN 1e0 ELSE 0e0 END) AS anomaly_score,
   {Q} AS detection_timestamp, 'batch-1' AS detection_batch_id
-FROM zs z JOIN clustered c USING (event_id)
+FROM zs z JOIN {_clusters} c USING (event_id)
 JOIN cells g ON floor(z.latitude) = g.lat_grid AND floor(z.longitude) = g.lon_grid
 WHERE z.event_time >= {Q} - INTERVAL 30 DAYS""")
 
@@ -386,6 +431,12 @@ SELECT feed, rows_in, rows_kept, round(100e0 * rows_kept / rows_in, 1) AS percen
     (SELECT count(*) FROM valid_q) AS rows_kept
   UNION ALL SELECT 'weather', (SELECT count(*) FROM weather),
     (SELECT count(*) FROM weather WHERE length(alert_id) > 5))""")
+_oracle("dq_ingest_figures", "raw_quakes good_features", """
+SELECT step, rows_in, rows_kept, rows_in - rows_kept AS rows_rejected FROM (
+  SELECT 'ingest' AS step, (SELECT count(*) FROM raw_quakes) AS rows_in, (SELECT count(*) FROM good_features) AS rows_kept
+  UNION ALL SELECT 'refresh', (SELECT count(*) FROM good_features), (SELECT count(*) FROM good_features
+    WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND magnitude BETWEEN 1 AND 10
+      AND depth_km BETWEEN -10 AND 1000 AND event_time IS NOT NULL AND length(event_id) > 5))""")
 _oracle("quarantine", "quakes", """
 SELECT * FROM (SELECT event_id, event_time, concat_ws(',',
   CASE WHEN abs(latitude) > 90 OR abs(longitude) > 180 THEN 'coordinates' END,
@@ -549,12 +600,14 @@ _oracle("cluster_features", "cluster_inputs", "SELECT event_id, " + ", ".join(
 _oracle("cluster_invariants", "silver_q", """
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS bad_ids, CAST(0 AS BIGINT) AS bad_distances,
   CAST(0 AS BIGINT) AS bad_flags FROM silver_q""")
-_oracle("cluster_score_fixed", "clustered", """
+for _key, _source in (("cluster_anomaly", "fitted"), ("cluster_score_fixed", "clustered")):
+    _oracle(_key, _source, f"""
 SELECT event_id, CAST(cluster AS INTEGER) AS cluster, cluster_distance, clustering_anomaly,
-  clustering_anomaly_score FROM clustered""", "cluster_distance clustering_anomaly_score")
-_oracle("cluster_profile_fixed", "clustered", """
+  clustering_anomaly_score FROM {_source}""", "cluster_distance clustering_anomaly_score")
+for _key, _source in (("cluster_profile", "fitted"), ("cluster_profile_fixed", "clustered")):
+    _oracle(_key, _source, f"""
 SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS count, avg(magnitude) AS avg_magnitude,
-  count(*) FILTER (clustering_anomaly) AS anomalies FROM clustered GROUP BY cluster""", "avg_magnitude")
+  count(*) FILTER (clustering_anomaly) AS anomalies FROM {_source} GROUP BY cluster""", "avg_magnitude")
 _oracle("fuse_statistical", "zs", """
 SELECT event_id, magnitude, magnitude_zscore, depth_km_zscore, statistical_anomaly FROM zs""",
         "magnitude magnitude_zscore depth_km_zscore")
@@ -565,6 +618,9 @@ _oracle("fuse_cluster_fixed", "holed holed_clustered", """
 SELECT event_id, CAST(c.cluster AS INTEGER) AS cluster, c.cluster_distance,
   coalesce(c.clustering_anomaly, false) AS clustering_anomaly
 FROM holed LEFT JOIN holed_clustered c USING (event_id)""", "cluster_distance")
+_fitted("holed_fitted", "holed")
+_oracle("fuse_cluster", "holed_fitted", """
+SELECT event_id, CAST(cluster AS INTEGER) AS cluster, clustering_anomaly FROM holed_fitted""")
 for _key, _source, _size in (("fuse_grid", "cells", "1e0"), ("fuse_grid_fine", "fine_cells", "0.25e0")):
     _oracle(_key, f"silver_q {_source}", f"""
 SELECT event_id, grid_cell, geographic_anomaly, high_activity_anomaly, rapid_succession_anomaly
@@ -573,6 +629,7 @@ FROM silver_q LEFT JOIN {_source} ON floor(latitude / {_size}) * {_size} = lat_g
 _oracle("anomaly_fusion", "fused", """
 SELECT event_id, statistical_anomaly, clustering_anomaly, geographic_anomaly, is_anomaly,
   anomaly_types, anomaly_score, detection_timestamp, detection_batch_id FROM fused""", "anomaly_score")
+_oracle("anomaly_job", "fused_fit", "SELECT event_id, is_anomaly, anomaly_types, anomaly_score FROM fused_fit", "anomaly_score")
 _oracle("anomaly_gate", "silver_q", """
 SELECT least AS least_magnitude, (SELECT count(*) FROM silver_q WHERE magnitude >= least) AS rows
 FROM (VALUES (0e0), (7.5e0)) AS t(least)""")
@@ -691,7 +748,7 @@ SELECT max(ingestion_time) AS latest_ingestion, round(100 * greatest(0e0,
 FROM quakes""")
 _oracle("map_feed", "silver_q", f"""
 SELECT event_id, latitude, longitude, magnitude, severity_category, place, event_time, depth_km,
-  concat(printf('Magnitude %.1f • %s<br/>Time: ', magnitude, place),
+  concat(printf('Magnitude %.1f • %s<br/>Time: ', magnitude, coalesce(place, 'an unknown place')),
     strftime(event_time, '%Y-%m-%d %H:%M:%S'), printf('<br/>Depth: %.1f km', depth_km)) AS tooltip
 FROM silver_q WHERE event_time >= {Q} - INTERVAL 7 DAYS AND magnitude >= 2.5""",
         "latitude longitude magnitude depth_km")
@@ -744,6 +801,14 @@ for _key, _level, _time, _id in (
 SELECT '{_level}' AS level, {_time} AS point_time, {_id} AS event_id, count(*) AS event_count,
   avg(magnitude) AS avg_magnitude, max(magnitude) AS max_magnitude
 FROM silver_q GROUP BY ALL""", "avg_magnitude max_magnitude")
+_oracle("cap_points_reduced", "silver_q", """
+SELECT bucket, event_id, event_time, magnitude FROM (SELECT bucket, event_id, event_time, magnitude,
+    row_number() OVER (PARTITION BY bucket ORDER BY event_time, event_id) AS a,
+    row_number() OVER (PARTITION BY bucket ORDER BY event_time DESC, event_id DESC) AS b,
+    row_number() OVER (PARTITION BY bucket ORDER BY magnitude, event_time, event_id) AS c,
+    row_number() OVER (PARTITION BY bucket ORDER BY magnitude DESC, event_time DESC, event_id DESC) AS d
+  FROM (SELECT *, make_timestamp(CAST(floor(epoch(event_time) / 21600) AS BIGINT) * 21600000000) AS bucket FROM silver_q))
+WHERE 1 IN (a, b, c, d)""", "magnitude")
 _oracle("drill_alert", "silver_w", """
 SELECT alert_id, event_type, severity, area_desc, sent_time FROM silver_w
 ORDER BY sent_time DESC, alert_id DESC LIMIT 1""")

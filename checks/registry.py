@@ -13,7 +13,7 @@ from hazardflow.functions.time import days_before, time_features
 from hazardflow.operators import (
     alerts, cluster, dedup, enrich, frequency, fusion, grid, quality, statistical, weather_patterns,
 )
-from hazardflow.plans import dashboard, gold, reports, silver
+from hazardflow.plans import bronze, dashboard, gold, reports, silver
 from hazardflow.sources import feeds, geojson, tables
 from hazardflow.streaming import ingest, live
 from hazardflow.workspace import fresh_path, prepare, stored
@@ -41,15 +41,9 @@ def named(name: str) -> Callable[[Query], Query]:
     return lambda function: query(function, name)
 
 
-_STORED: dict[tuple[str, str], DataFrame] = {}
-
-
 def _silver_table(spark, sf) -> DataFrame:
-    """Silver written once for a folder and application, for queries that read it several times."""
-    key = spark.sparkContext.applicationId, sf
-    if key not in _STORED:
-        _STORED[key] = stored(P.silver_quakes(spark, sf), "silver")
-    return _STORED[key]
+    """Silver written to the shared folder, for queries that read it several times."""
+    return stored(P.silver_quakes(spark, sf), "silver")
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -904,6 +898,12 @@ def cap_points(spark, sf):
     return dashboard.chart_points(P.silver_quakes(spark, sf), "event")
 
 
+@query
+def cap_points_reduced(spark, sf):
+    """First, last, least and greatest event of every six hours."""
+    return dashboard.reduced_points(P.silver_quakes(spark, sf), 6 * 3600)
+
+
 @query
 def cap_points_hourly(spark, sf):
     return dashboard.chart_points(P.silver_quakes(spark, sf), "hour")
@@ -953,6 +953,17 @@ def stream_ingest(spark, sf):
     return spark.read.schema(rows.schema).parquet(root).select(*QUAKE_COLUMNS)
 
 
+@query
+def dq_ingest_figures(spark, sf):
+    """Features read, kept and rejected by an ingestion, and rows by the refresh after it, as the writes count them."""
+    landing, root = fresh_path(spark, "landing"), fresh_path(spark, "bronze")
+    P.quake_documents(spark, sf).write.text(landing)
+    ingested = bronze.ingest_quakes(spark, landing, root, Q, BATCH)
+    refreshed = silver.refresh_quakes(spark, root, fresh_path(spark, "silver"), Q, BATCH)
+    rows = [(step, found["rows_in"], found["rows_kept"], found["rows_rejected"]) for step, found in (("ingest", ingested), ("refresh", refreshed))]
+    return spark.createDataFrame(rows, "step string, rows_in bigint, rows_kept bigint, rows_rejected bigint")
+
+
 @query
 def stream_dedup(spark, sf):
     root = fresh_path(spark, "silver")
@@ -964,12 +975,12 @@ def stream_dedup(spark, sf):
 
 
 def _live_silver(spark, sf, then) -> None:
-    """Silver kept by a stream of several batches; ``then`` gets its path and the touched days."""
+    """Silver kept by a stream of several batches; ``then`` gets its path, the touched days and the batch's number."""
     root = fresh_path(spark, "silver")
     rows = P.quake_stream(spark, sf, files=LIVE_BATCHES).drop("raw_id")
     _drain(ingest.upsert_table(
         rows, root, fresh_path(spark, "stream"), prepare=lambda batch, number: silver.quakes(batch, Q, f"batch-{number}"),
-        then=lambda days, number: then(root, days),
+        then=lambda touched, number: then(root, touched, number),
     ))
 
 
@@ -977,8 +988,8 @@ def _live_silver(spark, sf, then) -> None:
 def stream_hourly(spark, sf):
     """Hourly counts kept up to date by the silver stream."""
     hours = fresh_path(spark, "hourly")
-    _live_silver(spark, sf, lambda root, days: live.refresh_hours(spark, root, hours, days))
-    return spark.read.parquet(hours).drop(*schemas.PARTITION_COLUMNS)
+    _live_silver(spark, sf, lambda root, touched, number: live.log_hours(touched, hours, number))
+    return live.hourly_table(spark, hours)
 
 
 @query
@@ -987,12 +998,12 @@ def stream_frequency_alert(spark, sf):
     baseline = live.region_baseline(_silver_table(spark, sf), Q)
     hours, found = fresh_path(spark, "hourly"), fresh_path(spark, "alerts")
 
-    def flag(root, days) -> None:
-        live.refresh_hours(spark, root, hours, days)
-        live.refresh_alerts(spark, hours, baseline, found, days)
+    def flag(root, touched, number) -> None:
+        live.log_hours(touched, hours, number)
+        live.log_alerts(touched, hours, baseline, found, number)
 
     _live_silver(spark, sf, flag)
-    return spark.read.parquet(found).select(
+    return live.alert_table(spark, found, baseline).select(
         *frequency.REGION_HOUR, "earthquake_count", "frequency_zscore", "frequency_anomaly",
         "magnitude_anomaly", "combined_anomaly",
     )
@@ -1001,7 +1012,7 @@ def stream_frequency_alert(spark, sf):
 @query
 def stream_rapid_succession(spark, sf):
     found = fresh_path(spark, "succession")
-    _live_silver(spark, sf, lambda root, days: live.refresh_succession(spark, root, found, days))
+    _live_silver(spark, sf, lambda root, touched, number: live.refresh_succession(spark, root, found, touched))
     schema = live.rapid_succession(P.silver_quakes(spark, sf)).schema  # there may be no burst at all
     return spark.read.schema(schema).parquet(found).drop(*schemas.PARTITION_COLUMNS)
 
