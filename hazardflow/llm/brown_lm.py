@@ -3,18 +3,20 @@
 log10 P(word | previous) = log10 T(class | previous class) + log10 E(word | class)
 
 Classes come from exchange clustering: in each round every item moves to the class under which its
-left and right neighbours are likeliest, given the class transitions of the round before. Items are
-the ``WORD_ITEMS`` most frequent words and, for all other words, the word endings hashed into
-``ENDING_ITEMS`` groups, so every word has an item, the item table has a fixed size, and a word that
-never occurred in training has a class too.
+left and right neighbours are likeliest, given the class transitions of the round before. Items of the
+first rounds are the ``WORD_ITEMS`` most frequent words, which settle the classes and their
+transitions, and the endings of all others hashed into ``ENDING_ITEMS`` groups. Then every other training
+word, however many there are, starts from the class of its ending and is exchanged by its own
+neighbours; these words and their classes stay a table in Spark. An ending decides only for words that
+never occurred in training.
 
 Emissions use the exact count of every training word: E = (c + 0.1) / (n + 0.1 (v + 1)) with the n
-tokens and v distinct words of the class. Counts of frequent words are broadcast up to a fixed number
-of entries; those of all others reach their documents by a join.
+tokens and v distinct words of the class. Counts and classes of frequent words are broadcast up to a
+fixed number of entries; those of all others reach their documents by a join.
 
 Passes over the corpus: one counts words (summed over each task first), one writes each text as item
-numbers, its known part of the score and the hashes of its rare words; the rounds and the final
-scores read the item numbers.
+numbers, its known part of the score and the hashes of its rare words; the rounds read the item
+numbers, and the texts as classes, written once, give the transitions and the scores.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from hazardflow.llm.store import chunks, crc_fold, map_arrow, stored, text_bytes
@@ -110,26 +113,27 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: i
     return np.where(keys[at] == wanted, values[at], missing)
 
 
-def item_rows(docs: DataFrame, frequent, named) -> DataFrame:
+def item_rows(docs: DataFrame, words: np.ndarray, counts: np.ndarray) -> DataFrame:
     """(doc_id, held_out, items, known, n_known, rare) of every row.
 
-    ``items`` are the item numbers in order, ``known`` the sum of log10(c + ALPHA) of the words in
-    the broadcast table, ``rare`` the hashes of the others.
+    ``words`` are the hashes of the frequent words, sorted by falling count. ``items`` are the places of
+    the words in it, in text order, and ``len(words)`` + the ending group for all others, whose hashes are
+    in ``rare``; ``known`` is the sum of log10(c + ALPHA) of the frequent ones.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("items", pa.list_(pa.int16())),
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("items", pa.list_(pa.int32())),
                         ("known", pa.float64()), ("n_known", pa.int64()), ("rare", pa.list_(pa.int64()))])
-    given = docs.sparkSession.sparkContext.broadcast((*frequent, *named))
+    order = np.argsort(words)
+    given = docs.sparkSession.sparkContext.broadcast((words[order], order.astype(np.int32), counts))
 
     def run(batches):
-        words, counts, item_words, items = given.value
+        words, places, counts = given.value
         for batch in chunks(batches):
             n = batch.num_rows
             row, word, ending = _batch_words(batch.column("text"))
-            item = _lookup(item_words, items, word, -1)
-            item = np.where(item < 0, WORD_ITEMS + ending, item).astype(np.int16)
-            count = _lookup(words, counts, word, 0)
-            has = count > 0
-            known = np.bincount(row[has], np.log10(count[has] + ALPHA), n)
+            item = _lookup(words, places, word, -1)
+            has = item >= 0
+            known = np.bincount(row[has], np.log10(counts[item[has]] + ALPHA), n)
+            item = np.where(has, item, len(words) + ending).astype(np.int32)
             per_row = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
             rare = np.concatenate([[0], np.cumsum(np.bincount(row[~has], minlength=n))]).astype(np.int32)
             yield [batch.column("doc_id"), batch.column("held_out"), pa.ListArray.from_arrays(per_row, pa.array(item)),
@@ -138,30 +142,31 @@ def item_rows(docs: DataFrame, frequent, named) -> DataFrame:
     return map_arrow(docs, run, schema)
 
 
-def _class_pairs(column: pa.Array, classes: np.ndarray):
-    """Row, item and class of each token with its end, and the class before it."""
+def _tokens(column: pa.ListArray, end: int):
+    """Row, value and place in the lists of each token of a batch, ``end`` (place -1) after each row."""
     offsets = column.offsets.to_numpy().astype(np.int64)
-    items = column.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64)
+    values = column.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64)
     offsets = offsets - offsets[0]
     n = len(column)
     row = np.repeat(np.arange(n), np.diff(offsets) + 1)
-    item = np.full(len(items) + n, END)
-    ends = offsets[1:] + np.arange(n)
-    inside = np.ones(len(item), bool)
-    inside[ends] = False
-    item[inside] = items
-    own = classes[item]
-    before = np.empty_like(own)
-    before[1:] = own[:-1]
-    if n:
-        before[0] = classes[END]
-    return row, item, own, before
+    place = np.arange(len(row)) - row
+    place[offsets[1:] + np.arange(n)] = -1
+    return row, np.where(place < 0, end, values[place] if len(values) else end), place
+
+
+def _before(classes: np.ndarray) -> np.ndarray:
+    """The class before each token; the first row begins after an end too."""
+    before = np.roll(classes, 1)
+    if len(before):
+        before[0] = CLASSES
+    return before
 
 
-def contexts(rows: DataFrame, classes: np.ndarray, width: int) -> np.ndarray:
+def contexts(rows: DataFrame, named, classes: np.ndarray, width: int) -> np.ndarray:
     """Counts [side, item, class] of the classes left (0) and right (1) of each item.
 
-    Tasks sum densely over items x classes, which has a fixed size, and Spark adds up.
+    ``named`` is the broadcast item number of each word in ``items``. Tasks sum densely over items x
+    classes, which has a fixed size, and Spark adds up.
     """
     schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
     given = rows.sparkSession.sparkContext.broadcast(classes)
@@ -171,8 +176,10 @@ def contexts(rows: DataFrame, classes: np.ndarray, width: int) -> np.ndarray:
         left, right = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
-                _, item, own, before = _class_pairs(batch.column("items").slice(begin, 500), given.value)
-                left += np.bincount(item * width + before, minlength=size)
+                _, word, _ = _tokens(batch.column("items").slice(begin, 500), len(named.value) - 1)
+                item = named.value[word]
+                own = given.value[item]
+                left += np.bincount(item * width + _before(own), minlength=size)
                 previous = np.roll(item, 1)
                 if len(item):
                     previous[0] = END
@@ -194,27 +201,164 @@ def transitions(counts: np.ndarray) -> np.ndarray:
     return (counts + BACKOFF * share) / (counts.sum(1, keepdims=True) + BACKOFF)
 
 
-def cluster(rows: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def exchange(left: np.ndarray, right: np.ndarray, log_t: np.ndarray, size: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Class under which the neighbours of each item and the item itself are likeliest; of ones equal to six decimals the first.
+
+    ``left`` and ``right`` are counts [item, class] of the classes beside the items, ``size`` the tokens of
+    each class and ``own`` the items' classes, of whose sizes they are part already.
+    """
+    mass = left.sum(1)[:, None]
+    room = np.maximum(size[None, :] + mass * (own[:, None] != np.arange(CLASSES)), 1.0)
+    return np.round(left @ log_t[:, :CLASSES] + right @ log_t[:CLASSES].T - mass * np.log(room), 6).argmax(1)
+
+
+def cluster(rows: DataFrame, named, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(class of each item, pair counts of the classes) by exchange over the training rows."""
     width = CLASSES + 1
     classes = np.append(mix(np.arange(ITEMS, dtype=U)) % U(CLASSES), U(CLASSES)).astype(np.int64)
     for step in range(rounds + 1):
-        left, right = contexts(rows, classes, width)
+        left, right = contexts(rows, named, classes, width)
         pairs = np.zeros((width, width))
         np.add.at(pairs, classes, right)
         if step == rounds:
             return classes, pairs
-        log_t = np.log(transitions(pairs))
-        size = pairs.sum(0)[:CLASSES]
-        mass = left.sum(1)
-        # log probability of an item's neighbours and of itself, were it in each class
-        gain = left[:ITEMS] @ log_t[:, :CLASSES] + right[:ITEMS] @ log_t[:CLASSES].T
-        room = np.maximum(size[None, :] + mass[:ITEMS, None] * (classes[:ITEMS, None] != np.arange(CLASSES)), 1.0)
-        gain -= mass[:ITEMS, None] * np.log(room)
+        best = exchange(left[:ITEMS], right[:ITEMS], np.log(transitions(pairs)), pairs.sum(0)[:CLASSES], classes[:ITEMS])
         # all items move at once: every second one stays in the first rounds, so that classes do not swap
         moves = (np.arange(ITEMS) + step) % 2 == 0 if 0 < step < rounds - 1 else np.ones(ITEMS, bool)
-        moves &= mass[:ITEMS] > 0
-        classes[:ITEMS][moves] = gain.argmax(1)[moves]
+        moves &= left[:ITEMS].sum(1) > 0
+        classes[:ITEMS][moves] = best[moves]
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """Distinct (word, cell) with summed counts."""
+    word, cell, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((cell, word))
+    word, cell, n = word[order], cell[order], n[order]
+    new = np.ones(len(word), bool)
+    new[1:] = (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])
+    first = np.flatnonzero(new)
+    return word[first], cell[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def other_classes(rows: DataFrame, words: np.ndarray, named, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """(word, class, n): the class that exchange gives each training word that is no item of its own.
+
+    Such a word starts in the class of its ending group. Counts of the classes beside it are summed
+    over each task, then by word; a word has at most two for each class, whatever its number. The
+    transitions and sizes of the classes are all that is broadcast.
+    """
+    width, end = CLASSES + 1, len(words) + ENDING_ITEMS
+    context = rows.sparkSession.sparkContext
+    given, model = context.broadcast((words, classes)), context.broadcast((np.log(transitions(pairs)), pairs.sum(0)[:CLASSES]))
+    schema = pa.schema([("word", pa.int64()), ("start", pa.int32()), ("cell", pa.int32()), ("n", pa.int64())])
+
+    def beside(batches):
+        words, classes = given.value
+        parts, size = [], 0
+
+        def columns(part):
+            word, cell, n = part
+            return [word, cell // (2 * width), cell % (2 * width), n]
+
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                _, place, _ = _tokens(part.column("items"), end)
+                item = named.value[place]
+                own = classes[item]
+                after = np.append(own[1:], CLASSES)
+                other = np.flatnonzero((item >= WORD_ITEMS) & (place != end))
+                if not len(other):
+                    continue
+                beyond = place[other] >= len(words)
+                word = np.empty(len(other), np.int64)
+                word[~beyond] = words[place[other][~beyond]]
+                word[beyond] = part.column("rare").flatten().to_numpy()
+                start = own[other] * 2 * width
+                cells = np.concatenate([start + _before(own)[other], start + width + after[other]])
+                parts.append(_summed([(np.tile(word, 2), cells, np.ones(len(cells), np.int64))]))
+                size += len(parts[-1][0])
+                if size > HELD_WORDS:
+                    parts = [_summed(parts)]
+                    size = len(parts[0][0])
+                    if 2 * size > HELD_WORDS:
+                        yield columns(parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield columns(_summed(parts))
+
+    cells = map_arrow(rows.select("items", "rare"), beside, schema).repartition("word")
+    cells = cells.groupBy("word", "start", "cell").agg(F.sum("n").alias("n"))
+    listed = cells.groupBy("word", "start").agg(F.collect_list("cell").alias("cells"), F.collect_list("n").alias("counts"))
+    found = pa.schema([("word", pa.int64()), ("class", pa.int32()), ("n", pa.int64())])
+
+    def chosen(batches):
+        log_t, size = model.value
+        for batch in batches:
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("cells")).to_numpy())
+            both = np.zeros((batch.num_rows, 2 * width))
+            both[owner, batch.column("cells").flatten().to_numpy()] = batch.column("counts").flatten().to_numpy()
+            left, right = both[:, :width], both[:, width:]
+            yield [batch.column("word"), exchange(left, right, log_t, size, batch.column("start").to_numpy()), left.sum(1).astype(np.int64)]
+
+    return map_arrow(listed, chosen, found)
+
+
+def class_rows(rows: DataFrame, others: DataFrame, known: int, classes: np.ndarray) -> DataFrame:
+    """(doc_id, held_out, classes, log_counts, n_known): class of each word in order, sum of log10(c + ALPHA), words with c > 0.
+
+    ``classes`` has the class of each of the ``known`` frequent words and of each ending group. Rare words
+    get theirs and their counts by a join with ``others`` on the distinct rare words of a text; one that
+    never occurred in training has the class of its ending.
+    """
+    rows = rows.withColumn("row", F.xxhash64("items", "rare"))  # rows of equal words share their lookup
+    rare = rows.filter(F.size("rare") > 0).select("row", "rare").dropDuplicates(["row"])
+    met = rare.select("row", F.explode(F.array_distinct("rare")).alias("word")).join(others, "word")
+    met = stored(met.groupBy("row").agg(F.collect_list(F.struct("word", "class", "n")).alias("met")), "met")
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("classes", pa.list_(pa.int8())), ("log_counts", pa.float64()), ("n_known", pa.int64())])
+    given = rows.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                column, offsets = part.column("items"), part.column("items").offsets.to_numpy()
+                items = column.values.to_numpy()[offsets[0] : offsets[-1]]
+                own = given.value[items].astype(np.int8)
+                log_counts, n_known = part.column("known").to_numpy().copy(), part.column("n_known").to_numpy().copy()
+                for i in np.flatnonzero(pc.list_value_length(part.column("rare")).to_numpy()):
+                    places = np.arange(offsets[i], offsets[i + 1]) - offsets[0]
+                    places = places[items[places] >= known]
+                    word = part.column("rare")[i].values.to_numpy()
+                    found = part.column("met")[i].values
+                    keys, kind, n = (found.field(k).to_numpy() if found is not None else np.zeros(0, np.int64) for k in range(3))
+                    order = np.argsort(keys)
+                    at = _lookup(keys[order], order, word, -1)
+                    has = at >= 0
+                    own[places[has]] = kind[at[has]]
+                    log_counts[i] += np.log10(np.where(has, n[at] if len(n) else 0, 0) + ALPHA).sum()
+                    n_known[i] += has.sum()
+                yield [part.column("doc_id"), part.column("held_out"), pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(own)), log_counts, n_known]
+
+    return map_arrow(rows.join(met, "row", "left").drop("row"), run, schema)
+
+
+def class_pairs(rows: DataFrame) -> np.ndarray:
+    """Counts [class before, class] over the tokens of the rows."""
+    width = CLASSES + 1
+    schema = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
+
+    def run(batches):
+        total = np.zeros(width * width, np.int64)
+        for batch in batches:
+            _, own, _ = _tokens(batch.column("classes"), CLASSES)
+            total += np.bincount(_before(own) * width + own, minlength=width * width)
+        yield [np.arange(width * width), total]
+
+    pairs = np.zeros(width * width)
+    for cell, n in map_arrow(rows.select("classes"), run, schema).groupBy("cell").agg(F.sum("n")).collect():  # 49 x 49 rows
+        pairs[cell] = n
+    return pairs.reshape(width, width)
 
 
 def score(
@@ -227,6 +371,8 @@ def score(
     ``base_score`` is the sum of log10 of add-0.1 unigram probabilities, ``score`` the class
     model's. A null or empty text is an end alone; null ids are in training; repeated rows count
     as often as they stand. Without any training row all counts are 0 and both scores still exist.
+    Texts of any length are scored whole; an empty table gives no rows. Items of equal count are numbered
+    in order of their hashes, and of equally good classes the first is taken.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     fold = crc_fold(F.col("doc_id"), 10) == 0 if held_out is None else held_out
@@ -238,51 +384,54 @@ def score(
     texts = docs.filter("NOT held_out").count()
     tokens, distinct = (tokens or 0) + texts, distinct + (texts > 0)
     word, ending, n = _most_frequent(counts, BROADCAST_WORDS)
-    top = np.sort(np.argsort(-n, kind="stable")[:WORD_ITEMS])
-    named = word[top], np.arange(len(top))
-
-    rows = stored(item_rows(docs, (word, n), named), "items")
-    classes, pairs = cluster(rows.filter("NOT held_out"), rounds)
-
-    # distinct training words of each item, then of each class
-    v_item = np.zeros(ITEMS + 1)
-    for group, words in counts.groupBy("ending").agg(F.count("*")).collect():
-        v_item[WORD_ITEMS + group] = words
-    np.add.at(v_item, WORD_ITEMS + ending[top], -1)
-    v_item[: len(top)] = 1
-    v_item[END] = 1
-    n_class, v_class = pairs.sum(0), np.bincount(classes, v_item, CLASSES + 1)
-    log_t = np.log10(transitions(pairs))
+    top = np.lexsort((word, -n))
+    word, ending, n = word[top], ending[top].astype(np.int64), n[top]
+    # item of each place in ``word``, of each ending group and of the end
+    item = np.where(np.arange(len(word)) < WORD_ITEMS, np.arange(len(word)), WORD_ITEMS + ending)
+    item = np.concatenate([item, WORD_ITEMS + np.arange(ENDING_ITEMS), [END]])
+    named = spark.sparkContext.broadcast(item)
+
+    rows = stored(item_rows(docs, word, n), "items")
+    training = rows.filter("NOT held_out")
+    classes, pairs = cluster(training, named, rounds)
+    others = stored(other_classes(training, word, named, classes, pairs), "classes")
+
+    # tokens and distinct training words of each class; the end is the one word of its own class
+    n_class, v_class = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
+    np.add.at(n_class, classes[item[: min(len(word), WORD_ITEMS)]], n[:WORD_ITEMS])
+    np.add.at(v_class, classes[item[: min(len(word), WORD_ITEMS)]], 1)
+    for kind, tokens_of, words_of in others.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
+        n_class[kind] += tokens_of
+        v_class[kind] += words_of
+    n_class[CLASSES], v_class[CLASSES] = texts, 1
+    own = classes[item]
+    # the frequent words are those of the least count among them or more: at most BROADCAST_WORDS
+    mid = others.filter(F.col("n") >= int(n[-1]) if len(n) else F.lit(False)).toArrow()
+    keys, order = mid.column("word").to_numpy(), np.argsort(mid.column("word").to_numpy())
+    own[: len(word)] = np.where(np.arange(len(word)) < WORD_ITEMS, own[: len(word)],
+                                _lookup(keys[order], mid.column("class").to_numpy()[order], word, 0))
+    placed = stored(class_rows(rows, others, len(word), own), "placed")
+    log_t = np.log10(transitions(class_pairs(placed.filter("NOT held_out"))))
     log_room = np.log10(n_class + ALPHA * (v_class + 1))
     base_room = math.log10(tokens + ALPHA * (distinct + 1))
     end = math.log10(texts + ALPHA)
-    given = spark.sparkContext.broadcast((classes, log_t, log_room))
+    given = spark.sparkContext.broadcast((log_t, log_room))
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                        ("known", pa.float64()), ("classes", pa.float64()), ("rare", pa.list_(pa.int64()))])
+                        ("words", pa.float64()), ("classes", pa.float64())])
 
     def run(batches):
-        classes, log_t, log_room = given.value
+        log_t, log_room = given.value
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                row, _, own, before = _class_pairs(part.column("items"), classes)
-                value = np.bincount(row, log_t[before, own] - log_room[own], part.num_rows)
+                row, own, _ = _tokens(part.column("classes"), CLASSES)
+                value = np.bincount(row, log_t[_before(own), own] - log_room[own], part.num_rows)
                 yield [part.column("doc_id"), part.column("held_out"), np.bincount(row, minlength=part.num_rows),
-                       part.column("n_known"), part.column("known"), value, part.column("rare")]
-
-    scored = map_arrow(rows, run, schema).withColumn("row", F.xxhash64("doc_id", "known", "classes", "rare"))
-    # rows with equal id and content have equal scores: they share their rare words' sum
-    rare = scored.select("row", "rare").dropDuplicates(["row"]).select("row", F.explode("rare").alias("word"))
-    rare = rare.groupBy("row", "word").agg(F.count("*").alias("times")).join(counts, "word", "left")
-    count = F.coalesce("n", F.lit(0))
-    rare = rare.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(count + ALPHA)).alias("rare_sum"),
-        F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-    )
-    words = F.col("known") + F.coalesce("rare_sum", F.lit(0.0)) + F.lit(end)
-    return scored.join(rare, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(texts > 0))).alias("n_known"),
+                       part.column("n_known"), part.column("log_counts"), value]
+
+    words = F.col("words") + F.lit(end)
+    return map_arrow(placed, run, schema).select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.lit(int(texts > 0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (words - F.col("n_tokens") * F.lit(base_room)).alias("base_score"),
         (words + F.col("classes")).alias("score"),
