@@ -100,6 +100,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def least_rows(df: DataFrame, most: int, *order) -> DataFrame:
+    """The first ``most`` rows by ``order``: each task passes on that many, and one task, not the driver, keeps them."""
+    return df.sort(*order).limit(most).coalesce(1)
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, or that after underscores, so that no column has it."""
     taken = {column.lower() for column in columns}

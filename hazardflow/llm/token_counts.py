@@ -1,14 +1,16 @@
 """Token counts by a two-tier lookup of pre-token lengths.
 
 A text's count is the sum of the counts of its pre-tokens. The first tier is a hash table of the
-lengths of frequent pre-tokens, broadcast to all tasks; at most ``FREQUENT`` entries of at most
+lengths of the corpus's frequent pre-tokens, broadcast to all tasks; at most ``FREQUENT`` entries of at most
 ``LONGEST`` characters each, so its size has a bound. A pre-token that is not in it is encoded by the
 tokenizer once and kept in the worker's own cache. Both tiers hold exact lengths, so neither the
-choice of the frequent ones nor a cleared cache changes a count. No pre-token is shuffled.
+choice of the frequent ones nor a cleared cache changes a count. No text and no pre-token of a document
+is shuffled, only the bounded counts from which each task proposes frequent ones.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import uuid
@@ -18,12 +20,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from hazardflow.llm.store import map_arrow
+from hazardflow.llm.store import least_rows, map_arrow
 
 #: Entries of the broadcast table and characters of its longest entry.
 FREQUENT, LONGEST = 60_000, 48
-#: Rows from which the table is drawn up. It only speeds the lookup up.
-TABLE_ROWS = 3_000
+#: Distinct pre-tokens that a task counts side by side; beyond that it halves them, the most frequent stay.
+COUNTED = 300_000
 #: Entries of a worker's cache; beyond that it starts anew.
 CACHED = 500_000
 
@@ -89,21 +91,26 @@ def splitter(specials: list[str]):
 
 
 def frequent_lengths(docs: DataFrame, definition: str) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of ``TABLE_ROWS`` rows, at most ``FREQUENT``."""
+    """Lengths of the most frequent pre-tokens of all rows, at most ``FREQUENT``.
+
+    Each task counts its own texts in bounded memory and passes on its ``FREQUENT`` most frequent ones;
+    these are added up, and those of the greatest sums, of equal ones the first in order, are broadcast.
+    """
     specials = special_strings(definition)
     schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
 
     def run(batches):
         split, seen = splitter(specials), Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(piece for piece in split(text or "")[0] if len(piece) <= LONGEST)
-            if len(seen) > 20 * FREQUENT:
-                seen = Counter(dict(seen.most_common(FREQUENT)))
-        top = seen.most_common(FREQUENT)
-        yield [[piece for piece, _ in top], [n for _, n in top]]
-
-    found = map_arrow(docs.select("text").limit(TABLE_ROWS).repartition(1), run, schema).collect()
+            for text in batch.column(0):
+                seen.update(split(text.as_py() or "")[0])
+                if len(seen) > COUNTED:
+                    seen = Counter(dict(seen.most_common(COUNTED // 2)))
+        top = heapq.nlargest(FREQUENT, ((n, piece) for piece, n in seen.items() if len(piece) <= LONGEST))
+        yield [[piece for _, piece in top], [n for n, _ in top]]
+
+    summed = map_arrow(docs.select("text"), run, schema).groupBy("piece").agg(F.sum("n").alias("n"))
+    found = least_rows(summed, FREQUENT, F.desc("n"), "piece").select("piece").collect()
     table = Lengths(definition, {})
     return {row["piece"]: table[row["piece"]] for row in found}
 
@@ -113,7 +120,8 @@ def count_tokens(docs: DataFrame, definition: str, limit: int = 512, doc_id: str
 
     ``definition`` is the JSON text of a byte-level tokenizer. Counts are those of its library on
     whole texts: no begin, end or padding tokens; a special string in a text is one token. A null
-    text counts as empty; null and repeated ids are passed on.
+    text counts as empty; null and repeated ids are passed on, and an empty table gives no rows. Texts of
+    any length are counted whole, one at a time.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     specials = special_strings(definition)
