@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hazardflow.llm.store import chunks, map_arrow, text_bytes
+from hazardflow.llm.store import chunks, least_rows, map_arrow, text_bytes
 from hazardflow.llm.words import SOLID, U, hash_spans, spans
 
 #: Most labelled rows the model is fitted on, taken in hash order of their ids.
@@ -196,21 +196,23 @@ def apply(model: dict, x: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED) -> dict:
     """Model from ``labels`` (doc_id, ``label`` 0 or 1) and the texts of ``docs`` (doc_id, text).
 
-    Rows with a null id or label, and labels without a text row, are left out. At most ``most``
-    labels are used, the first in hash order of their ids. Only features of texts reach the driver.
+    Rows with a null id or label, and labels without a text row, are left out. Equal texts of an id count
+    once. At most ``most`` labels are used, the first in hash order of their ids, and of their texts as
+    many, in hash order of id and text, however often an id stands in ``docs``. Only features reach the driver.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     rows = rows.filter("doc_id IS NOT NULL AND label IN (0, 1)").distinct()
     rows = rows.sort(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(F.broadcast(rows), "doc_id").select("text", "label")
-    schema = pa.schema([("label", pa.int32()), ("x", pa.list_(pa.float64()))])
+    joined = texts.join(F.broadcast(rows), "doc_id").select("text", "label", F.xxhash64("doc_id", "text").alias("order"))
+    schema = pa.schema([("label", pa.int32()), ("order", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def run(batches):
         for batch in chunks(batches):
-            yield [batch.column("label"), pa.array(features(batch.column("text")).tolist(), pa.list_(pa.float64()))]
+            yield [batch.column("label"), batch.column("order"), pa.array(features(batch.column("text")).tolist(), pa.list_(pa.float64()))]
 
-    found = map_arrow(joined, run, schema).toArrow()  # at most ``most`` rows, unless ids repeat among the texts
+    found = map_arrow(joined, run, schema).dropDuplicates(["order", "label"])
+    found = least_rows(found, most, "order", "label").toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     y = found.column("label").to_numpy().astype(float)
     order = np.lexsort((*x.T, y))

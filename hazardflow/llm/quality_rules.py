@@ -14,6 +14,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hazardflow.llm.store import least_rows
+
 #: Most labelled rows the rules are learned from, taken in hash order of their ids.
 MOST_LABELLED = 20_000
 #: Least share of bad rows among those a rule covers, and least bad rows it covers.
@@ -205,17 +207,19 @@ def verdict(rules: list[Rule]) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED) -> list[Rule]:
     """Rules that cover rows of label 0, from ``labels`` (doc_id, ``label``) and ``docs`` (doc_id, text).
 
-    Rows with a null id or label are left out. At most ``most`` labels are used, the first in hash
-    order of their ids, and only statistics reach the driver. Without labels there are no rules.
+    Rows with a null id or label are left out. Equal texts of an id count once. At most ``most`` labels
+    are used, the first in hash order of their ids, and of their texts as many, in hash order of id and text,
+    however often an id stands in ``docs``; only statistics reach the driver. Without labels there are no rules.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     rows = rows.filter("doc_id IS NOT NULL AND label IN (0, 1)").distinct()
     rows = rows.sort(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = statistics(texts.join(F.broadcast(rows), "doc_id"))
+    found = statistics(texts.join(F.broadcast(rows), "doc_id").withColumn("key", F.xxhash64("doc_id", "text")))
     bad = (1 - F.col("label")).alias("bad")
-    found = found.select(bad, F.xxhash64("doc_id").alias("order"), *[F.expr(sql).cast("long").alias(name) for name, sql in RATIOS.items()])
-    given = [row.asDict() for row in found.collect()]  # at most ``most`` rows, unless ids repeat among the texts
+    found = found.select(bad, "key", F.xxhash64("doc_id").alias("order"), *[F.expr(sql).cast("long").alias(name) for name, sql in RATIOS.items()])
+    found = least_rows(found.dropDuplicates(["key", "bad"]), most, "key", "bad")
+    given = [row.asDict() for row in found.collect()]
     return learn(sorted(given, key=lambda r: tuple(r[k] for k in ("order", "bad", *RATIOS))))
 
 

@@ -105,3 +105,18 @@ def test_features_are_finite(text):
 
     x = gam_quality.features(pa.array([text, "other words"], pa.string()))
     assert x.shape == (2, len(gam_quality.FEATURES)) and np.isfinite(x).all()
+
+
+def test_a_labelled_id_on_many_rows_stays_within_the_bound(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS doc_id", "concat('some words of text ', id) AS text")
+    docs = docs.unionByName(docs)  # equal texts of an id count once
+    labels = spark.range(100).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    seen = {}
+    monkeypatch.setattr(gam_quality, "train", lambda x, y: seen.update(gam=len(y)))
+    monkeypatch.setattr(quality_rules, "learn", lambda rows: seen.update(rules=len(rows)))
+    for most in (50, 2000):
+        gam_quality.fit(docs, labels, most=most)
+        quality_rules.fit(docs, labels, most=most)
+        assert max(seen.values()) <= most
+    # all texts of id 7, and the other labelled ids that no third row took
+    assert seen == {"gam": 1001 + 65, "rules": 1001 + 65}
