@@ -6,8 +6,9 @@ merge a turn into the message before it, give a turn another role, insert an emp
 legal orders form an automaton of four states (what the last message was), and each turn is a matrix
 of least costs between states. Matrices combine by the min-plus product, so a conversation is worked
 out in blocks: products of blocks, products of those, and so on; then the best states are handed
-down to the blocks, which choose the edits of their own turns. No step holds more than a block of
-a conversation, however long it is.
+down to the blocks, which choose the edits of their own turns. Blocks go by the place of a turn in its
+conversation, found by a sort over all tasks, not by its number: no step holds more than a block of a
+conversation, however long it is and however many of its turns have one number or none.
 
 Each turn gives one fragment of the rendered text; the fragments of a conversation in order are the
 whole repaired conversation.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import functools
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from hazardflow.llm.store import map_arrow, stored
@@ -27,7 +29,7 @@ MERGE, RELABEL, INSERT = 1, 3, 2
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 STATES = 4
-#: Turn numbers of a block, and blocks of a block of blocks.
+#: Turns of a block, and blocks of a block of blocks.
 BLOCK = 256
 NEVER = 1 << 40
 #: States that may follow a state as the next message.
@@ -118,6 +120,52 @@ def render(turns: list, entry: int, states: list[int], last: bool):
 
 
 _MATRIX = pa.list_(pa.int64())
+#: Leading characters of a text by which a conversation is cut for the sort; equal ones stay in a task.
+_CUT = 64
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """(conv, place, turn, position, role, text): the place of a turn in its conversation, and among those of
+    its number, from rows (conv, turn, role, text) that are distinct.
+
+    A range sort deals the rows out; each task numbers its own, and a group that goes on from the task
+    before starts where that left off. To know this the driver reads two small rows a task.
+    """
+    dealt = rows.repartitionByRange("conv", "turn", F.col("role").asc_nulls_first(), F.substring("text", 1, _CUT))
+    dealt = dealt.sortWithinPartitions("conv", "turn", F.col("role").asc_nulls_first(), "text")
+    fields = [("conv", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]
+    schema = pa.schema([*fields, ("task", pa.int32()), ("in_conv", pa.int64()), ("in_turn", pa.int64())])
+
+    def run(batches):
+        task, last, in_conv, in_turn = TaskContext.get().partitionId(), None, 0, 0
+        for batch in batches:
+            of_conv, of_turn = [], []
+            for key in zip(batch.column("conv").to_pylist(), batch.column("turn").to_pylist()):
+                in_conv = in_conv + 1 if last is not None and last[0] == key[0] else 0
+                in_turn = in_turn + 1 if last == key else 0
+                last = key
+                of_conv.append(in_conv)
+                of_turn.append(in_turn)
+            yield [*(batch.column(name) for name, _ in fields), [task] * batch.num_rows, of_conv, of_turn]
+
+    local = stored(map_arrow(dealt, run, schema), "sorted")
+    ends = local.groupBy("task").agg(
+        F.min(F.struct("conv", "turn")).alias("first"), F.max(F.struct("conv", "turn", "in_conv", "in_turn")).alias("last"))
+    starts, before = [], None  # (task, conv, turn, turns of conv before the task, turns of that number before it)
+    for row in sorted(ends.collect(), key=lambda r: r["task"]):  # one row a task
+        first, last = row["first"], row["last"]
+        goes_on = before is not None and before[0] == first["conv"]
+        same = goes_on and before[1] == first["turn"]
+        starts.append((row["task"], first["conv"], first["turn"], before[2] if goes_on else 0, before[3] if same else 0))
+        whole = goes_on and last["conv"] == first["conv"]
+        one = same and whole and last["turn"] == first["turn"]
+        before = (last["conv"], last["turn"], last["in_conv"] + 1 + (before[2] if whole else 0), last["in_turn"] + 1 + (before[3] if one else 0))
+    starts = rows.sparkSession.createDataFrame(starts, "task int, first_conv long, first_turn long, conv_before long, turn_before long")
+    on = F.col("conv") == F.col("first_conv")
+    return local.join(F.broadcast(starts), "task").select(
+        "conv", (F.col("in_conv") + F.when(on, F.col("conv_before")).otherwise(0)).alias("place"), "turn",
+        (F.col("in_turn") + F.when(on & (F.col("turn") == F.col("first_turn")), F.col("turn_before")).otherwise(0)).cast("int").alias("position"),
+        "role", "text")
 
 
 def _level(children: DataFrame) -> DataFrame:
@@ -160,14 +208,15 @@ def repair(conversations: DataFrame) -> DataFrame:
     role that is not one of ``ROLES``, or null, is relabelled; a null text is empty. ``cost`` is the
     whole conversation's. Rows with a null conv_id belong to no conversation and give no output. Of
     repairs of equal cost the one that merges or inserts least comes first, then the one that ends in
-    the least state.
+    the least state. Texts of any length are passed on whole; an empty table gives no rows, and other
+    columns are not read.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
         F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).filter("conv IS NOT NULL").distinct()
-    blocks = rows.groupBy("conv", F.floor(F.col("turn") / BLOCK).alias("child")).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    blocks = _numbered(rows).groupBy("conv", F.floor(F.col("place") / BLOCK).alias("child")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "turn", "position", "role", "text"))).alias("turns"))
     blocks = stored(blocks, "turns")
     schema = pa.schema([("conv", pa.int64()), ("child", pa.int64()), ("matrix", _MATRIX)])
 
@@ -182,10 +231,9 @@ def repair(conversations: DataFrame) -> DataFrame:
     while True:
         level = stored(_level(children), "level")
         levels.append(level)
-        if not level.filter("parent != 0 AND parent != -1").limit(1).count():
+        if not level.filter("parent != 0").limit(1).count():
             break
         children = level.select("conv", F.col("parent").alias("child"), "matrix")
-    # at the top a conversation has the blocks 0 and, for negative turn numbers, -1
     top = levels[-1].groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("parent", "matrix"))).alias("parts"))
     top_schema = pa.schema([("conv", pa.int64()), ("parent", pa.int64()), ("entry", pa.int32()), ("exit", pa.int32()), ("last", pa.bool_()), ("cost", pa.int64())])
 
@@ -217,9 +265,7 @@ def repair(conversations: DataFrame) -> DataFrame:
                 turns = [(t["role"], t["text"]) for t in row["turns"]]
                 states = path([turn_matrix(r) for r, _ in turns], row["entry"], row["exit"])
                 made = render(turns, row["entry"], states, row["last"])
-                numbers, position = [t["turn"] for t in row["turns"]], []
-                for k, turn in enumerate(numbers):
-                    position.append(position[-1] + 1 if k and numbers[k - 1] == turn else 0)
+                numbers, position = ([t[name] for t in row["turns"]] for name in ("turn", "position"))
                 n = len(turns)
                 yield [[row["conv"]] * n, numbers, position, [r for r, _ in turns], *([m[k] for m in made] for k in range(3)), [row["cost"]] * n]
 

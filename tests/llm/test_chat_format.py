@@ -107,3 +107,31 @@ def test_blocks_do_not_change_the_result(spark, rows, monkeypatch):
 
 def test_empty_table(spark):
     assert C.repair(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_turns_without_numbers_are_dealt_over_blocks(spark, monkeypatch, block):
+    """A conversation whose turns have one number or none, beside others: places, fragments and cost as by one sort."""
+    monkeypatch.setattr(C, "BLOCK", block)
+    rnd = random.Random(5)
+    rows = [(7, None if i % 3 else 0, rnd.choice([*C.ROLES, None]), f"text {rnd.randrange(900)}") for i in range(1500)]
+    rows += [(7, 1, "user", f"later {i}") for i in range(20)] + [(c, t, rnd.choice(C.ROLES), "hello") for c in (-3, 6, 8) for t in (-2, -1, 0, 5)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    if block == 4:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # a conversation over several tasks
+    try:
+        got = C.repair(frame).collect()
+        blocks = C._numbered(frame.selectExpr("conv_id AS conv", "coalesce(turn, 0) AS turn", "role", "text").distinct()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    for conv in (7, -3, 6, 8):
+        want = sorted({(t or 0, r is not None, r or "", x) for c, t, r, x in rows if c == conv})
+        assert [(b.turn, b.role is not None, b.role or "", b.text) for b in sorted((b for b in blocks if b.conv == conv), key=lambda b: b.place)] == want
+        assert sorted(b.place for b in blocks if b.conv == conv) == list(range(len(want)))
+        own = sorted((r for r in got if r.conv_id == conv), key=lambda r: (r.turn, r.position))
+        assert [(r.turn, r.role is not None, r.role or "") for r in own] == [w[:3] for w in want]
+        seen = {}
+        for r in own:
+            assert r.position == seen.setdefault(r.turn, 0)
+            seen[r.turn] += 1
+        assert {r.cost for r in own} == {solved([r.role for r in own])}
