@@ -43,6 +43,8 @@ ALPHA = 0.1
 #: Weight of the class's own frequency in a transition, in tokens.
 BACKOFF = 5.0
 ITEMS = WORD_ITEMS + ENDING_ITEMS
+#: Added to the class of a word that is still to be looked up.
+RARE = 64
 #: Item of the end of a text, which also stands before its first word.
 END = ITEMS
 
@@ -113,45 +115,62 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: i
     return np.where(keys[at] == wanted, values[at], missing)
 
 
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Lists of numbers as binaries, which pass between Spark and Arrow in one piece; ``ends`` counts numbers."""
+    offsets = (np.concatenate([[0], ends]) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all rows, and the offsets of the rows."""
+    data, offsets = text_bytes(column)
+    return data.view(kind), offsets // np.dtype(kind).itemsize
+
+
 def item_rows(docs: DataFrame, words: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(doc_id, held_out, items, known, n_known, rare) of every row.
+    """(doc_id, held_out, items, places, known, n_known, rare) of every row.
 
-    ``words`` are the hashes of the frequent words, sorted by falling count. ``items`` are the places of
-    the words in it, in text order, and ``len(words)`` + the ending group for all others, whose hashes are
-    in ``rare``; ``known`` is the sum of log10(c + ALPHA) of the frequent ones.
+    ``words`` are the hashes of the frequent words, sorted by falling count. ``items`` are the item numbers
+    of the words in text order, packed; ``places`` those of words that are no item of their own in ``words``,
+    packed, -1 where they are not in it. The hashes of the latter are ``rare``. ``known`` is the sum of
+    log10(c + ALPHA) of the frequent words.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("items", pa.list_(pa.int32())),
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("items", pa.binary()), ("places", pa.binary()),
                         ("known", pa.float64()), ("n_known", pa.int64()), ("rare", pa.list_(pa.int64()))])
     order = np.argsort(words)
-    given = docs.sparkSession.sparkContext.broadcast((words[order], order.astype(np.int32), counts))
+    given = docs.sparkSession.sparkContext.broadcast((words[order], order.astype(np.int32), np.log10(counts + ALPHA)))
 
     def run(batches):
-        words, places, counts = given.value
+        words, places, logs = given.value
         for batch in chunks(batches):
             n = batch.num_rows
             row, word, ending = _batch_words(batch.column("text"))
-            item = _lookup(words, places, word, -1)
-            has = item >= 0
-            known = np.bincount(row[has], np.log10(counts[item[has]] + ALPHA), n)
-            item = np.where(has, item, len(words) + ending).astype(np.int32)
-            per_row = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
-            rare = np.concatenate([[0], np.cumsum(np.bincount(row[~has], minlength=n))]).astype(np.int32)
-            yield [batch.column("doc_id"), batch.column("held_out"), pa.ListArray.from_arrays(per_row, pa.array(item)),
-                   known, np.bincount(row[has], minlength=n), pa.ListArray.from_arrays(rare, pa.array(word[~has]))]
+            place = _lookup(words, places, word, -1)
+            has = place >= 0
+            other = ~has | (place >= WORD_ITEMS)
+            item = np.where(other, WORD_ITEMS + ending, place).astype(np.int16)
+
+            def ends(of):
+                return np.cumsum(np.bincount(row[of], minlength=n))
+
+            rare = np.concatenate([[0], ends(~has)]).astype(np.int32)
+            yield [batch.column("doc_id"), batch.column("held_out"), _packed(item, ends(slice(None))),
+                   _packed(place[other].astype(np.int32), ends(other)), np.bincount(row[has], logs[place[has]], n),
+                   np.bincount(row[has], minlength=n), pa.ListArray.from_arrays(rare, pa.array(word[~has]))]
 
     return map_arrow(docs, run, schema)
 
 
-def _tokens(column: pa.ListArray, end: int):
-    """Row, value and place in the lists of each token of a batch, ``end`` (place -1) after each row."""
-    offsets = column.offsets.to_numpy().astype(np.int64)
-    values = column.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64)
-    offsets = offsets - offsets[0]
+def _tokens(column: pa.Array, kind, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of each token of packed lists, ``end`` after each row."""
+    values, offsets = _unpacked(column, kind)
     n = len(column)
     row = np.repeat(np.arange(n), np.diff(offsets) + 1)
-    place = np.arange(len(row)) - row
-    place[offsets[1:] + np.arange(n)] = -1
-    return row, np.where(place < 0, end, values[place] if len(values) else end), place
+    out = np.full(len(row), end, np.int64)
+    inside = np.ones(len(row), bool)
+    inside[offsets[1:] + np.arange(n)] = False
+    out[inside] = values
+    return row, out
 
 
 def _before(classes: np.ndarray) -> np.ndarray:
@@ -162,11 +181,10 @@ def _before(classes: np.ndarray) -> np.ndarray:
     return before
 
 
-def contexts(rows: DataFrame, named, classes: np.ndarray, width: int) -> np.ndarray:
+def contexts(rows: DataFrame, classes: np.ndarray, width: int) -> np.ndarray:
     """Counts [side, item, class] of the classes left (0) and right (1) of each item.
 
-    ``named`` is the broadcast item number of each word in ``items``. Tasks sum densely over items x
-    classes, which has a fixed size, and Spark adds up.
+    Tasks sum densely over items x classes, which has a fixed size, and Spark adds up.
     """
     schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
     given = rows.sparkSession.sparkContext.broadcast(classes)
@@ -176,8 +194,7 @@ def contexts(rows: DataFrame, named, classes: np.ndarray, width: int) -> np.ndar
         left, right = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
-                _, word, _ = _tokens(batch.column("items").slice(begin, 500), len(named.value) - 1)
-                item = named.value[word]
+                _, item = _tokens(batch.column("items").slice(begin, 500), np.int16, END)
                 own = given.value[item]
                 left += np.bincount(item * width + _before(own), minlength=size)
                 previous = np.roll(item, 1)
@@ -212,12 +229,12 @@ def exchange(left: np.ndarray, right: np.ndarray, log_t: np.ndarray, size: np.nd
     return np.round(left @ log_t[:, :CLASSES] + right @ log_t[:CLASSES].T - mass * np.log(room), 6).argmax(1)
 
 
-def cluster(rows: DataFrame, named, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def cluster(rows: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(class of each item, pair counts of the classes) by exchange over the training rows."""
     width = CLASSES + 1
     classes = np.append(mix(np.arange(ITEMS, dtype=U)) % U(CLASSES), U(CLASSES)).astype(np.int64)
     for step in range(rounds + 1):
-        left, right = contexts(rows, named, classes, width)
+        left, right = contexts(rows, classes, width)
         pairs = np.zeros((width, width))
         np.add.at(pairs, classes, right)
         if step == rounds:
@@ -240,17 +257,19 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
     return word[first], cell[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def other_classes(rows: DataFrame, words: np.ndarray, named, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
+def other_classes(rows: DataFrame, words: np.ndarray, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
     """(word, class, n): the class that exchange gives each training word that is no item of its own.
 
-    Such a word starts in the class of its ending group. Counts of the classes beside it are summed
-    over each task, then by word; a word has at most two for each class, whatever its number. The
-    transitions and sizes of the classes are all that is broadcast.
+    Such a word starts in the class of its ending group. Counts of the classes beside it are summed over
+    each task, which passes on one row a word; then the rows of a word come one after another, and
+    its counts are added up in one vector of fixed size. The transitions and sizes of the classes are
+    all that is broadcast beside the frequent words.
     """
-    width, end = CLASSES + 1, len(words) + ENDING_ITEMS
+    width = CLASSES + 1
     context = rows.sparkSession.sparkContext
     given, model = context.broadcast((words, classes)), context.broadcast((np.log(transitions(pairs)), pairs.sum(0)[:CLASSES]))
-    schema = pa.schema([("word", pa.int64()), ("start", pa.int32()), ("cell", pa.int32()), ("n", pa.int64())])
+    # cells are side x class of the neighbour; a packed number is cell + 2 x width x count
+    schema = pa.schema([("word", pa.int64()), ("start", pa.int8()), ("cells", pa.binary())])
 
     def beside(batches):
         words, classes = given.value
@@ -258,89 +277,121 @@ def other_classes(rows: DataFrame, words: np.ndarray, named, classes: np.ndarray
 
         def columns(part):
             word, cell, n = part
-            return [word, cell // (2 * width), cell % (2 * width), n]
+            new = np.ones(len(word), bool)
+            new[1:] = word[1:] != word[:-1]
+            first = np.flatnonzero(new)
+            packed = cell % (2 * width) + 2 * width * n
+            return [word[first], (cell[first] // (2 * width)).astype(np.int8), _packed(packed, np.append(first[1:], len(word)))]
 
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                _, place, _ = _tokens(part.column("items"), end)
-                item = named.value[place]
+                _, item = _tokens(part.column("items"), np.int16, END)
                 own = classes[item]
-                after = np.append(own[1:], CLASSES)
-                other = np.flatnonzero((item >= WORD_ITEMS) & (place != end))
+                other = np.flatnonzero((item >= WORD_ITEMS) & (item != END))
                 if not len(other):
                     continue
-                beyond = place[other] >= len(words)
+                place, _ = _unpacked(part.column("places"), np.int32)
                 word = np.empty(len(other), np.int64)
-                word[~beyond] = words[place[other][~beyond]]
-                word[beyond] = part.column("rare").flatten().to_numpy()
+                word[place >= 0] = words[place[place >= 0]]
+                word[place < 0] = part.column("rare").flatten().to_numpy()
                 start = own[other] * 2 * width
-                cells = np.concatenate([start + _before(own)[other], start + width + after[other]])
-                parts.append(_summed([(np.tile(word, 2), cells, np.ones(len(cells), np.int64))]))
-                size += len(parts[-1][0])
-                if size > HELD_WORDS:
+                cells = np.concatenate([start + _before(own)[other], start + width + own[other + 1]])
+                parts.append((np.tile(word, 2), cells, np.ones(len(cells), np.int64)))
+                size += len(cells)
+                if size > 2 * HELD_WORDS:
                     parts = [_summed(parts)]
                     size = len(parts[0][0])
-                    if 2 * size > HELD_WORDS:
+                    if size > HELD_WORDS:
                         yield columns(parts[0])
                         parts, size = [], 0
         if parts:
             yield columns(_summed(parts))
 
-    cells = map_arrow(rows.select("items", "rare"), beside, schema).repartition("word")
-    cells = cells.groupBy("word", "start", "cell").agg(F.sum("n").alias("n"))
-    listed = cells.groupBy("word", "start").agg(F.collect_list("cell").alias("cells"), F.collect_list("n").alias("counts"))
+    dealt = map_arrow(rows.select("items", "places", "rare"), beside, schema).repartition("word").sortWithinPartitions("word")
     found = pa.schema([("word", pa.int64()), ("class", pa.int32()), ("n", pa.int64())])
 
     def chosen(batches):
         log_t, size = model.value
-        for batch in batches:
-            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("cells")).to_numpy())
-            both = np.zeros((batch.num_rows, 2 * width))
-            both[owner, batch.column("cells").flatten().to_numpy()] = batch.column("counts").flatten().to_numpy()
-            left, right = both[:, :width], both[:, width:]
-            yield [batch.column("word"), exchange(left, right, log_t, size, batch.column("start").to_numpy()), left.sum(1).astype(np.int64)]
-
-    return map_arrow(listed, chosen, found)
 
+        def columns(word, start, both):
+            left, right = both[:, :width], both[:, width:]
+            return [word, exchange(left, right, log_t, size, start), left.sum(1).astype(np.int64)]
 
-def class_rows(rows: DataFrame, others: DataFrame, known: int, classes: np.ndarray) -> DataFrame:
-    """(doc_id, held_out, classes, log_counts, n_known): class of each word in order, sum of log10(c + ALPHA), words with c > 0.
-
-    ``classes`` has the class of each of the ``known`` frequent words and of each ending group. Rare words
-    get theirs and their counts by a join with ``others`` on the distinct rare words of a text; one that
-    never occurred in training has the class of its ending.
+        last = None  # word, start and counts of the word that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word, start = batch.column("word").to_numpy(), batch.column("start").to_numpy().astype(np.int64)
+            packed, offsets = _unpacked(batch.column("cells"), np.int64)
+            new = np.ones(len(word), bool)
+            new[1:] = word[1:] != word[:-1]
+            number = np.cumsum(new) - 1
+            cell = np.repeat(number, np.diff(offsets)) * 2 * width + packed % (2 * width)
+            both = np.bincount(cell, packed // (2 * width), (number[-1] + 1) * 2 * width).reshape(-1, 2 * width)
+            word, start = word[new], start[new]
+            if last is not None:
+                if last[0][0] == word[0]:
+                    both[0] += last[2][0]
+                else:
+                    yield columns(*last)
+            yield columns(word[:-1], start[:-1], both[:-1])
+            last = word[-1:], start[-1:], both[-1:].copy()
+        if last is not None:
+            yield columns(*last)
+
+    return map_arrow(dealt, chosen, found)
+
+
+def class_rows(rows: DataFrame, others: DataFrame, classes: np.ndarray, frequent: np.ndarray) -> DataFrame:
+    """(doc_id, held_out, classes, log_counts, n_known): packed classes of the words in order, sum of log10(c + ALPHA), words with c > 0.
+
+    ``classes`` are those of the items, ``frequent`` those of the frequent words. Rare words get theirs and
+    their counts by a join with ``others`` on the distinct rare words of a text; one that never occurred in
+    training has the class of its ending.
     """
-    rows = rows.withColumn("row", F.xxhash64("items", "rare"))  # rows of equal words share their lookup
-    rare = rows.filter(F.size("rare") > 0).select("row", "rare").dropDuplicates(["row"])
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("classes", pa.binary()), ("log_counts", pa.float64()),
+                        ("n_known", pa.int64()), ("rare", pa.list_(pa.int64()))])
+    given = rows.sparkSession.sparkContext.broadcast((classes.astype(np.int8), frequent.astype(np.int8)))
+
+    def marked(batches):
+        classes, frequent = given.value
+        for batch in batches:
+            item, offsets = _unpacked(batch.column("items"), np.int16)
+            place, _ = _unpacked(batch.column("places"), np.int32)
+            own = classes[item]
+            kinds = own[item >= WORD_ITEMS]
+            own[item >= WORD_ITEMS] = np.where(place >= 0, frequent[place], kinds + RARE) if len(frequent) else kinds + RARE
+            yield [batch.column("doc_id"), batch.column("held_out"), _packed(own, offsets[1:]), batch.column("known"), batch.column("n_known"), batch.column("rare")]
+
+    rows = map_arrow(rows, marked, schema).withColumn("row", F.xxhash64("rare"))  # rows of equal rare words share their lookup
+    rare = rows.select("row", "rare").filter(F.size("rare") > 0).dropDuplicates(["row"])
     met = rare.select("row", F.explode(F.array_distinct("rare")).alias("word")).join(others, "word")
-    met = stored(met.groupBy("row").agg(F.collect_list(F.struct("word", "class", "n")).alias("met")), "met")
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("classes", pa.list_(pa.int8())), ("log_counts", pa.float64()), ("n_known", pa.int64())])
-    given = rows.sparkSession.sparkContext.broadcast(classes)
+    met = stored(met.groupBy("row").agg(F.collect_list(F.struct("word", "class", "n")).alias("met")), "met", "zstd")
 
-    def run(batches):
+    def resolved(batches):
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                column, offsets = part.column("items"), part.column("items").offsets.to_numpy()
-                items = column.values.to_numpy()[offsets[0] : offsets[-1]]
-                own = given.value[items].astype(np.int8)
-                log_counts, n_known = part.column("known").to_numpy().copy(), part.column("n_known").to_numpy().copy()
-                for i in np.flatnonzero(pc.list_value_length(part.column("rare")).to_numpy()):
-                    places = np.arange(offsets[i], offsets[i + 1]) - offsets[0]
-                    places = places[items[places] >= known]
-                    word = part.column("rare")[i].values.to_numpy()
-                    found = part.column("met")[i].values
-                    keys, kind, n = (found.field(k).to_numpy() if found is not None else np.zeros(0, np.int64) for k in range(3))
+            own, offsets = _unpacked(batch.column("classes"), np.int8)
+            own = own.copy()
+            log_counts, n_known = batch.column("log_counts").to_numpy().copy(), batch.column("n_known").to_numpy().copy()
+            for i in np.flatnonzero(pc.list_value_length(batch.column("rare")).to_numpy()):
+                places = offsets[i] + np.flatnonzero(own[offsets[i] : offsets[i + 1]] >= RARE)
+                own[places] -= RARE
+                word = batch.column("rare")[i].values.to_numpy()
+                found = batch.column("met")[i].values
+                count = np.zeros(len(word))
+                if found is not None:
+                    keys, kind, n = (found.field(k).to_numpy() for k in range(3))
                     order = np.argsort(keys)
                     at = _lookup(keys[order], order, word, -1)
                     has = at >= 0
                     own[places[has]] = kind[at[has]]
-                    log_counts[i] += np.log10(np.where(has, n[at] if len(n) else 0, 0) + ALPHA).sum()
-                    n_known[i] += has.sum()
-                yield [part.column("doc_id"), part.column("held_out"), pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(own)), log_counts, n_known]
+                    count[has] = n[at[has]]
+                log_counts[i] += np.log10(count + ALPHA).sum()
+                n_known[i] += (count > 0).sum()
+            yield [batch.column("doc_id"), batch.column("held_out"), _packed(own, offsets[1:]), log_counts, n_known]
 
-    return map_arrow(rows.join(met, "row", "left").drop("row"), run, schema)
+    return map_arrow(rows.join(met, "row", "left").drop("row"), resolved, pa.schema(list(schema)[:5]))
 
 
 def class_pairs(rows: DataFrame) -> np.ndarray:
@@ -351,7 +402,7 @@ def class_pairs(rows: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(width * width, np.int64)
         for batch in batches:
-            _, own, _ = _tokens(batch.column("classes"), CLASSES)
+            _, own = _tokens(batch.column("classes"), np.int8, CLASSES)
             total += np.bincount(_before(own) * width + own, minlength=width * width)
         yield [np.arange(width * width), total]
 
@@ -383,34 +434,28 @@ def score(
     tokens, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     texts = docs.filter("NOT held_out").count()
     tokens, distinct = (tokens or 0) + texts, distinct + (texts > 0)
-    word, ending, n = _most_frequent(counts, BROADCAST_WORDS)
+    word, _, n = _most_frequent(counts, BROADCAST_WORDS)
     top = np.lexsort((word, -n))
-    word, ending, n = word[top], ending[top].astype(np.int64), n[top]
-    # item of each place in ``word``, of each ending group and of the end
-    item = np.where(np.arange(len(word)) < WORD_ITEMS, np.arange(len(word)), WORD_ITEMS + ending)
-    item = np.concatenate([item, WORD_ITEMS + np.arange(ENDING_ITEMS), [END]])
-    named = spark.sparkContext.broadcast(item)
-
-    rows = stored(item_rows(docs, word, n), "items")
+    word, n = word[top], n[top]
+    items = min(len(word), WORD_ITEMS)
+    rows = stored(item_rows(docs, word, n), "items", "zstd")
     training = rows.filter("NOT held_out")
-    classes, pairs = cluster(training, named, rounds)
-    others = stored(other_classes(training, word, named, classes, pairs), "classes")
+    classes, pairs = cluster(training, rounds)
+    others = stored(other_classes(training, word, classes, pairs), "classes")
 
     # tokens and distinct training words of each class; the end is the one word of its own class
     n_class, v_class = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    np.add.at(n_class, classes[item[: min(len(word), WORD_ITEMS)]], n[:WORD_ITEMS])
-    np.add.at(v_class, classes[item[: min(len(word), WORD_ITEMS)]], 1)
+    np.add.at(n_class, classes[:items], n[:items])
+    np.add.at(v_class, classes[:items], 1)
     for kind, tokens_of, words_of in others.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
         n_class[kind] += tokens_of
         v_class[kind] += words_of
     n_class[CLASSES], v_class[CLASSES] = texts, 1
-    own = classes[item]
     # the frequent words are those of the least count among them or more: at most BROADCAST_WORDS
     mid = others.filter(F.col("n") >= int(n[-1]) if len(n) else F.lit(False)).toArrow()
     keys, order = mid.column("word").to_numpy(), np.argsort(mid.column("word").to_numpy())
-    own[: len(word)] = np.where(np.arange(len(word)) < WORD_ITEMS, own[: len(word)],
-                                _lookup(keys[order], mid.column("class").to_numpy()[order], word, 0))
-    placed = stored(class_rows(rows, others, len(word), own), "placed")
+    frequent = np.append(classes[:items], _lookup(keys[order], mid.column("class").to_numpy()[order], word[items:], 0))
+    placed = stored(class_rows(rows, others, classes, frequent), "placed", "zstd")
     log_t = np.log10(transitions(class_pairs(placed.filter("NOT held_out"))))
     log_room = np.log10(n_class + ALPHA * (v_class + 1))
     base_room = math.log10(tokens + ALPHA * (distinct + 1))
@@ -424,7 +469,7 @@ def score(
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                row, own, _ = _tokens(part.column("classes"), CLASSES)
+                row, own = _tokens(part.column("classes"), np.int8, CLASSES)
                 value = np.bincount(row, log_t[_before(own), own] - log_room[own], part.num_rows)
                 yield [part.column("doc_id"), part.column("held_out"), np.bincount(row, minlength=part.num_rows),
                        part.column("n_known"), part.column("log_counts"), value]

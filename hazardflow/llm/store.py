@@ -26,13 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages").rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     Cuts the lineage: later jobs, also after a lost executor, start from the files.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
