@@ -79,6 +79,10 @@ _cte("cities", "", """
 SELECT * FROM (VALUES (35.6762e0, 139.6503e0), (34.0522e0, -118.2437e0), (37.7749e0, -122.4194e0),
  (19.4326e0, -99.1332e0), (-6.2088e0, 106.8456e0), (14.5995e0, 120.9842e0),
  (-33.4489e0, -70.6693e0)) AS c(lat, lon)""")
+_cte("sites", "", """
+SELECT c_custkey AS position, c_name AS name,
+  CAST(c_custkey * 6257 % 18001 AS DOUBLE) / 100e0 - 90e0 AS lat,
+  CAST(c_custkey * 7919 % 36001 AS DOUBLE) / 100e0 - 180e0 AS lon FROM customer""")
 # Every distinct point once, with its region and its distances.
 _cte("points", "quakes boxes cities", """
 SELECT latitude, longitude,
@@ -491,6 +495,24 @@ FROM quakes JOIN points USING (latitude, longitude)""", "distance_to_major_city_
 _oracle("nearest_city_haversine", "quakes points", """
 SELECT event_id, event_time, round(great_circle_km, 3) AS distance_to_major_city_km
 FROM quakes JOIN points USING (latitude, longitude)""")
+_oracle("region_join", "quakes sites", """
+SELECT event_id, event_time, latitude, longitude, geographic_region FROM quakes JOIN (
+  SELECT p.latitude, p.longitude, coalesce(arg_max(s.name, s.position), 'Other') AS geographic_region
+  FROM (SELECT DISTINCT latitude, longitude FROM quakes) p LEFT JOIN sites s
+    ON p.longitude BETWEEN s.lon AND s.lon + 1e0 + s.position % 16
+    AND p.latitude BETWEEN s.lat AND s.lat + 1e0 + s.position * 7 % 16
+  GROUP BY ALL) USING (latitude, longitude)""", "latitude longitude")
+for _mode, _km in {
+    "": "sqrt(power(p.latitude - s.lat, 2) + power(p.longitude - s.lon, 2)) * 111e0",
+    "_haversine": "2 * 6371e0 * asin(sqrt(power(sin(radians(p.latitude - s.lat) / 2), 2)"
+    " + cos(radians(p.latitude)) * cos(radians(s.lat)) * power(sin(radians(p.longitude - s.lon) / 2), 2)))",
+}.items():
+    _oracle(f"nearest_site{_mode}", "quakes sites", f"""
+SELECT event_id, event_time, nearest_city, round(km, 3) AS distance_to_major_city_km,
+  {_RISK} AS population_impact_risk
+FROM quakes JOIN (
+  SELECT p.latitude, p.longitude, min({_km}) AS km, arg_min(s.name, ({_km}, s.position)) AS nearest_city
+  FROM (SELECT DISTINCT latitude, longitude FROM quakes) p, sites s GROUP BY ALL) USING (latitude, longitude)""")
 _oracle("population_risk", "quakes points", f"""
 SELECT event_id, event_time, {_RISK} AS population_impact_risk
 FROM quakes JOIN points USING (latitude, longitude)""")

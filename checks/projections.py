@@ -90,6 +90,21 @@ def quake_stream(spark: SparkSession, sf: str, files: int | None = None) -> Data
     return quake_columns(spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet"))
 
 
+def sites(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as places all over the world."""
+    return table(spark, sf, "customer").selectExpr(
+        "c_custkey AS position", "c_name AS name",
+        "CAST(c_custkey * 6257 % 18001 AS DOUBLE) / 100D - 90D AS latitude",
+        "CAST(c_custkey * 7919 % 36001 AS DOUBLE) / 100D - 180D AS longitude")
+
+
+def areas(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as boxes of one to sixteen degrees that overlap."""
+    return sites(spark, sf).selectExpr(
+        "position", "name", "longitude AS min_lon", "longitude + 1D + position % 16 AS max_lon",
+        "latitude AS min_lat", "latitude + 1D + position * 7 % 16 AS max_lat")
+
+
 def silver_quakes(spark: SparkSession, sf: str) -> DataFrame:
     return silver.quakes(quakes(spark, sf), AS_OF_QUAKES)
 

@@ -11,7 +11,7 @@ from hazardflow import config, schemas
 from hazardflow.functions import geo, text
 from hazardflow.functions.time import days_before, time_features
 from hazardflow.operators import (
-    alerts, cluster, dedup, enrich, frequency, fusion, grid, quality, statistical, weather_patterns,
+    alerts, cluster, dedup, enrich, frequency, fusion, grid, quality, spatial, statistical, weather_patterns,
 )
 from hazardflow.plans import bronze, dashboard, gold, reports, silver
 from hazardflow.sources import feeds, geojson, tables
@@ -383,6 +383,32 @@ def nearest_city_haversine(spark, sf):
     )
 
 
+@query
+def region_join(spark, sf):
+    """Regions from a table of boxes."""
+    index = spatial.region_index(P.areas(spark, sf))
+    rows = spatial.add_region(P.quakes(spark, sf), index)
+    return rows.select("event_id", "event_time", "latitude", "longitude", "geographic_region")
+
+
+def _nearest_site(spark, sf, mode):
+    index = spatial.city_index(P.sites(spark, sf), mode)
+    rows = spatial.add_nearest_city(P.quakes(spark, sf), index, mode)
+    km = F.round("distance_to_major_city_km", 3).alias("distance_to_major_city_km")
+    return rows.select("event_id", "event_time", "nearest_city", km, "population_impact_risk")
+
+
+@query
+def nearest_site(spark, sf):
+    """Nearest of a table of cities."""
+    return _nearest_site(spark, sf, "planar")
+
+
+@query
+def nearest_site_haversine(spark, sf):
+    return _nearest_site(spark, sf, "haversine")
+
+
 @query
 def population_risk(spark, sf):
     rows = P.quakes(spark, sf).transform(enrich.add_city_distance)
