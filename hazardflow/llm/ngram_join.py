@@ -31,6 +31,11 @@ from the start and never meet as pairs.
 Before any verification, pairs are tested on 512-bit parity sketches, in which every shingle flips one
 bit: two sketches differ in no more bits than the sets differ in shingles, so the test loses nothing.
 In the last step it is part of the join's condition.
+
+Links lie inside components, so ``link_counts`` counts them there, exactly and for all pairs of different
+sets. A component is dealt into blocks of bounded size, and a task compares two blocks by one product of
+a 0/1 table with itself, a stretch of shingles at a time. Only numbers leave it. In a component of k sets
+each set is sent k / BLOCK_SETS times.
 """
 
 from __future__ import annotations
@@ -39,6 +44,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hazardflow.llm import graph
@@ -57,6 +63,10 @@ SPARE = 1.3
 MOST_SEEDS = 8
 SET_ID = U((1 << 63) - 1)
 _LINKABLE = "n_shingles > 0 AND doc_id IS NOT NULL"
+#: Sets and shingles of a block when links are counted, on average: hashes deal the sets of a component.
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1_000_000
+#: Cells of the table of sets by shingles that a task holds at once.
+TABLE_CELLS = 4_000_000
 #: Words of the parity sketch of a set.
 SKETCH = [f"k{i}" for i in range(8)]
 
@@ -336,17 +346,18 @@ def _may_be_similar(u: str, v: str, percent: int):
                   f"{100 + percent} * ({flipped}) <= {100 - percent} * ({u}.n + {v}.n)")
 
 
-def _text_components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _text_components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     if not 1 <= percent <= 100:
         raise ValueError("percent must be from 1 to 100")
     return _linked_texts(docs, size, percent)
 
 
-def _linked_texts(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _linked_texts(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows of ``docs`` (doc_id, text, row) with their set ids, and the component of each set by links of texts.
 
     The first is (doc_id, row, n_shingles, set_id); the second, (set_id, root, first), has the sets of
-    rows with an id and a shingle, ``first`` being the least (doc_id, row) of the set.
+    rows with an id and a shingle, ``first`` being the least (doc_id, row) of the set; the third,
+    (set_id, shingles), the sets that may have links.
     """
     member = stored(set_ids(docs, size, percent), "sets")
     linkable = member.filter(_LINKABLE)
@@ -383,7 +394,73 @@ def _linked_texts(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame,
         roots = graph.components(links.unionByName(more))
 
     rooted = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    return member, rooted.select("set_id", "root", "first")
+    return member, rooted.select("set_id", "root", "first"), arrays
+
+
+def _block_links(groups: pa.RecordBatch, percent: int):
+    """(set ids, rows linked to) of groups of rows (root, one, two, block, set_id, weight, shingles) in order.
+
+    A group holds blocks ``one`` and ``two`` of a component; pairs of a set of each are compared, or all pairs if
+    they are the same block.
+    """
+    root, one, two, block, ids, weight = (groups.column(i).to_numpy() for i in range(6))
+    shingle = groups.column(6)
+    values, sizes = shingle.flatten().to_numpy(), pc.list_value_length(shingle).to_numpy().astype(np.int64)
+    start = np.concatenate([[0], np.cumsum(sizes)])
+    new = (np.diff(root) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0)
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(ids)]
+    linked = np.zeros(len(ids), np.int64)
+    for a, b in zip(cuts, cuts[1:]):
+        m, n = b - a, sizes[a:b]
+        _, column = np.unique(values[start[a] : start[b]], return_inverse=True)
+        owner = np.repeat(np.arange(m), n)
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        both, width = np.zeros((m, m)), max(1, TABLE_CELLS // max(m, 1))
+        for low in range(0, int(column.max(initial=-1)) + 1, width):
+            at = slice(*np.searchsorted(column, (low, low + width)))
+            table = np.zeros((m, min(width, int(column[-1]) + 1 - low)), np.float32)
+            table[owner[at], column[at] - low] = 1
+            both += table @ table.T
+        links = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        np.fill_diagonal(links, False)
+        if one[a] != two[a]:
+            links &= block[a:b, None] != block[None, a:b]
+        linked[a:b] = links @ weight[a:b]
+    return ids, linked
+
+
+def link_counts(member: DataFrame, rooted: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """(set_id, copies, links): the rows with the set, and the rows with another set that is similar."""
+    copies = stored(member.filter(_LINKABLE).groupBy("set_id").agg(F.count("*").alias("copies"), F.first("n_shingles").alias("n")), "copies")
+    named = rooted.select("set_id", "root").join(copies, "set_id")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    several = named.groupBy("root").agg(F.count("*").alias("k"), parts.alias("parts")).filter("k > 1")
+    dealt = named.join(several, "root").withColumn("block", F.expr("CAST(pmod(xxhash64(set_id), parts) AS INT)"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    keys = ["root", "one", "two"]
+    met = dealt.select("root", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block",
+                       "set_id", F.col("copies").alias("weight")).join(arrays, "set_id")
+    met = met.select(*keys, "block", "set_id", "weight", "shingles").repartition(*keys).sortWithinPartitions(*keys)
+    schema = pa.schema([("set_id", pa.int64()), ("links", pa.int64())])
+
+    def run(batches):
+        rest = None  # the group that may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rest = batch if rest is None else pa.concat_batches([rest, batch])
+            root, one, two = (rest.column(i).to_numpy() for i in range(3))
+            last = np.flatnonzero((root != root[-1]) | (one != one[-1]) | (two != two[-1]))
+            if len(last):
+                cut = int(last[-1]) + 1
+                yield list(_block_links(rest.slice(0, cut), percent))
+                rest = rest.slice(cut)
+        if rest is not None:
+            yield list(_block_links(rest, percent))
+
+    links = map_arrow(met, run, schema).groupBy("set_id").agg(F.sum("links").alias("links"))
+    return copies.select("set_id", "copies").join(links, "set_id", "left").withColumn("links", F.coalesce("links", F.lit(0)))
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -409,24 +486,28 @@ def _joined_by_ids(member: DataFrame, rooted: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
 
     ``n_shingles`` is the number of distinct ``size``-word shingles of the whole text; a text with
     fewer words is one shingle. Rows link when 100 * intersection >= ``percent`` * union, and
     ``component_id`` is the least id reachable by links, the own one included. A null or empty
     text, or one without words, has 0 shingles and stays alone. A null id gets a null component
     and links with nothing. A repeated id gives one row for each occurrence, and the component
-    joins what any of them links. Ties cannot occur: components do not depend on the order of rows.
+    joins what any of them links. ``n_links`` is the number of other rows that the row links with,
+    copies included, by its own text; 0 without a shingle or an id. Ties cannot occur: components do not depend on the order of rows.
     """
-    member, rooted = _text_components(_keyed(docs, doc_id, text), size, percent)
-    rooted = stored(_joined_by_ids(member, rooted), "components")
+    member, texts, arrays = _text_components(_keyed(docs, doc_id, text), size, percent)
+    texts = stored(texts, "texts")
+    counts = link_counts(member, texts, arrays, percent)
+    rooted = stored(_joined_by_ids(member, texts), "components")
     least = rooted.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
-    group = rooted.join(least, "root").select("set_id", "component_id")
+    group = rooted.join(least, "root").join(counts, "set_id").select("set_id", "component_id", F.expr("copies - 1 + links").alias("n_links"))
     out = member.join(group, "set_id", "left")
     alone = F.col("n_shingles") == 0
     result = out.select(
         "doc_id", "n_shingles",
         F.when(alone | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone | F.col("doc_id").isNull(), F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
     )
     return result
 
@@ -444,7 +525,7 @@ def keep_one(
     """
     names = docs.columns
     key = unused("row", names)
-    member, rooted = _text_components(_keyed(docs, doc_id, text), size, percent)
+    member, rooted, _ = _text_components(_keyed(docs, doc_id, text), size, percent)
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row", F.lit(True).alias("stays"))
     seen = member.filter(_LINKABLE).groupBy("row").agg(F.count("*").alias("n"))
     # rows that go, and those of which one of several equal ones stays

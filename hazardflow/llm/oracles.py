@@ -27,7 +27,8 @@ WITH RECURSIVE worded AS (
     SELECT doc_id AS a, doc_id AS b FROM documents
     UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b
 )
-SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r.b) AS component_id
+SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r.b) AS component_id,
+    (SELECT count(*) FROM both_ways l WHERE l.a = d.doc_id) AS n_links
 FROM documents d LEFT JOIN sized USING (doc_id) JOIN reach r ON r.a = d.doc_id
 GROUP BY d.doc_id
 """,

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hazardflow.llm import ngram_join
@@ -26,16 +27,19 @@ def expected(rows, percent=80):
             x = root[x]
         return x
 
-    for (a, x), (b, y) in itertools.combinations(sets, 2):
+    links = [0] * len(sets)
+    for (i, (a, x)), (j, (b, y)) in itertools.combinations(enumerate(sets), 2):
         if None not in (a, b) and x and y and 100 * len(x & y) >= percent * len(x | y):
+            links[i] += 1
+            links[j] += 1
             a, b = sorted((find(a), find(b)))
             root[b] = a
-    return sorted((-1 if i is None else i, len(s), -1 if i is None else (find(i) if s else i)) for i, s in sets)
+    return sorted((-1 if i is None else i, len(s), -1 if i is None else (find(i) if s else i), n) for (i, s), n in zip(sets, links))
 
 
 def answer(frame):
     none = lambda x: -1 if x is None else x
-    return sorted((none(r.doc_id), r.n_shingles, none(r.component_id)) for r in frame.collect())
+    return sorted((none(r.doc_id), r.n_shingles, none(r.component_id), r.n_links) for r in frame.collect())
 
 
 def test_awkward_rows(corpus):
@@ -68,7 +72,7 @@ def test_empty_table(spark):
 def test_keep_one_keeps_columns_and_one_of_each_group(corpus):
     kept = ngram_join.keep_one(corpus)
     assert kept.columns == corpus.columns
-    groups = {i: c for i, _, c in answer(ngram_join.near_duplicates(corpus)) if i != -1}
+    groups = {i: c for i, _, c, _ in answer(ngram_join.near_duplicates(corpus)) if i != -1}
     ids = {r.doc_id for r in kept.collect() if r.doc_id is not None}
     assert ids == {i for i, c in groups.items() if i == c}
 
@@ -105,7 +109,7 @@ def test_texts_of_one_id_join_their_components(spark):
     rows = [(3, a), (7, a), (7, b), (9, b + " more"), (9, c), (11, c), (12, d), (12, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert answer(ngram_join.near_duplicates(frame)) == expected(rows)
-    assert {i: c for i, _, c in expected(rows)} == {3: 3, 7: 3, 9: 3, 11: 3, 12: 12}
+    assert {i: c for i, _, c, _ in expected(rows)} == {3: 3, 7: 3, 9: 3, 11: 3, 12: 12}
 
 
 def test_keep_one_drops_rows_not_ids(spark):
@@ -152,3 +156,43 @@ def test_texts_of_two_alternating_words(spark):
     rows = [(1, one), (2, two), (3, glued[0]), (4, glued[1]), (5, glued[0])]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert answer(ngram_join.near_duplicates(frame)) == expected(rows)
+
+
+@pytest.mark.parametrize("cells", [1, 40, 4_000_000])
+def test_links_of_two_blocks(monkeypatch, cells):
+    """Any stretch of shingles gives the same counts; sets of one block are not compared in a group of two."""
+    monkeypatch.setattr(ngram_join, "TABLE_CELLS", cells)
+    rnd = random.Random(4)
+    rows, expect = [], []
+    for root, (one, two) in enumerate([(0, 0), (0, 1), (2, 2)]):
+        group = []
+        for k in range(9):
+            values = sorted(rnd.sample(range(12), rnd.randrange(9, 13)))
+            group.append((root, one, two, rnd.choice((one, two)), 100 * root + k, rnd.randrange(1, 4), values))
+        rows += group
+        for r in group:
+            near = [q for q in group if q is not r and (one == two or q[3] != r[3])]
+            expect.append(sum(q[5] for q in near if 100 * len({*q[6]} & {*r[6]}) >= 80 * len({*q[6]} | {*r[6]})))
+    batch = pa.RecordBatch.from_arrays(
+        [*(pa.array([r[i] for r in rows], pa.int64()) for i in range(6)), pa.array([r[6] for r in rows], pa.list_(pa.int64()))],
+        names=["root", "one", "two", "block", "set_id", "weight", "shingles"])
+    ids, links = ngram_join._block_links(batch, 80)
+    assert (ids.tolist(), links.tolist()) == ([r[4] for r in rows], expect) and sum(expect)
+
+
+@pytest.mark.parametrize("sets, shingles", [(256, 10**6), (7, 10**6), (256, 500)])
+def test_links_of_a_large_group(spark, monkeypatch, sets, shingles):
+    """Near copies of one text, copies of them, and a chain, counted in one block and in many."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", sets)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
+    rnd = random.Random(sets)
+    base, texts = _text(1, 80).split(), []
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(rnd.randrange(4)):
+            copy[rnd.randrange(len(copy))] = f"z{rnd.randrange(50)}"
+        texts += [" ".join(copy)] * rnd.choice((1, 1, 3))
+    texts += [" ".join(_text(2, 120).split()[k : k + 60]) for k in range(0, 40, 4)]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert answer(ngram_join.near_duplicates(frame)) == expected(rows)
