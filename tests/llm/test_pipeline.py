@@ -64,7 +64,7 @@ def in_a_language(spark, folder, docs):
 def brute_force(rows, items):
     kept = without_repeats(rows, 50)
     rows = [(i, kept[i, t][0]) for i, t in rows]
-    group = {i: c for i, _, c in components(rows)}
+    group = {i: c for i, _, c, _ in components(rows)}
     # a row goes if its id is not the least of its component, whatever its own text
     rows = [(i, t) for i, t in rows if i is None or group[i] == i]
     # of equal rows with an id and a word one stays
