@@ -147,6 +147,30 @@ def test_lists_are_short_and_cells_tile(spark):
         assert area == (2 * spatial.ROOT) ** 2
 
 
+def test_only_counted_small_sides_are_broadcast(spark, monkeypatch):
+    """Repeated values make small files of large rows, so a file's size must not decide."""
+    plans, stored = [], spatial.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    rnd = np.random.default_rng(5)
+    cities = random_cities(rnd, 200).tail(100).assign(name="a long name " * 1000)
+    frame = spark.createDataFrame(points(rnd, 100), POINT)
+    monkeypatch.setattr(spatial, "stored", noted)
+    monkeypatch.setattr(spatial, "SMALL_CELLS", 0, raising=False)
+    index = spatial.city_index(spark.createDataFrame(cities, CITY))
+    assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+    out = spatial.add_nearest_city(frame, index)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    small = spatial.city_index(spark.createDataFrame(cities.assign(name="a"), CITY))
+    near = spatial.add_nearest_city(frame, small)
+    assert "BroadcastHashJoin" in near._jdf.queryExecution().executedPlan().toString()
+    km = "distance_to_major_city_km"
+    assert out.orderBy("n").select(km).collect() == near.orderBy("n").select(km).collect()
+
+
 def test_impossible_mode(spark):
     with pytest.raises(ValueError):
         spatial.city_index(spark.createDataFrame([], CITY), "taxi")
