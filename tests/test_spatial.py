@@ -171,6 +171,28 @@ def test_only_counted_small_sides_are_broadcast(spark, monkeypatch):
     assert out.orderBy("n").select(km).collect() == near.orderBy("n").select(km).collect()
 
 
+@pytest.mark.parametrize("at_pole", [12, 40])
+def test_cities_around_the_poles(spark, at_pole):
+    """Rows of cities around both poles, and several at them, which have one place and many longitudes."""
+    places = [(sign * (90 - k / 100), lon) for sign in (-1, 1) for k in range(20)
+              for lon in np.linspace(-180, 180, at_pole if k == 0 else 12, endpoint=False)]
+    rnd = np.random.default_rng(3)
+    places += list(zip(rnd.uniform(-89, 89, 300), rnd.uniform(-180, 180, 300)))
+    cities = pd.DataFrame(places, columns=["latitude", "longitude"])
+    cities = cities.assign(position=np.arange(len(cities)), name=[f"c{i}" for i in range(len(cities))])
+    cities = cities[["position", "name", "latitude", "longitude"]]
+    frame = pd.DataFrame({"n": np.arange(400), "latitude": np.repeat([1, -1], 200) * (90 - rnd.uniform(0, 0.3, 400)),
+                          "longitude": rnd.uniform(-180, 180, 400)})
+    index = spatial.city_index(spark.createDataFrame(cities, CITY), "haversine")
+    assert index.count() < 5000
+    out = spatial.add_nearest_city(spark.createDataFrame(frame, POINT), index, "haversine").orderBy("n")
+    got = [tuple(r) for r in out.select("nearest_city", "distance_to_major_city_km").collect()]
+    for (name, km), lat, lon in zip(got, frame.latitude, frame.longitude):
+        far = distances(cities, lat, lon, "haversine")
+        assert km == pytest.approx(far.min(), rel=1e-9, abs=1e-6)
+        assert far[int(name[1:])] == pytest.approx(far.min(), rel=1e-9, abs=1e-6)
+
+
 def test_impossible_mode(spark):
     with pytest.raises(ValueError):
         spatial.city_index(spark.createDataFrame([], CITY), "taxi")
